@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.numbering import number_rows, unique_ids
+
+
+def test_numbers_follow_the_order_over_many_partitions(spark):
+    values = random.Random(1).sample(range(10_000), 3_000)
+    df = spark.createDataFrame([(v, f"row {v}") for v in values], "k long, t string")
+    got = {r.k: (r.row_number, r.t) for r in number_rows(df.repartition(17), ["k"]).collect()}
+    assert got == {k: (i, f"row {k}") for i, k in enumerate(sorted(values), 1)}
+
+
+def test_text_keys_and_start(spark):
+    df = spark.createDataFrame([(w,) for w in "pear fig apple kiwi".split()], "w string")
+    got = sorted(number_rows(df, ["w"], name="id", start=101).collect())
+    assert got == [("apple", 101), ("fig", 102), ("kiwi", 103), ("pear", 104)]
+
+
+def test_several_order_columns(spark):
+    rows = [(a, b) for a in "xy" for b in range(50)]
+    df = spark.createDataFrame(random.Random(2).sample(rows, len(rows)), "a string, b int")
+    got = {(r.a, r.b): r.row_number for r in number_rows(df, ["a", "b"]).collect()}
+    assert got == {row: i for i, row in enumerate(sorted(rows), 1)}
+
+
+def test_repeated_and_missing_values_are_numbered_once_each(spark):
+    df = spark.createDataFrame([(None,), (None,)] + [(7,)] * 500 + [(8,)], "k int")
+    got = number_rows(df, ["k"]).collect()
+    assert sorted(r.row_number for r in got) == list(range(1, 504))
+    assert {r.row_number for r in got if r.k is None} == {1, 2}
+    assert {r.row_number for r in got if r.k == 8} == {503}
+
+
+def test_empty_frame(spark):
+    empty = spark.createDataFrame([], "k int")
+    assert number_rows(empty, ["k"]).collect() == []
+
+
+def test_result_does_not_change_when_read_again(spark):
+    df = spark.range(5_000).select((F.col("id") * 7919 % 5_000).alias("k"))
+    numbered = number_rows(df, ["k"])
+    first = {(r.k, r.row_number) for r in numbered.collect()}
+    assert first == {(r.k, r.row_number) for r in numbered.collect()}
+
+
+def test_rows_are_not_sorted_in_one_partition(spark):
+    df = spark.range(1_000).withColumn("payload", F.lit("x"))
+    plan = number_rows(df, ["id"])._jdf.queryExecution().executedPlan().toString()
+    single = [line for line in plan.splitlines() if "SinglePartition" in line]
+    assert len(single) == 1  # the offsets, one row per partition
+    assert "payload" not in plan.split("SinglePartition")[1]
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_unique_ids(spark, partitions):
+    ids = [r.id for r in unique_ids(spark.range(100, numPartitions=partitions).toDF("k")).collect()]
+    assert len(set(ids)) == 100 and min(ids) == 1

@@ -107,3 +107,26 @@ def daily_revenue_sql(
             **dict(zip(names, statuses)),
         },
     )
+
+
+def daily_product_revenue_sql(
+    spark: SparkSession,
+    orders_view: str,
+    items_view: str,
+    *,
+    statuses: Sequence[str] = BILLED_STATUSES,
+) -> DataFrame:
+    """``daily_product_revenue`` over two named views or tables, as SQL; by day, best first."""
+    names = [f"status_{i}" for i in range(len(statuses))]
+    return spark.sql(
+        f"""
+        SELECT to_date(o.order_date) AS order_date, i.order_item_product_id,
+               round(sum(i.order_item_subtotal), 2) AS daily_revenue
+        FROM IDENTIFIER(:orders) o
+        JOIN IDENTIFIER(:items) i ON o.order_id = i.order_item_order_id
+        WHERE o.order_status IN ({", ".join(":" + n for n in names)})
+        GROUP BY 1, 2
+        ORDER BY 1, 3 DESC
+        """,
+        args={"orders": orders_view, "items": items_view, **dict(zip(names, statuses))},
+    )

@@ -156,13 +156,18 @@ def next_versions(
     rows = F.coalesce(
         *[F.when(F.col("action") == action, F.array(*follows[action])) for action in actions]
     )
-    return merged.filter(F.col("action").isin(*actions)).select(F.inline(rows))
+    if set(actions) != set(ACTIONS):
+        merged = merged.filter(F.col("action").isin(*actions))
+    return merged.select(F.inline(rows))
 
 
 def scd2_changes(
     history: DataFrame, source: DataFrame, dim: Dimension, *, validate: bool = True
 ) -> DataFrame:
-    """Classified keys of the open rows and the source, with surrogate keys for added rows."""
+    """Classified keys of the open rows and the source, with surrogate keys for added rows.
+
+    Runs the checks and the numbering at once; the join of the whole rows stays lazy.
+    """
     valid, _ = split_missing_keys(source, dim)
     if validate:
         check_contract(history, valid, dim)

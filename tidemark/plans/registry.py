@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import MERGE_SESSIONS_EARLY
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -19,6 +21,8 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # The tables hold zoneless UTC times; streams and epochs need zoned ones.
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            # One event type may hold most events: merge its sessions before the shuffle.
+            spark.conf.set(MERGE_SESSIONS_EARLY, "true")
             return function(spark, sf_dir)
 
         QUERIES[function.__name__] = run

@@ -47,14 +47,16 @@ def daily_revenue_month(spark, sf_dir):
     ).orderBy(F.col("daily_revenue").desc())
 
 
+def _views(spark, sf_dir):
+    retail_orders(spark, sf_dir).createOrReplaceTempView("retail_orders")
+    retail_items(spark, sf_dir).createOrReplaceTempView("retail_order_items")
+    return "retail_orders", "retail_order_items"
+
+
 @query(MONTH_SQL)
 def sql_daily_revenue(spark, sf_dir):
     """The same as SQL over named views."""
-    retail_orders(spark, sf_dir).createOrReplaceTempView("retail_orders")
-    retail_items(spark, sf_dir).createOrReplaceTempView("retail_order_items")
-    return revenue.daily_revenue_sql(
-        spark, "retail_orders", "retail_order_items", statuses=BILLED, month=MONTH
-    )
+    return revenue.daily_revenue_sql(spark, *_views(spark, sf_dir), statuses=BILLED, month=MONTH)
 
 
 @query(PRODUCT_SQL)
@@ -63,3 +65,9 @@ def daily_product_revenue(spark, sf_dir):
     return revenue.daily_product_revenue(
         retail_orders(spark, sf_dir), retail_items(spark, sf_dir), statuses=BILLED
     ).orderBy("order_date", F.col("daily_revenue").desc())
+
+
+@query(PRODUCT_SQL)
+def sql_daily_product_revenue(spark, sf_dir):
+    """The same as SQL over named views."""
+    return revenue.daily_product_revenue_sql(spark, *_views(spark, sf_dir), statuses=BILLED)

@@ -11,6 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Merge sessions on the map side, so one busy key is shrunk before it is shuffled.
+MERGE_SESSIONS_EARLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 # Every value is a default or a correctness pin; sizes and partition counts are left to the cluster.
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -20,8 +23,7 @@ RECOMMENDED_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    # Merge sessions on the map side, so one busy key is shrunk before it is shuffled.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    MERGE_SESSIONS_EARLY: "true",
 }
 
 

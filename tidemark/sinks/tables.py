@@ -17,8 +17,8 @@ from tidemark.operators.scd2 import (
 )
 from tidemark.session import scratch_path, stage
 
-_PENDING_PATH = "tidemark.pending.path"
-_PENDING_AS_OF = "tidemark.pending.as_of"
+_PARTITIONS = ("is_current", "expiration_date")
+_PENDING = "tidemark.pending."
 
 
 def insert_into(spark: SparkSession, table: str, query: str) -> None:
@@ -65,52 +65,70 @@ def merge_table(
 
     Both replacements come from a staged result that the table properties point to until they
     are done; a merge that died in between is completed by the next call. ``synced`` names a
-    second table that is kept equal to the history.
+    second table that is kept equal to the history the same way.
     """
     spark = source.sparkSession
     as_of = datetime.now(timezone.utc) if as_of is None else as_of
-    if spark.catalog.tableExists(table):
+    if not spark.catalog.tableExists(table):
+        first = scd2_initial(source, dim, as_of=as_of, validate=validate)
+        first.write.partitionBy(*_PARTITIONS).saveAsTable(table)
+    else:
         finish_merge(spark, table)
-        history = spark.table(table)
-        merged = scd2_changes(history, source, dim, validate=validate)
-        columns = dim.history_columns(source.columns)
-        # Rows of an earlier merge at the same time share the partition that is replaced.
-        _, closed = split_history(history)
-        closed_now = closed.filter(F.col("expiration_date") == F.lit(as_of)).select(columns)
         path = scratch_path(spark, "merge")
-        next_versions(merged, dim, source.columns, as_of).select(columns).unionByName(
-            closed_now
-        ).write.parquet(path)
+        _next_partitions(spark.table(table), source, dim, as_of, validate).write.parquet(path)
         at = spark.range(1).select(F.lit(as_of).cast("timestamp").cast("string")).first()[0]
-        spark.sql(
-            f"ALTER TABLE {table} SET TBLPROPERTIES "
-            f"('{_PENDING_PATH}' = '{path}', '{_PENDING_AS_OF}' = '{at}')"
-        )
+        targets = [table]
+        if synced is not None and spark.catalog.tableExists(synced):
+            targets.append(synced)
+        _set_pending(spark, table, {"path": path, "as_of": at, "targets": " ".join(targets)})
         finish_merge(spark, table)
-    else:
-        first = scd2_initial(source, dim, as_of=as_of, validate=validate)
-        first.write.partitionBy("is_current", "expiration_date").saveAsTable(table)
-    if synced is not None:
-        copy_table(spark, table, synced)
+    if synced is not None and not spark.catalog.tableExists(synced):
+        spark.table(table).write.partitionBy(*_PARTITIONS).saveAsTable(synced)
 
 
 def finish_merge(spark: SparkSession, table: str) -> None:
     """Apply the staged result of a merge, if one is pending. Repeating it changes nothing."""
-    pending = {
-        row["key"]: row["value"]
-        for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
-        if row["key"] in (_PENDING_PATH, _PENDING_AS_OF)
-    }
+    pending = _get_pending(spark, table)
     if not pending:
         return
-    staged = spark.read.parquet(pending[_PENDING_PATH])
-    columns = [c for c in spark.table(table).columns if c not in ("is_current", "expiration_date")]
-    listed = ", ".join(f"`{c}`" for c in columns)
-    for current, until in (("true", OPEN_END), ("false", pending[_PENDING_AS_OF])):
-        spark.sql(
-            f"INSERT OVERWRITE {table} "
-            f"PARTITION (is_current = {current}, expiration_date = TIMESTAMP '{until}') "
-            f"SELECT {listed} FROM {{staged}} WHERE is_current = {current}",
-            staged=staged,
-        )
-    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ('{_PENDING_PATH}', '{_PENDING_AS_OF}')")
+    staged = spark.read.parquet(pending["path"])
+    listed = ", ".join(f"`{c}`" for c in staged.columns if c not in _PARTITIONS)
+    for target in pending["targets"].split(" "):
+        for current, until in (("true", OPEN_END), ("false", pending["as_of"])):
+            spark.sql(
+                f"INSERT OVERWRITE {target} "
+                f"PARTITION (is_current = {current}, expiration_date = TIMESTAMP '{until}') "
+                f"SELECT {listed} FROM {{staged}} WHERE is_current = {current}",
+                staged=staged,
+            )
+    _set_pending(spark, table, {})
+
+
+def _next_partitions(
+    history: DataFrame, source: DataFrame, dim: Dimension, as_of: datetime, validate: bool
+) -> DataFrame:
+    """All rows of the open partition and of the one closed at ``as_of`` after a merge."""
+    columns = dim.history_columns(source.columns)
+    merged = scd2_changes(history, source, dim, validate=validate)
+    # An earlier merge at the same time has closed rows in the partition that is replaced.
+    _, closed = split_history(history)
+    closed_now = closed.filter(F.col("expiration_date") == F.lit(as_of)).select(columns)
+    return next_versions(merged, dim, source.columns, as_of).select(columns).unionByName(closed_now)
+
+
+def _get_pending(spark: SparkSession, table: str) -> dict[str, str]:
+    properties = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return {
+        row["key"].removeprefix(_PENDING): row["value"]
+        for row in properties
+        if row["key"].startswith(_PENDING)
+    }
+
+
+def _set_pending(spark: SparkSession, table: str, values: dict[str, str]) -> None:
+    if values:
+        listed = ", ".join(f"'{_PENDING}{name}' = '{value}'" for name, value in values.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+    else:
+        listed = ", ".join(f"'{_PENDING}{name}'" for name in _get_pending(spark, table))
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ({listed})")

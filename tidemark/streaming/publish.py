@@ -28,9 +28,12 @@ def store_sale_messages(sales: DataFrame) -> DataFrame:
     return to_messages(_typed(sent, STORE_SALE_SCHEMA.replace("eventTime STRING", "eventTime BIGINT")))
 
 
-def publish_files(messages: DataFrame, path: str) -> None:
-    """Add messages to a folder that ``read_message_files`` streams from."""
-    messages.write.mode("append").parquet(path)
+def publish_files(messages: DataFrame, path: str, *, messages_per_file: int = 200_000) -> None:
+    """Add messages to a folder that ``read_message_files`` streams from.
+
+    The bound per file lets readers share one writer's output, and bound their batches by files.
+    """
+    messages.write.mode("append").option("maxRecordsPerFile", messages_per_file).parquet(path)
 
 
 def publish_broker(messages: DataFrame, sink_format: str, **options: str) -> None:

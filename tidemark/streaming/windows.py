@@ -97,7 +97,7 @@ def _session_counts_batch(
             *keys, F.col(counted).alias("__counted"), at.alias("__at"), width.alias("__gap")
         )
         .filter("__at IS NOT NULL AND __gap > 0")
-        .groupBy(*keys, "__gap", F.floor(F.col("__at") / F.col("__gap")).alias("__slot"))
+        .groupBy(*keys, "__gap", (F.col("__at") - F.pmod("__at", "__gap")).alias("__slot"))
         .agg(
             F.count("__counted").alias("__count"),
             F.min("__at").alias("__start"),
