@@ -155,6 +155,16 @@ def test_now_is_fixed_when_the_call_is_made(spark):
     assert 0 <= age < 120
 
 
+def test_history_by_day(spark):
+    dim = Dimension(key="id", surrogate="sk", tracked=("company",), time_type="date")
+    old = scd2.scd2_initial(source(spark, [(1, "t", "A", "e")]), dim, as_of=at(OLD))
+    new = source(spark, [(1, "t", "B", "e")])
+    got = scd2.scd2_merge(old, new, dim, as_of=at(NOW))
+    shown = got.select("sk", "effective_date", "expiration_date").collect()
+    end = OPEN.date()
+    assert sorted(shown) == [(1, OLD.date(), NOW.date()), (2, NOW.date(), end)]
+
+
 def brute_force(old, new):
     """The rules, row by row."""
     opened = {r[0]: r for r in old if r[7]}

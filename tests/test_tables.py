@@ -88,6 +88,15 @@ def test_merge_leaves_earlier_closed_partitions_alone(spark, database):
     assert before < closed_files()
 
 
+def test_history_table_by_day(spark, database):
+    table = f"{database}.history"
+    dim = Dimension(key="id", surrogate="sk", tracked=("company",), time_type="date")
+    for number, company in ((1, "A"), (2, "B"), (2, "C")):
+        tables.merge_table(source(spark, [(1, company)]), table, dim, as_of=day(number))
+    assert state(spark, table) == [(1, "A", 1, False), (1, "B", 2, False), (1, "C", 3, True)]
+    assert dict(spark.table(table).dtypes)["expiration_date"] == "date"
+
+
 def test_insert_and_overwrite(spark, database):
     catalog.use_database(spark, database)
     try:

@@ -31,28 +31,36 @@ NOCHANGE, DELETE, INSERT, UPDATE = "NOCHANGE", "DELETE", "INSERT", "UPDATE"
 ACTIONS = (NOCHANGE, DELETE, INSERT, UPDATE)
 
 
-def _timestamp(value: datetime | str | Column | None) -> Column:
-    """A timestamp column; ``None`` is the present, fixed by this call."""
-    if value is None:
-        value = datetime.now(timezone.utc)
-    return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp")
-
-
 class HistoryError(ValueError):
     """The source or the history breaks the contract of the dimension."""
 
 
 @dataclass(frozen=True)
 class Dimension:
-    """Names of the business key, the surrogate key and the tracked columns."""
+    """Names of the business key, the surrogate key and the tracked columns.
+
+    ``time_type`` is the type of ``effective_date`` and ``expiration_date``: ``timestamp``, or
+    ``date`` for a history kept by day.
+    """
 
     key: str
     surrogate: str
     tracked: Sequence[str]
+    time_type: str = "timestamp"
 
     def history_columns(self, source_columns: Sequence[str]) -> list[str]:
         return [*source_columns, self.surrogate, "effective_date", "expiration_date", "is_current"]
 
+    def moment(self, value: datetime | str | Column | None) -> Column:
+        """A time of the history; ``None`` is the present, fixed by this call."""
+        if value is None:
+            value = datetime.now(timezone.utc)
+        value = value if isinstance(value, Column) else F.lit(value)
+        return value.cast("timestamp").cast(self.time_type)
+
+    def open_end(self) -> Column:
+        return self.moment(OPEN_END)
+
 
 def split_history(history: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Open rows and closed rows."""
@@ -83,13 +91,6 @@ def check_unique(sides: Mapping[str, DataFrame], dim: Dimension) -> None:
         raise HistoryError(f"keys with more than one live row: {shown}")
 
 
-def check_contract(history: DataFrame, source: DataFrame, dim: Dimension) -> None:
-    """Raise ``HistoryError`` on an unset ``is_current`` or a key with more than one live row."""
-    if not history.filter(F.col("is_current").isNull()).isEmpty():
-        raise HistoryError("history holds rows whose is_current is NULL")
-    check_unique({"history": history.filter("is_current"), "source": source}, dim)
-
-
 def classify(open_rows: DataFrame, source: DataFrame, dim: Dimension) -> DataFrame:
     """Full outer join on the key: ``action``, the history row ``h`` and the source row ``c``."""
     held = open_rows.select(F.col(dim.key).alias("h_key"), F.struct(*open_rows.columns).alias("h"))
@@ -106,8 +107,16 @@ def classify(open_rows: DataFrame, source: DataFrame, dim: Dimension) -> DataFra
 
 
 def highest_key(history: DataFrame, dim: Dimension) -> int:
-    """The highest surrogate key of all rows, open or closed; 0 where there are none."""
-    return history.agg(F.coalesce(F.max(dim.surrogate), F.lit(0))).first()[0]
+    """The highest surrogate key of all rows, open or closed; 0 where there are none.
+
+    The same pass refuses a history with rows that are neither open nor closed.
+    """
+    highest, unset = history.agg(
+        F.coalesce(F.max(dim.surrogate), F.lit(0)), F.count_if(F.col("is_current").isNull())
+    ).first()
+    if unset:
+        raise HistoryError(f"history holds {unset} rows whose is_current is NULL")
+    return highest
 
 
 def number_changes(
@@ -141,7 +150,7 @@ def next_versions(
     An update yields its two rows from one input row, so the join is evaluated once. Rows that are
     added take their surrogate key from ``c``; without them ``c`` needs none.
     """
-    now, open_end = _timestamp(as_of), _timestamp(OPEN_END)
+    now, open_end = dim.moment(as_of), dim.open_end()
 
     def version(side: str, **replaced: Column) -> Column:
         names = dim.history_columns(source_columns)
@@ -169,10 +178,11 @@ def scd2_changes(
     Runs the checks and the numbering at once; the join of the whole rows stays lazy.
     """
     valid, _ = split_missing_keys(source, dim)
-    if validate:
-        check_contract(history, valid, dim)
     open_rows, _ = split_history(history)
-    keys = number_changes(open_rows, valid, dim, start=highest_key(history, dim) + 1)
+    start = highest_key(history, dim) + 1
+    if validate:
+        check_unique({"history": open_rows, "source": valid}, dim)
+    keys = number_changes(open_rows, valid, dim, start=start)
     # The join on the key below leaves the rows partitioned as the next join needs them.
     return classify(open_rows, valid.join(keys, dim.key, "left"), dim)
 
@@ -213,7 +223,7 @@ def scd2_initial(
     return valid.join(keys, dim.key).select(
         *source.columns,
         dim.surrogate,
-        _timestamp(as_of).alias("effective_date"),
-        _timestamp(OPEN_END).alias("expiration_date"),
+        dim.moment(as_of).alias("effective_date"),
+        dim.open_end().alias("expiration_date"),
         F.lit(True).alias("is_current"),
     )

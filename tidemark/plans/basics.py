@@ -33,6 +33,18 @@ def filter_eq(spark, sf_dir):
     return customers.filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
 
 
+@query(
+    """
+    SELECT o_orderkey, o_orderstatus FROM orders
+    WHERE o_orderpriority = '1-URGENT' AND o_orderstatus IN ('F', 'O')
+    """
+)
+def filter_text(spark, sf_dir):
+    """A predicate given as SQL text."""
+    urgent = "o_orderpriority = '1-URGENT' AND o_orderstatus IN ('F', 'O')"
+    return table(spark, sf_dir, "orders").filter(urgent).select("o_orderkey", "o_orderstatus")
+
+
 @query("SELECT c_custkey, c_name, upper(c_name) AS upper_name FROM customer")
 def upper_name(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")

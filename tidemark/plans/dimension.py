@@ -8,6 +8,7 @@ was written; customers of three nations changed segment (tracked), and every bal
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -174,6 +175,21 @@ def scd2_full(spark, sf_dir):
     )
 
 
+@query(
+    f"""
+    SELECT * REPLACE (CAST(effective_date AS DATE) AS effective_date,
+                      CAST(expiration_date AS DATE) AS expiration_date)
+    FROM ({NEXT_SQL})
+    """
+)
+def scd2_by_day(spark, sf_dir):
+    """The next history of a dimension that is kept by day."""
+    times = {c: F.to_date(c) for c in ("effective_date", "expiration_date")}
+    history = history_frame(spark, sf_dir).withColumns(times)
+    dim = replace(DIM, time_type="date")
+    return scd2.scd2_merge(history, source_frame(spark, sf_dir), dim, as_of=AS_OF)
+
+
 def _new_database(spark):
     name = f"tidemark_{uuid.uuid4().hex}"
     create_database(spark, name, scratch_path(spark, "warehouse"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed_values import CHUNK_SIZE
 from tidemark.plans.registry import query
+from tidemark.plans.windows import KEYED_COUNTS, SESSION_SQL, run_complete
 from tidemark.plans.tables import event_stream, store_sales, table, trips, zoneless
 from tidemark.session import scratch_path
 from tidemark.sources.files import read_parquet
@@ -19,6 +20,7 @@ from tidemark.streaming.publish import (
 )
 from tidemark.streaming.sinks import batch_folders, for_each_batch, read_batches
 from tidemark.streaming.trips import enrich_trips
+from tidemark.streaming.windows import session_counts, store_gap
 
 # Trip features are compared on distance and codes; the sums of money only travel along.
 TRIP_COLUMNS = (
@@ -51,12 +53,17 @@ FROM rides
 """
 
 SALES_SQL = """
-SELECT event_type AS Store_id, CAST(user_id AS VARCHAR) AS Product_id,
+SELECT CASE event_type WHEN 'error' THEN 'STR_5' ELSE event_type END AS Store_id, CAST(user_id AS VARCHAR) AS Product_id,
        CAST(trunc(value) AS INTEGER) AS sell_price, date_trunc('second', ts) AS eventTime
 FROM events
 """
 
 
+STORE_SESSIONS_SQL = SESSION_SQL.format(
+    gap="CASE WHEN event_type = 'STR_5' THEN INTERVAL '20 seconds' ELSE INTERVAL '2 minutes' END"
+).replace("FROM events", f"FROM (SELECT Store_id AS event_type, eventTime AS ts FROM ({SALES_SQL}))")
+
+
 def _trips_shown(enriched):
     """Zoneless times and doubles, as the tables have them."""
     return enriched.select(*TRIP_COLUMNS).withColumns(
@@ -146,3 +153,15 @@ def stream_trips(spark, sf_dir):
     for_each_batch(enriched, batch_folders(path), checkpoint).awaitTermination()
     schema = ", ".join(f"{name} {kind}" for name, kind in enriched.dtypes)
     return read_batches(spark, path, schema)
+
+
+@query(STORE_SESSIONS_SQL)
+def stream_store_sessions(spark, sf_dir):
+    """Store sale messages from a topic folder, parsed and counted per store and session."""
+    topic = scratch_path(spark, "topic")
+    publish_files(store_sale_messages(store_sales(spark, sf_dir)), topic)
+    sales = parse_store_sales(read_message_files(spark, topic))
+    counts = session_counts(
+        sales, "eventTime", "Store_id", store_gap(), keys=["Store_id"], watermark="5 minutes"
+    )
+    return run_complete(spark, counts.withColumnRenamed("Store_id", "event_type"), KEYED_COUNTS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.fixed_values import SHORT_GAP_STORE
 from tidemark.sources.files import read_parquet
 from tidemark.sources.messages import read_file_stream
 
@@ -56,9 +57,10 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as store sales, the event type as the store."""
+    """Events as store sales: the event type is the store, errors the one with the short gap."""
+    is_error = F.col("event_type") == "error"
     return table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("Store_id"),
+        F.when(is_error, F.lit(SHORT_GAP_STORE)).otherwise(F.col("event_type")).alias("Store_id"),
         F.col("user_id").cast("string").alias("Product_id"),
         F.col("value").cast("int").alias("sell_price"),
         F.col("ts").cast("timestamp").alias("eventTime"),

@@ -60,7 +60,7 @@ WHERE window_end <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '1 ho
 """
 
 
-def _shown(counts):
+def shown(counts):
     return counts.withColumnsRenamed({"start": "window_start", "end": "window_end"}).withColumns(
         {
             "window_start": F.col("window_start").cast("timestamp_ntz"),
@@ -69,12 +69,12 @@ def _shown(counts):
     )
 
 
-def _complete(spark, counts, schema):
+def run_complete(spark, counts, schema):
     """Run a stream of counts in complete mode; its latest full result."""
     path = scratch_path(spark, "counts")
     checkpoint = scratch_path(spark, "counts-progress")
     for_each_batch(counts, batch_folders(path), checkpoint, mode="complete").awaitTermination()
-    return _shown(read_latest(spark, path, schema))
+    return shown(read_latest(spark, path, schema))
 
 
 def _row_gap():
@@ -93,7 +93,7 @@ def win_tumbling(spark, sf_dir):
     """Events per hour, all windows so far."""
     events = event_stream(spark, sf_dir)
     counts = window_counts(events, "ts", "event_type", "1 hour", watermark="1 minute")
-    return _complete(spark, counts, COUNTS)
+    return run_complete(spark, counts, COUNTS)
 
 
 @query(CLOSED_SQL)
@@ -104,7 +104,7 @@ def win_tumbling_append(spark, sf_dir):
     )
     path, checkpoint = scratch_path(spark, "counts"), scratch_path(spark, "counts-progress")
     to_files(counts, path, checkpoint).awaitTermination()
-    return _shown(spark.read.schema(COUNTS).parquet(path))
+    return shown(spark.read.schema(COUNTS).parquet(path))
 
 
 @query(SLIDING_SQL)
@@ -119,7 +119,7 @@ def win_sliding(spark, sf_dir):
         keys=["event_type"],
         watermark="30 seconds",
     )
-    return _complete(spark, counts, KEYED_COUNTS)
+    return run_complete(spark, counts, KEYED_COUNTS)
 
 
 @query(FIXED_GAP_SQL)
@@ -129,7 +129,7 @@ def win_session(spark, sf_dir):
     counts = session_counts(
         events, "ts", "event_type", "1 hour", keys=["event_type"], watermark="1 minute"
     )
-    return _complete(spark, counts, KEYED_COUNTS)
+    return run_complete(spark, counts, KEYED_COUNTS)
 
 
 @query(ROW_GAP_SQL)
@@ -139,18 +139,18 @@ def win_session_dynamic(spark, sf_dir):
     counts = session_counts(
         events, "ts", "event_type", _row_gap(), keys=["event_type"], watermark="5 minutes"
     )
-    return _complete(spark, counts, KEYED_COUNTS)
+    return run_complete(spark, counts, KEYED_COUNTS)
 
 
 @query(TUMBLING_SQL)
 def win_tumbling_batch(spark, sf_dir):
-    return _shown(window_counts(_zoned_events(spark, sf_dir), "ts", "event_type", "1 hour"))
+    return shown(window_counts(_zoned_events(spark, sf_dir), "ts", "event_type", "1 hour"))
 
 
 @query(SLIDING_SQL)
 def win_sliding_batch(spark, sf_dir):
     events = _zoned_events(spark, sf_dir)
-    return _shown(
+    return shown(
         window_counts(
             events, "ts", "event_type", "2 hours", slide="1 hour", keys=["event_type"]
         )
@@ -160,10 +160,10 @@ def win_sliding_batch(spark, sf_dir):
 @query(FIXED_GAP_SQL)
 def win_session_batch(spark, sf_dir):
     events = _zoned_events(spark, sf_dir)
-    return _shown(session_counts(events, "ts", "event_type", "1 hour", keys=["event_type"]))
+    return shown(session_counts(events, "ts", "event_type", "1 hour", keys=["event_type"]))
 
 
 @query(ROW_GAP_SQL)
 def win_session_dynamic_batch(spark, sf_dir):
     events = _zoned_events(spark, sf_dir)
-    return _shown(session_counts(events, "ts", "event_type", _row_gap(), keys=["event_type"]))
+    return shown(session_counts(events, "ts", "event_type", _row_gap(), keys=["event_type"]))

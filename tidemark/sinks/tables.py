@@ -7,7 +7,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.fixed_values import OPEN_END
 from tidemark.operators.scd2 import (
     Dimension,
     next_versions,
@@ -76,11 +75,16 @@ def merge_table(
         finish_merge(spark, table)
         path = scratch_path(spark, "merge")
         _next_partitions(spark.table(table), source, dim, as_of, validate).write.parquet(path)
-        at = spark.range(1).select(F.lit(as_of).cast("timestamp").cast("string")).first()[0]
+        times = spark.range(1).select(
+            dim.moment(as_of).cast("string").alias("closed"),
+            dim.open_end().cast("string").alias("open"),
+        )
         targets = [table]
         if synced is not None and spark.catalog.tableExists(synced):
             targets.append(synced)
-        _set_pending(spark, table, {"path": path, "as_of": at, "targets": " ".join(targets)})
+        _set_pending(
+            spark, table, {"path": path, "targets": " ".join(targets), **times.first().asDict()}
+        )
         finish_merge(spark, table)
     if synced is not None and not spark.catalog.tableExists(synced):
         spark.table(table).write.partitionBy(*_PARTITIONS).saveAsTable(synced)
@@ -94,10 +98,10 @@ def finish_merge(spark: SparkSession, table: str) -> None:
     staged = spark.read.parquet(pending["path"])
     listed = ", ".join(f"`{c}`" for c in staged.columns if c not in _PARTITIONS)
     for target in pending["targets"].split(" "):
-        for current, until in (("true", OPEN_END), ("false", pending["as_of"])):
+        for current, until in (("true", pending["open"]), ("false", pending["closed"])):
             spark.sql(
                 f"INSERT OVERWRITE {target} "
-                f"PARTITION (is_current = {current}, expiration_date = TIMESTAMP '{until}') "
+                f"PARTITION (is_current = {current}, expiration_date = '{until}') "
                 f"SELECT {listed} FROM {{staged}} WHERE is_current = {current}",
                 staged=staged,
             )
@@ -112,7 +116,7 @@ def _next_partitions(
     merged = scd2_changes(history, source, dim, validate=validate)
     # An earlier merge at the same time has closed rows in the partition that is replaced.
     _, closed = split_history(history)
-    closed_now = closed.filter(F.col("expiration_date") == F.lit(as_of)).select(columns)
+    closed_now = closed.filter(F.col("expiration_date") == dim.moment(as_of)).select(columns)
     return next_versions(merged, dim, source.columns, as_of).select(columns).unionByName(closed_now)
 
 
