@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import numbering
 from tidemark.operators.numbering import number_rows, unique_ids
 
 
@@ -36,6 +37,29 @@ def test_repeated_and_missing_values_are_numbered_once_each(spark):
     assert {r.row_number for r in got if r.k == 8} == {503}
 
 
+def test_value_that_most_rows_share_is_spread_over_ranges(spark):
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 > 0, F.lit(5)).otherwise(F.col("id") % 10).alias("k"), "id"
+    )
+    assert [r.k for r in number_rows(df, ["k"]).orderBy("row_number").collect()] == sorted(
+        r.k for r in df.collect()
+    )
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"  # joins up ranges this small
+    spark.conf.set(setting, "false")
+    try:
+        parts = numbering._placed(df, ["k"]).filter("k = 5").groupBy("__part").count().collect()
+    finally:
+        spark.conf.unset(setting)
+    assert len(parts) > 3
+
+
+def test_ties_are_numbered_the_same_way_every_time(spark):
+    df = spark.range(500).select((F.col("id") % 5).alias("k"), "id")
+    first = {(r.id, r.row_number) for r in number_rows(df, ["k"]).collect()}
+    again = number_rows(df.repartition(13, "id"), ["k"])
+    assert first == {(r.id, r.row_number) for r in again.collect()}
+
+
 def test_empty_frame(spark):
     empty = spark.createDataFrame([], "k int")
     assert number_rows(empty, ["k"]).collect() == []

@@ -22,17 +22,12 @@ def number_rows(
     rows are range-partitioned and sorted, written to the shared scratch folder together with
     their partition and position, and shifted by the row counts of the earlier partitions.
 
-    ``order_by`` should identify a row: then the numbering is reproducible, and no single value
-    can hold more rows than a range may take.
+    Rows with equal values are ordered by a hash of their other columns. So the numbering is
+    reproducible, and a value that most rows share is spread over several ranges. Only whole
+    copies of a row stay together: where many are expected, number ``stage(unique_ids(df))``
+    with the id as last order column.
     """
-    placed = stage(
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumns(
-            {_PART: F.spark_partition_id(), _POSITION: F.monotonically_increasing_id()}
-        ),
-        "numbered",
-    )
+    placed = stage(_placed(df, order_by), "numbered")
     # One row per partition, so neither the ordered window nor the broadcast grows with the data.
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -49,6 +44,19 @@ def number_rows(
     )
 
 
+def _placed(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Rows in global order, each with its partition and its position."""
+    others = [name for name, kind in df.dtypes if name not in order_by and "map<" not in kind]
+    keys = [F.col(name) for name in order_by] + ([F.xxhash64(*others)] if others else [])
+    return (
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .withColumns(
+            {_PART: F.spark_partition_id(), _POSITION: F.monotonically_increasing_id()}
+        )
+    )
+
+
 def unique_ids(df: DataFrame, *, name: str = "id") -> DataFrame:
     """Append ids from 1 that are unique and growing but not dense; costs no shuffle."""
     return df.withColumn(name, F.monotonically_increasing_id() + F.lit(1))

@@ -51,7 +51,11 @@ def upper_name(spark, sf_dir):
     return customers.withColumn("upper_name", F.upper("c_name"))
 
 
-@query("SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS order_month FROM orders")
+@query(
+    """
+    SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS order_month FROM orders
+    """
+)
 def order_month(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", fn.year_month("o_orderdate").alias("order_month")

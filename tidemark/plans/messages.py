@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed_values import CHUNK_SIZE
 from tidemark.plans.registry import query
-from tidemark.plans.windows import KEYED_COUNTS, SESSION_SQL, run_complete
 from tidemark.plans.tables import event_stream, store_sales, table, trips, zoneless
+from tidemark.plans.windows import KEYED_COUNTS, SESSION_SQL, run_complete
 from tidemark.session import scratch_path
 from tidemark.sources.files import read_parquet
 from tidemark.sources.messages import read_message_files
@@ -53,15 +53,17 @@ FROM rides
 """
 
 SALES_SQL = """
-SELECT CASE event_type WHEN 'error' THEN 'STR_5' ELSE event_type END AS Store_id, CAST(user_id AS VARCHAR) AS Product_id,
+SELECT CASE event_type WHEN 'error' THEN 'STR_5' ELSE event_type END AS Store_id,
+       CAST(user_id AS VARCHAR) AS Product_id,
        CAST(trunc(value) AS INTEGER) AS sell_price, date_trunc('second', ts) AS eventTime
 FROM events
 """
 
-
 STORE_SESSIONS_SQL = SESSION_SQL.format(
     gap="CASE WHEN event_type = 'STR_5' THEN INTERVAL '20 seconds' ELSE INTERVAL '2 minutes' END"
-).replace("FROM events", f"FROM (SELECT Store_id AS event_type, eventTime AS ts FROM ({SALES_SQL}))")
+).replace(
+    "FROM events", f"FROM (SELECT Store_id AS event_type, eventTime AS ts FROM ({SALES_SQL}))"
+)
 
 
 def _trips_shown(enriched):
@@ -138,7 +140,10 @@ def stream_foreach_batch(spark, sf_dir):
     for _ in range(2):
         stream = event_stream(spark, sf_dir)
         for_each_batch(stream, batch_folders(path), checkpoint).awaitTermination()
-    schema = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    schema = (
+        "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, "
+        "props STRING"
+    )
     stored = read_batches(spark, path, schema)
     return stored.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 

@@ -25,7 +25,8 @@ def trip_messages(trips: DataFrame) -> DataFrame:
 def store_sale_messages(sales: DataFrame) -> DataFrame:
     """Store sales as messages; the timestamp ``eventTime`` is sent as a number of epoch seconds."""
     sent = sales.withColumn("eventTime", F.unix_timestamp("eventTime"))
-    return to_messages(_typed(sent, STORE_SALE_SCHEMA.replace("eventTime STRING", "eventTime BIGINT")))
+    as_number = STORE_SALE_SCHEMA.replace("eventTime STRING", "eventTime BIGINT")
+    return to_messages(_typed(sent, as_number))
 
 
 def publish_files(messages: DataFrame, path: str, *, messages_per_file: int = 200_000) -> None:
