@@ -44,8 +44,8 @@ def plain(df):
     return sorted((tuple(r) for r in shown.collect()), key=lambda r: (r[4], r[5]))
 
 
-def merge(old, new, **options):
-    return scd2.scd2_merge(old, new, DIM, as_of=at(NOW), **options)
+def merge(old, new):
+    return scd2.scd2_merge(old, new, DIM, as_of=at(NOW))
 
 
 def test_each_action(spark):
@@ -76,6 +76,18 @@ def test_initial_load_numbers_in_key_order(spark):
     assert {r[5:] for r in got} == {(NOW, OPEN, True)}
 
 
+def test_source_columns_may_have_any_name(spark):
+    dim = Dimension(key="key", surrogate="sk", tracked=("action", "h"))
+    columns = "key int, action string, h string, c string, rows int"
+    new = spark.createDataFrame([(2, "a", "h", "c", 1), (1, "a", None, "c", 1)], columns)
+    first = scd2.scd2_initial(new, dim, as_of=at(OLD))
+    changed = new.withColumn("h", F.lit("new"))
+    got = scd2.scd2_merge(first, changed, dim, as_of=at(NOW)).select("key", "h", "sk", "is_current")
+    assert sorted(got.collect(), key=lambda r: r.sk) == [
+        (1, None, 1, False), (2, "h", 2, False), (1, "new", 3, True), (2, "new", 4, True)
+    ]
+
+
 def test_merge_into_empty_history_equals_initial_load(spark):
     new = source(spark, [(2, "t", "c", "e"), (1, "t", None, "e")])
     assert plain(merge(history(spark, []), new)) == plain(
@@ -128,8 +140,9 @@ def test_repeated_keys_are_refused(spark):
     with pytest.raises(HistoryError, match="source 5 x2"):
         scd2.scd2_initial(twice, DIM)
     two_open = history(spark, [(5, "t", "A", "e", 1, True), (5, "t", "A", "e", 2, True)])
-    with pytest.raises(HistoryError, match="history 5 x2"):
-        merge(two_open, source(spark, [(5, "t", "A", "e")]))
+    for given in ([(5, "t", "A", "e")], [(6, "t", "A", "e")]):
+        with pytest.raises(HistoryError, match="history 5 x2"):
+            merge(two_open, source(spark, given))
 
 
 def test_unset_current_flag_is_refused(spark):
@@ -212,11 +225,13 @@ def test_random_histories(spark, seed):
     assert plain(merge(once, new)) == rows
 
 
-def test_surrogate_keys_need_the_tracked_columns_only(spark, path):
+def test_narrow_pass_counts_copies_before_the_shuffle(spark, path):
     folder = path()
     source(spark, [(2, "t", "A", "e")]).write.parquet(folder)
-    opened = history(spark, [(1, "t", "A", "e", 1, True)])
-    narrow = ["id", "company", "email"]
-    merged = scd2.classify(opened.select(narrow), spark.read.parquet(folder).select(narrow), DIM)
-    plan = merged._jdf.queryExecution().executedPlan().toString()
+    given = scd2._one_per_key(spark.read.parquet(folder), DIM, "c", DIM.tracked)
+    held = scd2._one_per_key(history(spark, []), DIM, "h", DIM.tracked)
+    plan = scd2._matched(held, given, DIM)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<id:int,company:string,email:string>" in plan
+    assert plan.count("Exchange hashpartitioning") == 2  # the join adds none to the counts
+    for side in plan.split("Exchange hashpartitioning")[1:]:
+        assert "partial_count" in side

@@ -15,10 +15,9 @@ updates in key order.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.fixed_values import OPEN_END
 from tidemark.functions.hashing import differs
 from tidemark.operators.numbering import number_rows
+from tidemark.session import stage
 
 NOCHANGE, DELETE, INSERT, UPDATE = "NOCHANGE", "DELETE", "INSERT", "UPDATE"
 ACTIONS = (NOCHANGE, DELETE, INSERT, UPDATE)
@@ -73,36 +73,23 @@ def split_missing_keys(source: DataFrame, dim: Dimension) -> tuple[DataFrame, Da
     return source.filter(key.isNotNull()), source.filter(key.isNull())
 
 
-def check_unique(sides: Mapping[str, DataFrame], dim: Dimension) -> None:
-    """Raise ``HistoryError`` where a key has several rows within one of the named frames.
-
-    Reads the key column only; copies of one key are counted before they are shuffled.
-    """
-    keys = [df.select(F.col(dim.key), F.lit(side).alias("side")) for side, df in sides.items()]
-    repeated = (
-        reduce(DataFrame.unionByName, keys)
-        .groupBy("side", dim.key)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter("rows > 1")
-        .take(10)  # examples for the message; one is enough to refuse
-    )
-    if repeated:
-        shown = ", ".join(f"{r['side']} {r[dim.key]!r} x{r['rows']}" for r in repeated)
-        raise HistoryError(f"keys with more than one live row: {shown}")
-
-
 def classify(open_rows: DataFrame, source: DataFrame, dim: Dimension) -> DataFrame:
-    """Full outer join on the key: ``action``, the history row ``h`` and the source row ``c``."""
+    """One row per key: ``key``, ``action``, the history row ``h`` and the source row ``c``."""
     held = open_rows.select(F.col(dim.key).alias("h_key"), F.struct(*open_rows.columns).alias("h"))
     given = source.select(F.col(dim.key).alias("c_key"), F.struct(*source.columns).alias("c"))
+    return _matched(held, given, dim).select("key", "action", "h", "c")
+
+
+def _matched(held: DataFrame, given: DataFrame, dim: Dimension) -> DataFrame:
+    """Full outer join on the keys, with the action that follows from ``h`` and ``c``."""
     action = (
         F.when(F.col("c_key").isNull(), DELETE)
         .when(F.col("h_key").isNull(), INSERT)
         .when(differs("h", "c", dim.tracked), UPDATE)
         .otherwise(NOCHANGE)
     )
-    return held.join(given, F.col("h_key") == F.col("c_key"), "full_outer").select(
-        F.coalesce("h_key", "c_key").alias("key"), action.alias("action"), "h", "c"
+    return held.join(given, F.col("h_key") == F.col("c_key"), "full_outer").withColumns(
+        {"key": F.coalesce("h_key", "c_key"), "action": action}
     )
 
 
@@ -124,18 +111,46 @@ def number_changes(
 ) -> DataFrame:
     """Surrogate keys of the rows to add: ``<key>, <surrogate>``.
 
-    Works on the key and the tracked columns alone, so only keys that change are sorted and only
-    narrow rows are shuffled for it.
+    Works on the key and the tracked columns alone, so only narrow rows are shuffled, and only
+    keys that change are sorted. Keys with more than one row are found on the way and refused:
+    copies are counted before the shuffle and cannot pile up in the join.
     """
-    narrow = list(dict.fromkeys([dim.key, *dim.tracked]))
-    changes = (
-        classify(open_rows.select(narrow), source.select(narrow), dim)
-        .filter(F.col("action").isin(INSERT, UPDATE))
-        .select("action", F.col("key").alias(dim.key))
+    held = _one_per_key(open_rows, dim, "h", dim.tracked)
+    given = _one_per_key(source, dim, "c", dim.tracked)
+    changes = _matched(held, given, dim).filter(
+        F.col("action").isin(INSERT, UPDATE) | (F.col("h_rows") > 1) | (F.col("c_rows") > 1)
     )
+    found = stage(changes.select("key", "action", "h_rows", "c_rows"), "changes")
+    _refuse_repeated(found)
     # "INSERT" sorts before "UPDATE".
-    numbered = number_rows(changes, ["action", dim.key], name=dim.surrogate, start=start)
-    return numbered.select(dim.key, dim.surrogate)
+    numbered = number_rows(
+        found.select("action", "key"), ["action", "key"], name=dim.surrogate, start=start
+    )
+    return numbered.select(F.col("key").alias(dim.key), dim.surrogate)
+
+
+def _one_per_key(
+    df: DataFrame, dim: Dimension, side: str, columns: Sequence[str] = ()
+) -> DataFrame:
+    """Each key once, with its number of rows and the given columns of one of them."""
+    return df.groupBy(F.col(dim.key).alias(f"{side}_key")).agg(
+        F.count(F.lit(1)).alias(f"{side}_rows"), F.first(F.struct(*columns)).alias(side)
+    )
+
+
+def _refuse_repeated(found: DataFrame) -> None:
+    """Raise ``HistoryError`` where a staged key has several rows on one side."""
+    sides = {"h_rows": "history", "c_rows": "source"}
+    present = [name for name in sides if name in found.columns]
+    repeated = found.filter(" OR ".join(f"{name} > 1" for name in present)).take(10)
+    if repeated:  # ten examples are enough for the message
+        shown = ", ".join(
+            f"{sides[name]} {row['key']!r} x{row[name]}"
+            for row in repeated
+            for name in present
+            if (row[name] or 0) > 1
+        )
+        raise HistoryError(f"keys with more than one live row: {shown}")
 
 
 def next_versions(
@@ -170,19 +185,14 @@ def next_versions(
     return merged.select(F.inline(rows))
 
 
-def scd2_changes(
-    history: DataFrame, source: DataFrame, dim: Dimension, *, validate: bool = True
-) -> DataFrame:
+def scd2_changes(history: DataFrame, source: DataFrame, dim: Dimension) -> DataFrame:
     """Classified keys of the open rows and the source, with surrogate keys for added rows.
 
-    Runs the checks and the numbering at once; the join of the whole rows stays lazy.
+    Finds and numbers the changes at once; the join of the whole rows stays lazy.
     """
     valid, _ = split_missing_keys(source, dim)
     open_rows, _ = split_history(history)
-    start = highest_key(history, dim) + 1
-    if validate:
-        check_unique({"history": open_rows, "source": valid}, dim)
-    keys = number_changes(open_rows, valid, dim, start=start)
+    keys = number_changes(open_rows, valid, dim, start=highest_key(history, dim) + 1)
     # The join on the key below leaves the rows partitioned as the next join needs them.
     return classify(open_rows, valid.join(keys, dim.key, "left"), dim)
 
@@ -193,14 +203,13 @@ def scd2_merge(
     dim: Dimension,
     *,
     as_of: datetime | Column | None = None,
-    validate: bool = True,
 ) -> DataFrame:
     """The next history: closed rows as they are, plus what follows for every live key.
 
     ``as_of`` is the time of the change (default: now, fixed when the call is made). ``source``
     and ``history`` are read more than once and must not change meanwhile.
     """
-    merged = scd2_changes(history, source, dim, validate=validate)
+    merged = scd2_changes(history, source, dim)
     columns = dim.history_columns(source.columns)
     _, closed = split_history(history)
     return closed.select(columns).unionByName(
@@ -209,17 +218,16 @@ def scd2_merge(
 
 
 def scd2_initial(
-    source: DataFrame,
-    dim: Dimension,
-    *,
-    as_of: datetime | Column | None = None,
-    validate: bool = True,
+    source: DataFrame, dim: Dimension, *, as_of: datetime | Column | None = None
 ) -> DataFrame:
     """The first history: every source row open, numbered in key order from 1."""
     valid, _ = split_missing_keys(source, dim)
-    if validate:
-        check_unique({"source": valid}, dim)
-    keys = number_rows(valid.select(dim.key), [dim.key], name=dim.surrogate)
+    given = valid.groupBy(F.col(dim.key).alias("key")).agg(F.count(F.lit(1)).alias("c_rows"))
+    found = stage(given, "keys")
+    _refuse_repeated(found)
+    keys = number_rows(
+        found.select(F.col("key").alias(dim.key)), [dim.key], name=dim.surrogate
+    )
     return valid.join(keys, dim.key).select(
         *source.columns,
         dim.surrogate,

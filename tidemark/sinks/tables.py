@@ -54,7 +54,6 @@ def merge_table(
     *,
     as_of: datetime | None = None,
     synced: str | None = None,
-    validate: bool = True,
 ) -> None:
     """Bring a history table up to date with the source, or create it on the first call.
 
@@ -69,12 +68,12 @@ def merge_table(
     spark = source.sparkSession
     as_of = datetime.now(timezone.utc) if as_of is None else as_of
     if not spark.catalog.tableExists(table):
-        first = scd2_initial(source, dim, as_of=as_of, validate=validate)
+        first = scd2_initial(source, dim, as_of=as_of)
         first.write.partitionBy(*_PARTITIONS).saveAsTable(table)
     else:
         finish_merge(spark, table)
         path = scratch_path(spark, "merge")
-        _next_partitions(spark.table(table), source, dim, as_of, validate).write.parquet(path)
+        _next_partitions(spark.table(table), source, dim, as_of).write.parquet(path)
         times = spark.range(1).select(
             dim.moment(as_of).cast("string").alias("closed"),
             dim.open_end().cast("string").alias("open"),
@@ -109,11 +108,11 @@ def finish_merge(spark: SparkSession, table: str) -> None:
 
 
 def _next_partitions(
-    history: DataFrame, source: DataFrame, dim: Dimension, as_of: datetime, validate: bool
+    history: DataFrame, source: DataFrame, dim: Dimension, as_of: datetime
 ) -> DataFrame:
     """All rows of the open partition and of the one closed at ``as_of`` after a merge."""
     columns = dim.history_columns(source.columns)
-    merged = scd2_changes(history, source, dim, validate=validate)
+    merged = scd2_changes(history, source, dim)
     # An earlier merge at the same time has closed rows in the partition that is replaced.
     _, closed = split_history(history)
     closed_now = closed.filter(F.col("expiration_date") == dim.moment(as_of)).select(columns)
