@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from datetime import datetime
 
+from pyspark.sql import Column, DataFrame
+
+from tidemark.operators.scd2 import Dimension, scd2_initial, scd2_merge
+from tidemark.session import stage
 from tidemark.sources.external import JdbcDatabase
 
 
@@ -32,3 +37,24 @@ def write_warehouse(
 ) -> None:
     """Write with any connector: staged through a bucket or directly, as its options say."""
     df.write.format(sink_format).mode(mode).options(**options).save()
+
+
+def merge_external(
+    source: DataFrame,
+    history: DataFrame | None,
+    dim: Dimension,
+    *writes: Callable[[DataFrame], None],
+    as_of: datetime | Column | None = None,
+) -> None:
+    """Write the next history of a dimension to a table outside the lake, and to its copies.
+
+    ``history`` is the table as read, or ``None`` for the first load. An external overwrite empties
+    the table that the merge is still reading, so the result is staged before the first write.
+    """
+    if history is None:
+        result = scd2_initial(source, dim, as_of=as_of)
+    else:
+        result = scd2_merge(history, source, dim, as_of=as_of)
+    staged = stage(result, "history")
+    for write in writes:
+        write(staged)

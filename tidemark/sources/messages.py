@@ -7,9 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 MESSAGE_SCHEMA = "value BINARY"
 
 
-def kafka_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
-    """Subscription to one topic. ``starting`` counts for the first run of a checkpoint only."""
-    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
+def kafka_options(
+    servers: str, topic: str, starting: str = "latest", **more: str
+) -> dict[str, str]:
+    """Subscription to one topic. ``starting`` counts for the first run of a checkpoint only.
+
+    ``more`` takes e.g. ``maxOffsetsPerTrigger``, which bounds the first batch after a long stop,
+    and ``minPartitions``, which reads a topic of few partitions with more tasks.
+    """
+    return {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": starting,
+        **more,
+    }
 
 
 def read_messages(spark: SparkSession, source_format: str, **options: str) -> DataFrame:

@@ -36,7 +36,10 @@ def for_each_batch(
 
 
 def batch_folders(path: str) -> BatchWriter:
-    """Write each batch to its own folder ``batch_id=N``; a repeated batch replaces its folder."""
+    """Write each batch to its own folder ``batch_id=N``; a repeated batch replaces its folder.
+
+    In complete mode every folder holds a full result, so all but the latest may be removed.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
