@@ -23,8 +23,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.12g}")
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"  # equal to itself, unlike the number
     if isinstance(value, Decimal):
         return float(value)
     if isinstance(value, datetime):

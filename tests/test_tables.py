@@ -5,7 +5,9 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.revenue import daily_revenue
 from tidemark.operators.scd2 import Dimension
+from tidemark.plans.tables import BILLED, retail_items, retail_orders
 from tidemark.sinks import tables
 from tidemark.sources import catalog
 
@@ -124,6 +126,25 @@ def test_save_refuses_an_existing_table(spark, database):
         tables.save_table(spark.range(1), table)
 
 
+def test_revenue_over_bucketed_tables_shuffles_days_only(spark, database):
+    orders, items = f"{database}.orders", f"{database}.order_items"
+    sf_dir = "/root/testdata/sf0.001"
+    tables.save_table(retail_orders(spark, sf_dir), orders, buckets=(8, "order_id"))
+    tables.save_table(retail_items(spark, sf_dir), items, buckets=(8, "order_item_order_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = daily_revenue(spark.table(orders), spark.table(items), statuses=BILLED)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert plan.count("Exchange") == plan.count("Exchange hashpartitioning(order_date") == 1
+        plain = daily_revenue(
+            retail_orders(spark, sf_dir), retail_items(spark, sf_dir), statuses=BILLED
+        )
+        assert sorted(report.collect()) == sorted(plain.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_drop_database(spark):
     catalog.create_database(spark, "gone_soon")
     catalog.drop_database(spark, "gone_soon")

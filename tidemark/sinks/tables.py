@@ -30,8 +30,26 @@ def insert_overwrite(spark: SparkSession, table: str, query: str) -> None:
     spark.sql(f"INSERT OVERWRITE {table} {query}")
 
 
-def save_table(df: DataFrame, table: str, *, mode: str = "errorifexists", **options: str) -> None:
-    df.write.mode(mode).options(**options).saveAsTable(table)
+def save_table(
+    df: DataFrame,
+    table: str,
+    *,
+    mode: str = "errorifexists",
+    buckets: tuple[int, str] | None = None,
+    **options: str,
+) -> None:
+    """Save as a managed table, optionally in so many buckets of a column.
+
+    Tables in equal buckets of a key are joined and summed by that key without a shuffle, which
+    pays for orders and items that many reports read.
+    """
+    if buckets is not None:
+        count, column = buckets
+        df = df.repartition(count, column)  # one file per bucket
+    writer = df.write.mode(mode).options(**options)
+    if buckets is not None:
+        writer = writer.bucketBy(count, column).sortBy(column)
+    writer.saveAsTable(table)
 
 
 def replace_rows(df: DataFrame, table: str) -> None:
