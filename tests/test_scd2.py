@@ -225,13 +225,39 @@ def test_random_histories(spark, seed):
     assert plain(merge(once, new)) == rows
 
 
-def test_narrow_pass_counts_copies_before_the_shuffle(spark, path):
-    folder = path()
-    source(spark, [(2, "t", "A", "e")]).write.parquet(folder)
-    given = scd2._one_per_key(spark.read.parquet(folder), DIM, "c", DIM.tracked)
-    held = scd2._one_per_key(history(spark, []), DIM, "h", DIM.tracked)
-    plan = scd2._matched(held, given, DIM)._jdf.queryExecution().executedPlan().toString()
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def stored(spark, path):
+    """History and source as files, so that plans show what is read."""
+    folders = path("history"), path("source")
+    history(spark, [(1, "t", "A", "e", 1, True)]).write.parquet(folders[0])
+    source(spark, [(2, "t", "A", "e")]).write.parquet(folders[1])
+    return tuple(spark.read.parquet(folder) for folder in folders)
+
+
+def test_narrow_pass_counts_copies_before_the_shuffle(stored):
+    plan = plan_of(scd2.classify(*stored, DIM))
     assert "ReadSchema: struct<id:int,company:string,email:string>" in plan
     assert plan.count("Exchange hashpartitioning") == 2  # the join adds none to the counts
     for side in plan.split("Exchange hashpartitioning")[1:]:
         assert "partial_count" in side
+
+
+def test_whole_rows_are_not_shuffled_where_few_keys_change(spark, stored):
+    plan = plan_of(merge(*stored))
+    assert "SortMergeJoin" not in plan
+    # the rest counts the rows per range of the numbering
+    assert plan.count("Exchange hashpartitioning") == plan.count("hashpartitioning(__part") == 1
+
+
+def test_whole_rows_are_shuffled_once_where_many_keys_change(spark, stored):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(merge(*stored))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # open rows and their changed keys, source rows and their numbers; offsets are counted apart
+    assert plan.count("Exchange hashpartitioning(id") == 4

@@ -11,6 +11,10 @@ key:
 
 New rows get surrogate keys above the highest key of the whole history: inserts in key order, then
 updates in key order.
+
+Keys and tracked columns alone decide what happens, so they are compared first and the changed
+keys are written down. The whole rows are then joined with these keys only: where few keys change,
+Spark broadcasts them and the rows are not shuffled at all.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from tidemark.operators.numbering import number_rows
 from tidemark.session import stage
 
 NOCHANGE, DELETE, INSERT, UPDATE = "NOCHANGE", "DELETE", "INSERT", "UPDATE"
-ACTIONS = (NOCHANGE, DELETE, INSERT, UPDATE)
+ACTION = "scd2_action"
 
 
 class HistoryError(ValueError):
@@ -74,23 +78,55 @@ def split_missing_keys(source: DataFrame, dim: Dimension) -> tuple[DataFrame, Da
 
 
 def classify(open_rows: DataFrame, source: DataFrame, dim: Dimension) -> DataFrame:
-    """One row per key: ``key``, ``action``, the history row ``h`` and the source row ``c``."""
-    held = open_rows.select(F.col(dim.key).alias("h_key"), F.struct(*open_rows.columns).alias("h"))
-    given = source.select(F.col(dim.key).alias("c_key"), F.struct(*source.columns).alias("c"))
-    return _matched(held, given, dim).select("key", "action", "h", "c")
-
+    """The action of every key: ``key, scd2_action, h_rows, c_rows``.
 
-def _matched(held: DataFrame, given: DataFrame, dim: Dimension) -> DataFrame:
-    """Full outer join on the keys, with the action that follows from ``h`` and ``c``."""
+    ``h_rows`` and ``c_rows`` count the rows of the key in the history and in the source. Counting
+    starts before the shuffle, so copies of one key cannot pile up in the join, and the join uses
+    the partitioning and the order of the counts.
+    """
+    held = _one_per_key(open_rows, dim, "h", dim.tracked)
+    given = _one_per_key(source, dim, "c", dim.tracked)
     action = (
         F.when(F.col("c_key").isNull(), DELETE)
         .when(F.col("h_key").isNull(), INSERT)
         .when(differs("h", "c", dim.tracked), UPDATE)
         .otherwise(NOCHANGE)
     )
-    return held.join(given, F.col("h_key") == F.col("c_key"), "full_outer").withColumns(
-        {"key": F.coalesce("h_key", "c_key"), "action": action}
+    return held.join(given, F.col("h_key") == F.col("c_key"), "full_outer").select(
+        F.coalesce("h_key", "c_key").alias("key"), action.alias(ACTION), "h_rows", "c_rows"
+    )
+
+
+def _one_per_key(df: DataFrame, dim: Dimension, side: str, columns: Sequence[str]) -> DataFrame:
+    """Each key once, with its number of rows and the given columns of one of them."""
+    return df.groupBy(F.col(dim.key).alias(f"{side}_key")).agg(
+        F.count(F.lit(1)).alias(f"{side}_rows"), F.first(F.struct(*columns)).alias(side)
+    )
+
+
+def find_changes(open_rows: DataFrame, source: DataFrame, dim: Dimension) -> DataFrame:
+    """The keys that change, written to the scratch folder: ``<key>, scd2_action``.
+
+    Raises ``HistoryError`` where a key has several live rows.
+    """
+    repeated = (F.col("h_rows") > 1) | (F.col("c_rows") > 1)
+    found = stage(
+        classify(open_rows, source, dim).filter((F.col(ACTION) != NOCHANGE) | repeated), "changes"
     )
+    _refuse_repeated(found, {"h_rows": "history", "c_rows": "source"})
+    return found.select(F.col("key").alias(dim.key), ACTION)
+
+
+def _refuse_repeated(found: DataFrame, sides: dict[str, str]) -> None:
+    repeated = found.filter(" OR ".join(f"{name} > 1" for name in sides)).take(10)
+    if repeated:  # ten examples are enough for the message
+        shown = ", ".join(
+            f"{side} {row['key']!r} x{row[name]}"
+            for row in repeated
+            for name, side in sides.items()
+            if (row[name] or 0) > 1
+        )
+        raise HistoryError(f"keys with more than one live row: {shown}")
 
 
 def highest_key(history: DataFrame, dim: Dimension) -> int:
@@ -106,95 +142,77 @@ def highest_key(history: DataFrame, dim: Dimension) -> int:
     return highest
 
 
-def number_changes(
-    open_rows: DataFrame, source: DataFrame, dim: Dimension, *, start: int
-) -> DataFrame:
-    """Surrogate keys of the rows to add: ``<key>, <surrogate>``.
-
-    Works on the key and the tracked columns alone, so only narrow rows are shuffled, and only
-    keys that change are sorted. Keys with more than one row are found on the way and refused:
-    copies are counted before the shuffle and cannot pile up in the join.
-    """
-    held = _one_per_key(open_rows, dim, "h", dim.tracked)
-    given = _one_per_key(source, dim, "c", dim.tracked)
-    changes = _matched(held, given, dim).filter(
-        F.col("action").isin(INSERT, UPDATE) | (F.col("h_rows") > 1) | (F.col("c_rows") > 1)
-    )
-    found = stage(changes.select("key", "action", "h_rows", "c_rows"), "changes")
-    _refuse_repeated(found)
+def number_changes(changes: DataFrame, dim: Dimension, *, start: int) -> DataFrame:
+    """Surrogate keys of the rows to add: ``<key>, scd2_action, <surrogate>``."""
+    added = changes.filter(F.col(ACTION).isin(INSERT, UPDATE))
     # "INSERT" sorts before "UPDATE".
-    numbered = number_rows(
-        found.select("action", "key"), ["action", "key"], name=dim.surrogate, start=start
-    )
-    return numbered.select(F.col("key").alias(dim.key), dim.surrogate)
+    return number_rows(added, [ACTION, dim.key], name=dim.surrogate, start=start)
 
 
-def _one_per_key(
-    df: DataFrame, dim: Dimension, side: str, columns: Sequence[str] = ()
+def carried_versions(
+    open_rows: DataFrame,
+    changes: DataFrame,
+    dim: Dimension,
+    as_of: datetime | Column | None = None,
 ) -> DataFrame:
-    """Each key once, with its number of rows and the given columns of one of them."""
-    return df.groupBy(F.col(dim.key).alias(f"{side}_key")).agg(
-        F.count(F.lit(1)).alias(f"{side}_rows"), F.first(F.struct(*columns)).alias(side)
-    )
-
-
-def _refuse_repeated(found: DataFrame) -> None:
-    """Raise ``HistoryError`` where a staged key has several rows on one side."""
-    sides = {"h_rows": "history", "c_rows": "source"}
-    present = [name for name in sides if name in found.columns]
-    repeated = found.filter(" OR ".join(f"{name} > 1" for name in present)).take(10)
-    if repeated:  # ten examples are enough for the message
-        shown = ", ".join(
-            f"{sides[name]} {row['key']!r} x{row[name]}"
-            for row in repeated
-            for name in present
-            if (row[name] or 0) > 1
+    """The open rows after the change: kept as they are, or closed where the key changed."""
+    ended = F.col(ACTION).isNotNull()
+    changed = changes.filter(F.col(ACTION).isin(DELETE, UPDATE))
+    return (
+        open_rows.join(changed, dim.key, "left")
+        .withColumns(
+            {
+                "expiration_date": F.when(ended, dim.moment(as_of)).otherwise(
+                    F.col("expiration_date")
+                ),
+                "is_current": ~ended,
+                ACTION: F.coalesce(ACTION, F.lit(NOCHANGE)),
+            }
         )
-        raise HistoryError(f"keys with more than one live row: {shown}")
+        .select(*open_rows.columns, ACTION)
+    )
 
 
-def next_versions(
-    merged: DataFrame,
+def added_versions(
+    source: DataFrame,
+    numbered: DataFrame,
     dim: Dimension,
-    source_columns: Sequence[str],
-    as_of: datetime | Column | None,
-    actions: Sequence[str] = ACTIONS,
+    as_of: datetime | Column | None = None,
 ) -> DataFrame:
-    """The history rows that follow from classified keys with the given actions.
-
-    An update yields its two rows from one input row, so the join is evaluated once. Rows that are
-    added take their surrogate key from ``c``; without them ``c`` needs none.
-    """
-    now, open_end = dim.moment(as_of), dim.open_end()
-
-    def version(side: str, **replaced: Column) -> Column:
-        names = dim.history_columns(source_columns)
-        return F.struct(
-            *[replaced.get(name, F.col(f"{side}.{name}")).alias(name) for name in names]
+    """A new open row for every numbered key, with all columns of the source."""
+    return (
+        source.join(numbered, dim.key)
+        .withColumns(
+            {
+                "effective_date": dim.moment(as_of),
+                "expiration_date": dim.open_end(),
+                "is_current": F.lit(True),
+            }
         )
-
-    kept = version("h")
-    closed = version("h", expiration_date=now, is_current=F.lit(False))
-    added = version("c", effective_date=now, expiration_date=open_end, is_current=F.lit(True))
-    follows = {NOCHANGE: [kept], DELETE: [closed], INSERT: [added], UPDATE: [closed, added]}
-    rows = F.coalesce(
-        *[F.when(F.col("action") == action, F.array(*follows[action])) for action in actions]
+        .select(*dim.history_columns(source.columns), ACTION)
     )
-    if set(actions) != set(ACTIONS):
-        merged = merged.filter(F.col("action").isin(*actions))
-    return merged.select(F.inline(rows))
 
 
-def scd2_changes(history: DataFrame, source: DataFrame, dim: Dimension) -> DataFrame:
-    """Classified keys of the open rows and the source, with surrogate keys for added rows.
+def scd2_versions(
+    history: DataFrame,
+    source: DataFrame,
+    dim: Dimension,
+    *,
+    as_of: datetime | Column | None = None,
+) -> DataFrame:
+    """What becomes of every live key: history rows, each with the ``scd2_action`` it follows from.
 
     Finds and numbers the changes at once; the join of the whole rows stays lazy.
     """
+    as_of = dim.moment(as_of)
     valid, _ = split_missing_keys(source, dim)
-    open_rows, _ = split_history(history)
-    keys = number_changes(open_rows, valid, dim, start=highest_key(history, dim) + 1)
-    # The join on the key below leaves the rows partitioned as the next join needs them.
-    return classify(open_rows, valid.join(keys, dim.key, "left"), dim)
+    open_rows, _ = split_history(history.select(dim.history_columns(source.columns)))
+    start = highest_key(history, dim) + 1
+    changes = find_changes(open_rows, valid, dim)
+    numbered = number_changes(changes, dim, start=start)
+    return carried_versions(open_rows, changes, dim, as_of).unionByName(
+        added_versions(valid, numbered, dim, as_of)
+    )
 
 
 def scd2_merge(
@@ -209,12 +227,8 @@ def scd2_merge(
     ``as_of`` is the time of the change (default: now, fixed when the call is made). ``source``
     and ``history`` are read more than once and must not change meanwhile.
     """
-    merged = scd2_changes(history, source, dim)
-    columns = dim.history_columns(source.columns)
-    _, closed = split_history(history)
-    return closed.select(columns).unionByName(
-        next_versions(merged, dim, source.columns, as_of).select(columns)
-    )
+    _, closed = split_history(history.select(dim.history_columns(source.columns)))
+    return closed.unionByName(scd2_versions(history, source, dim, as_of=as_of).drop(ACTION))
 
 
 def scd2_initial(
@@ -222,16 +236,8 @@ def scd2_initial(
 ) -> DataFrame:
     """The first history: every source row open, numbered in key order from 1."""
     valid, _ = split_missing_keys(source, dim)
-    given = valid.groupBy(F.col(dim.key).alias("key")).agg(F.count(F.lit(1)).alias("c_rows"))
-    found = stage(given, "keys")
-    _refuse_repeated(found)
-    keys = number_rows(
-        found.select(F.col("key").alias(dim.key)), [dim.key], name=dim.surrogate
-    )
-    return valid.join(keys, dim.key).select(
-        *source.columns,
-        dim.surrogate,
-        dim.moment(as_of).alias("effective_date"),
-        dim.open_end().alias("expiration_date"),
-        F.lit(True).alias("is_current"),
-    )
+    counts = valid.groupBy(F.col(dim.key).alias("key")).agg(F.count(F.lit(1)).alias("c_rows"))
+    found = stage(counts, "keys")
+    _refuse_repeated(found, {"c_rows": "source"})
+    keys = found.select(F.col("key").alias(dim.key), F.lit(INSERT).alias(ACTION))
+    return added_versions(valid, number_changes(keys, dim, start=1), dim, as_of).drop(ACTION)

@@ -116,13 +116,10 @@ def _shown(history):
 
 
 def _rows_of(spark, sf_dir, action):
+    """The rows that follow from one action."""
     history, source = history_frame(spark, sf_dir), source_frame(spark, sf_dir)
-    if action in (scd2.INSERT, scd2.UPDATE):
-        merged = scd2.scd2_changes(history, source, DIM)
-    else:
-        opened, _ = scd2.split_history(history)
-        merged = scd2.classify(opened, source, DIM)
-    return _shown(scd2.next_versions(merged, DIM, source.columns, AS_OF, [action]))
+    versions = scd2.scd2_versions(history, source, DIM, as_of=AS_OF)
+    return _shown(versions.filter(F.col(scd2.ACTION) == action).drop(scd2.ACTION))
 
 
 @query(FRAMES_SQL + "SELECT is_current, count(*) AS rows FROM history GROUP BY is_current")
@@ -135,8 +132,10 @@ def scd2_split(spark, sf_dir):
 @query(FRAMES_SQL + "SELECT c_custkey, action FROM actions")
 def scd2_classify(spark, sf_dir):
     opened, _ = scd2.split_history(history_frame(spark, sf_dir))
-    merged = scd2.classify(opened, source_frame(spark, sf_dir), DIM)
-    return merged.select(F.col("key").alias("c_custkey"), "action")
+    actions = scd2.classify(opened, source_frame(spark, sf_dir), DIM)
+    return actions.select(
+        F.col("key").alias("c_custkey"), F.col(scd2.ACTION).alias("action")
+    )
 
 
 @query(FRAMES_SQL + "SELECT * FROM kept")

@@ -7,13 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.scd2 import (
-    Dimension,
-    next_versions,
-    scd2_changes,
-    scd2_initial,
-    split_history,
-)
+from tidemark.operators.scd2 import ACTION, Dimension, scd2_initial, scd2_versions, split_history
 from tidemark.session import scratch_path, stage
 
 _PARTITIONS = ("is_current", "expiration_date")
@@ -129,12 +123,11 @@ def _next_partitions(
     history: DataFrame, source: DataFrame, dim: Dimension, as_of: datetime
 ) -> DataFrame:
     """All rows of the open partition and of the one closed at ``as_of`` after a merge."""
-    columns = dim.history_columns(source.columns)
-    merged = scd2_changes(history, source, dim)
+    live = scd2_versions(history, source, dim, as_of=as_of).drop(ACTION)
     # An earlier merge at the same time has closed rows in the partition that is replaced.
     _, closed = split_history(history)
-    closed_now = closed.filter(F.col("expiration_date") == dim.moment(as_of)).select(columns)
-    return next_versions(merged, dim, source.columns, as_of).select(columns).unionByName(closed_now)
+    closed_now = closed.filter(F.col("expiration_date") == dim.moment(as_of))
+    return live.unionByName(closed_now)
 
 
 def _get_pending(spark: SparkSession, table: str) -> dict[str, str]:
