@@ -11,7 +11,6 @@ from tidemark.operators.scd2 import Dimension, HistoryError
 
 DIM = Dimension(key="id", surrogate="sk", tracked=("company", "email"))
 SOURCE = "id int, title string, company string, email string"
-HISTORY = f"{SOURCE}, sk bigint, effective_date timestamp, expiration_date timestamp, is_current boolean"
 
 OLD = datetime(2020, 1, 1)
 ENDED = datetime(2021, 6, 1)
@@ -40,7 +39,7 @@ def history(spark, rows):
 def plain(df):
     """Rows as tuples with zoneless times, sorted by surrogate key."""
     times = ("effective_date", "expiration_date")
-    shown = df.select(*[F.col(c).cast("timestamp_ntz") if c in times else F.col(c) for c in df.columns])
+    shown = df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
     return sorted((tuple(r) for r in shown.collect()), key=lambda r: (r[4], r[5]))
 
 

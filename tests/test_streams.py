@@ -5,7 +5,13 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources.messages import kafka_options, read_file_stream, read_message_files
+from tidemark.fixed_values import CHUNK_SIZE, LARGE_CHUNK_SIZE
+from tidemark.sources.messages import (
+    kafka_options,
+    read_file_stream,
+    read_message_files,
+    read_messages,
+)
 from tidemark.streaming import publish, sinks
 from tidemark.streaming.parse import parse_messages, parse_store_sales, parse_trips
 from tidemark.streaming.trips import enrich_trips
@@ -71,7 +77,11 @@ def test_trip_features_and_labels(spark):
         ],
     )
     got = enrich_trips(parse_trips(df)).select(
-        "total_ride_time", "estimated_ride_time", "total_speed", "payment_type_name", "RateCode_name"
+        "total_ride_time",
+        "estimated_ride_time",
+        "total_speed",
+        "payment_type_name",
+        "RateCode_name",
     )
     assert [tuple(r) for r in got.collect()] == [
         (475, 300.0, 19.0, "Credit card", "Standard rate"),
@@ -108,6 +118,15 @@ def test_store_sale_time_is_sent_as_a_number(spark):
     assert text == '{"Store_id":"STR_1","eventTime":1704067205}'
 
 
+def test_connector_is_a_format_and_options(spark, path):
+    """Any source with a value will do; the rate source stands in for a broker."""
+    stream = read_messages(spark, "rate", rowsPerSecond="1")
+    assert stream.isStreaming and stream.columns == ["value"]
+    folder = path()
+    publish.publish_broker(messages(spark, ["{}"]), "parquet", path=folder)
+    assert [bytes(r.value) for r in spark.read.parquet(folder).collect()] == [b"{}"]
+
+
 def test_kafka_options():
     assert kafka_options("host:1", "sales") == {
         "kafka.bootstrap.servers": "host:1",
@@ -116,7 +135,7 @@ def test_kafka_options():
     }
 
 
-@pytest.mark.parametrize("size", [7, 50, 1000])
+@pytest.mark.parametrize("size", [7, 50, CHUNK_SIZE, LARGE_CHUNK_SIZE])
 def test_one_file_per_chunk_in_order(spark, path, size):
     topic = path()
     records = spark.range(100).select((F.col("id") * 37 % 100).alias("k")).repartition(5)
@@ -306,7 +325,8 @@ def test_batch_sessions_equal_session_windows(spark, seed, per_row):
         gap = F.when(F.col("kind") == 0, "5 seconds").when(F.col("kind") == 1, "90 seconds")
         gap = gap.otherwise(F.lit("0 seconds"))  # opens no session
     got = session_counts(df, "eventTime", "Store_id", gap, keys=["Store_id"])
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, spark_sessions(df, gap).collect()))
+    expected = spark_sessions(df, gap)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
 
 
 def test_batch_sessions_shuffle_slots_and_not_events(spark):

@@ -30,22 +30,26 @@ def state(spark, table):
 def test_history_table_over_several_merges(spark, database):
     table, synced = f"{database}.history", f"{database}.synced"
     assert not catalog.table_exists(spark, table)
-    tables.merge_table(source(spark, [(1, "A"), (2, "B")]), table, DIM, as_of=day(1), synced=synced)
+
+    def merge(rows, number):
+        tables.merge_table(source(spark, rows), table, DIM, as_of=day(number), synced=synced)
+
+    merge([(1, "A"), (2, "B")], 1)
     assert state(spark, table) == [(1, "A", 1, True), (2, "B", 2, True)]
 
-    tables.merge_table(source(spark, [(1, "A2"), (3, "C")]), table, DIM, as_of=day(2), synced=synced)
+    merge([(1, "A2"), (3, "C")], 2)
     second = [(1, "A", 1, False), (2, "B", 2, False), (3, "C", 3, True), (1, "A2", 4, True)]
     assert state(spark, table) == second
 
     # An unchanged source changes nothing; neither does a second merge at the same time.
-    tables.merge_table(source(spark, [(1, "A2"), (3, "C")]), table, DIM, as_of=day(3), synced=synced)
+    merge([(1, "A2"), (3, "C")], 3)
     assert state(spark, table) == second
-    tables.merge_table(source(spark, [(3, "C")]), table, DIM, as_of=day(2), synced=synced)
+    merge([(3, "C")], 2)
     third = [(1, "A", 1, False), (2, "B", 2, False), (3, "C", 3, True), (1, "A2", 4, False)]
     assert state(spark, table) == third
 
     # No key left: the open partition is emptied.
-    tables.merge_table(source(spark, []), table, DIM, as_of=day(4), synced=synced)
+    merge([], 4)
     assert state(spark, table) == [(*r[:3], False) for r in third]
     assert state(spark, synced) == state(spark, table)
     assert not spark.table(table).filter("effective_date > expiration_date").count()
@@ -119,6 +123,15 @@ def test_table_replaced_by_a_result_of_itself(spark, database):
     assert sorted(r.a for r in spark.table(table).collect()) == [3, 4]
 
 
+def test_copied_table(spark, database):
+    source, target = f"{database}.source", f"{database}.target"
+    tables.save_table(spark.range(3), source)
+    tables.copy_table(spark, source, target)
+    tables.insert_into(spark, source, "SELECT 3L")
+    tables.copy_table(spark, source, target)
+    assert sorted(r.id for r in spark.table(target).collect()) == [0, 1, 2, 3]
+
+
 def test_save_refuses_an_existing_table(spark, database):
     table = f"{database}.t"
     tables.save_table(spark.range(1), table)

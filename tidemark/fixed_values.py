@@ -3,6 +3,12 @@
 They are data, not logic: a different value would give a different (wrong) result.
 """
 
+# All names below.
+
+# Text formats --------------------------------------------------------------------------------
+SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
+MONTH_FORMAT = "yyyyMM"
+
 # Retail orders -------------------------------------------------------------------------------
 BILLED_STATUSES = ("COMPLETE", "CLOSED")
 

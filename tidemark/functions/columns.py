@@ -8,6 +8,8 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.fixed_values import MONTH_FORMAT, SECOND_FORMAT
+
 
 def add_suffix(df: DataFrame, suffix: str) -> DataFrame:
     """Append ``suffix`` to every column name."""
@@ -27,12 +29,12 @@ def lookup(code: str, labels: Mapping[int | str, str]) -> Column:
 
 def year_month(column: str) -> Column:
     """The month as the integer ``yyyyMM``."""
-    return F.date_format(column, "yyyyMM").cast("int")
+    return F.date_format(column, MONTH_FORMAT).cast("int")
 
 
 def second_text(column: str) -> Column:
     """A timestamp as ``yyyy-MM-dd HH:mm:ss`` text."""
-    return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+    return F.date_format(column, SECOND_FORMAT)
 
 
 def text_timestamp(column: str) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.fixed_values import HASH_SEPARATOR
+from tidemark.fixed_values import HASH_COLUMN, HASH_SEPARATOR
 
 
 def change_hash(columns: Sequence[str]) -> Column:
@@ -21,6 +21,11 @@ def change_hash(columns: Sequence[str]) -> Column:
     return F.md5(F.concat_ws(HASH_SEPARATOR, *columns))
 
 
+def add_change_hash(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Append the fingerprint of some columns as ``hash_md5``."""
+    return df.withColumn(HASH_COLUMN, change_hash(columns))
+
+
 def differs(left: str, right: str, columns: Sequence[str]) -> Column:
     """True if any column differs between two structs; NULL equals NULL only."""
     changed = F.lit(False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as fn
-from tidemark.functions.hashing import change_hash as hashed
+from tidemark.functions.hashing import add_change_hash
 from tidemark.operators.numbering import number_rows
 from tidemark.operators.words import rarest_first, word_counts
 from tidemark.plans.registry import query
@@ -197,9 +197,10 @@ def global_max(spark, sf_dir):
     """
 )
 def change_hash(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", hashed(["c_name", "c_mktsegment", "c_nationkey"]).alias("hash_md5")
+    hashed = add_change_hash(
+        table(spark, sf_dir, "customer"), ["c_name", "c_mktsegment", "c_nationkey"]
     )
+    return hashed.select("c_custkey", "c_name", "hash_md5")
 
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_number FROM orders")
