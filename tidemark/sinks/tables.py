@@ -70,8 +70,8 @@ def merge_table(
     """Bring a history table up to date with the source, or create it on the first call.
 
     The table is partitioned by ``is_current, expiration_date``. A merge reads the open partition
-    and replaces two: the open one and the one closed at ``as_of``. Rows closed earlier are not
-    touched, so the cost follows the live keys and not the age of the history.
+    and replaces two: the open one and the one closed at ``as_of``. Rows closed earlier stay as
+    they are; of them only the surrogate keys are read, for the highest one.
 
     Both replacements come from a staged result that the table properties point to until they
     are done; a merge that died in between is completed by the next call. ``synced`` names a
