@@ -118,7 +118,12 @@ def _shown(history):
 def _rows_of(spark, sf_dir, action):
     """The rows that follow from one action."""
     history, source = history_frame(spark, sf_dir), source_frame(spark, sf_dir)
-    versions = scd2.scd2_versions(history, source, DIM, as_of=AS_OF)
+    if action in (scd2.NOCHANGE, scd2.DELETE):  # add no rows, so nothing is numbered
+        opened, _ = scd2.split_history(history)
+        changes = scd2.find_changes(opened, source, DIM)
+        versions = scd2.carried_versions(opened, changes, DIM, AS_OF)
+    else:
+        versions = scd2.scd2_versions(history, source, DIM, as_of=AS_OF)
     return _shown(versions.filter(F.col(scd2.ACTION) == action).drop(scd2.ACTION))
 
 
