@@ -16,6 +16,10 @@ DICTIONARY_BYTES = 64 << 10
 MOST_LANGUAGES = 200
 CHUNK = 1000
 LEVEL = 3
+#: Texts with a margin below ``UNSURE``, or shorter than a few lines, are encoded again with more effort.
+STRONG_LEVEL = 12
+UNSURE = 0.05
+SHORT_BYTES = 300
 #: A text whose second-best size is less than this share above the best is rejected.
 LEAST_MARGIN = 0.004
 UNKNOWN = "und"
@@ -68,7 +72,7 @@ def classify(docs: DataFrame, key: str, text: str, model: Languages, *, carry: t
 
     The whole text goes through every dictionary, in chunks of ``CHUNK`` bytes so that a dictionary
     counts as much at the end of a long text as at its start; the smallest sum names the language,
-    ties go to the more frequent one. ``score`` is ``1 - best / second`` scaled to 0..1 by
+    ties go to the more frequent one. Short texts and narrow margins are decided at a higher level. ``score`` is ``1 - best / second`` scaled to 0..1 by
     ``tanh(8 x)``; with a single language it is 1. ``accepted`` is false for narrow margins.
 
     A NULL text, or one without a letter, is ``und`` with score 0 and not accepted; so is every text
@@ -82,24 +86,33 @@ def classify(docs: DataFrame, key: str, text: str, model: Languages, *, carry: t
         import pyarrow as pa
         import zstandard
 
-        compressors = []
-        for name, content in model.dictionaries.items():
-            data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            data.precompute_compress(level=LEVEL)
-            compressors.append((name, zstandard.ZstdCompressor(
-                level=LEVEL, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False
-            ).compress))
+        def compressors(level: int) -> list:
+            made = []
+            for content in model.dictionaries.values():
+                data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                data.precompute_compress(level=level)
+                made.append(zstandard.ZstdCompressor(
+                    level=level, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False
+                ).compress)
+            return made
+
+        names, fast, strong = list(model.dictionaries), compressors(LEVEL), compressors(STRONG_LEVEL)
+
+        def smallest(chunks: list[bytes], encoders: list) -> tuple[int, float]:
+            sizes = [(sum(len(squeeze(c)) for c in chunks), i) for i, squeeze in enumerate(encoders)]
+            (best, i), *rest = sorted(sizes)
+            return i, 1.0 - best / rest[0][0] if rest else 1.0
 
         def one(body: str | None) -> tuple[str, float, bool]:
             plain = normal(body) if body else ""
-            if not plain or not compressors or not any(c.isalpha() for c in plain):
+            if not plain or not names or not any(c.isalpha() for c in plain):
                 return UNKNOWN, 0.0, False
             raw = plain.encode("utf-8", "replace")
             chunks = [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)]
-            sizes = [(sum(len(squeeze(c)) for c in chunks), i) for i, (_, squeeze) in enumerate(compressors)]
-            (best, i), *rest = sorted(sizes)
-            margin = 1.0 - best / rest[0][0] if rest else 1.0
-            return compressors[i][0], math.tanh(8.0 * margin), margin >= LEAST_MARGIN
+            i, margin = smallest(chunks, fast)
+            if margin < UNSURE or len(raw) < SHORT_BYTES:
+                i, margin = smallest(chunks, strong)
+            return names[i], math.tanh(8.0 * margin), margin >= LEAST_MARGIN
 
         for batch in batches:
             made = [one(body) for body in batch.column(0).to_pylist()]

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.language import classify, held_out, learn
+from tidemark.llm.mixing import mix, with_topic
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import BASE, POLICIES, ledger, passes
 from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import simhash_components
+from tidemark.llm.vectors import vector_links
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +75,27 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learn(docs.where(~held_out("doc_id")), "doc_id", "text", "lang")
     found = classify(docs.select("doc_id", "text"), "doc_id", "text", model)
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def document_mix(docs: DataFrame, **options) -> DataFrame:
+    """Documents with their drawing probabilities for tempered shares of sources, languages and topics."""
+    formed = with_topic(docs, "text")
+    by = {"source": F.col("source"), "lang": F.col("lang"), "topic": F.col("__form.topic")}
+    return mix(formed, "doc_id", by, F.col("__form.tokens"), **options)
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The draw of all documents, with factors raked to the target marginals."""
+    drawn = document_mix(table(spark, sf_dir, "documents"))
+    return drawn.select(
+        "doc_id", "source", "lang", F.col("__form.topic").alias("topic"), F.col("__form.tokens").alias("n_tokens"),
+        "cell_factor", "probability", "drawn",
+    )
+
+
+@query
+def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all embeddings at cosine 0.9 or more."""
+    found = vector_links(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return found.withColumnRenamed("component", "component_id")
