@@ -14,6 +14,7 @@ from tidemark.llm.quality import BASE, POLICIES, ledger, passes
 from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.vectors import vector_links
+from tidemark.llm.wrappers import main_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +100,10 @@ def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and groups of all embeddings at cosine 0.9 or more."""
     found = vector_links(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return found.withColumnRenamed("component", "component_id")
+
+
+@query
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    found = main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "url", "html")
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
