@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.language import classify, held_out, learn
+from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mix, with_topic
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import BASE, POLICIES, ledger, passes
@@ -107,3 +108,45 @@ def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages."""
     found = main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "url", "html")
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that repeat an earlier line of the corpus."""
+    found = dedup_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select("doc_id", F.col("n_removed_lines").alias("n_removed"), F.col("text").alias("text"))
+
+
+ORACLES["op1_line_dedup"] = r"""
+WITH occ AS (
+  SELECT doc_id, pos, lines[pos] AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL) d,
+       unnest(range(1, len(lines) + 1)) AS r(pos)
+  WHERE regexp_matches(lines[pos], '[^\x20\x09-\x0D]')),
+cls AS (
+  SELECT line, min((doc_id, pos)) AS first,
+         list_filter(list_distinct(regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+')), lambda w: w <> '') AS ws
+  FROM occ GROUP BY line),
+ids AS (SELECT row_number() OVER () AS id, line, first, ws, len(ws) AS n FROM cls),
+tok AS (SELECT id, n, unnest(ws) AS w FROM ids),
+df AS (SELECT w, count(*) AS c FROM tok GROUP BY w),
+pre AS (
+  SELECT id, n, w FROM tok JOIN df USING (w)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY c, w) <= n - (4 * n + 4) // 5 + 1),
+near AS (
+  SELECT DISTINCT a.id AS x, b.id AS y FROM pre a JOIN pre b
+  ON a.w = b.w AND a.id < b.id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+sim AS (
+  SELECT a.first AS xf, b.first AS yf, a.line AS xl, b.line AS yl
+  FROM near JOIN ids a ON a.id = x JOIN ids b ON b.id = y
+  WHERE 9 * len(list_intersect(a.ws, b.ws)) >= 4 * (a.n + b.n)),
+later AS (SELECT DISTINCT CASE WHEN xf > yf THEN xl ELSE yl END AS line FROM sim),
+gone AS (
+  SELECT o.doc_id, o.pos FROM occ o JOIN cls USING (line) LEFT JOIN later l ON l.line = o.line
+  WHERE l.line IS NOT NULL OR (o.doc_id, o.pos) <> cls.first),
+per AS (SELECT doc_id, list(pos) AS gone FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(p.gone), 0)::BIGINT AS n_removed,
+       CASE WHEN p.gone IS NULL THEN d.text ELSE array_to_string(
+         list_filter(string_split(d.text, chr(10)), lambda l, i: NOT list_contains(p.gone, i)), chr(10)) END AS text
+FROM documents d LEFT JOIN per p USING (doc_id)
+"""
