@@ -11,6 +11,7 @@ from tidemark.llm.language import classify, held_out, learn
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mix, with_topic
 from tidemark.llm.packing import pack
+from tidemark.llm.pii import KINDS, find_pii, listed, of_kind
 from tidemark.llm.quality import BASE, POLICIES, ledger, passes
 from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import simhash_components
@@ -150,3 +151,17 @@ SELECT d.doc_id, coalesce(len(p.gone), 0)::BIGINT AS n_removed,
          list_filter(string_split(d.text, chr(10)), lambda l, i: NOT list_contains(p.gone, i)), chr(10)) END AS text
 FROM documents d LEFT JOIN per p USING (doc_id)
 """
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: counts and digest of the rules' spans, and all spans."""
+    found = find_pii(table(spark, sf_dir, "documents"), "doc_id", "text")
+    counts = [F.size(of_kind(F.col("base"), kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
