@@ -5,12 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path, stage
+from tidemark.session import scratch_path
+from tidemark.session import stage as _stage
 
 #: Bytes that part words: the space and the ASCII control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Spark's switch to remove an execution's shuffle files when it has ended.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and scan it; its shuffle files go at once.
+
+    What was written needs them no more, and operators of several steps would else hold the shuffles
+    of all steps on the executors' disks. The session's setting is put back.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(CLEAN, None)
+    try:
+        spark.conf.set(CLEAN, "true")
+        return _stage(df, label)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN)
+        else:
+            spark.conf.set(CLEAN, before)
+
+
 def shingle_bounds(words: list[bytes], k: int):
     """Starts and ends of the k-word windows of the words joined by single spaces."""
     import numpy as np

@@ -17,8 +17,15 @@ FILTER_WORDS = 1 << 14
 
 
 def words(line: Column) -> Column:
-    """The set of lower-cased words of a line."""
-    return F.array_distinct(F.array_remove(F.split(F.lower(line), BLANKS), ""))
+    """The words of a line in lower case, with empty ones between neighbouring blanks."""
+    low = F.lower(line)
+    # parting at one plain character needs no regular expression; few lines hold other blanks
+    return F.when(low.rlike(r"[\x09\x0B-\x0D]"), F.split(low, BLANKS)).otherwise(F.split(low, " "))
+
+
+def word_set(line: Column) -> Column:
+    """The set of a line's words, as hashes: distinct words of one line have distinct hashes."""
+    return F.array_remove(F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def ceil_div(a: Column, b: int) -> Column:
@@ -39,7 +46,7 @@ def rarity(docs: DataFrame, text: str) -> Column:
     )
     levels = [0] * RARITY_CELLS
     for row in cells:
-        levels[row["cell"]] = int(8 * math.log2(1 + row["count"]))
+        levels[row["cell"]] = int(3 * math.log2(1 + row["count"]))
     return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<int>")
 
 
@@ -51,32 +58,39 @@ def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def prefix_rows(lines: DataFrame, levels: Column) -> DataFrame:
-    """``token, line, n, at, short, bits``: the rarest tokens of each different line.
+    """``token, line, n, at, low, high``: the rarest tokens of each different line.
 
     A set of n tokens and a longer or equal one with Jaccard 4/5 share a token among the first
-    ``n - ceil(8 n / 9) + 1`` of the shorter and the first ``n - ceil(4 n / 5) + 1`` of the longer
-    (``short`` marks the former). ``bits`` is the parity of the tokens per hash bit: two sets differ
-    in at least as many tokens as their bits differ.
+    ``n - ceil(8 n / 9) + 1`` of the shorter and the first ``n - ceil(4 n / 5) + 1`` of the longer.
+    ``low`` and ``high`` are the parity of the tokens per hash bit, of 128: two sets differ in at
+    least as many tokens as their bits differ.
     """
-    cell = F.lit(RARITY_CELLS - 1)
-    token = F.transform(
-        F.transform(words(F.col("line")), lambda w: F.xxhash64(w)),
-        lambda h: F.shiftleft(F.get(levels, h.bitwiseAND(cell).cast("int")).cast("long"), 48).bitwiseOR(
+    rank = F.transform(
+        F.col("words"),
+        lambda h: F.shiftleft(F.get(levels, h.bitwiseAND(F.lit(RARITY_CELLS - 1)).cast("int")).cast("long"), 48).bitwiseOR(
             h.bitwiseAND(F.lit((1 << 48) - 1))
         ),
     )
-    made = lines.select(F.xxhash64("line").alias("line"), F.sort_array(token).alias("tokens"))
-    n = F.size("tokens")
-    parity = F.aggregate(
-        "tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int")))
-    )
+    def parity(half: int) -> Column:
+        def flip(bits: Column, token: Column) -> Column:
+            here = F.shiftright(token, 40).bitwiseAND(F.lit(1))
+            here = here if half else F.lit(1) - here
+            place = F.shiftright(token, 20).bitwiseAND(F.lit(63)).cast("int")
+            return bits.bitwiseXOR(F.call_function("shiftleft", here.cast("long"), place))
+
+        return F.aggregate("words", F.lit(0).cast("long"), flip)
+
+    n = F.size("words")
+    made = lines.select(F.xxhash64("line").alias("line"), word_set(F.col("line")).alias("words"))
     sets = made.select(
-        "line", n.alias("n"), parity.alias("bits"), F.slice("tokens", 1, n - ceil_div(n * 4, 5) + 1).alias("prefix")
+        "line",
+        n.alias("n"),
+        parity(0).alias("low"),
+        parity(1).alias("high"),
+        F.transform(F.slice(F.sort_array(rank), 1, n - ceil_div(n * 4, 5) + 1), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prefix"),
     ).distinct()
-    short = F.col("n") - ceil_div(F.col("n") * 8, 9) + 1
-    return sets.select("line", "n", "bits", F.posexplode("prefix").alias("at", "token")).withColumn(
-        "short", F.col("at") < short
-    )
+    # outer, or the optimizer tests the size of the array first and so computes it twice
+    return sets.select("line", "n", "low", "high", F.posexplode_outer("prefix").alias("at", "token"))
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -86,11 +100,12 @@ def candidates(rows: DataFrame) -> DataFrame:
     can stand before the common token on both sides, and from it on, makes up the needed overlap. Then the
     bits must not differ in more places than the sets may.
     """
-    x, y = rows.where("short").alias("x"), rows.alias("y")
+    # every condition names both sides, so that both read the same shuffled rows
+    x, y = rows.alias("x"), rows.alias("y")
     met = F.expr(
         "x.token = y.token AND (x.n < y.n OR (x.n = y.n AND x.line < y.line)) AND 5 * x.n >= 4 * y.n"
-        " AND 9 * (least(x.at, y.at) + least(x.n - x.at, y.n - y.at)) >= 4 * (x.n + y.n)"
-        " AND 9 * (x.n + y.n - bit_count(x.bits ^ y.bits)) >= 8 * (x.n + y.n)"
+        " AND 9 * x.at <= least(x.n, y.n) AND 9 * (least(x.at, y.at) + least(x.n - x.at, y.n - y.at)) >= 4 * (x.n + y.n)"
+        " AND bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= (x.n + y.n) / 9"
     )
     return x.join(y, met).select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct()
 
@@ -99,7 +114,7 @@ def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """The pairs whose Jaccard similarity is 4/5 or more, by their words.
 
     Only lines that occur in a pair are shuffled: a bit table of fixed size, built from the hashes
-    in ``pairs``, keeps most others out before the exact join.
+    in ``pairs``, keeps most others out before the exact join. Words are compared by 64-bit hashes.
     """
     ends = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
     word, bit = F.col("id").bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int"), F.shiftright("id", 14).bitwiseAND(F.lit(63)).cast("int")
@@ -111,9 +126,10 @@ def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     known = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
     seen = F.call_function("shiftright", F.get(known, word), bit).bitwiseAND(one) == 1
     chosen = lines.select(F.xxhash64("line").alias("id"), "line").where(seen)
-    sets = stage(chosen.join(ends, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")), "line-sets")
-    left = sets.select(F.col("id").alias("x"), words(F.col("line")).alias("xs"))
-    right = sets.select(F.col("id").alias("y"), words(F.col("line")).alias("ys"))
+    found = chosen.join(ends, "id", "left_semi").select("id", word_set(F.col("line")).alias("words"))
+    sets = stage(found.distinct(), "line-sets")
+    left = sets.select(F.col("id").alias("x"), F.col("words").alias("xs"))
+    right = sets.select(F.col("id").alias("y"), F.col("words").alias("ys"))
     enough = 9 * F.size(F.array_intersect("xs", "ys")) >= 4 * (F.size("xs") + F.size("ys"))
     return pairs.join(left, "x").join(right, "y").where(enough).select("x", "y")
 
