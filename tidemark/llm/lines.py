@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stage
+from tidemark.operators.numbering import number_rows
 
 # Jaccard similarity of 4/5 or more, in whole numbers: 9 * overlap >= 4 * (size of x + size of y).
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -57,8 +58,8 @@ def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
     return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
-def prefix_rows(lines: DataFrame, levels: Column) -> DataFrame:
-    """``token, line, n, at, low, high``: the rarest tokens of each different line.
+def line_sets(lines: DataFrame, levels: Column) -> DataFrame:
+    """``id, n, low, high, prefix``: size, bits and rarest tokens of each different line.
 
     A set of n tokens and a longer or equal one with Jaccard 4/5 share a token among the first
     ``n - ceil(8 n / 9) + 1`` of the shorter and the first ``n - ceil(4 n / 5) + 1`` of the longer.
@@ -84,54 +85,80 @@ def prefix_rows(lines: DataFrame, levels: Column) -> DataFrame:
     made = lines.select(F.xxhash64("line").alias("line"), word_set(F.col("line")).alias("words"))
     sets = made.select(
         "line",
-        n.alias("n"),
-        parity(0).alias("low"),
-        parity(1).alias("high"),
-        F.transform(F.slice(F.sort_array(rank), 1, n - ceil_div(n * 4, 5) + 1), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prefix"),
-    ).distinct()
+        F.struct(
+            n.alias("n"),
+            parity(0).alias("low"),
+            parity(1).alias("high"),
+            F.transform(
+                F.slice(F.sort_array(rank), 1, n - ceil_div(n * 4, 5) + 1),
+                lambda t: t.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"),
+            ).alias("prefix"),
+        ).alias("set"),
+    )
+    return sets.groupBy(F.col("line").alias("id")).agg(F.any_value("set").alias("set")).select("id", "set.*")
+
+
+def prefix_rows(sets: DataFrame) -> DataFrame:
+    """One row ``token, at`` per rare token of a line, with the line's other columns."""
+    others = [c for c in sets.columns if c != "prefix"]
     # outer, or the optimizer tests the size of the array first and so computes it twice
-    return sets.select("line", "n", "low", "high", F.posexplode_outer("prefix").alias("at", "token"))
+    return sets.select(*others, F.posexplode_outer("prefix").alias("at", "token"))
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """``x, y``: hashes of different lines whose token sets may be similar enough.
+#: Whether row y's line, which stands later than row x's in the corpus, may be similar to it.
+#: Length filter: the smaller set has 4/5 of the larger's tokens at least. Prefix filter: the common
+#: token is among the first ninth of the smaller. Positional filter: what can stand before the common
+#: token on both sides, and from it on, makes up the needed overlap. Then the bits must not differ in
+#: more places than the sets may.
+MAY_MATCH = (
+    "x.line < y.line AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)"
+    " AND 9 * (CASE WHEN x.n < y.n OR (x.n = y.n AND x.at <= y.at) THEN x.at ELSE y.at END) <= least(x.n, y.n)"
+    " AND 9 * (least(x.at, y.at) + least(x.n - x.at, y.n - y.at)) >= 4 * (x.n + y.n)"
+    " AND bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= (x.n + y.n) / 9"
+)
+#: Earlier lines with a common token that a line is compared with first: the first one, and so many just before.
+BEFORE = 2
 
-    Length filter: the shorter has 4/5 of the longer's tokens at least. Positional filter: what
-    can stand before the common token on both sides, and from it on, makes up the needed overlap. Then the
-    bits must not differ in more places than the sets may.
-    """
+
+def first_candidates(rows: DataFrame) -> DataFrame:
+    """``x, y``: each line with few earlier lines that share a rare token, never more than ``1 + BEFORE`` a token."""
+    of_token = Window.partitionBy("token").orderBy("line")
+    seen = F.struct("line", "n", "low", "high", "at")
+    earlier = [F.first(seen).over(of_token), *(F.lag(seen, k + 1).over(of_token) for k in range(BEFORE))]
+    met = rows.select(seen.alias("y"), F.array(*earlier).alias("earlier")).select("y", F.explode("earlier").alias("x"))
+    return met.where(F.expr(MAY_MATCH)).select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct()
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """``x, y``: every earlier and later line that may be similar, where the later is not ``gone`` yet."""
     # every condition names both sides, so that both read the same shuffled rows
     x, y = rows.alias("x"), rows.alias("y")
-    met = F.expr(
-        "x.token = y.token AND (x.n < y.n OR (x.n = y.n AND x.line < y.line)) AND 5 * x.n >= 4 * y.n"
-        " AND 9 * x.at <= least(x.n, y.n) AND 9 * (least(x.at, y.at) + least(x.n - x.at, y.n - y.at)) >= 4 * (x.n + y.n)"
-        " AND bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= (x.n + y.n) / 9"
-    )
+    met = F.expr(f"x.token = y.token AND NOT (y.gone AND x.line < y.line) AND {MAY_MATCH}")
     return x.join(y, met).select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct()
 
 
-def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs whose Jaccard similarity is 4/5 or more, by their words.
+def repeats(pairs: DataFrame, lines: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``line``: the later lines of the pairs whose Jaccard similarity is 4/5 or more, by their words.
 
-    Only lines that occur in a pair are shuffled: a bit table of fixed size, built from the hashes
-    in ``pairs``, keeps most others out before the exact join. Words are compared by 64-bit hashes.
+    Only lines that occur in a pair are shuffled: a bit table of fixed size, built from their hashes,
+    keeps most others out before the exact join. Words are compared by 64-bit hashes.
     """
-    ends = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
+    ends = pairs.select(F.explode(F.array("x", "y")).alias("line")).distinct()
+    known = stage(ends.join(numbers.select("id", "line"), "line"), "line-ends")
     word, bit = F.col("id").bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int"), F.shiftright("id", 14).bitwiseAND(F.lit(63)).cast("int")
     one = F.lit(1).cast("long")
-    masks = ends.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", one, bit)).alias("mask")).collect()
+    masks = known.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", one, bit)).alias("mask")).collect()
     table = [0] * FILTER_WORDS
     for row in masks:
         table[row["word"]] = row["mask"]
-    known = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
-    seen = F.call_function("shiftright", F.get(known, word), bit).bitwiseAND(one) == 1
-    chosen = lines.select(F.xxhash64("line").alias("id"), "line").where(seen)
-    found = chosen.join(ends, "id", "left_semi").select("id", word_set(F.col("line")).alias("words"))
-    sets = stage(found.distinct(), "line-sets")
-    left = sets.select(F.col("id").alias("x"), F.col("words").alias("xs"))
-    right = sets.select(F.col("id").alias("y"), F.col("words").alias("ys"))
+    filled = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+    seen = F.call_function("shiftright", F.get(filled, word), bit).bitwiseAND(one) == 1
+    chosen = lines.select(F.xxhash64("line").alias("id"), F.col("line").alias("body")).where(seen).join(known, "id")
+    sets = stage(chosen.groupBy("line").agg(F.min("body").alias("body")).select("line", word_set(F.col("body")).alias("words")), "line-words")
+    left = sets.select(F.col("line").alias("x"), F.col("words").alias("xs"))
+    right = sets.select(F.col("line").alias("y"), F.col("words").alias("ys"))
     enough = 9 * F.size(F.array_intersect("xs", "ys")) >= 4 * (F.size("xs") + F.size("ys"))
-    return pairs.join(left, "x").join(right, "y").where(enough).select("x", "y")
+    return pairs.join(left, "x").join(right, "y").where(enough).select(F.col("y").alias("line")).distinct()
 
 
 def dedup_lines(docs: DataFrame, key: str, text: str, removed: str = "n_removed_lines") -> DataFrame:
@@ -141,29 +168,32 @@ def dedup_lines(docs: DataFrame, key: str, text: str, removed: str = "n_removed_
     A line goes if an earlier line is equal to it, or has a set of lower-cased words with Jaccard
     similarity 4/5 or more, whether or not that earlier line goes too. Lines without a word stay.
 
-    Nothing is grouped by line except counted minima: the place of a line's first occurrence is
-    combined in the tasks, and lines that many rows share meet it in ordinary joins that adaptive
-    execution can split. Similar lines are paired once per different line.
+    The place of a line's first occurrence is found by a minimum combined in the tasks, and different
+    lines are numbered in that order. As it is enough to find one earlier line, each line is first
+    compared with few earlier lines per rare token, which settles most variants of a line in large
+    groups of near copies; only lines still standing are then joined with all earlier ones.
 
     A NULL text stays NULL and an empty one empty; rows equal in key and text hold the same places,
     so neither repeats the other; an empty table gives no rows; other columns stay as they are (one
     named like ``removed`` is replaced).
     """
     lines = occurrences(docs, key, text)
-    pairs = stage(candidates(prefix_rows(lines, rarity(docs, text))), "line-pairs")
-    alike = stage(similar(pairs, lines), "similar-lines")
     places = stage(
         lines.select(
             F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("id2"), F.struct("key", "th", "pos").alias("place")
         ),
         "places",
     )
-    firsts = stage(places.groupBy("id", "id2").agg(F.min("place").alias("first")), "first-places")
-    x, y = (firsts.select(F.col("id").alias(n), F.col("id2").alias(f"{n}2"), F.col("first").alias(f"{n}f")) for n in "xy")
-    ordered = alike.join(x, "x").join(y, "y")
-    x_later = F.col("xf") > F.col("yf")
-    later = ordered.select(F.when(x_later, F.col("x")).otherwise(F.col("y")).alias("id"), F.when(x_later, F.col("x2")).otherwise(F.col("y2")).alias("id2")).distinct()
-    verdict = stage(firsts.join(later.withColumn("gone", F.lit(True)), ["id", "id2"], "left"), "line-verdicts")
+    firsts = places.groupBy("id", "id2").agg(F.min("place").alias("first"))
+    numbers = stage(number_rows(firsts, ["first"], name="line"), "first-places")
+    sets = line_sets(lines, rarity(docs, text)).join(numbers.select("id", "line"), "id").drop("id")
+    sets = stage(sets, "line-sets")
+    pairs = stage(first_candidates(prefix_rows(sets)), "first-pairs")
+    gone = stage(repeats(pairs, lines, numbers).withColumn("gone", F.lit(True)), "first-gone")
+    open_sets = sets.join(gone, "line", "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
+    pairs = stage(candidates(prefix_rows(open_sets)), "line-pairs")
+    gone = gone.union(repeats(pairs, lines, numbers).withColumn("gone", F.lit(True)))
+    verdict = stage(numbers.join(gone, "line", "left").select("id", "id2", "first", "gone"), "line-verdicts")
     goes = F.coalesce(F.col("gone"), F.lit(False)) | (F.col("place") != F.col("first"))
     gone = places.join(verdict, ["id", "id2"]).where(goes).select("place.*")
     per_text = gone.groupBy("key", "th").agg(F.collect_set("pos").alias("__gone")).withColumnRenamed("key", "__key").withColumnRenamed("th", "__th")
