@@ -133,7 +133,7 @@ def candidates(rows: DataFrame) -> DataFrame:
     """``x, y``: every earlier and later line that may be similar, where the later is not ``gone`` yet."""
     # every condition names both sides, so that both read the same shuffled rows
     x, y = rows.alias("x"), rows.alias("y")
-    met = F.expr(f"x.token = y.token AND NOT (y.gone AND x.line < y.line) AND {MAY_MATCH}")
+    met = F.expr(f"x.token = y.token AND NOT CASE WHEN x.line < y.line THEN y.gone ELSE x.gone END AND {MAY_MATCH}")
     return x.join(y, met).select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct()
 
 
