@@ -250,7 +250,8 @@ def pack(
     """
     if window < 2 or window & (window - 1):
         raise ValueError("the window must be a power of two")
-    pieces = tokenized_pieces(docs, key, text, window, vocabulary)
+    # written down: texts are tokenized once, however often the pieces are read
+    pieces = stage(tokenized_pieces(docs, key, text, window, vocabulary), "pieces")
     ranked, counts = _ranked(pieces)
     patterns, parked = plan(counts, window)
     slots, base = slots_of(patterns, 0)
