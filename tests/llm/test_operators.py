@@ -1,0 +1,411 @@
+"""Each operator against a brute-force version, and on nulls, ties, repeated rows and empty tables."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tests.oracle import connect, difference
+from tidemark.llm import language, lines, mixing, packing, pii, quality, sharding, simhash, vectors, wrappers
+from tidemark.llm.common import components
+from tidemark.llm.queries import ORACLES, QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, key string, bits string, line string"
+TEXTS = [
+    None, "", " ", "\n\n", "one", "a b c d e f g h i j", "a b c d e f g h i j", "a b c d e f g h i k\na b c d e f g h i j",
+    "Größe über alles, ja ja ja ja ja ja", "word " * 5000, "x" * 20000,
+    "mail a.b@c.de, +49 (30) 1234-5678, 10.0.0.256 10.0.0.25, 4111 1111 1111 1111 and 4111111111111112",
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "k", "b", "l") for i, t in enumerate(TEXTS)]
+    rows += [(None, "a b c d e f g h i j", None, None, None), rows[5], rows[-1]]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+# 1: lines
+
+
+def brute_lines(rows):
+    """``{(doc_id, text): text left}`` by comparing every pair of lines."""
+    places = [
+        ((d is not None, d or 0, t), p, line, frozenset(w.lower() for w in words(line)))
+        for d, t in set(rows) if t is not None for p, line in enumerate(t.split("\n")) if words(line)
+    ]
+    order = {k: i for i, k in enumerate(sorted({k for k, *_ in places}))}
+    out = {}
+    for d, t in set(rows):
+        if t is None:
+            out[d, t] = None
+            continue
+        own, kept = (d is not None, d or 0, t), []
+        for p, line in enumerate(t.split("\n")):
+            mine = frozenset(w.lower() for w in words(line))
+            earlier = mine and any(
+                (order[k], q) < (order[own], p) and 9 * len(mine & s) >= 4 * (len(mine) + len(s)) for k, q, _, s in places
+            )
+            if not earlier:
+                kept.append(line)
+        out[d, t] = "\n".join(kept)
+    return out
+
+
+def test_lines_equal_brute_force(spark, docs):
+    got = lines.dedup_lines(docs, "doc_id", "text").select("doc_id", "n_removed_lines", "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    wanted = brute_lines(rows)
+    left = Counter((r[0], r[2]) for r in got.collect())
+    assert left == Counter((d, wanted[d, t]) for d, t in rows)
+
+
+def test_lines_of_near_copies(spark):
+    base = [f"w{i}" for i in range(30)]
+    variants = [" ".join(base[:i] + [f"v{i}"] + base[i + 1 :]) for i in range(30)] + [" ".join(f"u{i}_{j}" for j in range(8)) for i in range(9)]
+    rows = [(i, v) for i, v in enumerate(variants)]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    assert {r.doc_id: r.text for r in got.collect()} == {d: t for (d, _), t in brute_lines(rows).items()}
+
+
+def test_line_query_equals_sql(spark):
+    assert difference(QUERIES["op1_line_dedup"](spark, SF_DIR), ORACLES["op1_line_dedup"], connect(SF_DIR)) is None
+
+
+def test_no_lines(nothing):
+    assert lines.dedup_lines(nothing, "doc_id", "text").collect() == []
+
+
+# 2: personal data
+
+RULES = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(text):
+    digits = [int(c) for c in text if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+
+def brute_spans(text):
+    found = []
+    for kind, (name, rule) in enumerate(RULES.items()):
+        for m in re.finditer(rule, text or ""):
+            n = sum(c.isdigit() for c in m.group())
+            good = {
+                "email": True, "ip": name != "ip" or all(int(p) <= 255 for p in m.group().split(".")),
+                "card": 14 <= n <= 19 and luhn(m.group()), "phone": 10 <= n <= 15,
+            }[name]
+            if good:
+                found.append((m.start(), kind, m.end()))
+    return sorted(found)
+
+
+def test_rule_spans_equal_brute_force(spark, docs, corpus):
+    odd = ["a@b.c_d@e.f g@h.i.", "1.2.3.4.5.6.7.8 1.1.1.300 0001.1.1.1", "+1 ((((((2) 3456789 0 +", "ü 4111-1111 1111-1111-", "x@y"]
+    more = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    every = docs.select("doc_id", "text").union(more).union(corpus.select("doc_id", "text"))
+    keyed = every.withColumn("both", F.struct("doc_id", "text"))
+    for row in pii.find_pii(keyed, "both", "text").collect():
+        assert sorted((s.start, s.kind, s.end) for s in row.base) == brute_spans(row.both.text)
+
+
+def test_pii_query_digest(spark, corpus):
+    texts = {r.doc_id: r.text for r in corpus.collect()}
+    for row in QUERIES["op2_pii"](spark, SF_DIR).collect():
+        base = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in brute_spans(texts[row.doc_id]))
+        assert row.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert set(filter(None, base.split(","))) <= set(row.spans.split(","))
+
+
+def test_nothing_added_without_labels_and_redaction(spark, nothing):
+    assert pii.find_pii(nothing, "doc_id", "text").collect() == []
+    assert pii.boost([]).threshold == float("inf")
+    one = spark.createDataFrame([("me a@b.de, you",)], "text string")
+    found = one.select(pii.redact(F.col("text"), F.expr("array(named_struct('start', 3, 'kind', 0, 'end', 9))")))
+    assert found.first()[0] == "me <email>, you"
+
+
+# 3: quality
+
+
+def test_measures_equal_brute_force(docs, corpus):
+    both = docs.select("doc_id", "text").union(corpus.select("doc_id", "text")).withColumn("k", F.struct("doc_id", "text"))
+    for row in quality.ledger(both, "k", "text").collect():
+        w = words(row.k.text)
+        windows = Counter(zip(w, w[1:], w[2:], strict=False))
+        inside = {j for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+        full = [line for line in (row.k.text or "").split("\n") if words(line)]
+        wanted = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", row.k.text or "")), len(full) - len(set(full)), len(inside))
+        assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == wanted
+        assert bool(row.failed & quality.BASE.mask) == (len(w) < 50 or 100 * len(inside) > 50 * len(w))
+
+
+def test_ablations(docs, nothing):
+    rows = quality.ledger(docs, "doc_id", "text")
+    found = {r.rule: r for r in quality.ablations(rows, quality.BASE).collect()}
+    failed = [r.failed & quality.BASE.mask for r in rows.collect()]
+    assert found["short"].failed == sum(f & 1 for f in failed)
+    assert found["short"].kept_without == sum(f in (0, 1) for f in failed)
+    assert quality.ledger(nothing, "doc_id", "text").collect() == []
+
+
+# 4: packing
+
+
+def check_packing(rows, texts):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    ids = [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for t in texts]
+    assert sum(r.length for r in rows) == sum(map(len, ids))
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    padding = 0
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
+        padding += 0 if at & (at - 1) == 0 else 2048 - at
+    assert padding <= packing.SLACK * len(sequences)
+    return ids
+
+
+def test_packing_round_trip(spark, corpus):
+    rows = QUERIES["op4_packing"](spark, SF_DIR).collect()
+    texts = {r.doc_id: r.text for r in corpus.collect()}
+    ids = dict(zip(texts, check_packing(rows, texts.values()), strict=True))
+    pieces = {}
+    for r in rows:
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert (len(part), zlib.crc32(part.tobytes()), r.doc_tokens) == (r.length, r.ids_crc32, len(ids[r.doc_id]))
+        pieces.setdefault(r.doc_id, []).append((r.start, r.length))
+    for key, parts in pieces.items():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [s for s, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] == len(ids[key])
+
+
+def test_packing_of_odd_texts(spark, docs, nothing):
+    more = spark.createDataFrame([(99, "<|endoftext|> and text", "", "", "")], SCHEMA)
+    every = docs.union(more)
+    check_packing(packing.pack(every, "doc_id", "text").collect(), [r.text for r in every.collect()])
+    assert packing.pack(nothing, "doc_id", "text").collect() == []
+
+
+@pytest.mark.parametrize("counts", [{1500: 1000}, {1: 5}, {2048: 3, 1024: 7, 700: 9, 648: 4}, {n: n % 17 for n in range(1, 2048)}])
+def test_plan_uses_no_piece_twice(counts):
+    patterns, parked = packing.plan(counts)
+    used = Counter()
+    for p in patterns:
+        assert 2048 - packing.SLACK <= sum(p.lengths) <= 2048
+        for n in p.lengths:
+            used[n] += p.repeats
+    assert {n: c for n, c in counts.items() if c} == dict(+(used + Counter(parked)))
+
+
+# 5: pages
+
+
+def test_main_text(spark):
+    page = (
+        "<html><head><title>t</title><style>p{}</style></head><body><nav><a href='/x>'>menu</a></nav><header>site</header>"
+        "<article><h1>Head &amp; more</h1><p>one <b>two</b>\n three<p>four<br>five<div class='ad'>buy</div>"
+        "<ul><li>six<li>seven</ul><script>if (a < b) x()</script><section class='comments'><p>me first</p></section></article>"
+        "<aside>side</aside><footer>&copy; x</footer></body></html>"
+    )
+    rows = [(1, "http://h/1", page), (2, "http://h/2", None), (3, None, ""), (4, "http://h/3", page[: page.index("six") + 3]), (5, "http://g/", "plain < text")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.main_text(frame, "url", "html").collect()}
+    assert got == {1: "Head & more one two three four five six seven", 2: "", 3: "", 4: "Head & more one two three four five six", 5: "plain < text"}
+    assert wrappers.main_text(frame.limit(0), "url", "html").collect() == []
+
+
+def test_wrapper_has_optional_and_repeated_groups():
+    def page(body):
+        return wrappers.expression(wrappers.blocks_of(body)[0])
+
+    a, b = page("<div><p>x</p></div>"), page("<div><h2>t</h2><p>x</p><p>y</p><p>z</p></div>")
+    merged = wrappers.align(a, b)
+    (_, _, [(name, inner)]) = merged[0]
+    assert name == "div"
+    assert [(o, r, body[0][0]) for o, r, body in inner] == [(True, False, "h2"), (False, True, "p")]
+
+
+# 6: SimHash
+
+
+def brute_print(text):
+    w = [x.lower() if x.isascii() else re.sub("[A-Z]", lambda m: m.group().lower(), x) for x in words(text)]
+    shingles = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_equals_brute_force(spark, docs, corpus):
+    rows = docs.where("doc_id is not null").select("doc_id", "text").union(corpus.select((F.col("doc_id") + 100).alias("doc_id"), "text"))
+    groups = {r.doc_id: (r.bits & (1 << 64) - 1, r.component) for r in simhash.simhash_components(rows, "doc_id", "text").collect()}
+    prints = {r.doc_id: brute_print(r.text) for r in rows.collect()}
+    assert {k: v[0] for k, v in groups.items()} == prints
+    label = {k: k for k in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            best = min(label[b] for b in prints if (prints[a] ^ prints[b]).bit_count() <= 2)
+            if best < label[a]:
+                label[a], changed = best, True
+    assert {k: v[1] for k, v in groups.items()} == label
+
+
+def test_pairs_within_two_bits(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.integers(-(2**63), 2**63 - 1, 20)
+    values = {int(c) for c in centres}
+    for c in centres:
+        for _ in range(20):
+            flips = sum(1 << int(b) for b in rng.choice(64, int(rng.integers(1, 4)), replace=False))
+            value = (int(c) ^ flips) & (1 << 64) - 1
+            values.add(value - (1 << 64) if value >> 63 else value)
+    frame = spark.createDataFrame([(v,) for v in values], "bits long")
+    got = {(r.a, r.b) for r in simhash.near_pairs(frame).collect()}
+    mask = (1 << 64) - 1
+    assert got == {(a, b) for a in values for b in values if a < b and ((a ^ b) & mask).bit_count() <= 2}
+
+
+def test_keep_first_and_components(spark, docs, nothing):
+    kept = simhash.keep_first(docs, "doc_id", "text")
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} >= {None, 0, 4, 5} and 6 not in {r.doc_id for r in kept.collect()}
+    assert simhash.simhash_components(nothing, "doc_id", "text").collect() == []
+    chain = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 50), (60, None)], "a long, b long")
+    assert {r.node: r.component for r in components(chain, "a", "b").collect()} == dict.fromkeys(range(21), 0)
+
+
+# 7: mixing
+
+
+def test_rake_meets_marginals():
+    cells = {("a", "x"): 10.0, ("a", "y"): 30.0, ("b", "x"): 5.0, ("b", "y"): 0.0, ("c", "y"): 7.0}
+    factors, gap = mixing.rake(cells, [{"a": 2, "b": 1, "c": 1}, {"x": 1, "y": 1}])
+    mass = {c: cells[c] * f for c, f in factors.items()}
+    total = sum(mass.values())
+    assert gap < 1e-6
+    assert abs(sum(m for c, m in mass.items() if c[0] == "a") / total - 0.5) < 1e-6
+    assert abs(sum(m for c, m in mass.items() if c[1] == "x") / total - 0.5) < 1e-6
+    scale = mixing.scale_to(cells, factors, 0.5)
+    assert abs(sum(w * min(1, scale * factors[c]) for c, w in cells.items()) - 26) < 1e-9
+
+
+def test_mix_keeps_rows_and_expected_tokens(spark, docs, nothing, corpus):
+    drawn = QUERIES["op7_mixing"](spark, SF_DIR).toPandas()
+    assert len(drawn) == corpus.count() and drawn.probability.between(0, 1).all()
+    assert abs((drawn.n_tokens * drawn.probability).sum() / drawn.n_tokens.sum() - 0.7) < 1e-6
+    formed = mixing.with_topic(docs, "text")
+    found = mixing.mix(formed, "doc_id", {"k": F.col("key"), "topic": F.col("__form.topic")}, F.col("__form.tokens"))
+    assert found.count() == docs.count()
+    empty = mixing.mix(mixing.with_topic(nothing, "text"), "doc_id", {"k": F.col("key")}, F.col("__form.tokens"))
+    assert empty.collect() == []
+
+
+# 8: shards
+
+
+def test_shards_are_consistent_and_dense(spark, docs, nothing):
+    many = docs.union(spark.range(3000).select((F.col("id") + 1000).alias("doc_id"), F.lit("t"), F.lit(""), F.lit(""), F.lit("")))
+    rows = sharding.shard(many, "doc_id", "text", 24).collect()
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+        assert r.grown_shard in (r.shard, 24)
+    assert len(rows) == many.count() and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    moved = sum(r.grown_shard == 24 for r in rows) / len(rows)
+    assert 0.02 < moved < 0.07
+    sizes = Counter((r.doc_id, r.size, r.text_crc32) for r in rows)
+    assert sizes == Counter((r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in many.collect())
+    assert sharding.shard(nothing, "doc_id", "text", 24).collect() == []
+
+
+# 9: vectors
+
+
+def test_vector_links_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((40, 16))
+    made = [*base, *(base[:20] + 0.05 * rng.standard_normal((20, 16))), *(2 * base[:3]), *base[:2]]
+    rows = [(i, [float(v) for v in x]) for i, x in enumerate(made)]
+    odd = [(900, None), (901, []), (902, [0.0] * 16), (903, [float("nan")] * 16), (904, [None, *[1.0] * 15]), (905, [1.0, 2.0]), (906, [2.0, 4.0])]
+    frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component, r.kept) for r in vectors.vector_links(frame, "vec_id", "embedding").collect()}
+    x = np.array(made) / np.linalg.norm(made, axis=1, keepdims=True)
+    near = x @ x.T >= 0.9
+    label = np.arange(len(x))
+    for _ in range(len(x)):
+        label = np.array([label[np.flatnonzero(r)].min() for r in near])
+    wanted = {i: (int(near[i].sum()) - 1, int(label[i]), label[i] == i) for i in range(len(x))}
+    wanted |= {k: (0, k, True) for k in (900, 901, 902, 903, 904)} | {905: (1, 905, True), 906: (1, 905, False)}
+    assert got == wanted
+    assert vectors.vector_links(frame.limit(0), "vec_id", "embedding").collect() == []
+
+
+# 10: languages
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    found = QUERIES["op10_language_id"](spark, "/root/testdata/sf0.01").where("held_out").join(docs, "doc_id")
+    assert found.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.95
+
+
+def test_texts_without_letters(spark, docs, nothing):
+    model = language.Languages({"aa": b"one two three four", "bb": b"uno dos tres cuatro"})
+    found = {r.doc_id: r for r in language.classify(docs, "doc_id", "text", model).collect()}
+    assert [found[i].lang_pred for i in range(4)] == ["und"] * 4 and not found[0].accepted
+    assert all(0 <= r.score <= 1 for r in found.values())
+    assert language.classify(nothing, "doc_id", "text", model).collect() == []
+    assert language.learn(nothing.withColumn("lang", F.lit("x")), "doc_id", "text", "lang").dictionaries == {}
+
+
+# the pipeline
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns = docs.columns
+    for name, function in corpus_pipeline.STAGES:
+        before = docs.count()
+        docs = corpus_pipeline.stage(function(spark, docs, SF_DIR), name)
+        if name != "packing":
+            assert docs.columns == columns and 0 < docs.count() <= before
+    sizes = docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0]
+    assert sizes <= 2048

@@ -74,7 +74,8 @@ def codes(classes: DataFrame, bits: int, bands: int) -> DataFrame:
                 own = np.abs(turned).sum(axis=2) / math.sqrt(n)
                 flat = signs.reshape(len(rows), -1)
                 groups = flat[:, : bits * bands].reshape(len(rows), bands, bits)
-                numbers = groups @ (1 << np.arange(bits, dtype=np.int64))
+                # vectors of different lengths never meet
+                numbers = groups @ (1 << np.arange(bits, dtype=np.int64)) + (n << 40)
                 for i, row in enumerate(rows):
                     keys[row], code[row], factors[row] = numbers[i], np.packbits(flat[i]).tobytes(), own[i]
             yield pa.RecordBatch.from_arrays(
