@@ -80,6 +80,17 @@ def test_interrupted_merge_is_completed_by_the_next(spark, database, monkeypatch
     assert [r[0].replace(tzinfo=None) for r in ended.collect()] == [datetime(2024, 1, 2)]
 
 
+def test_merge_goes_by_column_names(spark, database):
+    dim = Dimension(key="id", surrogate="sk", tracked=("a", "b"))
+    table = f"{database}.by_name"
+    first = spark.createDataFrame([(1, "x", "y")], "id int, a string, b string")
+    tables.merge_table(first, table, dim, as_of=day(1))
+    turned = spark.createDataFrame([(1, "y", "x"), (2, "q", "p")], "id int, b string, a string")
+    tables.merge_table(turned, table, dim, as_of=day(2))
+    found = spark.table(table).where("is_current").select("id", "a", "b").collect()
+    assert sorted(map(tuple, found)) == [(1, "x", "y"), (2, "p", "q")]
+
+
 def test_merge_leaves_earlier_closed_partitions_alone(spark, database):
     table = f"{database}.history"
     tables.merge_table(source(spark, [(1, "A")]), table, DIM, as_of=day(1))

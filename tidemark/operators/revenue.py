@@ -49,17 +49,15 @@ def daily_revenue(
 ) -> DataFrame:
     """Revenue per day, rounded to cents: ``order_date, daily_revenue``.
 
-    Items are summed per order first. That sum starts before the shuffle, so an order with very
-    many items arrives as few rows, and its partitioning serves the join as well.
+    Orders are filtered and joined first, so items of other months and states are never summed and,
+    where the orders left are few enough to be broadcast, never shuffled. An order with very many
+    items is split by adaptive execution; sums per day start before their shuffle.
     """
-    per_order = items.groupBy("order_item_order_id").agg(
-        F.sum("order_item_subtotal").alias("order_total")
-    )
     return (
         billed_orders(orders, statuses, month)
-        .join(per_order, F.col("order_id") == F.col("order_item_order_id"), "inner")
+        .join(items, F.col("order_id") == F.col("order_item_order_id"), "inner")
         .groupBy("order_date")
-        .agg(F.round(F.sum("order_total"), 2).alias("daily_revenue"))
+        .agg(F.round(F.sum("order_item_subtotal"), 2).alias("daily_revenue"))
     )
 
 
@@ -88,12 +86,9 @@ def daily_revenue_sql(
     names = [f"status_{i}" for i in range(len(statuses))]
     return spark.sql(
         f"""
-        SELECT to_date(o.order_date) AS order_date, round(sum(p.order_total), 2) AS daily_revenue
+        SELECT to_date(o.order_date) AS order_date, round(sum(i.order_item_subtotal), 2) AS daily_revenue
         FROM IDENTIFIER(:orders) o
-        JOIN (SELECT order_item_order_id, sum(order_item_subtotal) AS order_total
-              FROM IDENTIFIER(:items)
-              GROUP BY order_item_order_id) p
-          ON o.order_id = p.order_item_order_id
+        JOIN IDENTIFIER(:items) i ON o.order_id = i.order_item_order_id
         WHERE o.order_status IN ({", ".join(":" + n for n in names)})
           AND o.order_date >= :first AND o.order_date < :following
         GROUP BY 1

@@ -51,7 +51,16 @@ def replace_rows(df: DataFrame, table: str) -> None:
 
     The frame is staged first: Spark refuses to overwrite what it is reading.
     """
-    stage(df, "replacement").write.insertInto(table, overwrite=True)
+    columns = df.sparkSession.table(table).columns
+    _same_columns(df, columns, table)
+    stage(df.select(columns), "replacement").write.insertInto(table, overwrite=True)
+
+
+def _same_columns(df: DataFrame, columns: list[str], table: str) -> None:
+    """Rows go into a table by column name; a column that only one side has is an error."""
+    if set(df.columns) != set(columns):
+        odd = sorted(set(df.columns) ^ set(columns))
+        raise ValueError(f"{table} and the rows for it differ in the columns {odd}")
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
@@ -107,8 +116,11 @@ def finish_merge(spark: SparkSession, table: str) -> None:
     if not pending:
         return
     staged = spark.read.parquet(pending["path"])
-    listed = ", ".join(f"`{c}`" for c in staged.columns if c not in _PARTITIONS)
     for target in pending["targets"].split(" "):
+        columns = spark.table(target).columns
+        _same_columns(staged, columns, target)
+        # the insert is by position: columns in the order of the table
+        listed = ", ".join(f"`{c}`" for c in columns if c not in _PARTITIONS)
         for current, until in (("true", pending["open"]), ("false", pending["closed"])):
             spark.sql(
                 f"INSERT OVERWRITE {target} "

@@ -56,6 +56,8 @@ def read_jdbc(
     Predicates suit a column whose values are too uneven for equal strides; together they must
     cover every row once. With neither, a single connection reads the table: small tables only.
     """
+    if predicates and split is not None:
+        raise ValueError("give either predicates or a split, not both")
     if predicates:
         properties = {"driver": database.driver, "fetchsize": str(fetch_size), **database.options}
         return spark.read.jdbc(
