@@ -129,7 +129,14 @@ def test_row_without_key_is_quarantined(spark):
     new = source(spark, [(None, "t", "A", "e"), (1, "t", "A", "e")])
     valid, missing = scd2.split_missing_keys(new, DIM)
     assert (valid.count(), missing.count()) == (1, 1)
-    assert [r[0] for r in plain(merge(history(spark, []), new))] == [1]
+    with pytest.raises(scd2.HistoryError, match="1 source rows have no id"):
+        merge(history(spark, []), new)
+    taken = []
+    merged = scd2.scd2_merge(
+        history(spark, []), new, DIM, as_of=at(NOW), quarantine=lambda rows, n: taken.append((n, rows.count()))
+    )
+    assert [r[0] for r in plain(merged)] == [1]
+    assert taken == [(1, 1)]
 
 
 def test_repeated_keys_are_refused(spark):

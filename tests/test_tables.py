@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.revenue import daily_revenue
-from tidemark.operators.scd2 import Dimension
+from tidemark.operators.scd2 import Dimension, HistoryError
 from tidemark.plans.tables import BILLED, retail_items, retail_orders
 from tidemark.sinks import tables
 from tidemark.sources import catalog
@@ -105,6 +105,119 @@ def test_merge_leaves_earlier_closed_partitions_alone(spark, database):
     assert before < closed_files()
 
 
+def open_history(spark, table, ends="9999-12-31 23:59:59"):
+    rows = spark.createDataFrame([(1, "A", 1), (2, "B", 2)], "id int, company string, sk int")
+    times = {"effective_date": F.lit(day(1)), "expiration_date": F.lit(ends).cast("timestamp"), "is_current": F.lit(True)}
+    tables.save_history(rows.withColumns(times), table)
+
+
+def test_open_rows_with_any_end_are_replaced(spark, database):
+    table = f"{database}.history"
+    open_history(spark, table, "9999-12-31 00:00:00")
+    tables.merge_table(source(spark, [(1, "A"), (2, "B2")]), table, DIM, as_of=day(2))
+    expected = [(1, "A", 1, True), (2, "B", 2, False), (2, "B2", 3, True)]
+    assert state(spark, table) == expected
+    tables.merge_table(source(spark, [(1, "A"), (2, "B2")]), table, DIM, as_of=day(3))
+    assert state(spark, table) == expected
+
+
+def test_copy_that_missed_a_merge_becomes_whole(spark, database):
+    table, synced = f"{database}.history", f"{database}.synced"
+    for number, company, copied in ((1, "A", True), (2, "B", False), (3, "C", True), (4, "D", True)):
+        copy = {"synced": synced} if copied else {}
+        tables.merge_table(source(spark, [(1, company)]), table, DIM, as_of=day(number), **copy)
+    assert len(state(spark, table)) == 4
+    assert sorted(spark.table(synced).collect()) == sorted(spark.table(table).collect())
+
+
+def test_times_do_not_depend_on_the_zone_of_the_session(spark, database):
+    table = f"{database}.history"
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        tables.merge_table(source(spark, [(1, "A")]), table, DIM, as_of=day(1))
+        tables.merge_table(source(spark, [(1, "B")]), table, DIM, as_of=day(2))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    closed = spark.table(table).filter("NOT is_current").select(F.unix_seconds("expiration_date")).first()[0]
+    started = spark.table(table).filter("is_current").select(F.unix_seconds("effective_date")).first()[0]
+    assert closed == started == day(2).timestamp()
+
+
+def test_lost_staged_result(spark, database, monkeypatch):
+    table = f"{database}.history"
+    tables.merge_table(source(spark, [(1, "A")]), table, DIM, as_of=day(1))
+
+    def die_in(function):
+        with monkeypatch.context() as patch:
+            patch.setattr(tables, *function)
+            with pytest.raises(RuntimeError, match="driver lost"):
+                tables.merge_table(source(spark, [(1, "B")]), table, DIM, as_of=day(2))
+        staged = tables._get(spark, table, tables._PENDING)["staged"]
+        spark.sql(f"DROP TABLE {staged}")
+
+    def lost(*_, **__):
+        raise RuntimeError("driver lost")
+
+    die_in(("_apply", lost))  # nothing is written yet: the next merge starts afresh
+    tables.merge_table(source(spark, [(1, "C")]), table, DIM, as_of=day(2))
+    assert state(spark, table) == [(1, "A", 1, False), (1, "C", 2, True)]
+    begun = tables._apply
+
+    def half(session, pending, target, *, marked):
+        begun(session, pending | {"closes": "0"}, target, marked=marked)
+        lost()
+
+    die_in(("_apply", half))
+    with pytest.raises(HistoryError, match="has begun to write"):
+        tables.merge_table(source(spark, [(1, "C")]), table, DIM, as_of=day(3))
+
+
+def test_merge_into_the_past_is_refused(spark, database):
+    table = f"{database}.history"
+    tables.merge_table(source(spark, [(1, "A")]), table, DIM, as_of=day(3))
+    for _ in range(2):  # the second time by what the merge left behind
+        with pytest.raises(HistoryError, match="before the last change"):
+            tables.merge_table(source(spark, [(1, "B")]), table, DIM, as_of=day(2))
+        tables.merge_table(source(spark, []), table, DIM, as_of=day(4))
+
+
+def test_merge_without_changes_writes_nothing(spark, database):
+    table = f"{database}.history"
+    tables.merge_table(source(spark, [(1, "A")]), table, DIM, as_of=day(1))
+    before = set(spark.table(table).inputFiles())
+    tables.merge_table(source(spark, [(1, "A")]), table, DIM, as_of=day(2))
+    assert set(spark.table(table).inputFiles()) == before
+    tables.merge_table(source(spark, [(1, "A"), (2, "B")]), table, DIM, as_of=day(3))
+    assert [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] == ["is_current=true/closed_in=open"]
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()] == ["history"]
+
+
+def test_rows_without_a_key_are_refused_or_handed_over(spark, database):
+    table, given = f"{database}.history", []
+
+    def keep(rows, count):
+        given.append((count, sorted(r.company for r in rows.collect())))
+
+    first = source(spark, [(1, "A"), (None, "x"), (None, "y")])
+    with pytest.raises(HistoryError, match="2 source rows have no id"):
+        tables.merge_table(first, table, DIM, as_of=day(1))
+    assert not catalog.table_exists(spark, table)
+    tables.merge_table(first, table, DIM, as_of=day(1), quarantine=keep)
+    second = source(spark, [(1, "B"), (None, "z")])
+    with pytest.raises(HistoryError, match="1 source rows have no id"):
+        tables.merge_table(second, table, DIM, as_of=day(2))
+    tables.merge_table(second, table, DIM, as_of=day(2), quarantine=keep)
+    assert given == [(2, ["x", "y"]), (1, ["z"])]
+    assert state(spark, table) == [(1, "A", 1, False), (1, "B", 2, True)]
+
+
+def test_history_of_another_layout_is_refused(spark, database):
+    table = f"{database}.history"
+    tables.save_table(source(spark, [(1, "A")]), table)
+    with pytest.raises(HistoryError, match="save_history"):
+        tables.merge_table(source(spark, [(1, "B")]), table, DIM, as_of=day(2))
+
+
 def test_history_table_by_day(spark, database):
     table = f"{database}.history"
     dim = Dimension(key="id", surrogate="sk", tracked=("company",), time_type="date")

@@ -19,7 +19,8 @@ Spark broadcasts them and the rows are not shuffled at all.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -34,6 +35,11 @@ from tidemark.session import stage
 NOCHANGE, DELETE, INSERT, UPDATE = "NOCHANGE", "DELETE", "INSERT", "UPDATE"
 ACTION = "scd2_action"
 
+#: Takes the source rows that have no key, and their number.
+Quarantine = Callable[[DataFrame, int], None]
+
+log = logging.getLogger(__name__)
+
 
 class HistoryError(ValueError):
     """The source or the history breaks the contract of the dimension."""
@@ -65,6 +71,10 @@ class Dimension:
     def open_end(self) -> Column:
         return self.moment(OPEN_END)
 
+    def clock(self, moment: Column) -> Column:
+        """A time of the history as a number that does not depend on the session's zone."""
+        return (F.unix_date if self.time_type == "date" else F.unix_micros)(moment).cast("long")
+
 
 def split_history(history: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Open rows and closed rows."""
@@ -104,17 +114,34 @@ def _one_per_key(df: DataFrame, dim: Dimension, side: str, columns: Sequence[str
     )
 
 
-def find_changes(open_rows: DataFrame, source: DataFrame, dim: Dimension) -> DataFrame:
+def find_changes(
+    open_rows: DataFrame, source: DataFrame, dim: Dimension, *, quarantine: Quarantine | None = None
+) -> DataFrame:
     """The keys that change, written to the scratch folder: ``<key>, scd2_action``.
 
-    Raises ``HistoryError`` where a key has several live rows.
+    Raises ``HistoryError`` where a key has several live rows, and where source rows have no key
+    and there is no ``quarantine`` to take them.
     """
     repeated = (F.col("h_rows") > 1) | (F.col("c_rows") > 1)
     found = stage(
         classify(open_rows, source, dim).filter((F.col(ACTION) != NOCHANGE) | repeated), "changes"
     )
-    _refuse_repeated(found, {"h_rows": "history", "c_rows": "source"})
-    return found.select(F.col("key").alias(dim.key), ACTION)
+    valid = _keyed(found, source, dim, quarantine)
+    _refuse_repeated(valid, {"h_rows": "history", "c_rows": "source"})
+    return valid.select(F.col("key").alias(dim.key), ACTION)
+
+
+def _keyed(
+    found: DataFrame, source: DataFrame, dim: Dimension, quarantine: Quarantine | None
+) -> DataFrame:
+    """The counted keys without the missing one; its source rows are refused or handed over."""
+    missing = found.filter("key IS NULL").agg(F.coalesce(F.sum("c_rows"), F.lit(0))).first()[0]
+    if missing and quarantine is None:
+        raise HistoryError(f"{missing} source rows have no {dim.key}; name a quarantine for them")
+    if missing:
+        log.warning("%d source rows without %s go to the quarantine", missing, dim.key)
+        quarantine(split_missing_keys(source, dim)[1], missing)
+    return found.filter("key IS NOT NULL")
 
 
 def _refuse_repeated(found: DataFrame, sides: dict[str, str]) -> None:
@@ -129,17 +156,35 @@ def _refuse_repeated(found: DataFrame, sides: dict[str, str]) -> None:
         raise HistoryError(f"keys with more than one live row: {shown}")
 
 
-def highest_key(history: DataFrame, dim: Dimension) -> int:
-    """The highest surrogate key of all rows, open or closed; 0 where there are none.
+def history_ends(
+    history: DataFrame, dim: Dimension, as_of: datetime | Column | None = None
+) -> tuple[int, int, int]:
+    """The highest surrogate key (0 where there are none), the latest time, and ``as_of``.
 
-    The same pass refuses a history with rows that are neither open nor closed.
+    All rows count, open or closed; times are numbers of ``Dimension.clock``, the latest being that
+    of a row's start or of a closed row's end. The same pass refuses a history with rows that are
+    neither open nor closed.
     """
-    highest, unset = history.agg(
-        F.coalesce(F.max(dim.surrogate), F.lit(0)), F.count_if(F.col("is_current").isNull())
+    ended = F.when(~F.col("is_current"), F.col("expiration_date"))
+    latest = F.max(F.greatest(dim.clock(F.col("effective_date")), dim.clock(ended)))
+    moment = dim.moment(as_of)
+    highest, unset, latest, now = history.agg(
+        F.coalesce(F.max(dim.surrogate), F.lit(0)),
+        F.count_if(F.col("is_current").isNull()),
+        latest,
+        F.max(dim.clock(moment)),
     ).first()
+    if now is None:  # no rows
+        now = history.sparkSession.range(1).select(dim.clock(moment)).first()[0]
     if unset:
         raise HistoryError(f"history holds {unset} rows whose is_current is NULL")
-    return highest
+    return highest, now if latest is None else latest, now
+
+
+def refuse_past(latest: int, now: int) -> None:
+    """Changes follow one another: none may take effect before what the history holds."""
+    if now < latest:
+        raise HistoryError(f"as_of lies {latest - now} microseconds or days before the last change")
 
 
 def number_changes(changes: DataFrame, dim: Dimension, *, start: int) -> DataFrame:
@@ -199,19 +244,34 @@ def scd2_versions(
     dim: Dimension,
     *,
     as_of: datetime | Column | None = None,
+    quarantine: Quarantine | None = None,
 ) -> DataFrame:
     """What becomes of every live key: history rows, each with the ``scd2_action`` it follows from.
 
-    Finds and numbers the changes at once; the join of the whole rows stays lazy.
+    Finds and numbers the changes at once; the join of the whole rows stays lazy. ``as_of`` must
+    not lie before the last change of the history.
     """
     as_of = dim.moment(as_of)
-    valid, _ = split_missing_keys(source, dim)
     open_rows, _ = split_history(history.select(dim.history_columns(source.columns)))
-    start = highest_key(history, dim) + 1
-    changes = find_changes(open_rows, valid, dim)
+    highest, latest, now = history_ends(history, dim, as_of)
+    refuse_past(latest, now)
+    changes = find_changes(open_rows, source, dim, quarantine=quarantine)
+    return next_versions(open_rows, source, changes, dim, as_of, start=highest + 1)
+
+
+def next_versions(
+    open_rows: DataFrame,
+    source: DataFrame,
+    changes: DataFrame,
+    dim: Dimension,
+    as_of: datetime | Column | None,
+    *,
+    start: int,
+) -> DataFrame:
+    """The open rows and the added ones after known changes, numbered from ``start``."""
     numbered = number_changes(changes, dim, start=start)
     return carried_versions(open_rows, changes, dim, as_of).unionByName(
-        added_versions(valid, numbered, dim, as_of)
+        added_versions(source, numbered, dim, as_of)
     )
 
 
@@ -221,23 +281,29 @@ def scd2_merge(
     dim: Dimension,
     *,
     as_of: datetime | Column | None = None,
+    quarantine: Quarantine | None = None,
 ) -> DataFrame:
     """The next history: closed rows as they are, plus what follows for every live key.
 
     ``as_of`` is the time of the change (default: now, fixed when the call is made). ``source``
-    and ``history`` are read more than once and must not change meanwhile.
+    and ``history`` are read more than once and must not change meanwhile. Source rows without a
+    key are an error, or go to ``quarantine``.
     """
     _, closed = split_history(history.select(dim.history_columns(source.columns)))
-    return closed.unionByName(scd2_versions(history, source, dim, as_of=as_of).drop(ACTION))
+    versions = scd2_versions(history, source, dim, as_of=as_of, quarantine=quarantine)
+    return closed.unionByName(versions.drop(ACTION))
 
 
 def scd2_initial(
-    source: DataFrame, dim: Dimension, *, as_of: datetime | Column | None = None
+    source: DataFrame,
+    dim: Dimension,
+    *,
+    as_of: datetime | Column | None = None,
+    quarantine: Quarantine | None = None,
 ) -> DataFrame:
-    """The first history: every source row open, numbered in key order from 1."""
-    valid, _ = split_missing_keys(source, dim)
-    counts = valid.groupBy(F.col(dim.key).alias("key")).agg(F.count(F.lit(1)).alias("c_rows"))
-    found = stage(counts, "keys")
+    """The first history: every source row with a key open, numbered in key order from 1."""
+    counts = source.groupBy(F.col(dim.key).alias("key")).agg(F.count(F.lit(1)).alias("c_rows"))
+    found = _keyed(stage(counts, "keys"), source, dim, quarantine)
     _refuse_repeated(found, {"c_rows": "source"})
     keys = found.select(F.col("key").alias(dim.key), F.lit(INSERT).alias(ACTION))
-    return added_versions(valid, number_changes(keys, dim, start=1), dim, as_of).drop(ACTION)
+    return added_versions(source, number_changes(keys, dim, start=1), dim, as_of).drop(ACTION)

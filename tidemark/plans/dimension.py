@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -18,7 +18,7 @@ from tidemark.operators.scd2 import Dimension
 from tidemark.plans.registry import query
 from tidemark.plans.tables import table, zoneless
 from tidemark.session import scratch_path
-from tidemark.sinks.tables import merge_table
+from tidemark.sinks.tables import CLOSED_IN, copy_table, merge_table, save_history
 from tidemark.sources.catalog import create_database
 
 DIM = Dimension(key="c_custkey", surrogate="sk_customer", tracked=("c_name", "c_mktsegment"))
@@ -200,21 +200,50 @@ def _new_database(spark):
     return name
 
 
+def _history_of(spark, history):
+    """The rows of a history table, without its layout."""
+    return _shown(spark.table(history).drop(CLOSED_IN))
+
+
 @query(INITIAL_SQL)
 def scd2_initial(spark, sf_dir):
     """The first load of a history table that does not exist yet."""
     history = f"{_new_database(spark)}.customer_history"
     merge_table(table(spark, sf_dir, "customer"), history, DIM, as_of=AS_OF)
-    return _shown(spark.table(history))
+    return _history_of(spark, history)
 
 
 @query(NEXT_SQL)
 def scd2_sync(spark, sf_dir):
-    """A merge into an existing history table; the rows of the table kept equal to it."""
+    """The rows of a copy that missed a merge of its history, after the next one."""
     database = _new_database(spark)
     history, synced = f"{database}.customer_history", f"{database}.customer_incremental"
-    history_frame(spark, sf_dir).write.partitionBy("is_current", "expiration_date").saveAsTable(
-        history
-    )
-    merge_table(source_frame(spark, sf_dir), history, DIM, as_of=AS_OF, synced=synced)
-    return _shown(spark.table(synced))
+    save_history(history_frame(spark, sf_dir), history)
+    copy_table(spark, history, synced)
+    source = source_frame(spark, sf_dir)
+    merge_table(source, history, DIM, as_of=AS_OF)
+    merge_table(source, history, DIM, as_of=AS_OF, synced=synced)
+    return _history_of(spark, synced)
+
+
+@query(
+    f"""
+    SELECT * REPLACE (
+        CASE WHEN is_current AND c_nationkey = 9 THEN TIMESTAMP '2024-02-01 00:00:00'
+             ELSE expiration_date END AS expiration_date,
+        is_current AND c_nationkey <> 9 AS is_current)
+    FROM ({NEXT_SQL.replace("ELSE TIMESTAMP '9999-12-31 23:59:59' END", "ELSE TIMESTAMP '9999-12-31 00:00:00' END")})
+    """
+)
+def scd2_table(spark, sf_dir):
+    """Two merges of a table whose open rows end at a day's start; the second source has its columns turned round."""
+    database = _new_database(spark)
+    history, synced = f"{database}.customer_history", f"{database}.customer_incremental"
+    ends = F.when(F.col("is_current"), F.lit("9999-12-31 00:00:00").cast("timestamp"))
+    rows = history_frame(spark, sf_dir).withColumn("expiration_date", F.coalesce(ends, "expiration_date"))
+    save_history(rows, history)
+    source = source_frame(spark, sf_dir)
+    merge_table(source, history, DIM, as_of=AS_OF, synced=synced)
+    later = source.filter("c_nationkey <> 9").select(*reversed(source.columns))
+    merge_table(later, history, DIM, as_of=AS_OF + timedelta(days=31), synced=synced)
+    return _history_of(spark, synced)

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 
-from tidemark.operators.scd2 import Dimension, scd2_initial, scd2_merge
+from tidemark.operators.scd2 import Dimension, Quarantine, scd2_initial, scd2_merge
 from tidemark.session import stage
 from tidemark.sources.external import JdbcDatabase
 
@@ -45,16 +45,18 @@ def merge_external(
     dim: Dimension,
     *writes: Callable[[DataFrame], None],
     as_of: datetime | Column | None = None,
+    quarantine: Quarantine | None = None,
 ) -> None:
     """Write the next history of a dimension to a table outside the lake, and to its copies.
 
     ``history`` is the table as read, or ``None`` for the first load. An external overwrite empties
     the table that the merge is still reading, so the result is staged before the first write.
+    Source rows without a key are an error, or go to ``quarantine``.
     """
     if history is None:
-        result = scd2_initial(source, dim, as_of=as_of)
+        result = scd2_initial(source, dim, as_of=as_of, quarantine=quarantine)
     else:
-        result = scd2_merge(history, source, dim, as_of=as_of)
+        result = scd2_merge(history, source, dim, as_of=as_of, quarantine=quarantine)
     staged = stage(result, "history")
     for write in writes:
         write(staged)

@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
+import logging
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.scd2 import ACTION, Dimension, scd2_initial, scd2_versions, split_history
-from tidemark.session import scratch_path, stage
-
-_PARTITIONS = ("is_current", "expiration_date")
-_PENDING = "tidemark.pending."
+from tidemark.operators.scd2 import (
+    ACTION,
+    DELETE,
+    INSERT,
+    UPDATE,
+    Dimension,
+    HistoryError,
+    Quarantine,
+    find_changes,
+    history_ends,
+    next_versions,
+    refuse_past,
+    scd2_initial,
+    split_history,
+)
+from tidemark.session import stage
+
+#: The merge that closed a row; ``open`` while it is open, ``before`` if closed before the first merge.
+CLOSED_IN = "closed_in"
+_PARTITIONS = ("is_current", CLOSED_IN)
+#: Table properties: the last merge, what it left behind, and a merge that is not applied yet.
+_STATE, _PENDING = "tidemark.history.", "tidemark.pending."
+
+log = logging.getLogger(__name__)
 
 
 def insert_into(spark: SparkSession, table: str, query: str) -> None:
@@ -68,6 +89,14 @@ def copy_table(spark: SparkSession, source: str, target: str) -> None:
     spark.table(source).write.mode("overwrite").saveAsTable(target)
 
 
+def save_history(history: DataFrame, table: str) -> None:
+    """Save a history as a table in the layout that ``merge_table`` works on."""
+    closed_in = F.when(F.col("is_current"), F.lit("open")).otherwise(F.lit("before"))
+    laid_out = history.withColumn(CLOSED_IN, closed_in)
+    laid_out.write.partitionBy(*_PARTITIONS).saveAsTable(table)
+    _set(history.sparkSession, table, _STATE, {"merge": uuid.uuid4().hex})
+
+
 def merge_table(
     source: DataFrame,
     table: str,
@@ -75,86 +104,150 @@ def merge_table(
     *,
     as_of: datetime | None = None,
     synced: str | None = None,
+    quarantine: Quarantine | None = None,
 ) -> None:
     """Bring a history table up to date with the source, or create it on the first call.
 
-    The table is partitioned by ``is_current, expiration_date``. A merge reads the open partition
-    and replaces two: the open one and the one closed at ``as_of``. Rows closed earlier stay as
-    they are; of them only the surrogate keys are read, for the highest one.
+    The table is partitioned by ``is_current, closed_in``; times are plain columns. A merge reads
+    the open rows, whatever their ``expiration_date``, replaces them and adds one partition of the
+    rows that it closes; rows closed earlier are neither read nor written. Without changes nothing
+    is written. ``as_of`` must not lie before the last change.
 
-    Both replacements come from a staged result that the table properties point to until they
-    are done; a merge that died in between is completed by the next call. ``synced`` names a
-    second table that is kept equal to the history the same way.
+    The result is staged as a table beside the history, named by its properties until it is
+    applied; a merge that died in between is completed by the next call. ``synced`` names a second
+    table that is kept equal to the history: by the same two partitions, or by a full copy where it
+    is not at the history's previous merge. Source rows without a key are an error, or go to
+    ``quarantine``.
     """
     spark = source.sparkSession
     as_of = datetime.now(timezone.utc) if as_of is None else as_of
     if not spark.catalog.tableExists(table):
-        first = scd2_initial(source, dim, as_of=as_of)
-        first.write.partitionBy(*_PARTITIONS).saveAsTable(table)
+        save_history(scd2_initial(source, dim, as_of=as_of, quarantine=quarantine), table)
     else:
         finish_merge(spark, table)
-        path = scratch_path(spark, "merge")
-        _next_partitions(spark.table(table), source, dim, as_of).write.parquet(path)
-        times = spark.range(1).select(
-            dim.moment(as_of).cast("string").alias("closed"),
-            dim.open_end().cast("string").alias("open"),
-        )
-        targets = [table]
-        if synced is not None and spark.catalog.tableExists(synced):
-            targets.append(synced)
-        _set_pending(
-            spark, table, {"path": path, "targets": " ".join(targets), **times.first().asDict()}
-        )
+        _stage_merge(source, table, dim, as_of, synced, quarantine)
         finish_merge(spark, table)
-    if synced is not None and not spark.catalog.tableExists(synced):
-        spark.table(table).write.partitionBy(*_PARTITIONS).saveAsTable(synced)
+    if synced is not None:
+        _catch_up(spark, table, synced)
+
+
+def _stage_merge(
+    source: DataFrame,
+    table: str,
+    dim: Dimension,
+    as_of: datetime,
+    synced: str | None,
+    quarantine: Quarantine | None,
+) -> None:
+    """Write down what a merge will put into the table, and point to it."""
+    spark = source.sparkSession
+    history, state = spark.table(table), _get(spark, table, _STATE)
+    if CLOSED_IN not in history.columns:
+        raise HistoryError(f"{table} has no column {CLOSED_IN}: lay it out with save_history")
+    columns = [*dim.history_columns(source.columns), CLOSED_IN]
+    _same_columns(history, columns, f"{table} (before the merge)")
+    open_rows, _ = split_history(history.drop(CLOSED_IN))
+    # what the last merge left behind saves a scan of the closed rows
+    known = "highest" in state
+    highest, latest, now = history_ends(open_rows if known else history, dim, as_of)
+    if known:
+        highest, latest = max(highest, int(state["highest"])), max(latest, int(state["latest"]))
+    refuse_past(latest, now)
+    changes = find_changes(open_rows, source, dim, quarantine=quarantine)
+    counts = {row[ACTION]: row["count"] for row in changes.groupBy(ACTION).count().collect()}
+    if not counts:
+        return
+    merge = uuid.uuid4().hex
+    staged = f"{table}__merge_{merge}"
+    rows = next_versions(open_rows, source, changes, dim, as_of, start=highest + 1).drop(ACTION)
+    rows.write.partitionBy("is_current").saveAsTable(staged)
+    pending = {
+        "merge": merge,
+        "staged": staged,
+        "previous": state.get("merge", ""),
+        "closes": str(counts.get(DELETE, 0) + counts.get(UPDATE, 0)),
+        "highest": str(highest + counts.get(INSERT, 0) + counts.get(UPDATE, 0)),
+        "latest": str(now),
+    }
+    if synced is not None and spark.catalog.tableExists(synced):
+        pending["synced"] = synced
+    _set(spark, table, _PENDING, pending)
 
 
 def finish_merge(spark: SparkSession, table: str) -> None:
-    """Apply the staged result of a merge, if one is pending. Repeating it changes nothing."""
-    pending = _get_pending(spark, table)
+    """Apply the staged result of a merge, if one is pending. Repeating it changes nothing.
+
+    Where the staged result is lost before a partition was touched, the merge is given up and a
+    fresh one may follow; afterwards that is an error.
+    """
+    pending = _get(spark, table, _PENDING)
     if not pending:
         return
-    staged = spark.read.parquet(pending["path"])
-    for target in pending["targets"].split(" "):
-        columns = spark.table(target).columns
-        _same_columns(staged, columns, target)
-        # the insert is by position: columns in the order of the table
-        listed = ", ".join(f"`{c}`" for c in columns if c not in _PARTITIONS)
-        for current, until in (("true", pending["open"]), ("false", pending["closed"])):
-            spark.sql(
-                f"INSERT OVERWRITE {target} "
-                f"PARTITION (is_current = {current}, expiration_date = '{until}') "
-                f"SELECT {listed} FROM {{staged}} WHERE is_current = {current}",
-                staged=staged,
+    if not spark.catalog.tableExists(pending["staged"]):
+        # the state is written after the last partition: then only the copy may be missing something
+        applied = _get(spark, table, _STATE).get("merge") == pending["merge"]
+        if "begun" in pending and not applied:
+            raise HistoryError(
+                f"{pending['staged']} is gone, but the merge has begun to write {pending['begun']} of {table}"
             )
-    _set_pending(spark, table, {})
+        log.warning("%s is gone; the merge of %s is given up", pending["staged"], table)
+        _set(spark, table, _PENDING, {})
+        return
+    state = {name: pending[name] for name in ("merge", "highest", "latest")}
+    _apply(spark, pending, table, marked=table)
+    _set(spark, table, _STATE, state)
+    synced = pending.get("synced")
+    if synced is not None and _get(spark, synced, _STATE).get("merge") == pending["previous"]:
+        _set(spark, synced, _STATE, {})  # until it is whole again, it is at no merge
+        _apply(spark, pending, synced, marked=table)
+        _set(spark, synced, _STATE, {"merge": pending["merge"]})
+    _set(spark, table, _PENDING, {})
+    spark.sql(f"DROP TABLE IF EXISTS {pending['staged']}")
+
+
+def _apply(spark: SparkSession, pending: dict[str, str], target: str, *, marked: str) -> None:
+    staged, columns = spark.table(pending["staged"]), spark.table(target).columns
+    _same_columns(staged.withColumn(CLOSED_IN, F.lit("")), columns, target)
+    # the insert is by position: columns in the order of the table
+    listed = ", ".join(f"`{c}`" for c in columns if c not in _PARTITIONS)
+    parts = [("true", "open")]
+    if pending["closes"] != "0":
+        parts.insert(0, ("false", pending["merge"]))
+    for current, closed_in in parts:
+        _set(spark, marked, _PENDING, pending | {"begun": f"is_current={current} in {target}"})
+        spark.sql(
+            f"INSERT OVERWRITE {target} "
+            f"PARTITION (is_current = {current}, {CLOSED_IN} = '{closed_in}') "
+            f"SELECT {listed} FROM {{staged}} WHERE is_current = {current}",
+            staged=staged,
+        )
 
 
-def _next_partitions(
-    history: DataFrame, source: DataFrame, dim: Dimension, as_of: datetime
-) -> DataFrame:
-    """All rows of the open partition and of the one closed at ``as_of`` after a merge."""
-    live = scd2_versions(history, source, dim, as_of=as_of).drop(ACTION)
-    # An earlier merge at the same time has closed rows in the partition that is replaced.
-    _, closed = split_history(history)
-    closed_now = closed.filter(F.col("expiration_date") == dim.moment(as_of))
-    return live.unionByName(closed_now)
+def _catch_up(spark: SparkSession, table: str, synced: str) -> None:
+    """Copy the whole history where its copy is not at the same merge."""
+    merge = _get(spark, table, _STATE).get("merge")
+    if spark.catalog.tableExists(synced) and merge and _get(spark, synced, _STATE).get("merge") == merge:
+        return
+    spark.table(table).write.mode("overwrite").partitionBy(*_PARTITIONS).saveAsTable(synced)
+    if merge:
+        _set(spark, synced, _STATE, {"merge": merge})
 
 
-def _get_pending(spark: SparkSession, table: str) -> dict[str, str]:
+def _get(spark: SparkSession, table: str, prefix: str) -> dict[str, str]:
     properties = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
     return {
-        row["key"].removeprefix(_PENDING): row["value"]
+        row["key"].removeprefix(prefix): row["value"]
         for row in properties
-        if row["key"].startswith(_PENDING)
+        if row["key"].startswith(prefix)
     }
 
 
-def _set_pending(spark: SparkSession, table: str, values: dict[str, str]) -> None:
+def _set(spark: SparkSession, table: str, prefix: str, values: dict[str, str]) -> None:
+    """Make the values those under the prefix."""
+    gone = set(_get(spark, table, prefix)) - set(values)
     if values:
-        listed = ", ".join(f"'{_PENDING}{name}' = '{value}'" for name, value in values.items())
+        listed = ", ".join(f"'{prefix}{name}' = '{value}'" for name, value in values.items())
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
-    else:
-        listed = ", ".join(f"'{_PENDING}{name}'" for name in _get_pending(spark, table))
-        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ({listed})")
+    if gone:
+        listed = ", ".join(f"'{prefix}{name}'" for name in gone)
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({listed})")
