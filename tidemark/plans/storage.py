@@ -44,14 +44,15 @@ def csv_roundtrip(spark, sf_dir):
 @query(
     """
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
-           CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
+           CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal,
+           c_mktsegment
     FROM customer
     """
 )
 def csv_untyped(spark, sf_dir):
     """CSV read back without a schema: every column is text."""
     path = scratch_path(spark, "csv")
-    write_csv(table(spark, sf_dir, "customer").drop("c_acctbal"), path)
+    write_csv(table(spark, sf_dir, "customer"), path)
     return read_csv(spark, path, header=True)
 
 
@@ -62,22 +63,27 @@ def parquet_roundtrip(spark, sf_dir):
     return read_parquet(spark, path)
 
 
-def _csv_views(spark, sf_dir):
-    """Orders and items as headerless CSV files behind SQL views."""
-    orders, items = scratch_path(spark, "csv"), scratch_path(spark, "csv")
-    write_csv(table(spark, sf_dir, "orders"), orders, header=False)
+def _csv_view(spark, rows, ddl):
+    """The name of a SQL view over the rows as headerless CSV files."""
+    path, name = scratch_path(spark, "csv"), f"csv_{uuid.uuid4().hex}"
+    write_csv(rows, path, header=False)
+    name_csv(spark, name, ddl, path)
+    return name
+
+
+def _orders_view(spark, sf_dir):
+    return _csv_view(spark, table(spark, sf_dir, "orders"), ORDERS_DDL)
+
+
+def _items_view(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
-    write_csv(lines, items, header=False)
-    suffix = uuid.uuid4().hex
-    name_csv(spark, f"orders_{suffix}", ORDERS_DDL, orders)
-    name_csv(spark, f"items_{suffix}", ITEMS_DDL, items)
-    return f"orders_{suffix}", f"items_{suffix}"
+    return _csv_view(spark, lines, ITEMS_DDL)
 
 
 @query("SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY o_orderstatus")
 def csv_view(spark, sf_dir):
     """Orders per status from a SQL view over CSV files."""
-    orders, _ = _csv_views(spark, sf_dir)
+    orders = _orders_view(spark, sf_dir)
     return spark.sql(
         f"SELECT o_orderstatus, count(*) AS orders FROM {orders} GROUP BY o_orderstatus"
     )
@@ -86,7 +92,7 @@ def csv_view(spark, sf_dir):
 @query(PRODUCT_SQL)
 def insert_overwrite_dir(spark, sf_dir):
     """Daily product revenue from CSV views into a directory that held an older result."""
-    orders, items = _csv_views(spark, sf_dir)
+    orders, items = _orders_view(spark, sf_dir), _items_view(spark, sf_dir)
     path = scratch_path(spark, "report")
     report = f"""
         SELECT to_date(o_orderdate) AS order_date, l_partkey AS order_item_product_id,
@@ -94,6 +100,7 @@ def insert_overwrite_dir(spark, sf_dir):
         FROM {orders} JOIN {items} ON o_orderkey = l_orderkey
         WHERE o_orderstatus IN {BILLED}
         GROUP BY 1, 2
+        ORDER BY 1, 3 DESC
         """
     write_csv(spark.table(orders).select("o_orderkey", "o_custkey"), path)
     overwrite_directory(spark, path, report)
@@ -101,26 +108,32 @@ def insert_overwrite_dir(spark, sf_dir):
     return read_csv(spark, path, header=False, schema=schema)
 
 
-def _retail_database(spark, sf_dir):
-    """A new database with orders and items, filled from views by SQL inserts."""
+def _orders_database(spark, sf_dir):
+    """A new database with orders, filled from a view by a SQL insert."""
     database = f"retail_{uuid.uuid4().hex}"
     drop_database(spark, database)
     create_database(spark, database, scratch_path(spark, "warehouse"))
     create_table(
         spark, f"{database}.orders", "order_id BIGINT, order_date DATE, order_status STRING"
     )
-    create_table(
-        spark,
-        f"{database}.order_items",
-        "order_item_order_id BIGINT, order_item_product_id BIGINT, order_item_subtotal DOUBLE",
-    )
     retail_orders(spark, sf_dir).createOrReplaceTempView("retail_orders_v")
-    retail_items(spark, sf_dir).createOrReplaceTempView("retail_order_items_v")
     insert_into(
         spark,
         f"{database}.orders",
         "SELECT order_id, CAST(order_date AS DATE), order_status FROM retail_orders_v",
     )
+    return database
+
+
+def _retail_database(spark, sf_dir):
+    """A new database with orders and items."""
+    database = _orders_database(spark, sf_dir)
+    create_table(
+        spark,
+        f"{database}.order_items",
+        "order_item_order_id BIGINT, order_item_product_id BIGINT, order_item_subtotal DOUBLE",
+    )
+    retail_items(spark, sf_dir).createOrReplaceTempView("retail_order_items_v")
     insert_into(
         spark,
         f"{database}.order_items",
@@ -174,7 +187,7 @@ def insert_overwrite_table(spark, sf_dir):
 )
 def overwrite_self(spark, sf_dir):
     """A table replaced by a result computed from itself."""
-    orders = f"{_retail_database(spark, sf_dir)}.orders"
+    orders = f"{_orders_database(spark, sf_dir)}.orders"
     status = F.when(F.col("order_status") == "P", "O").otherwise(F.col("order_status"))
     replace_rows(spark.table(orders).withColumn("order_status", status), orders)
     return spark.table(orders)

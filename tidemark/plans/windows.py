@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.registry import query
 from tidemark.plans.tables import event_stream, table
 from tidemark.session import scratch_path
-from tidemark.streaming.sinks import batch_folders, for_each_batch, read_latest, to_files
+from tidemark.streaming.sinks import for_each_batch, latest_result, read_latest, to_files
 from tidemark.streaming.windows import session_counts, window_counts
 
 COUNTS = "total_counts BIGINT, start TIMESTAMP, end TIMESTAMP"
@@ -73,7 +73,7 @@ def run_complete(spark, counts, schema):
     """Run a stream of counts in complete mode; its latest full result."""
     path = scratch_path(spark, "counts")
     checkpoint = scratch_path(spark, "counts-progress")
-    for_each_batch(counts, batch_folders(path), checkpoint, mode="complete").awaitTermination()
+    for_each_batch(counts, latest_result(path), checkpoint, mode="complete").awaitTermination()
     return shown(read_latest(spark, path, schema))
 
 

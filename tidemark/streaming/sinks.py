@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 BatchWriter = Callable[[DataFrame, int], None]
 
-_BATCH = "batch_id"
+_BATCH, _ATTEMPT = "batch_id", "attempt_id"
+_ATTEMPTS = f"{_BATCH} BIGINT, {_ATTEMPT} STRING"
+#: Marks of published results that are kept.
+_MARKS = 8
 
 
 def for_each_batch(
@@ -38,7 +43,7 @@ def for_each_batch(
 def batch_folders(path: str) -> BatchWriter:
     """Write each batch to its own folder ``batch_id=N``; a repeated batch replaces its folder.
 
-    In complete mode every folder holds a full result, so all but the latest may be removed.
+    For append streams; of a complete-mode stream ``latest_result`` keeps the last results only.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -47,29 +52,79 @@ def batch_folders(path: str) -> BatchWriter:
     return write
 
 
-def warehouse_append(sink_format: str, **options: str) -> BatchWriter:
-    """Append each batch, marked with its ``batch_id``, through a connector.
+def latest_result(path: str) -> BatchWriter:
+    """Keep the full result of a complete-mode stream, and the one before it.
 
-    A connector without transactions may hold a repeated batch twice; the mark tells them apart.
+    Two folders take turns. A result is written to the one that is not published and then published
+    by a mark, so ``read_latest`` never meets an unfinished folder; marks take turns as well.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        marked = batch.withColumn(_BATCH, F.lit(batch_id).cast("long"))
-        marked.write.format(sink_format).mode("append").options(**options).save()
+        spark = batch.sparkSession
+        last = _published(spark, path)
+        turn, slot = (0, 0) if last is None else (last["turn"] + 1, 1 - last["slot"])
+        batch.write.mode("overwrite").parquet(f"{path}/slot={slot}")
+        mark = spark.range(1).select(F.lit(turn).cast("long").alias("turn"), F.lit(slot).alias("slot"))
+        mark.coalesce(1).write.mode("overwrite").parquet(f"{path}/published/mark={turn % _MARKS}")
 
     return write
 
 
+def _published(spark: SparkSession, path: str):
+    """The latest mark of ``latest_result``, or ``None`` where there is none yet."""
+    marks = _if_present(
+        spark.read.schema("turn BIGINT, slot INT").option("ignoreMissingFiles", "true"),
+        f"{path}/published",
+    )
+    return None if marks is None else marks.agg(F.max_by(F.struct("turn", "slot"), "turn")).first()[0]
+
+
+def _if_present(reader: DataFrameReader, path: str) -> DataFrame | None:
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def warehouse_append(sink_format: str, attempts: str, **options: str) -> BatchWriter:
+    """Append each batch, marked with ``batch_id`` and an ``attempt_id``, through a connector.
+
+    A connector without transactions may keep what a died attempt has written. An attempt that came
+    to its end is noted in the folder ``attempts``, and a batch noted there is not written again;
+    ``committed`` leaves out the rows of all other attempts.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, attempt = batch.sparkSession, uuid.uuid4().hex
+        noted = _if_present(spark.read.schema(_ATTEMPTS), attempts)
+        if noted is not None and not noted.filter(F.col(_BATCH) == batch_id).isEmpty():
+            return
+        marks = {_BATCH: F.lit(batch_id).cast("long"), _ATTEMPT: F.lit(attempt)}
+        batch.withColumns(marks).write.format(sink_format).mode("append").options(**options).save()
+        spark.range(1).select(*(c.alias(n) for n, c in marks.items())).write.mode("append").parquet(attempts)
+
+    return write
+
+
+def committed(rows: DataFrame, attempts: str) -> DataFrame:
+    """The rows, read back from the warehouse, of attempts that came to their end."""
+    noted = _if_present(rows.sparkSession.read.schema(_ATTEMPTS), attempts)
+    return rows.limit(0) if noted is None else rows.join(noted, [_BATCH, _ATTEMPT], "left_semi")
+
+
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All rows of an append stream written by ``batch_folders``."""
     return spark.read.schema(schema).parquet(path).drop(_BATCH)
 
 
 def read_latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The latest full result of a complete-mode stream written by ``batch_folders``."""
-    batches = spark.read.schema(f"{schema}, {_BATCH} BIGINT").parquet(path)
-    latest = batches.agg(F.max(_BATCH)).first()[0]
-    return batches.filter(F.col(_BATCH) == latest).drop(_BATCH)
+    """The latest full result of a complete-mode stream written by ``latest_result``."""
+    last = _published(spark, path)
+    if last is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/slot={last['slot']}")
 
 
 def to_files(
