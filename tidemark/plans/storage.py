@@ -16,7 +16,7 @@ from tidemark.plans.revenue import DAILY_REVENUE_SQL, PRODUCT_SQL
 from tidemark.plans.tables import BILLED, retail_items, retail_orders, table
 from tidemark.session import scratch_path
 from tidemark.sinks.files import overwrite_directory, write_csv, write_parquet
-from tidemark.sinks.tables import insert_into, insert_overwrite, replace_rows
+from tidemark.sinks.tables import copy_table, insert_into, insert_overwrite, replace_rows
 from tidemark.sources.catalog import create_database, create_table, drop_database, use_database
 from tidemark.sources.files import csv_view as name_csv
 from tidemark.sources.files import read_csv, read_parquet
@@ -191,3 +191,21 @@ def overwrite_self(spark, sf_dir):
     status = F.when(F.col("order_status") == "P", "O").otherwise(F.col("order_status"))
     replace_rows(spark.table(orders).withColumn("order_status", status), orders)
     return spark.table(orders)
+
+
+@query(
+    """
+    SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date,
+           CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END AS order_status
+    FROM orders
+    """
+)
+def table_copy(spark, sf_dir):
+    """A copy of a table, made again after the table has changed."""
+    database = _orders_database(spark, sf_dir)
+    orders, copied = f"{database}.orders", f"{database}.orders_copied"
+    copy_table(spark, orders, copied)
+    status = F.when(F.col("order_status") == "P", "O").otherwise(F.col("order_status"))
+    replace_rows(spark.table(orders).withColumn("order_status", status), orders)
+    copy_table(spark, orders, copied)
+    return spark.table(copied)
