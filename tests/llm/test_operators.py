@@ -251,6 +251,27 @@ def test_main_text(spark):
     assert wrappers.main_text(frame.limit(0), "url", "html").collect() == []
 
 
+def test_main_text_of_mixed_templates_on_one_host(spark):
+    def page(body):
+        return f"<html><body>{body}</body></html>"
+
+    rows = [
+        (1, None, page("<article><p>an article of its own</p></article><div>aside of it</div>")),
+        (2, None, page("<main><h1>in main</h1><p>more of main</p></main><div>x</div>")),
+        (3, "odd", page("<div><p>plain one</p></div><div>plain two</div>")),
+        (4, None, page("<div><p>a long text that is the page's own, in a plain element of it</p></div><article>me too</article>")),
+        (5, None, page("<main><p>a long text that is the page's own, in its main element</p><article>first!</article></main>")),
+    ]
+    for host in ("", "http://h/"):
+        frame = spark.createDataFrame([(k, host and host + str(k) or u, h) for k, u, h in rows], "page_id long, url string, html string")
+        got = {r.page_id: r.text for r in wrappers.main_text(frame, "url", "html").collect()}
+        assert got == {
+            1: "an article of its own", 2: "in main more of main", 3: "plain one plain two",
+            4: "a long text that is the page's own, in a plain element of it me too",
+            5: "a long text that is the page's own, in its main element first!",
+        }
+
+
 def test_wrapper_has_optional_and_repeated_groups():
     def page(body):
         return wrappers.expression(wrappers.blocks_of(body)[0])

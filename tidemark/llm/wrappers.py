@@ -6,7 +6,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stage
@@ -14,6 +14,8 @@ from tidemark.llm.common import stage
 SALTS = 16
 #: Longest group of neighbours that is tried as a repetition.
 GROUP = 3
+#: Share of a part's characters from which an article or main element in it is its main part.
+LEAST_SHARE = 1 / 3
 
 # HTML's own element lists, fixed by its standard.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -217,12 +219,27 @@ def slots(wrapper: list, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]
 
 
 def main_slots(wrapper: list) -> list[str]:
-    """Paths of the slots that hold main text: below the article where there is one, never aside."""
-    paths = [p for p in dict.fromkeys(slots(wrapper)) if not any(name.endswith("!") for name in p)]
-    for mark in MAIN:
-        if inside := [p for p in paths if mark in p]:
-            return sorted(">".join(p) for p in inside)
-    return sorted(">".join(p) for p in paths)
+    """Paths of the slots that may hold main text: those that are not aside."""
+    return sorted(">".join(p) for p in dict.fromkeys(slots(wrapper)) if not any(name.endswith("!") for name in p))
+
+
+def main_blocks(blocks: Column) -> Column:
+    """A page's main part of its blocks that are not aside: its articles, else its main element, else all.
+
+    Each page decides for itself. A marked part with less than ``LEAST_SHARE`` of the next larger part's
+    characters is no main part: teasers of a listing, comments marked up as articles.
+    """
+
+    def chars(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda n, b: n + F.length(b["text"]))
+
+    def below(mark: str) -> Column:
+        return F.filter(blocks, lambda b: F.array_contains(F.split(b["path"], ">"), mark))
+
+    main = below("main")
+    wide = F.when(chars(main) >= LEAST_SHARE * chars(blocks), main).otherwise(blocks)
+    narrow = F.filter(wide, lambda b: F.array_contains(F.split(b["path"], ">"), "article"))
+    return F.when((F.size(narrow) > 0) & (chars(narrow) >= LEAST_SHARE * chars(wide)), narrow).otherwise(wide)
 
 
 def parsed(pages: DataFrame, url: str, html: str) -> DataFrame:
@@ -269,8 +286,9 @@ def host_wrappers(shapes: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame, url: str, html: str) -> DataFrame:
     """All columns of ``pages`` but the html, with ``text``: the main text by the host's wrapper.
 
-    Pages are parsed into blocks with their places; the places that hold main text come from the
-    wrapper, which accepts every page of the host by construction.
+    Pages are parsed into blocks with their places; the places that may hold main text come from the
+    wrapper, which accepts every page of the host by construction, and each page chooses its article,
+    its main element or all of these places for itself.
 
     NULL or empty html gives an empty text; a NULL or odd url counts as the host without a name;
     repeated rows stay; broken, unclosed or cut-off markup is read as far as it goes; an empty table
@@ -279,7 +297,7 @@ def main_text(pages: DataFrame, url: str, html: str) -> DataFrame:
     read = parsed(pages, url, html)
     wrappers = stage(host_wrappers(read.select("__host", "__shape")), "wrappers").select(F.col("__host").alias("__of"), "main")
     met = read.drop("__shape").join(wrappers, F.col("__host") == F.col("__of"), "left")
-    chosen = F.filter("__blocks", lambda b: F.array_contains("main", b["path"]))
+    chosen = main_blocks(F.filter("__blocks", lambda b: F.array_contains("main", b["path"])))
     text = F.array_join(F.transform(chosen, lambda b: b["text"]), " ")
     kept = [c for c in pages.columns if c not in (html, "text")]
     return met.select(*kept, F.coalesce(text, F.lit("")).alias("text"))
