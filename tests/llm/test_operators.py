@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from collections import Counter
@@ -272,6 +273,41 @@ def test_main_text_of_mixed_templates_on_one_host(spark):
         }
 
 
+def test_template_of_plain_elements_is_no_main_text(spark):
+    def page(n, more=""):
+        return (
+            "<body><div><ul><li>Home<li>News<li>Help</ul></div><div>We use your data</div>"
+            f"<div><h1>Head {n}</h1>{more}<p>text {n}</p><p>said once on page {n}</p></div><div>Buy more</div></body>"
+        )
+
+    def article(n):
+        return f"<body><article><h1>Head {n}</h1><div>Buy more</div><p>{'text of its own ' * n}end</p></article></body>"
+
+    rows = [(n, f"http://h/{n}", page(n, "<p>only here</p>" if n == 2 else "")) for n in range(4)]
+    rows += [(4, "http://h/4", page(0)), (5, "http://one/", page(5)), (6, "http://copy/1", page(6)), (7, "http://copy/2", page(6))]
+    rows += [(n, f"http://a/{n}", article(n)) for n in range(10, 22)]
+    rows += [(n, f"http://near/{n}", f"<article><p>a long text that all pages share</p><p>{n}</p></article>") for n in range(30, 42)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.main_text(frame, "url", "html").collect()}
+    assert [got[n] for n in (0, 1, 3, 4)] == [f"Head {n} text {n} said once on page {n}" for n in (0, 1, 3, 0)]
+    assert got[2] == "Head 2 only here text 2 said once on page 2"
+    assert [got[n] for n in (5, 6, 7)] == [f"Home News Help We use your data Head {n} text {n} said once on page {n} Buy more" for n in (5, 6, 6)]
+    assert [got[n] for n in range(10, 22)] == [f"Head {n} {'text of its own ' * n}end" for n in range(10, 22)]
+    assert [got[n] for n in range(30, 42)] == [f"a long text that all pages share {n}" for n in range(30, 42)]
+
+
+def test_slots_come_from_the_wrapper():
+    def page(body):
+        shape = wrappers.expression(wrappers.blocks_of(body)[0])
+        wrappers.emptied(shape)
+        return json.dumps(shape)
+
+    a, b = page("<h2>t</h2><p>x</p><div>z</div>"), page("<p>x</p><p>y</p><hr><div>z</div>")
+    whole = wrappers.infer([a, b])
+    assert wrappers.places(whole, a) == [0, 1, 2]
+    assert wrappers.places(whole, b) == [1, 2]
+
+
 def test_wrapper_has_optional_and_repeated_groups():
     def page(body):
         return wrappers.expression(wrappers.blocks_of(body)[0])

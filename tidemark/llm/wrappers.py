@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -16,6 +17,11 @@ SALTS = 16
 GROUP = 3
 #: Share of a part's characters from which an article or main element in it is its main part.
 LEAST_SHARE = 1 / 3
+#: Share of the different pages with a slot from which a text in it is template, and of a marked main part's
+#: characters that may not be: pages that agree in more are copies and tell nothing.
+TEMPLATE_SHARE, OWN_SHARE = 0.9, 0.5
+#: Different pages that make a text template: anywhere, and below an article or main element.
+LEAST_PAGES, LEAST_MARKED = 2, 10
 
 # HTML's own element lists, fixed by its standard.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -84,7 +90,7 @@ def events(html: str) -> Iterator[tuple[str, str, str]]:
 def blocks_of(html: str) -> tuple[list, list[tuple[str, str]]]:
     """The page's tree of elements and text slots, and its blocks as ``(path, text)`` in page order.
 
-    A node is ``[name, children]``; a text slot is ``["#", []]``. Inline elements leave no trace;
+    A node is ``[name, children]``; a text slot is ``["#", [number of the block]]``. Inline elements leave no trace;
     elements that HTML closes by itself are closed here. Marked elements are named with a ``!``.
     """
     from html import unescape
@@ -96,7 +102,7 @@ def blocks_of(html: str) -> tuple[list, list[tuple[str, str]]]:
         text = " ".join(unescape("".join(open_text)).split())
         open_text.clear()
         if text:
-            stack[-1][1].append(["#", []])
+            stack[-1][1].append(["#", [len(blocks)]])
             blocks.append((">".join(n[0] for n in stack[1:]), text))
 
     def close(names: set[str], within: set[str]) -> None:
@@ -132,6 +138,7 @@ def blocks_of(html: str) -> tuple[list, list[tuple[str, str]]]:
 
 
 # An expression is a list of items [optional, repeated, body]; a body is a list of [name, expression].
+# Below a slot "#" are the texts it holds instead: blocks of a page, or slots of the expressions joined in it.
 
 
 def label(item: list) -> str:
@@ -140,7 +147,7 @@ def label(item: list) -> str:
 
 def merged(a: list, b: list, optional: bool = False, repeated: bool = False) -> list:
     """One item for two whose bodies have the same names."""
-    body = [[name, align(x, y)] for (name, x), (_, y) in zip(a[2], b[2], strict=True)]
+    body = [[name, x + y if name == "#" else align(x, y)] for (name, x), (_, y) in zip(a[2], b[2], strict=True)]
     return [a[0] or b[0] or optional, a[1] or b[1] or repeated, body]
 
 
@@ -173,7 +180,7 @@ def fold(items: list) -> list:
 
 def expression(children: list) -> list:
     """The expression of a page's tree."""
-    return fold([[False, False, [[name, expression(below)]]] for name, below in children])
+    return fold([[False, False, [[name, below if name == "#" else expression(below)]]] for name, below in children])
 
 
 def align(a: list, b: list) -> list:
@@ -182,6 +189,8 @@ def align(a: list, b: list) -> list:
     if a == b:
         return a
     left, right = [label(i) for i in a], [label(i) for i in b]
+    if left == right:
+        return [merged(x, y) for x, y in zip(a, b, strict=True)]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -209,95 +218,189 @@ def infer(expressions: Iterable[str]) -> str:
     return json.dumps(wrapper or [], separators=(",", ":"))
 
 
-def slots(wrapper: list, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
-    """Paths of the wrapper's text slots."""
-    for _, _, body in wrapper:
-        for name, below in body:
-            if name == "#":
-                yield path
-            yield from slots(below, (*path, name))
+def slots(expression: list) -> Iterator[list]:
+    """The slots of an expression in its order, each ``["#", what it holds]``."""
+    for _, _, body in expression:
+        for node in body:
+            if node[0] == "#":
+                yield node
+            else:
+                yield from slots(node[1])
+
+
+def emptied(expression: list) -> list[list]:
+    """What the slots of an expression held, which is taken out of them."""
+    held = []
+    for node in slots(expression):
+        held.append(node[1])
+        node[1] = []
+    return held
+
+
+def places(wrapper: str, shape: str) -> list[int]:
+    """The wrapper's slot for each slot of a page's expression: joining both puts them together."""
+    whole, page = json.loads(wrapper), json.loads(shape)
+    for number, node in enumerate(slots(whole)):
+        node[1] = [number]
+    count = 0
+    for count, node in enumerate(slots(page), 1):
+        node[1] = [-count]
+    found = list(range(-count, 0))[::-1]  # a slot that met none is a place of its own
+    for _, held in slots(align(whole, page)):
+        met = [n for n in held if n >= 0]
+        for n in held:
+            if n < 0 and met:
+                found[-n - 1] = min(met)
+    return found
+
+
+def main_blocks(known: DataFrame) -> DataFrame:
+    """``known`` with ``__blocks`` cut down to each page's main text.
+
+    Each page decides for itself. Template goes first, below an article or main element that of many
+    pages only, and none where nothing is left. Then a page's articles are taken, else its main
+    element, else all; a marked part with less than ``LEAST_SHARE`` of the next larger part's characters
+    is no main part: teasers of a listing, comments marked up as articles.
+    """
 
+    def chars(of=lambda b: F.lit(True)) -> Column:
+        return F.aggregate("__blocks", F.lit(0), lambda n, b: n + F.when(of(b), b["size"]).otherwise(0))
 
-def main_slots(wrapper: list) -> list[str]:
-    """Paths of the slots that may hold main text: those that are not aside."""
-    return sorted(">".join(p) for p in dict.fromkeys(slots(wrapper)) if not any(name.endswith("!") for name in p))
+    def marked(b: Column) -> Column:
+        return b["main"] | b["article"]
 
+    def kept(b: Column) -> Column:
+        return F.when(marked(b), F.col("__copied") | ~b["firm"]).otherwise(~b["template"])
 
-def main_blocks(blocks: Column) -> Column:
-    """A page's main part of its blocks that are not aside: its articles, else its main element, else all.
+    # one column a step: Spark would evaluate a nested expression once per mention
+    steps = [
+        ("__copied", chars(lambda b: marked(b) & ~b["firm"]) < OWN_SHARE * chars(marked)),
+        ("__left", F.filter("__blocks", kept)),
+        ("__blocks", F.when(F.size("__left") > 0, F.col("__left")).otherwise(F.col("__blocks"))),
+        ("__main", chars(lambda b: b["main"])),
+        ("__main", (F.col("__main") > 0) & (F.col("__main") >= LEAST_SHARE * chars())),
+        ("__blocks", F.when(F.col("__main"), F.filter("__blocks", lambda b: b["main"])).otherwise(F.col("__blocks"))),
+        ("__main", chars(lambda b: b["article"])),
+        ("__main", (F.col("__main") > 0) & (F.col("__main") >= LEAST_SHARE * chars())),
+        ("__blocks", F.when(F.col("__main"), F.filter("__blocks", lambda b: b["article"])).otherwise(F.col("__blocks"))),
+    ]
+    for name, value in steps:
+        known = known.withColumn(name, value)
+    return known
 
-    Each page decides for itself. A marked part with less than ``LEAST_SHARE`` of the next larger part's
-    characters is no main part: teasers of a listing, comments marked up as articles.
-    """
 
-    def chars(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda n, b: n + F.length(b["text"]))
+def text_hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
-    def below(mark: str) -> Column:
-        return F.filter(blocks, lambda b: F.array_contains(F.split(b["path"], ">"), mark))
 
-    main = below("main")
-    wide = F.when(chars(main) >= LEAST_SHARE * chars(blocks), main).otherwise(blocks)
-    narrow = F.filter(wide, lambda b: F.array_contains(F.split(b["path"], ">"), "article"))
-    return F.when((F.size(narrow) > 0) & (chars(narrow) >= LEAST_SHARE * chars(wide)), narrow).otherwise(wide)
+BLOCK = "struct<hash bigint, slot int, size int, main boolean, article boolean>"
 
 
 def parsed(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """``pages`` without the html, with the page's blocks and its expression, under one struct."""
+    """``pages`` without the html, with the page's expression and the texts and marks of its blocks
+    that are not aside."""
 
     def each(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        kind = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string())]))
+        fields = [("hash", pa.int64()), ("slot", pa.int32()), ("size", pa.int32()), ("main", pa.bool_()), ("article", pa.bool_())]
         for batch in batches:
-            blocks, shapes = [], []
+            texts, blocks, shapes = [], [], []
             for source in batch.column(0).to_pylist():
                 tree, found = blocks_of(source or "")
-                shapes.append(json.dumps(expression(tree), separators=(",", ":")))
-                blocks.append([{"path": p, "text": t} for p, t in found])
-            columns = [*batch.columns[1:], pa.array(blocks, kind), pa.array(shapes)]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[1:], "__blocks", "__shape"])
+                shape = expression(tree)
+                slot = {block: number for number, held in enumerate(emptied(shape)) for block in held}
+                shapes.append(json.dumps(shape, separators=(",", ":")))
+                named = [(slot[i], set(path.split(">")), text) for i, (path, text) in enumerate(found) if "!>" not in path + ">"]
+                texts.append([text for _, _, text in named])
+                blocks.append([(text_hash(text), at, len(text), "main" in names, "article" in names) for at, names, text in named])
+            made = [pa.array(texts, pa.list_(pa.string())), pa.array(blocks, pa.list_(pa.struct(fields))), pa.array(shapes, pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], [*batch.schema.names[1:], "__texts", "__blocks", "__shape"])
 
     rows = pages.select(F.col(html).alias("__html"), *(F.col(c) for c in pages.columns if c != html))
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    made = rows.mapInArrow(each, f"{schema}, __blocks array<struct<path string, text string>>, __shape string")
+    made = rows.mapInArrow(each, f"{schema}, __texts array<string>, __blocks array<{BLOCK}>, __shape string")
     return made.withColumn("__host", host)
 
 
-def host_wrappers(shapes: DataFrame) -> DataFrame:
-    """``__host, wrapper, main``: equal shapes are counted together first, then each host's shapes
-    are merged in up to ``SALTS`` parts and the parts' wrappers once more, so that a large host is
-    neither one task's work nor one group's rows."""
+def host_wrappers(counted: DataFrame) -> DataFrame:
+    """``__host, wrapper`` of ``__host, shape, n``: each host's shapes are merged in up to ``SALTS``
+    parts and the parts' wrappers once more, so that a large host is neither one task's work nor
+    one group's rows."""
 
     def merge(frame):
         return frame.iloc[:1][["__host"]].assign(wrapper=infer(frame.sort_values(["n", "shape"], ascending=[False, True])["shape"]))
 
     def finish(frame):
-        wrapper = infer(sorted(frame["wrapper"]))
-        return frame.iloc[:1][["__host"]].assign(wrapper=wrapper, main=[main_slots(json.loads(wrapper))])
+        return frame.iloc[:1][["__host"]].assign(wrapper=infer(sorted(frame["wrapper"])))
 
-    counted = shapes.groupBy("__host", F.col("__shape").alias("shape")).agg(F.count(F.lit(1)).alias("n"))
     salted = counted.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(SALTS)))
     parts = salted.groupBy("__host", "salt").applyInPandas(merge, "__host string, wrapper string")
-    return parts.groupBy("__host").applyInPandas(finish, "__host string, wrapper string, main array<string>")
+    return parts.groupBy("__host").applyInPandas(finish, "__host string, wrapper string")
+
+
+def shape_places(counted: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """``__of, __like, places``: the wrapper's slots that the slots of each shape of a host fall in."""
+
+    def each(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [places(w, s) for w, s in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int32()))], ["__of", "__like", "places"])
+
+    rows = counted.join(wrappers, "__host").select("__host", "shape", "wrapper")
+    return rows.mapInArrow(each, "__of string, __like string, places array<int>")
+
+
+def host_templates(placed: DataFrame) -> DataFrame:
+    """``__of, template, firm`` of pages with ``__host`` and ``__blocks``: keys (slot and text) of the
+    host's template, and those of them that many pages show.
+
+    Pages with the same texts count once. All is counted per text, so a host is no one task's work.
+    """
+    texts = placed.select("__host", F.xxhash64("__blocks.hash").alias("page"), F.explode("__blocks").alias("b"))
+    once = texts.select("__host", "page", F.col("b.place").alias("place"), F.col("b.key").alias("key")).distinct()
+    pages = once.select("__host", "place", "page").distinct().groupBy("__host", "place").agg(F.count(F.lit(1)).alias("of"))
+    shown = once.groupBy("__host", "place", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
+    common = shown.join(pages, ["__host", "place"]).where(F.col("n") >= TEMPLATE_SHARE * F.col("of"))
+    firm = F.collect_set(F.when(F.col("n") >= LEAST_MARKED, F.col("key")))
+    return common.groupBy(F.col("__host").alias("__of")).agg(F.collect_set("key").alias("template"), firm.alias("firm"))
 
 
 def main_text(pages: DataFrame, url: str, html: str) -> DataFrame:
     """All columns of ``pages`` but the html, with ``text``: the main text by the host's wrapper.
 
-    Pages are parsed into blocks with their places; the places that may hold main text come from the
-    wrapper, which accepts every page of the host by construction, and each page chooses its article,
-    its main element or all of these places for itself.
+    Pages are parsed into blocks, and the host's wrapper, which accepts every page of the host by
+    construction, gives each block its slot. A text that the host's pages share in a slot is template;
+    of the rest, in single, optional or repeated slots, each page takes its article, its main element
+    or all for itself. A page with no other text than the template's keeps it.
 
     NULL or empty html gives an empty text; a NULL or odd url counts as the host without a name;
     repeated rows stay; broken, unclosed or cut-off markup is read as far as it goes; an empty table
     gives no rows; a column named ``text`` is replaced.
     """
-    read = parsed(pages, url, html)
-    wrappers = stage(host_wrappers(read.select("__host", "__shape")), "wrappers").select(F.col("__host").alias("__of"), "main")
-    met = read.drop("__shape").join(wrappers, F.col("__host") == F.col("__of"), "left")
-    chosen = main_blocks(F.filter("__blocks", lambda b: F.array_contains("main", b["path"])))
-    text = F.array_join(F.transform(chosen, lambda b: b["text"]), " ")
+    read = stage(parsed(pages, url, html), "pages")
+    counted = stage(read.groupBy("__host", F.col("__shape").alias("shape")).agg(F.count(F.lit(1)).alias("n")), "shapes")
+    wrappers = stage(host_wrappers(counted), "wrappers")
+    slot = stage(shape_places(counted, wrappers), "places")
+
+    met = read.join(slot, (F.col("__host") == F.col("__of")) & (F.col("__shape") == F.col("__like")), "left")
+    met = met.drop("__of", "__like", "__shape")
+
+    def placed(b: Column) -> Column:
+        place = F.element_at("places", b["slot"] + 1)
+        return F.struct(place.alias("place"), F.xxhash64(place, b["hash"]).alias("key"), b["hash"].alias("hash"))
+
+    templates = stage(host_templates(met.select("__host", F.transform("__blocks", placed).alias("__blocks"))), "templates")
+
+    def told(b: Column, at: Column) -> Column:
+        key = F.xxhash64(F.element_at("places", b["slot"] + 1), b["hash"])
+        flags = [F.coalesce(F.array_contains(keys, key), F.lit(False)).alias(keys) for keys in ("template", "firm")]
+        return F.struct(at.alias("at"), b["size"].alias("size"), b["main"].alias("main"), b["article"].alias("article"), *flags)
+
+    known = met.join(templates, F.col("__host") == F.col("__of"), "left").withColumn("__blocks", F.transform("__blocks", told))
+    text = F.array_join(F.transform("__blocks", lambda b: F.element_at("__texts", b["at"] + 1)), " ")
     kept = [c for c in pages.columns if c not in (html, "text")]
-    return met.select(*kept, F.coalesce(text, F.lit("")).alias("text"))
+    return main_blocks(known).select(*kept, F.coalesce(text, F.lit("")).alias("text"))
