@@ -296,6 +296,25 @@ def test_template_of_plain_elements_is_no_main_text(spark):
     assert [got[n] for n in range(30, 42)] == [f"a long text that all pages share {n}" for n in range(30, 42)]
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<article><figure><table><tr><td>cell</table><figcaption>caption</figcaption></figure>rest</article>", "cell caption rest"),
+        ("<p>so <math><mi>x</mi><mspace/><mo>=</mo><mn>1</mn></math> holds</p><p>b", "so x = 1 holds b"),
+        ("<html class=no-ads><body class=has-sidebar><div id=no-ads><article class='post comments-open related'>kept</article></div>", "kept"),
+        ("<body><div class='site-footer'>a</div><div class=ad-banner>b</div><div class='x ads'>c</div><div class=menu_left>d</div>kept", "kept"),
+        ("<p>one<svg viewBox='0 0 1 1'/>two</p><p>three<svg><title>t</title><svg></svg>x</svg>four<math/>five", "onetwo threefour five"),
+        ("<title>name<p>one</p><noscript><p>two</p><noscript>no</noscript>three", "name one two three"),
+        ("<p>one<script>if (a < b) x('<script>')</script>two<script src=a/><p>three<style>p {}<p>four", "onetwo three four"),
+        ("<script src='a'/><p>one<script>x()</script>", "one"),
+        ("<p>one<script>var cut = '<", "one"),
+    ],
+)
+def test_markup_that_takes_no_text_away(html, text):
+    _, blocks = wrappers.blocks_of(html)
+    assert " ".join(t for path, t in blocks if not re.search("!(>|$)", path)) == text
+
+
 def test_slots_come_from_the_wrapper():
     def page(body):
         shape = wrappers.expression(wrappers.blocks_of(body)[0])

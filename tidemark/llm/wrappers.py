@@ -25,7 +25,9 @@ LEAST_PAGES, LEAST_MARKED = 2, 10
 
 # HTML's own element lists, fixed by its standard.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noframes", "svg", "math"}
+RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noframes", "svg"}
+#: Of these, what holds code: up to the next end tag, whatever stands between.
+CODE = {"script", "style"}
 INLINE = {
     "a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
     "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
@@ -40,14 +42,19 @@ CLOSES_LIKE = {
 }
 SCOPES = {"ul", "ol", "dl", "table", "select", "article", "body", "html"}
 
-# What is no main text: elements, and words in class, id or role.
-ASIDE = {"nav", "footer", "aside", "form", "button", "select", "dialog", "head", "menu", "figure"}
+# What is no main text: elements, and whole words in class, id or role, or such words with a qualifier of place or form.
+ASIDE = {"nav", "footer", "aside", "form", "button", "select", "dialog", "head", "menu"}
 ASIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|sidebar|aside|footer|masthead|"
+    r"(?:^|\s)(?:(?:site|page|main|global|primary|secondary|top|bottom|left|right|header|post|entry|article|js)[_-]+)*"
+    r"(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|sidebar|aside|footer|masthead|"
     r"notices?|cookie\w*|consent|alert|popup|modal|newsletter|subscri\w+|comments?|disqus|repl(?:y|ies)|share|sharing|"
-    r"social|related|recommend\w*|breadcrumbs?|pagination|search|login|complementary|contentinfo|navigation)(?:$|[\s_-])",
+    r"social|related|recommend\w*|breadcrumbs?|pagination|search|login|complementary|contentinfo|navigation)"
+    r"(?:[_-]+(?:box|bar|banner|notice|wrapper|wrap|container|block|section|area|slot|unit|list|item|items|links|buttons|form|"
+    r"posts|articles|thread|top|bottom|left|right|header|footer|inner|outer|\d+))*(?:$|\s)",
     re.IGNORECASE,
 )
+#: Elements that hold the page or its main text, whatever their labels say.
+HOLDERS = {"html", "body", "main", "article"}
 MAIN = ("article", "main")
 
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.DOTALL)
@@ -55,9 +62,36 @@ BROKEN = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!/A-Za-z][^>]*\Z")
 LABEL = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 
+TAG = re.compile(r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>")
+
+
+def own_ends(html: str, name: str) -> dict[int, int]:
+    """Where the elements of this name that have an end tag of their own end, by where they start."""
+    tag = rf"""<(/?){re.escape(name)}(?=[\s/>])(?:((?:[^>"']++|"[^"]*"|'[^']*')*+)>|[^>]*(?:>|\Z))"""
+    ends, begun = {}, []
+    for found in re.finditer(tag, html, re.IGNORECASE):
+        if not found.group(1):
+            if not (found.group(2) or "").endswith("/"):
+                begun.append(found.start())
+        elif begun:
+            ends[begun.pop()] = found.end()
+    return ends
+
+
+def code_end(html: str, name: str, at: int, closed: bool) -> int:
+    """Where code from ``at`` on ends: with its end tag, else before what looks like markup again."""
+    end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
+    if closed and not (end and not re.compile(rf"<{name}[\s/>]", re.IGNORECASE).search(html, at, end.start())):
+        return at
+    if end:
+        return end.end()
+    tag = TAG.search(html, at)
+    return tag.start() if tag else len(html)
+
+
 def events(html: str) -> Iterator[tuple[str, str, str]]:
     """``("text", "", text)``, ``("open", name, labels)`` and ``("close", name, "")`` in page order."""
-    at, size = 0, len(html)
+    at, size, ends, formula = 0, len(html), {}, False
     while at < size:
         lt = html.find("<", at)
         if lt < 0:
@@ -77,14 +111,24 @@ def events(html: str) -> Iterator[tuple[str, str, str]]:
             continue
         name = name.lower()
         if found.group(1):
+            formula = formula and name != "math"
             yield "close", name, ""
             continue
+        closed = found.group(3).endswith("/")
         labels = " ".join(x for m in LABEL.finditer(found.group(3)) for x in m.groups()[1:] if x)
         if name in RAW:  # its content is no markup and no text of the page
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
-            at = end.end() if end else size
+            if name in CODE:
+                at = code_end(html, name, at, closed)
+            else:
+                if name not in ends:
+                    ends[name] = own_ends(html, name)
+                at = max(at, ends[name].get(lt, at))
             continue
+        formula = formula or name == "math"
         yield "open", name, labels
+        if formula and closed:  # as XML has it, which HTML follows in formulas only
+            formula = name != "math"
+            yield "close", name, ""
 
 
 def blocks_of(html: str) -> tuple[list, list[tuple[str, str]]]:
@@ -128,7 +172,7 @@ def blocks_of(html: str) -> tuple[list, list[tuple[str, str]]]:
                 close({"p"}, SCOPES | {"div", "section", "td", "th", "li"})
             if name in CLOSES_LIKE:
                 close(CLOSES_LIKE[name], SCOPES)
-            aside = name in ASIDE or ASIDE_WORDS.search(data) or (name == "header" and not any(n[0] in MAIN for n in stack))
+            aside = name in ASIDE or (name not in HOLDERS and ASIDE_WORDS.search(data)) or (name == "header" and not any(n[0] in MAIN for n in stack))
             node = [name + "!" if aside else name, []]
             stack[-1][1].append(node)
             if name not in VOID:
