@@ -178,6 +178,15 @@ def test_ablations(docs, nothing):
     assert quality.ledger(nothing, "doc_id", "text").collect() == []
 
 
+def test_letters_of_higher_planes_and_marks(spark):
+    texts = ["\U0001e900\U0001e922\U0001e923 " * 60, "\U00010400\U00010428 \U00020000 " * 60, "\u0939\u093f\u0928\u094d\u0926\u0940 " * 60, "\U0001f600\U0001f601 " * 60]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(quality.ledger(frame, "doc_id", "text").collect())
+    assert [(r.n_letters, r.n_upper) for r in rows] == [(180, 60), (180, 60), (360, 0), (0, 0)]
+    few = 1 << list(quality.RULES).index("few_letters")
+    assert [bool(r.failed & few) for r in rows] == [False, False, False, True]
+
+
 # 4: packing
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
+from unicodedata import category
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +50,16 @@ BASE = Policy("base", ("short", "repeated_windows"))
 POLICIES = {p.version: p for p in (BASE, Policy("v1", tuple(RULES)))}
 
 
+@cache
+def letter_tables():
+    """Whether each code point is part of a letter (a letter or a combining mark) and whether it is a capital."""
+    import numpy as np
+
+    points = [chr(c) for c in range(0x110000)]
+    is_letter = np.array([c.isalpha() or category(c)[0] == "M" for c in points])
+    return is_letter, np.array([c.isupper() for c in points])
+
+
 def measured(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key`` and a long per measure for every whole text. A NULL text measures as an empty one."""
 
@@ -58,9 +69,7 @@ def measured(docs: DataFrame, key: str, text: str) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        planes = [chr(c) for c in range(0x10000)]
-        is_letter = np.array([c.isalpha() for c in planes])
-        is_upper = np.array([c.isupper() for c in planes])
+        is_letter, is_upper = letter_tables()
 
         def measure(body: str) -> tuple[int, ...]:
             raw = body.encode("utf-8", "surrogatepass")
@@ -79,7 +88,6 @@ def measured(docs: DataFrame, key: str, text: str) -> DataFrame:
                     repeated = int(inside.sum())
             lines = [line for line in raw.split(b"\n") if not line.isspace() and line]
             points = np.frombuffer(body.encode("utf-32-le", "surrogatepass"), "<u4")
-            points = np.where(points < 0x10000, points, 0)
             return (
                 len(words), len(body) - blanks, sum(body.count(c) for c in SYMBOLS),
                 len(lines) - len(set(lines)), repeated, len(lines),
