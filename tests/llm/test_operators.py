@@ -481,6 +481,15 @@ def test_texts_without_letters(spark, docs, nothing):
     assert language.learn(nothing.withColumn("lang", F.lit("x")), "doc_id", "text", "lang").dictionaries == {}
 
 
+def test_languages_above_the_bound_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    rows = [(n, "some words of text", f"l{n % 3}") for n in range(6)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language.learn(frame, "doc_id", "text", "lang")
+    assert set(language.learn(frame.where("lang <> 'l2'"), "doc_id", "text", "lang").dictionaries) == {"l0", "l1"}
+
+
 # the pipeline
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 1500
 DICTIONARY_BYTES = 64 << 10
-#: Languages that can be learned; the most frequent ones if there are more.
+#: Languages that can be learned; more are an error.
 MOST_LANGUAGES = 200
 CHUNK = 1000
 LEVEL = 3
@@ -48,7 +48,9 @@ def learn(docs: DataFrame, key: str, text: str, lang: str) -> Languages:
     bounded by the parameters above.
     """
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    counts = known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()
+    counts = known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages; learn them in several models")
     if not counts:
         return Languages({})
     drawn = F.pmod(F.xxhash64(F.lit("sample"), F.col(key).cast("string")), F.lit(1 << 30))
