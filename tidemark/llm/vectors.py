@@ -143,7 +143,8 @@ def vector_links(df: DataFrame, key: str, vector: str, *, cosine: float = COSINE
     Equal vectors form a class with a count and its smallest key. Classes that share a band of sign
     bits are candidates; estimates from the codes rule most of them out, and the cosine of the rest
     is computed in doubles, so no reported link is below ``cosine``. A pair at exactly the threshold
-    is found with probability ``recall``; at 0.95, with more than 0.9999.
+    is found with probability ``recall``; at 0.95, by the plan of bands, with 0.9987 among 500
+    vectors and more than 0.9999 from some 200,000 on.
 
     A vector that is NULL, empty or zero, or has NULL or non-finite parts, links with nothing, as
     does a row with a NULL key; vectors of different lengths never link. Repeated rows count as
