@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.language import classify, held_out, learn
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mix, with_topic
+from tidemark.llm.negatives import hard_negatives
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import KINDS, find_pii, listed, of_kind
 from tidemark.llm.quality import BASE, POLICIES, ledger, passes
+from tidemark.llm.scoring import held_out as left_for_test
+from tidemark.llm.scoring import learn_quality, score_quality
 from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import simhash_components
+from tidemark.llm.spelling import group_variants, vocabulary
 from tidemark.llm.vectors import vector_links
 from tidemark.llm.wrappers import main_text
 
@@ -165,3 +169,93 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed(F.concat("base", "added")).alias("spans"),
         F.size("added").cast("long").alias("n_added"),
     )
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near words of all frequent words of the documents, and the forms they are variants of."""
+    words = vocabulary(table(spark, sf_dir, "documents"), "doc_id", "text", slip_every=199)
+    return group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding, among all; some labels are shifted first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other)::INTEGER AS rank,
+       s.other AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other) <= 3
+"""
+
+
+@query
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, learned from the labels of rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = learn_quality(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", left_out=left_for_test("doc_id"))
+    found = score_quality(docs, "doc_id", "text", model)
+    return found.select("doc_id", left_for_test("doc_id").alias("held_out"), "score", "predicted", "difference")
+
+
+# The checksum is worked out from its table, as the other database has no function for it.
+ORACLES["op11_spelling_variants"] = r"""
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT i, i::BIGINT, 0 FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT w, c, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+           string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''),
+           lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [195::BIGINT, (ord(x) - 64)::BIGINT] END))),
+           lambda a, b: xor(a >> 8, tab[xor(a & 255, b) + 1])), 4294967295::BIGINT) AS h
+  FROM runs, crc),
+slipped AS (
+  SELECT CASE WHEN h % 199 = 0
+              THEN left(w, h % length(w)) || right(w, length(w) - 1 - h % length(w)) ELSE w END AS word, c
+  FROM hashed),
+vocab AS (SELECT word, sum(c)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cut AS (SELECT word, n, p, left(word, p) AS l, right(word, length(word) - p - 1) AS r FROM vocab, unnest(range(length(word))) u(p)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.p = b.p AND a.l = b.l AND a.r = b.r AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM cut a JOIN vocab b ON b.word = a.l || a.r
+  UNION
+  SELECT b.word, a.word, a.n FROM cut a JOIN vocab b ON b.word = a.l || a.r),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+form AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN near_n >= 5 * v.n THEN near END AS form, CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+  FROM vocab v LEFT JOIN best USING (word)),
+walk(word, reached) AS (
+  SELECT word, word FROM form
+  UNION ALL
+  SELECT walk.word, form.form FROM walk JOIN form ON walk.reached = form.word WHERE form.form IS NOT NULL)
+SELECT f.word, f.form, w.reached AS root, f.n, f.n_near, f.form_n
+FROM form f JOIN walk w USING (word) JOIN form e ON e.word = w.reached AND e.form IS NULL
+"""
