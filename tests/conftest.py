@@ -28,6 +28,17 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def no_views_left(request):
+    """Temporary views live as long as the session: none is left to the next test."""
+    yield
+    if "spark" in request.fixturenames:
+        session = request.getfixturevalue("spark")
+        for view in session.catalog.listTables():
+            if view.isTemporary:
+                session.catalog.dropTempView(view.name)
+
+
 @pytest.fixture
 def database(spark):
     name = f"test_{uuid.uuid4().hex}"

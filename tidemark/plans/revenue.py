@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import revenue
 from tidemark.plans.registry import query
 from tidemark.plans.tables import BILLED, MONTH, retail_items, retail_orders
+from tidemark.sources.catalog import named_views
 
 DAILY_REVENUE_SQL = """
 SELECT CAST(o_orderdate AS DATE) AS order_date, round(sum(l_extendedprice), 2) AS daily_revenue
@@ -47,16 +48,19 @@ def daily_revenue_month(spark, sf_dir):
     ).orderBy(F.col("daily_revenue").desc())
 
 
+VIEWS = ("retail_orders", "retail_order_items")
+
+
 def _views(spark, sf_dir):
-    retail_orders(spark, sf_dir).createOrReplaceTempView("retail_orders")
-    retail_items(spark, sf_dir).createOrReplaceTempView("retail_order_items")
-    return "retail_orders", "retail_order_items"
+    frames = (retail_orders(spark, sf_dir), retail_items(spark, sf_dir))
+    return named_views(spark, **dict(zip(VIEWS, frames)))
 
 
 @query(MONTH_SQL)
 def sql_daily_revenue(spark, sf_dir):
     """The same as SQL over named views."""
-    return revenue.daily_revenue_sql(spark, *_views(spark, sf_dir), statuses=BILLED, month=MONTH)
+    with _views(spark, sf_dir):
+        return revenue.daily_revenue_sql(spark, *VIEWS, statuses=BILLED, month=MONTH)
 
 
 @query(PRODUCT_SQL)
@@ -70,4 +74,5 @@ def daily_product_revenue(spark, sf_dir):
 @query(PRODUCT_SQL)
 def sql_daily_product_revenue(spark, sf_dir):
     """The same as SQL over named views."""
-    return revenue.daily_product_revenue_sql(spark, *_views(spark, sf_dir), statuses=BILLED)
+    with _views(spark, sf_dir):
+        return revenue.daily_product_revenue_sql(spark, *VIEWS, statuses=BILLED)

@@ -6,6 +6,7 @@ Each query writes to a new place in the shared scratch folder and returns what i
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -17,7 +18,13 @@ from tidemark.plans.tables import BILLED, retail_items, retail_orders, table
 from tidemark.session import scratch_path
 from tidemark.sinks.files import overwrite_directory, write_csv, write_parquet
 from tidemark.sinks.tables import copy_table, insert_into, insert_overwrite, replace_rows
-from tidemark.sources.catalog import create_database, create_table, drop_database, use_database
+from tidemark.sources.catalog import (
+    create_database,
+    create_table,
+    drop_database,
+    named_views,
+    use_database,
+)
 from tidemark.sources.files import csv_view as name_csv
 from tidemark.sources.files import read_csv, read_parquet
 
@@ -63,12 +70,16 @@ def parquet_roundtrip(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+@contextmanager
 def _csv_view(spark, rows, ddl):
-    """The name of a SQL view over the rows as headerless CSV files."""
+    """The name of a SQL view over the rows as headerless CSV files, as long as the block lasts."""
     path, name = scratch_path(spark, "csv"), f"csv_{uuid.uuid4().hex}"
     write_csv(rows, path, header=False)
     name_csv(spark, name, ddl, path)
-    return name
+    try:
+        yield name
+    finally:
+        spark.catalog.dropTempView(name)
 
 
 def _orders_view(spark, sf_dir):
@@ -83,27 +94,27 @@ def _items_view(spark, sf_dir):
 @query("SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY o_orderstatus")
 def csv_view(spark, sf_dir):
     """Orders per status from a SQL view over CSV files."""
-    orders = _orders_view(spark, sf_dir)
-    return spark.sql(
-        f"SELECT o_orderstatus, count(*) AS orders FROM {orders} GROUP BY o_orderstatus"
-    )
+    with _orders_view(spark, sf_dir) as orders:
+        return spark.sql(
+            f"SELECT o_orderstatus, count(*) AS orders FROM {orders} GROUP BY o_orderstatus"
+        )
 
 
 @query(PRODUCT_SQL)
 def insert_overwrite_dir(spark, sf_dir):
     """Daily product revenue from CSV views into a directory that held an older result."""
-    orders, items = _orders_view(spark, sf_dir), _items_view(spark, sf_dir)
     path = scratch_path(spark, "report")
-    report = f"""
-        SELECT to_date(o_orderdate) AS order_date, l_partkey AS order_item_product_id,
-               round(sum(l_extendedprice), 2) AS daily_revenue
-        FROM {orders} JOIN {items} ON o_orderkey = l_orderkey
-        WHERE o_orderstatus IN {BILLED}
-        GROUP BY 1, 2
-        ORDER BY 1, 3 DESC
-        """
-    write_csv(spark.table(orders).select("o_orderkey", "o_custkey"), path)
-    overwrite_directory(spark, path, report)
+    with _orders_view(spark, sf_dir) as orders, _items_view(spark, sf_dir) as items:
+        report = f"""
+            SELECT to_date(o_orderdate) AS order_date, l_partkey AS order_item_product_id,
+                   round(sum(l_extendedprice), 2) AS daily_revenue
+            FROM {orders} JOIN {items} ON o_orderkey = l_orderkey
+            WHERE o_orderstatus IN {BILLED}
+            GROUP BY 1, 2
+            ORDER BY 1, 3 DESC
+            """
+        write_csv(spark.table(orders).select("o_orderkey", "o_custkey"), path)
+        overwrite_directory(spark, path, report)
     schema = "order_date DATE, order_item_product_id BIGINT, daily_revenue DOUBLE"
     return read_csv(spark, path, header=False, schema=schema)
 
@@ -116,12 +127,12 @@ def _orders_database(spark, sf_dir):
     create_table(
         spark, f"{database}.orders", "order_id BIGINT, order_date DATE, order_status STRING"
     )
-    retail_orders(spark, sf_dir).createOrReplaceTempView("retail_orders_v")
-    insert_into(
-        spark,
-        f"{database}.orders",
-        "SELECT order_id, CAST(order_date AS DATE), order_status FROM retail_orders_v",
-    )
+    with named_views(spark, retail_orders_v=retail_orders(spark, sf_dir)):
+        insert_into(
+            spark,
+            f"{database}.orders",
+            "SELECT order_id, CAST(order_date AS DATE), order_status FROM retail_orders_v",
+        )
     return database
 
 
@@ -133,13 +144,13 @@ def _retail_database(spark, sf_dir):
         f"{database}.order_items",
         "order_item_order_id BIGINT, order_item_product_id BIGINT, order_item_subtotal DOUBLE",
     )
-    retail_items(spark, sf_dir).createOrReplaceTempView("retail_order_items_v")
-    insert_into(
-        spark,
-        f"{database}.order_items",
-        "SELECT order_item_order_id, order_item_product_id, order_item_subtotal "
-        "FROM retail_order_items_v",
-    )
+    with named_views(spark, retail_order_items_v=retail_items(spark, sf_dir)):
+        insert_into(
+            spark,
+            f"{database}.order_items",
+            "SELECT order_item_order_id, order_item_product_id, order_item_subtotal "
+            "FROM retail_order_items_v",
+        )
     return database
 
 

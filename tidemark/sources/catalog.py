@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,3 +35,15 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
+
+
+@contextmanager
+def named_views(spark: SparkSession, **frames: DataFrame) -> Iterator[None]:
+    """Frames under names for SQL, as long as the block lasts. Results made in it stay usable."""
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+    try:
+        yield
+    finally:
+        for name in frames:
+            spark.catalog.dropTempView(name)
