@@ -244,12 +244,24 @@ def stored(spark, path):
     return tuple(spark.read.parquet(folder) for folder in folders)
 
 
-def test_narrow_pass_counts_copies_before_the_shuffle(stored):
+def test_narrow_rows_are_shuffled_and_sorted_once_a_side(stored):
     plan = plan_of(scd2.classify(*stored, DIM))
     assert "ReadSchema: struct<id:int,company:string,email:string>" in plan
-    assert plan.count("Exchange hashpartitioning") == 2  # the join adds none to the counts
-    for side in plan.split("Exchange hashpartitioning")[1:]:
-        assert "partial_count" in side
+    assert plan.count("Exchange hashpartitioning") == plan.count("Sort [") == 2
+    assert "Aggregate" not in plan
+
+
+def test_copies_of_a_key_are_counted_before_the_shuffle(spark, stored, monkeypatch):
+    """One key in most rows of both sides is refused, and never reaches a join."""
+    old, new = stored
+    many = spark.range(5000).select(F.lit(1).alias("id"))
+    sides = {"history": many.union(old.select("id")), "source": many.union(new.select("id"))}
+    with pytest.raises(HistoryError, match="history 1 x5001, source 1 x5000"):
+        scd2.refuse_unfit(sides, sides["source"], DIM, None)
+    monkeypatch.setattr(scd2, "classify", None)  # not called
+    copies = spark.createDataFrame([(2, "t", "A", "e")] * 5000, new.schema)
+    with pytest.raises(HistoryError, match="source 2 x5000"):
+        scd2.find_changes(old, copies, DIM)
 
 
 def test_whole_rows_are_not_shuffled_where_few_keys_change(spark, stored):

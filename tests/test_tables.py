@@ -105,10 +105,104 @@ def test_merge_leaves_earlier_closed_partitions_alone(spark, database):
     assert before < closed_files()
 
 
+def open_files(spark, table):
+    """The files of each bucket of open rows."""
+    rows = spark.table(table).where("is_current").select(tables.KEY_BUCKET, F.input_file_name().alias("file"))
+    found = {}
+    for row in rows.distinct().collect():
+        found.setdefault(row[0], set()).add(row["file"])
+    return found
+
+
+def test_merge_writes_touched_buckets_only(spark, database):
+    table, synced = f"{database}.history", f"{database}.synced"
+    rows = [(i, f"c{i}") for i in range(400)]
+    tables.merge_table(source(spark, rows), table, DIM, as_of=day(1), synced=synced, buckets=16)
+    first = {name: open_files(spark, name) for name in (table, synced)}
+    assert first[table].keys() == set(range(16))
+    bucket = {r.id: r[1] for r in spark.table(table).select("id", tables.KEY_BUCKET).collect()}
+
+    # one key changed, one gone, one new: at most three buckets
+    second = [(i, "new" if i == 7 else c) for i, c in rows if i != 11] + [(1000, "x")]
+    tables.merge_table(source(spark, second), table, DIM, as_of=day(2), synced=synced)
+    new_key = spark.table(table).where("id = 1000").first()[tables.KEY_BUCKET]
+    for name in (table, synced):
+        now = open_files(spark, name)
+        changed = {b for b in now if now[b] != first[name][b]}
+        assert changed == {bucket[7], bucket[11], new_key}
+    assert state(spark, table) == state(spark, synced)
+    open_rows = {(r.id, r.company) for r in spark.table(table).where("is_current").collect()}
+    assert open_rows == set(second)
+
+    # the last rows of a bucket go: its partition goes as well
+    gone = bucket[7]
+    third = [(i, c) for i, c in second if bucket.get(i, new_key) != gone]
+    tables.merge_table(source(spark, third), table, DIM, as_of=day(3), synced=synced)
+    for name in (table, synced):
+        assert open_files(spark, name).keys() == set(range(16)) - {gone}
+        held = {r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        assert f"is_current=true/closed_in=open/key_bucket={gone}" not in held
+    assert state(spark, table) == state(spark, synced)
+
+
+def test_merge_reads_whole_rows_of_touched_buckets_only(spark, database, monkeypatch):
+    table = f"{database}.history"
+    rows = [(i, f"c{i}") for i in range(100)]
+    tables.merge_table(source(spark, rows), table, DIM, as_of=day(1), buckets=8)
+    seen = []
+
+    def spy(open_rows, *args, **kwargs):
+        seen.append((open_rows._jdf.queryExecution().executedPlan().toString(), open_rows.count()))
+        return real(open_rows, *args, **kwargs)
+
+    real = tables.next_versions
+    monkeypatch.setattr(tables, "next_versions", spy)
+    tables.merge_table(source(spark, [(0, "new"), *rows[1:]]), table, DIM, as_of=day(2))
+    ((plan, read),) = seen
+    assert "key_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert 0 < read < 100
+
+
+def test_keys_of_another_type_have_the_same_bucket(spark, database):
+    table = f"{database}.history"
+    tables.merge_table(source(spark, [(1, "A"), (2, "B"), (3, "C")]), table, DIM, as_of=day(1), buckets=50)
+    wide = spark.createDataFrame([(1, "A"), (2, "B2"), (4, "D")], "id long, company string")
+    tables.merge_table(wide, table, DIM, as_of=day(2))
+    assert state(spark, table) == [
+        (1, "A", 1, True), (2, "B", 2, False), (3, "C", 3, False), (4, "D", 4, True), (2, "B2", 5, True)
+    ]
+    placed = spark.table(table).where("is_current").select(tables.KEY_BUCKET, tables.bucket_of(F.col("id").cast("int"), 50).alias("b"))
+    assert all(r[0] == r.b for r in placed.collect())
+
+
+def test_merge_that_died_between_its_partitions_is_completed(spark, database, monkeypatch):
+    """Death after the closed rows, and after the open rows but before emptied buckets are dropped."""
+    for at in (1, 2):
+        table = f"{database}.history_{at}"
+        rows = [(i, "A") for i in range(20)]
+        tables.merge_table(source(spark, rows), table, DIM, as_of=day(1), buckets=64)
+        sql, calls = type(spark).sql, []
+
+        def dying(session, text, *args, **kwargs):
+            if text.startswith(("INSERT OVERWRITE", "ALTER TABLE")) and "TBLPROPERTIES" not in text:
+                calls.append(text)
+                if len(calls) == at + 1:
+                    raise RuntimeError("driver lost")
+            return sql(session, text, *args, **kwargs)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", dying)
+            with pytest.raises(RuntimeError):
+                tables.merge_table(source(spark, [(5, "A"), (6, "B")]), table, DIM, as_of=day(2))
+        tables.merge_table(source(spark, [(5, "A"), (6, "B")]), table, DIM, as_of=day(3))
+        expected = [(i, "A", i + 1, i == 5) for i in range(20)] + [(6, "B", 21, True)]
+        assert state(spark, table) == expected
+
+
 def open_history(spark, table, ends="9999-12-31 23:59:59"):
     rows = spark.createDataFrame([(1, "A", 1), (2, "B", 2)], "id int, company string, sk int")
     times = {"effective_date": F.lit(day(1)), "expiration_date": F.lit(ends).cast("timestamp"), "is_current": F.lit(True)}
-    tables.save_history(rows.withColumns(times), table)
+    tables.save_history(rows.withColumns(times), table, DIM)
 
 
 def test_open_rows_with_any_end_are_replaced(spark, database):
@@ -188,8 +282,9 @@ def test_merge_without_changes_writes_nothing(spark, database):
     tables.merge_table(source(spark, [(1, "A")]), table, DIM, as_of=day(2))
     assert set(spark.table(table).inputFiles()) == before
     tables.merge_table(source(spark, [(1, "A"), (2, "B")]), table, DIM, as_of=day(3))
-    assert [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] == ["is_current=true/closed_in=open"]
-    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()] == ["history"]
+    held = {r.partition.rsplit("/", 1)[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    assert held == {"is_current=true/closed_in=open"}
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect() if not r.isTemporary] == ["history"]
 
 
 def test_rows_without_a_key_are_refused_or_handed_over(spark, database):

@@ -34,6 +34,7 @@ from tidemark.session import stage
 
 NOCHANGE, DELETE, INSERT, UPDATE = "NOCHANGE", "DELETE", "INSERT", "UPDATE"
 ACTION = "scd2_action"
+SOURCE = "source"
 
 #: Takes the source rows that have no key, and their number.
 Quarantine = Callable[[DataFrame, int], None]
@@ -88,14 +89,12 @@ def split_missing_keys(source: DataFrame, dim: Dimension) -> tuple[DataFrame, Da
 
 
 def classify(open_rows: DataFrame, source: DataFrame, dim: Dimension) -> DataFrame:
-    """The action of every key: ``key, scd2_action, h_rows, c_rows``.
+    """The action of every key: ``key, scd2_action``.
 
-    ``h_rows`` and ``c_rows`` count the rows of the key in the history and in the source. Counting
-    starts before the shuffle, so copies of one key cannot pile up in the join, and the join uses
-    the partitioning and the order of the counts.
+    Keys are to be unique on each side (see ``refuse_unfit``); rows without one are left out. Each
+    side's narrow rows are shuffled and sorted once, for the join itself.
     """
-    held = _one_per_key(open_rows, dim, "h", dim.tracked)
-    given = _one_per_key(source, dim, "c", dim.tracked)
+    held, given = (_keys_and(df, dim, side) for df, side in ((open_rows, "h"), (source, "c")))
     action = (
         F.when(F.col("c_key").isNull(), DELETE)
         .when(F.col("h_key").isNull(), INSERT)
@@ -103,57 +102,53 @@ def classify(open_rows: DataFrame, source: DataFrame, dim: Dimension) -> DataFra
         .otherwise(NOCHANGE)
     )
     return held.join(given, F.col("h_key") == F.col("c_key"), "full_outer").select(
-        F.coalesce("h_key", "c_key").alias("key"), action.alias(ACTION), "h_rows", "c_rows"
+        F.coalesce("h_key", "c_key").alias("key"), action.alias(ACTION)
     )
 
 
-def _one_per_key(df: DataFrame, dim: Dimension, side: str, columns: Sequence[str]) -> DataFrame:
-    """Each key once, with its number of rows and the given columns of one of them."""
-    return df.groupBy(F.col(dim.key).alias(f"{side}_key")).agg(
-        F.count(F.lit(1)).alias(f"{side}_rows"), F.first(F.struct(*columns)).alias(side)
-    )
+def _keys_and(df: DataFrame, dim: Dimension, side: str) -> DataFrame:
+    """The rows that have a key, with the tracked columns as one."""
+    keyed = df.select(F.col(dim.key).alias(f"{side}_key"), F.struct(*dim.tracked).alias(side))
+    return keyed.filter(f"{side}_key IS NOT NULL")
 
 
-def find_changes(
-    open_rows: DataFrame, source: DataFrame, dim: Dimension, *, quarantine: Quarantine | None = None
-) -> DataFrame:
-    """The keys that change, written to the scratch folder: ``<key>, scd2_action``.
+def refuse_unfit(
+    sides: dict[str, DataFrame], source: DataFrame, dim: Dimension, quarantine: Quarantine | None
+) -> None:
+    """Refuse keys with several rows in a side, and source rows without a key.
 
-    Raises ``HistoryError`` where a key has several live rows, and where source rows have no key
-    and there is no ``quarantine`` to take them.
+    Rows are counted per key, combined before the shuffle, from the key column alone: copies of
+    one key never meet in a join. With a ``quarantine``, rows without a key are handed over.
     """
-    repeated = (F.col("h_rows") > 1) | (F.col("c_rows") > 1)
-    found = stage(
-        classify(open_rows, source, dim).filter((F.col(ACTION) != NOCHANGE) | repeated), "changes"
-    )
-    valid = _keyed(found, source, dim, quarantine)
-    _refuse_repeated(valid, {"h_rows": "history", "c_rows": "source"})
-    return valid.select(F.col("key").alias(dim.key), ACTION)
-
-
-def _keyed(
-    found: DataFrame, source: DataFrame, dim: Dimension, quarantine: Quarantine | None
-) -> DataFrame:
-    """The counted keys without the missing one; its source rows are refused or handed over."""
-    missing = found.filter("key IS NULL").agg(F.coalesce(F.sum("c_rows"), F.lit(0))).first()[0]
+    counted = None
+    for name, df in sides.items():
+        rows = df.groupBy(F.col(dim.key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+        rows = rows.filter("rows > 1 OR key IS NULL").withColumn("side", F.lit(name))
+        counted = rows if counted is None else counted.unionByName(rows)
+    # the row without a key of each side, and a few examples for the message
+    found = counted.orderBy(F.col("key").isNotNull(), "side", "key").limit(10 + len(sides)).collect()
+    missing = sum(r["rows"] for r in found if r["key"] is None and r["side"] == SOURCE)
     if missing and quarantine is None:
         raise HistoryError(f"{missing} source rows have no {dim.key}; name a quarantine for them")
+    repeated = [f"{r['side']} {r['key']!r} x{r['rows']}" for r in found if r["key"] is not None]
     if missing:
         log.warning("%d source rows without %s go to the quarantine", missing, dim.key)
         quarantine(split_missing_keys(source, dim)[1], missing)
-    return found.filter("key IS NOT NULL")
+    if repeated:
+        raise HistoryError(f"keys with more than one live row: {', '.join(repeated[:10])}")
 
 
-def _refuse_repeated(found: DataFrame, sides: dict[str, str]) -> None:
-    repeated = found.filter(" OR ".join(f"{name} > 1" for name in sides)).take(10)
-    if repeated:  # ten examples are enough for the message
-        shown = ", ".join(
-            f"{side} {row['key']!r} x{row[name]}"
-            for row in repeated
-            for name, side in sides.items()
-            if (row[name] or 0) > 1
-        )
-        raise HistoryError(f"keys with more than one live row: {shown}")
+def find_changes(
+    open_rows: DataFrame, source: DataFrame, dim: Dimension, *, quarantine: Quarantine | None = None
+) -> DataFrame:
+    """The keys that change, written to the scratch folder: ``<key>, scd2_action``.
+
+    Raises ``HistoryError`` where a key has several live rows, and where source rows have no key
+    and there is no ``quarantine`` to take them.
+    """
+    refuse_unfit({"history": open_rows, SOURCE: source}, source, dim, quarantine)
+    changes = classify(open_rows, source, dim).filter(F.col(ACTION) != NOCHANGE)
+    return stage(changes, "changes").select(F.col("key").alias(dim.key), ACTION)
 
 
 def history_ends(
@@ -256,7 +251,8 @@ def scd2_versions(
     highest, latest, now = history_ends(history, dim, as_of)
     refuse_past(latest, now)
     changes = find_changes(open_rows, source, dim, quarantine=quarantine)
-    return next_versions(open_rows, source, changes, dim, as_of, start=highest + 1)
+    carried, added = next_versions(open_rows, source, changes, dim, as_of, start=highest + 1)
+    return carried.unionByName(added)
 
 
 def next_versions(
@@ -267,12 +263,11 @@ def next_versions(
     as_of: datetime | Column | None,
     *,
     start: int,
-) -> DataFrame:
-    """The open rows and the added ones after known changes, numbered from ``start``."""
+) -> tuple[DataFrame, DataFrame]:
+    """The open rows, and the added ones, after known changes, numbered from ``start``."""
     numbered = number_changes(changes, dim, start=start)
-    return carried_versions(open_rows, changes, dim, as_of).unionByName(
-        added_versions(source, numbered, dim, as_of)
-    )
+    carried = carried_versions(open_rows, changes, dim, as_of)
+    return carried, added_versions(source, numbered, dim, as_of)
 
 
 def scd2_merge(
@@ -302,8 +297,6 @@ def scd2_initial(
     quarantine: Quarantine | None = None,
 ) -> DataFrame:
     """The first history: every source row with a key open, numbered in key order from 1."""
-    counts = source.groupBy(F.col(dim.key).alias("key")).agg(F.count(F.lit(1)).alias("c_rows"))
-    found = _keyed(stage(counts, "keys"), source, dim, quarantine)
-    _refuse_repeated(found, {"c_rows": "source"})
-    keys = found.select(F.col("key").alias(dim.key), F.lit(INSERT).alias(ACTION))
+    refuse_unfit({SOURCE: source}, source, dim, quarantine)
+    keys = split_missing_keys(source, dim)[0].select(dim.key, F.lit(INSERT).alias(ACTION))
     return added_versions(source, number_changes(keys, dim, start=1), dim, as_of).drop(ACTION)

@@ -18,7 +18,7 @@ from tidemark.operators.scd2 import Dimension
 from tidemark.plans.registry import query
 from tidemark.plans.tables import table, zoneless
 from tidemark.session import scratch_path
-from tidemark.sinks.tables import CLOSED_IN, copy_table, merge_table, save_history
+from tidemark.sinks.tables import CLOSED_IN, KEY_BUCKET, copy_table, merge_table, save_history
 from tidemark.sources.catalog import create_database
 
 DIM = Dimension(key="c_custkey", surrogate="sk_customer", tracked=("c_name", "c_mktsegment"))
@@ -202,7 +202,7 @@ def _new_database(spark):
 
 def _history_of(spark, history):
     """The rows of a history table, without its layout."""
-    return _shown(spark.table(history).drop(CLOSED_IN))
+    return _shown(spark.table(history).drop(CLOSED_IN, KEY_BUCKET))
 
 
 @query(INITIAL_SQL)
@@ -218,7 +218,7 @@ def scd2_sync(spark, sf_dir):
     """The rows of a copy that missed a merge of its history, after the next one."""
     database = _new_database(spark)
     history, synced = f"{database}.customer_history", f"{database}.customer_incremental"
-    save_history(history_frame(spark, sf_dir), history)
+    save_history(history_frame(spark, sf_dir), history, DIM)
     copy_table(spark, history, synced)
     source = source_frame(spark, sf_dir)
     merge_table(source, history, DIM, as_of=AS_OF)
@@ -241,7 +241,7 @@ def scd2_table(spark, sf_dir):
     history, synced = f"{database}.customer_history", f"{database}.customer_incremental"
     ends = F.when(F.col("is_current"), F.lit("9999-12-31 00:00:00").cast("timestamp"))
     rows = history_frame(spark, sf_dir).withColumn("expiration_date", F.coalesce(ends, "expiration_date"))
-    save_history(rows, history)
+    save_history(rows, history, DIM)
     source = source_frame(spark, sf_dir)
     merge_table(source, history, DIM, as_of=AS_OF, synced=synced)
     later = source.filter("c_nationkey <> 9").select(*reversed(source.columns))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.scd2 import (
@@ -28,8 +30,11 @@ from tidemark.session import stage
 
 #: The merge that closed a row; ``open`` while it is open, ``before`` if closed before the first merge.
 CLOSED_IN = "closed_in"
-_PARTITIONS = ("is_current", CLOSED_IN)
-#: Table properties: the last merge, what it left behind, and a merge that is not applied yet.
+#: The bucket of an open row's key; closed rows are never read by key and have none.
+KEY_BUCKET, CLOSED = "key_bucket", -1
+BUCKETS = 32
+_PARTITIONS = ("is_current", CLOSED_IN, KEY_BUCKET)
+#: Table properties: the last merge, the buckets, what it left behind, and a merge that is not applied yet.
 _STATE, _PENDING = "tidemark.history.", "tidemark.pending."
 
 log = logging.getLogger(__name__)
@@ -89,12 +94,27 @@ def copy_table(spark: SparkSession, source: str, target: str) -> None:
     spark.table(source).write.mode("overwrite").saveAsTable(target)
 
 
-def save_history(history: DataFrame, table: str) -> None:
-    """Save a history as a table in the layout that ``merge_table`` works on."""
+def save_history(
+    history: DataFrame, table: str, dim: Dimension, *, buckets: int = BUCKETS
+) -> None:
+    """Save a history as a table in the layout that ``merge_table`` works on.
+
+    ``buckets`` is the number of parts of the open rows, fixed for the life of the table: a merge
+    rewrites whole buckets, so the more there are, the less it rewrites beside what has changed.
+    """
+    if buckets < 1:
+        raise ValueError("a history needs at least one bucket")
     closed_in = F.when(F.col("is_current"), F.lit("open")).otherwise(F.lit("before"))
-    laid_out = history.withColumn(CLOSED_IN, closed_in)
-    laid_out.write.partitionBy(*_PARTITIONS).saveAsTable(table)
-    _set(history.sparkSession, table, _STATE, {"merge": uuid.uuid4().hex})
+    bucket = F.when(F.col("is_current"), bucket_of(F.col(dim.key), buckets)).otherwise(F.lit(CLOSED))
+    laid_out = history.withColumns({CLOSED_IN: closed_in, KEY_BUCKET: bucket})
+    # each bucket in files of a good size, whatever the number of tasks
+    laid_out.hint("rebalance", *_PARTITIONS).write.partitionBy(*_PARTITIONS).saveAsTable(table)
+    _set(history.sparkSession, table, _STATE, {"merge": uuid.uuid4().hex, "buckets": str(buckets)})
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    """The bucket of a key, by a hash of its value; the same for ever."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def merge_table(
@@ -105,24 +125,28 @@ def merge_table(
     as_of: datetime | None = None,
     synced: str | None = None,
     quarantine: Quarantine | None = None,
+    buckets: int = BUCKETS,
 ) -> None:
     """Bring a history table up to date with the source, or create it on the first call.
 
-    The table is partitioned by ``is_current, closed_in``; times are plain columns. A merge reads
-    the open rows, whatever their ``expiration_date``, replaces them and adds one partition of the
-    rows that it closes; rows closed earlier are neither read nor written. Without changes nothing
-    is written. ``as_of`` must not lie before the last change.
+    The table is partitioned by ``is_current, closed_in, key_bucket``; times are plain columns. A
+    merge compares keys and tracked columns of all open rows, whatever their ``expiration_date``.
+    Then it reads and replaces the buckets only that hold a changed key, and adds one partition of
+    the rows that it closes; all other files are neither read as whole rows nor written. Without
+    changes nothing is written. ``as_of`` must not lie before the last change.
 
     The result is staged as a table beside the history, named by its properties until it is
-    applied; a merge that died in between is completed by the next call. ``synced`` names a second
-    table that is kept equal to the history: by the same two partitions, or by a full copy where it
-    is not at the history's previous merge. Source rows without a key are an error, or go to
-    ``quarantine``.
+    applied; a merge that died in between is completed by the next call. The partitions of the
+    staged table are the list of touched buckets. ``synced`` names a second table that is kept
+    equal to the history: by the same partitions, or by a full copy where it is not at the
+    history's previous merge. Source rows without a key are an error, or go to ``quarantine``.
+    ``buckets`` counts on the first call only.
     """
     spark = source.sparkSession
     as_of = datetime.now(timezone.utc) if as_of is None else as_of
     if not spark.catalog.tableExists(table):
-        save_history(scd2_initial(source, dim, as_of=as_of, quarantine=quarantine), table)
+        first = scd2_initial(source, dim, as_of=as_of, quarantine=quarantine)
+        save_history(first, table, dim, buckets=buckets)
     else:
         finish_merge(spark, table)
         _stage_merge(source, table, dim, as_of, synced, quarantine)
@@ -142,9 +166,9 @@ def _stage_merge(
     """Write down what a merge will put into the table, and point to it."""
     spark = source.sparkSession
     history, state = spark.table(table), _get(spark, table, _STATE)
-    if CLOSED_IN not in history.columns:
-        raise HistoryError(f"{table} has no column {CLOSED_IN}: lay it out with save_history")
-    columns = [*dim.history_columns(source.columns), CLOSED_IN]
+    if not {CLOSED_IN, KEY_BUCKET} <= set(history.columns) or "buckets" not in state:
+        raise HistoryError(f"{table} has another layout: lay it out with save_history")
+    columns = [*dim.history_columns(source.columns), CLOSED_IN, KEY_BUCKET]
     _same_columns(history, columns, f"{table} (before the merge)")
     open_rows, _ = split_history(history.drop(CLOSED_IN))
     # what the last merge left behind saves a scan of the closed rows
@@ -154,19 +178,34 @@ def _stage_merge(
         highest, latest = max(highest, int(state["highest"])), max(latest, int(state["latest"]))
     refuse_past(latest, now)
     changes = find_changes(open_rows, source, dim, quarantine=quarantine)
-    counts = {row[ACTION]: row["count"] for row in changes.groupBy(ACTION).count().collect()}
-    if not counts:
+    # hashed as the table's own type, so that a key has one bucket whatever type the source has
+    kind, count = history.schema[_column(history, dim.key)].dataType, int(state["buckets"])
+    changes = changes.withColumn(KEY_BUCKET, bucket_of(F.col(dim.key).cast(kind), count))
+    per_bucket = changes.groupBy(KEY_BUCKET, ACTION).count().collect()  # bounded by the buckets
+    if not per_bucket:
         return
+    counts = {action: 0 for action in (DELETE, INSERT, UPDATE)}
+    for row in per_bucket:
+        counts[row[ACTION]] += row["count"]
+    touched = sorted({row[KEY_BUCKET] for row in per_bucket})
+    if len(touched) < count:
+        open_rows = open_rows.where(F.col(KEY_BUCKET).isin(touched))
     merge = uuid.uuid4().hex
     staged = f"{table}__merge_{merge}"
-    rows = next_versions(open_rows, source, changes, dim, as_of, start=highest + 1).drop(ACTION)
-    rows.write.partitionBy("is_current").saveAsTable(staged)
+    carried, added = next_versions(
+        open_rows.drop(KEY_BUCKET), source, changes.drop(KEY_BUCKET), dim, as_of, start=highest + 1
+    )
+    bucket = bucket_of(F.col(dim.key).cast(kind), count)
+    # carried rows come bucket by bucket from their files; the added ones are brought together
+    added = added.withColumn(KEY_BUCKET, bucket).hint("rebalance", KEY_BUCKET)
+    rows = carried.withColumn(KEY_BUCKET, bucket).unionByName(added).drop(ACTION)
+    rows.write.partitionBy("is_current", KEY_BUCKET).saveAsTable(staged)
     pending = {
         "merge": merge,
         "staged": staged,
         "previous": state.get("merge", ""),
-        "closes": str(counts.get(DELETE, 0) + counts.get(UPDATE, 0)),
-        "highest": str(highest + counts.get(INSERT, 0) + counts.get(UPDATE, 0)),
+        "closes": str(counts[DELETE] + counts[UPDATE]),
+        "highest": str(highest + counts[INSERT] + counts[UPDATE]),
         "latest": str(now),
     }
     if synced is not None and spark.catalog.tableExists(synced):
@@ -174,6 +213,11 @@ def _stage_merge(
     _set(spark, table, _PENDING, pending)
 
 
+def _column(df: DataFrame, name: str) -> str:
+    """A column's own spelling; names are matched without case."""
+    return next(c for c in df.columns if c.lower() == name.lower())
+
+
 def finish_merge(spark: SparkSession, table: str) -> None:
     """Apply the staged result of a merge, if one is pending. Repeating it changes nothing.
 
@@ -183,54 +227,93 @@ def finish_merge(spark: SparkSession, table: str) -> None:
     pending = _get(spark, table, _PENDING)
     if not pending:
         return
+    held = _get(spark, table, _STATE)
     if not spark.catalog.tableExists(pending["staged"]):
         # the state is written after the last partition: then only the copy may be missing something
-        applied = _get(spark, table, _STATE).get("merge") == pending["merge"]
-        if "begun" in pending and not applied:
+        if "begun" in pending and held.get("merge") != pending["merge"]:
             raise HistoryError(
                 f"{pending['staged']} is gone, but the merge has begun to write {pending['begun']} of {table}"
             )
         log.warning("%s is gone; the merge of %s is given up", pending["staged"], table)
         _set(spark, table, _PENDING, {})
         return
+    buckets = {"buckets": held["buckets"]}
     state = {name: pending[name] for name in ("merge", "highest", "latest")}
     _apply(spark, pending, table, marked=table)
-    _set(spark, table, _STATE, state)
+    _set(spark, table, _STATE, state | buckets)
     synced = pending.get("synced")
-    if synced is not None and _get(spark, synced, _STATE).get("merge") == pending["previous"]:
+    if synced is not None and _get(spark, synced, _STATE) == {"merge": pending["previous"]} | buckets:
         _set(spark, synced, _STATE, {})  # until it is whole again, it is at no merge
         _apply(spark, pending, synced, marked=table)
-        _set(spark, synced, _STATE, {"merge": pending["merge"]})
+        _set(spark, synced, _STATE, {"merge": pending["merge"]} | buckets)
     _set(spark, table, _PENDING, {})
     spark.sql(f"DROP TABLE IF EXISTS {pending['staged']}")
 
 
 def _apply(spark: SparkSession, pending: dict[str, str], target: str, *, marked: str) -> None:
+    """Put the closed rows of the staged result into their partition, the open ones into their buckets."""
     staged, columns = spark.table(pending["staged"]), spark.table(target).columns
     _same_columns(staged.withColumn(CLOSED_IN, F.lit("")), columns, target)
     # the insert is by position: columns in the order of the table
     listed = ", ".join(f"`{c}`" for c in columns if c not in _PARTITIONS)
-    parts = [("true", "open")]
+    filled: dict[str, set[int]] = {"true": set(), "false": set()}
+    for row in spark.sql(f"SHOW PARTITIONS {pending['staged']}").collect():
+        values = dict(part.split("=") for part in row["partition"].split("/"))
+        filled[values["is_current"]].add(int(values[KEY_BUCKET]))
+
+    def begin(what: str) -> None:
+        _set(spark, marked, _PENDING, pending | {"begun": f"{what} in {target}"})
+
     if pending["closes"] != "0":
-        parts.insert(0, ("false", pending["merge"]))
-    for current, closed_in in parts:
-        _set(spark, marked, _PENDING, pending | {"begun": f"is_current={current} in {target}"})
+        begin("closed rows")
         spark.sql(
             f"INSERT OVERWRITE {target} "
-            f"PARTITION (is_current = {current}, {CLOSED_IN} = '{closed_in}') "
-            f"SELECT {listed} FROM {{staged}} WHERE is_current = {current}",
+            f"PARTITION (is_current = false, {CLOSED_IN} = '{pending['merge']}', {KEY_BUCKET} = {CLOSED}) "
+            f"SELECT {listed} FROM {{staged}} WHERE NOT is_current",
             staged=staged,
         )
+    begin("open rows")
+    if filled["true"]:
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):  # named buckets only
+            spark.sql(
+                f"INSERT OVERWRITE {target} "
+                f"PARTITION (is_current = true, {CLOSED_IN} = 'open', {KEY_BUCKET}) "
+                f"SELECT {listed}, `{KEY_BUCKET}` FROM {{staged}} WHERE is_current",
+                staged=staged,
+            )
+    # a touched bucket that has closed rows and no open ones has become empty
+    emptied = sorted(filled["false"] - filled["true"])
+    if emptied:
+        gone = ", ".join(
+            f"PARTITION (is_current = true, {CLOSED_IN} = 'open', {KEY_BUCKET} = {bucket})"
+            for bucket in emptied
+        )
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {gone}")
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for as long as the block lasts."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def _catch_up(spark: SparkSession, table: str, synced: str) -> None:
     """Copy the whole history where its copy is not at the same merge."""
-    merge = _get(spark, table, _STATE).get("merge")
-    if spark.catalog.tableExists(synced) and merge and _get(spark, synced, _STATE).get("merge") == merge:
+    held = _get(spark, table, _STATE)
+    state = {name: held[name] for name in ("merge", "buckets")}
+    if spark.catalog.tableExists(synced) and _get(spark, synced, _STATE) == state:
         return
-    spark.table(table).write.mode("overwrite").partitionBy(*_PARTITIONS).saveAsTable(synced)
-    if merge:
-        _set(spark, synced, _STATE, {"merge": merge})
+    whole = spark.table(table).hint("rebalance", *_PARTITIONS)
+    whole.write.mode("overwrite").partitionBy(*_PARTITIONS).saveAsTable(synced)
+    _set(spark, synced, _STATE, state)
 
 
 def _get(spark: SparkSession, table: str, prefix: str) -> dict[str, str]:
