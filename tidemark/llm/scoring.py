@@ -104,6 +104,7 @@ def learn_quality(docs: DataFrame, labels: DataFrame, key: str, text: str, label
     drawn = F.pmod(F.xxhash64(F.lit("quality"), F.col("key").cast("string")), F.lit(ring))
     share = [F.when(F.col("label") == k, F.lit(int(min(1.0, SAMPLE_TEXTS / n) * ring))) for k, n in counts.items()]
     chosen = known.withColumn("drawn", drawn).where(F.col("drawn") < F.coalesce(*share)).select("key", "label", "drawn")
+    chosen = F.broadcast(chosen.orderBy("drawn", "key").limit(3 * SAMPLE_TEXTS))  # so no text is shuffled
     texts = docs.select(F.col(key).alias("key"), F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text")).where("text IS NOT NULL")
     half = F.pmod(F.xxhash64(F.lit("half"), F.col("key").cast("string")), F.lit(2)) == 0
     sample = (
