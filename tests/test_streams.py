@@ -12,7 +12,8 @@ from tidemark.sources.messages import (
     read_message_files,
     read_messages,
 )
-from tidemark.streaming import publish, sinks
+from tidemark.session import stage
+from tidemark.streaming import publish, sinks, windows
 from tidemark.streaming.parse import parse_messages, parse_store_sales, parse_trips
 from tidemark.streaming.trips import enrich_trips
 from tidemark.streaming.windows import session_counts, store_gap, window_counts
@@ -342,18 +343,40 @@ def test_batch_sessions_equal_session_windows(spark, seed, per_row):
     if per_row:
         gap = F.when(F.col("kind") == 0, "5 seconds").when(F.col("kind") == 1, "90 seconds")
         gap = gap.otherwise(F.lit("0 seconds"))  # opens no session
-    got = session_counts(df, "eventTime", "Store_id", gap, keys=["Store_id"])
-    expected = spark_sessions(df, gap)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    expected = sorted(map(tuple, spark_sessions(df, gap).collect()))
+    one_key = df.withColumn("Store_id", F.lit("all"))
+    expected_of_all = sorted(r[1:] for r in map(tuple, spark_sessions(one_key, gap).collect()))
+    for span in ("1 day", "10 minutes", "7 seconds"):  # shorter than gaps and sessions as well
+        got = session_counts(df, "eventTime", "Store_id", gap, keys=["Store_id"], span=span)
+        assert sorted(map(tuple, got.collect())) == expected
+        of_all = session_counts(df, "eventTime", "Store_id", gap, span=span)
+        assert sorted(map(tuple, of_all.collect())) == expected_of_all
 
 
-def test_batch_sessions_shuffle_slots_and_not_events(spark):
+def test_batch_sessions_with_missing_keys_and_times(spark):
+    rows = [(None, "10:00:00"), (None, "10:00:30"), ("a", "10:00:10"), ("a", None), ("b", "10:59:59"), ("b", "11:00:10")]
+    got = session_counts(events(spark, rows), "eventTime", "eventTime", "1 minute", keys=["Store_id"], span="1 hour")
+    assert sorted(tuple("-" if v is None else v for v in r) for r in got.select("Store_id", "total_counts").collect()) == [
+        ("-", 2), ("a", 1), ("b", 2)
+    ]
+
+
+def test_batch_sessions_shuffle_slots_and_sort_no_key_in_one_task(spark, monkeypatch):
     df = spark.range(10).select(
         F.col("id").cast("string").alias("Store_id"), F.timestamp_seconds("id").alias("eventTime")
     )
-    plan = session(df)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_count" in plan.split("Exchange")[-1]
-    assert plan.count("Exchange hashpartitioning") == 2
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    staged = []
+    monkeypatch.setattr(windows, "stage", lambda df, label: staged.append(plan_of(df)) or stage(df, label))
+    for keys in ([], ["Store_id"]):
+        counts = session_counts(df, "eventTime", "Store_id", "1 minute", keys=keys)
+        local, joined = staged.pop(), plan_of(counts)
+        assert "partial_count" in local.split("Exchange")[-1]
+        assert local.count("Exchange") == 2 and "__range" in local.split("Exchange")[1]
+        # by key alone: one row per range
+        ordered = joined.split("Exchange hashpartitioning(")
+        assert "SinglePartition" not in joined
+        assert [part for part in ordered if "__all" in part.split(",")[0 if not keys else 1]]
 
 
 def test_one_row_per_event_time_and_key(spark):
