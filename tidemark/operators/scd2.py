@@ -24,7 +24,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.fixed_values import OPEN_END
@@ -34,7 +34,6 @@ from tidemark.session import stage
 
 NOCHANGE, DELETE, INSERT, UPDATE = "NOCHANGE", "DELETE", "INSERT", "UPDATE"
 ACTION = "scd2_action"
-SOURCE = "source"
 
 #: Takes the source rows that have no key, and their number.
 Quarantine = Callable[[DataFrame, int], None]
@@ -89,53 +88,38 @@ def split_missing_keys(source: DataFrame, dim: Dimension) -> tuple[DataFrame, Da
 
 
 def classify(open_rows: DataFrame, source: DataFrame, dim: Dimension) -> DataFrame:
-    """The action of every key: ``key, scd2_action``.
+    """The action of every key: ``key, scd2_action, h_repeated, c_repeated``.
 
-    Keys are to be unique on each side (see ``refuse_unfit``); rows without one are left out. Each
-    side's narrow rows are shuffled and sorted once, for the join itself.
+    ``h_repeated`` and ``c_repeated`` tell whether the history and the source hold the key more
+    than once; then one of its rows speaks for all. Rows without a key are left out. The narrow
+    rows of each side are shuffled and sorted once: the sort of the join also brings copies of a
+    key together, so the first row of each key goes into the join and no other.
     """
-    held, given = (_keys_and(df, dim, side) for df, side in ((open_rows, "h"), (source, "c")))
+    held, given = (_first_of_key(df, dim, side) for df, side in ((open_rows, "h"), (source, "c")))
     action = (
         F.when(F.col("c_key").isNull(), DELETE)
         .when(F.col("h_key").isNull(), INSERT)
         .when(differs("h", "c", dim.tracked), UPDATE)
         .otherwise(NOCHANGE)
     )
+    flags = (F.coalesce(f"{side}_repeated", F.lit(False)).alias(f"{side}_repeated") for side in "hc")
     return held.join(given, F.col("h_key") == F.col("c_key"), "full_outer").select(
-        F.coalesce("h_key", "c_key").alias("key"), action.alias(ACTION)
+        F.coalesce("h_key", "c_key").alias("key"), action.alias(ACTION), *flags
     )
 
 
-def _keys_and(df: DataFrame, dim: Dimension, side: str) -> DataFrame:
-    """The rows that have a key, with the tracked columns as one."""
-    keyed = df.select(F.col(dim.key).alias(f"{side}_key"), F.struct(*dim.tracked).alias(side))
-    return keyed.filter(f"{side}_key IS NOT NULL")
-
-
-def refuse_unfit(
-    sides: dict[str, DataFrame], source: DataFrame, dim: Dimension, quarantine: Quarantine | None
-) -> None:
-    """Refuse keys with several rows in a side, and source rows without a key.
-
-    Rows are counted per key, combined before the shuffle, from the key column alone: copies of
-    one key never meet in a join. With a ``quarantine``, rows without a key are handed over.
-    """
-    counted = None
-    for name, df in sides.items():
-        rows = df.groupBy(F.col(dim.key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
-        rows = rows.filter("rows > 1 OR key IS NULL").withColumn("side", F.lit(name))
-        counted = rows if counted is None else counted.unionByName(rows)
-    # the row without a key of each side, and a few examples for the message
-    found = counted.orderBy(F.col("key").isNotNull(), "side", "key").limit(10 + len(sides)).collect()
-    missing = sum(r["rows"] for r in found if r["key"] is None and r["side"] == SOURCE)
-    if missing and quarantine is None:
-        raise HistoryError(f"{missing} source rows have no {dim.key}; name a quarantine for them")
-    repeated = [f"{r['side']} {r['key']!r} x{r['rows']}" for r in found if r["key"] is not None]
-    if missing:
-        log.warning("%d source rows without %s go to the quarantine", missing, dim.key)
-        quarantine(split_missing_keys(source, dim)[1], missing)
-    if repeated:
-        raise HistoryError(f"keys with more than one live row: {', '.join(repeated[:10])}")
+def _first_of_key(df: DataFrame, dim: Dimension, side: str) -> DataFrame:
+    """One row of each key with its tracked columns, and whether there are more of them."""
+    key = f"{side}_key"
+    copies = Window.partitionBy(key).orderBy(key)  # the order that the join needs anyway
+    return (
+        df.select(F.col(dim.key).alias(key), F.struct(*dim.tracked).alias(side))
+        .filter(F.col(key).isNotNull())
+        .withColumn("row", F.row_number().over(copies))
+        .withColumn(f"{side}_repeated", F.lead(F.lit(True)).over(copies))
+        .filter("row = 1")
+        .drop("row")
+    )
 
 
 def find_changes(
@@ -146,9 +130,35 @@ def find_changes(
     Raises ``HistoryError`` where a key has several live rows, and where source rows have no key
     and there is no ``quarantine`` to take them.
     """
-    refuse_unfit({"history": open_rows, SOURCE: source}, source, dim, quarantine)
-    changes = classify(open_rows, source, dim).filter(F.col(ACTION) != NOCHANGE)
-    return stage(changes, "changes").select(F.col("key").alias(dim.key), ACTION)
+    _set_aside(source, dim, quarantine)
+    changed = (F.col(ACTION) != NOCHANGE) | F.col("h_repeated") | F.col("c_repeated")
+    found = stage(classify(open_rows, source, dim).filter(changed), "changes")
+    for side, flag, df in (("history", "h_repeated", open_rows), ("source", "c_repeated", source)):
+        examples = [row["key"] for row in found.filter(flag).select("key").limit(10).collect()]
+        _refuse_repeated(side, df.filter(F.col(dim.key).isin(examples)) if examples else None, dim)
+    return found.select(F.col("key").alias(dim.key), ACTION)
+
+
+def _set_aside(source: DataFrame, dim: Dimension, quarantine: Quarantine | None) -> None:
+    """Source rows without a key are refused or handed over."""
+    unkeyed = split_missing_keys(source, dim)[1]
+    missing = unkeyed.count()
+    if missing and quarantine is None:
+        raise HistoryError(f"{missing} source rows have no {dim.key}; name a quarantine for them")
+    if missing:
+        log.warning("%d source rows without %s go to the quarantine", missing, dim.key)
+        quarantine(unkeyed, missing)
+
+
+def _refuse_repeated(side: str, rows: DataFrame | None, dim: Dimension) -> None:
+    """Refuse the rows if they hold a key more than once; ten examples are enough for the message."""
+    if rows is None:
+        return
+    counts = rows.groupBy(F.col(dim.key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+    repeated = counts.filter("rows > 1 AND key IS NOT NULL").limit(10).collect()
+    if repeated:
+        shown = ", ".join(f"{side} {row['key']!r} x{row['rows']}" for row in repeated)
+        raise HistoryError(f"keys with more than one live row: {shown}")
 
 
 def history_ends(
@@ -297,6 +307,7 @@ def scd2_initial(
     quarantine: Quarantine | None = None,
 ) -> DataFrame:
     """The first history: every source row with a key open, numbered in key order from 1."""
-    refuse_unfit({SOURCE: source}, source, dim, quarantine)
+    _set_aside(source, dim, quarantine)
+    _refuse_repeated("source", source, dim)
     keys = split_missing_keys(source, dim)[0].select(dim.key, F.lit(INSERT).alias(ACTION))
     return added_versions(source, number_changes(keys, dim, start=1), dim, as_of).drop(ACTION)

@@ -33,6 +33,9 @@ CLOSED_IN = "closed_in"
 #: The bucket of an open row's key; closed rows are never read by key and have none.
 KEY_BUCKET, CLOSED = "key_bucket", -1
 BUCKETS = 32
+_DYNAMIC = ("spark.sql.sources.partitionOverwriteMode", "dynamic")
+#: A task that writes no more buckets than this keeps a file open for each and does not sort its rows.
+_OPEN_WRITERS = ("spark.sql.maxConcurrentOutputFileWriters", "64")
 _PARTITIONS = ("is_current", CLOSED_IN, KEY_BUCKET)
 #: Table properties: the last merge, the buckets, what it left behind, and a merge that is not applied yet.
 _STATE, _PENDING = "tidemark.history.", "tidemark.pending."
@@ -199,7 +202,8 @@ def _stage_merge(
     # carried rows come bucket by bucket from their files; the added ones are brought together
     added = added.withColumn(KEY_BUCKET, bucket).hint("rebalance", KEY_BUCKET)
     rows = carried.withColumn(KEY_BUCKET, bucket).unionByName(added).drop(ACTION)
-    rows.write.partitionBy("is_current", KEY_BUCKET).saveAsTable(staged)
+    with _setting(spark, *_OPEN_WRITERS):
+        rows.write.partitionBy("is_current", KEY_BUCKET).saveAsTable(staged)
     pending = {
         "merge": merge,
         "staged": staged,
@@ -274,7 +278,8 @@ def _apply(spark: SparkSession, pending: dict[str, str], target: str, *, marked:
         )
     begin("open rows")
     if filled["true"]:
-        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):  # named buckets only
+        # only the buckets that the rows name are replaced
+        with _setting(spark, *_DYNAMIC), _setting(spark, *_OPEN_WRITERS):
             spark.sql(
                 f"INSERT OVERWRITE {target} "
                 f"PARTITION (is_current = true, {CLOSED_IN} = 'open', {KEY_BUCKET}) "
