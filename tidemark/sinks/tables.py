@@ -198,10 +198,10 @@ def _stage_merge(
     carried, added = next_versions(
         open_rows.drop(KEY_BUCKET), source, changes.drop(KEY_BUCKET), dim, as_of, start=highest + 1
     )
-    bucket = bucket_of(F.col(dim.key).cast(kind), count)
-    # carried rows come bucket by bucket from their files; the added ones are brought together
-    added = added.withColumn(KEY_BUCKET, bucket).hint("rebalance", KEY_BUCKET)
-    rows = carried.withColumn(KEY_BUCKET, bucket).unionByName(added).drop(ACTION)
+    rows = carried.unionByName(added).drop(ACTION)
+    rows = rows.withColumn(KEY_BUCKET, bucket_of(F.col(dim.key).cast(kind), count))
+    # one more shuffle of what is rewritten, so that a bucket is not split over a file per task
+    rows = rows.hint("rebalance", "is_current", KEY_BUCKET)
     with _setting(spark, *_OPEN_WRITERS):
         rows.write.partitionBy("is_current", KEY_BUCKET).saveAsTable(staged)
     pending = {
