@@ -47,7 +47,7 @@ def test_value_that_most_rows_share_is_spread_over_ranges(spark):
     setting = "spark.sql.adaptive.coalescePartitions.enabled"  # joins up ranges this small
     spark.conf.set(setting, "false")
     try:
-        parts = numbering._placed(df, ["k"]).filter("k = 5").groupBy("__part").count().collect()
+        parts = numbering.in_ranges(df, ["k"]).filter("k = 5").groupBy("__part").count().collect()
     finally:
         spark.conf.unset(setting)
     assert len(parts) > 2  # of four

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from tidemark.sources.messages import (
     read_messages,
 )
 from tidemark.session import stage
-from tidemark.streaming import publish, sinks, windows
+from tidemark.streaming import chunks, publish, sinks, slices, windows
 from tidemark.streaming.parse import parse_messages, parse_store_sales, parse_trips
 from tidemark.streaming.trips import enrich_trips
 from tidemark.streaming.windows import session_counts, store_gap, window_counts
@@ -136,37 +136,123 @@ def test_kafka_options():
     }
 
 
-@pytest.mark.parametrize("size", [7, 50, CHUNK_SIZE, LARGE_CHUNK_SIZE])
-def test_one_file_per_chunk_in_order(spark, path, size):
-    topic = path()
+# Chunk logs ------------------------------------------------------------------------------------
+
+
+def in_chunks(rows):
+    """``{chunk: [(position, k), ...]}`` of the rows read from a log."""
+    found = {}
+    for row in rows.select("chunk", "position", F.from_json(F.col("value").cast("string"), "k int")["k"].alias("k")).collect():
+        found.setdefault(row.chunk, []).append((row.position, row.k))
+    return {chunk: sorted(held) for chunk, held in found.items()}
+
+
+@pytest.mark.parametrize("size", [1, 7, 50, CHUNK_SIZE, LARGE_CHUNK_SIZE])
+def test_log_holds_chunks_in_order_in_few_files(spark, path, size):
+    log = path()
     records = spark.range(100).select((F.col("id") * 37 % 100).alias("k")).repartition(5)
-    publish.publish_chunks(records, ["k"], topic, size)
-    rows = (
-        spark.read.parquet(topic)
-        .select(
-            "chunk",
-            F.input_file_name().alias("file"),
-            F.from_json(F.col("value").cast("string"), "k int")["k"].alias("k"),
-        )
-        .collect()
-    )
-    files = {}
-    for row in rows:
-        files.setdefault(row.file, []).append((row.chunk, row.k))
-    got = sorted(sorted(f) for f in files.values())
-    keys = range(100)
-    assert got == [
-        [(i // size, k) for k in keys[i : i + size]] for i in range(0, 100, size)
-    ]
+    chunks.publish_chunks(records, ["k"], log, size)
+    wanted = {}
+    for k in range(100):
+        wanted.setdefault(k // size, []).append((k, k))
+    assert in_chunks(chunks.read_chunks(spark, log, 0, 99)) == wanted
+    # files follow the ranges of the order, whatever the size of a chunk
+    files = spark.read.parquet(f"{log}/messages").inputFiles()
+    assert len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for row in chunks.manifest(spark, log).groupBy("chunk").agg(F.sum(F.col("last") - F.col("first") + 1).alias("n")).collect():
+        assert row.n == len(wanted[row.chunk])
+    one = chunks.read_chunks(spark, log, 1, 1)
+    assert in_chunks(one) == {k: v for k, v in wanted.items() if k == 1}
+    held = {r.file for r in chunks.manifest(spark, log).where("chunk = 1").collect()}
+    opened = {f.rsplit("/", 1)[1] for f in one.inputFiles() if "/messages/" in f}
+    assert not held or opened == {f.rsplit("/", 1)[1] for f in held}
+
+
+def test_chunks_are_handed_over_in_order_and_once(spark, path):
+    log, progress, seen = path(), path(), []
+    chunks.publish_chunks(spark.range(25).toDF("k"), ["k"], log, 4)
+
+    def write(rows, first):
+        if first == 2 and len(seen) == 2:
+            seen.append("died")
+            raise RuntimeError("reader lost")
+        seen.append((first, sorted(k for held in in_chunks(rows).values() for _, k in held)))
+
+    with pytest.raises(RuntimeError):
+        chunks.for_each_chunk(spark, log, write, progress)
+    assert chunks.for_each_chunk(spark, log, write, progress, chunks=3) == 2
+    assert chunks.for_each_chunk(spark, log, write, progress) == 0
+    assert seen == [
+        (0, [0, 1, 2, 3]), (1, [4, 5, 6, 7]), "died", (2, list(range(8, 20))), (5, list(range(20, 25)))
+    ]
+
+
+def test_log_of_no_rows_and_of_copies(spark, path):
+    log = path()
+    chunks.publish_chunks(spark.range(0).toDF("k"), ["k"], log, 4)
+    assert chunks.read_chunks(spark, log, 0, 9).collect() == []
+    assert chunks.for_each_chunk(spark, log, None, path()) == 0
+    log = path()
+    chunks.publish_chunks(spark.range(10).select(F.lit(3).alias("k")), ["k"], log, 4)
+    assert in_chunks(chunks.read_chunks(spark, log, 0, 9)) == {
+        0: [(i, 3) for i in range(4)], 1: [(i, 3) for i in range(4, 8)], 2: [(8, 3), (9, 3)]
+    }
 
 
-def test_chunks_are_consumed_one_per_batch(spark, path):
-    topic, sink = path(), path()
-    publish.publish_chunks(spark.range(25).toDF("k"), ["k"], topic, 10)
-    stream = read_message_files(spark, topic, files_per_batch=1)
-    sinks.for_each_batch(stream, sinks.batch_folders(sink), path()).awaitTermination()
-    sizes = spark.read.parquet(sink).groupBy("batch_id").count().collect()
-    assert sorted(r["count"] for r in sizes) == [5, 10, 10]
+def test_messages_keep_microseconds(spark):
+    df = spark.sql("SELECT TIMESTAMP '2024-01-01 00:00:00.123456' AS eventTime, TIMESTAMP_NTZ '2024-01-01 00:00:00.654321' AS n")
+    text = publish.to_messages(df).selectExpr("CAST(value AS STRING) AS v").first().v
+    assert text == '{"eventTime":"2024-01-01T00:00:00.123456Z","n":"2024-01-01T00:00:00.654321"}'
+
+
+# Slices ----------------------------------------------------------------------------------------
+
+
+def test_slices_hold_each_row_once_and_in_order(spark):
+    moments = [None, 0, 1, 5, 5, 17, 99, 100, 100]
+    df = spark.createDataFrame([(m,) for m in moments], "m long").select("m", F.timestamp_micros("m").alias("at"))
+    found = [[r.m for r in rows.collect()] for rows in slices.time_slices(df, "at", 4)]
+    assert len(found) == 4
+    assert sorted((m for held in found for m in held), key=lambda m: -1 if m is None else m) == moments
+    assert found[0] == [None, 0, 1, 5, 5, 17] and found[3] == [99, 100, 100]
+    assert [rows.count() for rows in slices.time_slices(df.limit(0), "at", 4)] == [0]
+    assert [rows.count() for rows in slices.time_slices(df.where("m = 5"), "at", 4)] == [2]
+
+
+def test_closed_windows_have_left_the_state(spark, path):
+    """After each slice the state holds just the windows that the watermark has not closed."""
+    topic, sink, checkpoint = path(), path(), path()
+    rows = [("a", f"1{h}:{m:02}:30") for h in range(6) for m in range(0, 60, 7)]
+    df = events(spark, rows).coalesce(1)
+
+    def start():
+        return sinks.to_files(tumbling(read_file_stream(spark, topic, EVENTS)), sink, checkpoint)
+
+    held = []
+    for rows in slices.time_slices(df, "eventTime", 6):
+        assert slices.run_slices([rows], topic, start) == 1
+        watermark = rows.agg(F.max("eventTime")).first()[0] - timedelta(minutes=1)
+        open_now = slices.open_windows(spark, checkpoint)
+        assert open_now.columns == ["start", "end", "total_counts"]
+        assert open_now.where(F.col("end") <= F.lit(watermark)).isEmpty()
+        held.append(open_now.count())
+    assert held == [1] * 6
+    closed = spark.read.schema(COUNTS).parquet(sink)
+    batch = window_counts(df, "eventTime", "Store_id", "1 minute")
+    assert counted(closed.unionByName(open_now)) == counted(batch)
+
+
+def test_slices_in_one_run_of_a_session_stream(spark, path):
+    """Sessions over the border of two slices are one, as in a batch."""
+    topic, sink, checkpoint = path(), path(), path()
+    df = events(spark, [("a", f"10:{m:02}:00") for m in range(30)] + [("b", "10:00:00"), ("b", "10:29:59")])
+    minute = lambda frame: session_counts(frame, "eventTime", "Store_id", "61 seconds", keys=["Store_id"], watermark="1 minute")
+    batches = slices.run_slices(
+        slices.time_slices(df, "eventTime", 5), topic,
+        lambda: sinks.for_each_batch(minute(read_file_stream(spark, topic, EVENTS)), sinks.latest_result(sink), checkpoint, mode="complete"),
+    )
+    assert batches == 5
+    assert counted(sinks.read_latest(spark, sink, KEYED)) == counted(minute(df))
 
 
 # Sinks -----------------------------------------------------------------------------------------

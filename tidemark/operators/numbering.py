@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
-_PART = "__part"
-_POSITION = "__position"
+PART = "__part"
+POSITION = "__position"
 
 
 def number_rows(
@@ -27,32 +27,32 @@ def number_rows(
     copies of a row stay together: where many are expected, number ``stage(unique_ids(df))``
     with the id as last order column.
     """
-    placed = stage(_placed(df, order_by), "numbered")
+    placed = stage(in_ranges(df, order_by), "numbered")
     # One row per partition, so neither the ordered window nor the broadcast grows with the data.
-    earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy(_PART)
-        .agg(F.count(F.lit(1)).alias("rows"), F.min(_POSITION).alias("first"))
+        placed.groupBy(PART)
+        .agg(F.count(F.lit(1)).alias("rows"), F.min(POSITION).alias("first"))
         .select(
-            _PART,
+            PART,
             (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
         )
     )
-    number = F.col(_POSITION) + F.col("shift") + F.lit(start)
-    return placed.join(F.broadcast(offsets), _PART).select(
+    number = F.col(POSITION) + F.col("shift") + F.lit(start)
+    return placed.join(F.broadcast(offsets), PART).select(
         *df.columns, number.cast("long").alias(name)
     )
 
 
-def _placed(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Rows in global order, each with its partition and its position."""
+def in_ranges(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Rows in global order, each with its partition and its position; to be written before it is used."""
     others = [name for name, kind in df.dtypes if name not in order_by and "map<" not in kind]
     keys = [F.col(name) for name in order_by] + ([F.xxhash64(*others)] if others else [])
     return (
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumns(
-            {_PART: F.spark_partition_id(), _POSITION: F.monotonically_increasing_id()}
+            {PART: F.spark_partition_id(), POSITION: F.monotonically_increasing_id()}
         )
     )
 

@@ -6,32 +6,38 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed_values import CHUNK_SIZE
 from tidemark.plans.registry import query
-from tidemark.plans.tables import event_stream, store_sales, table, trips, zoneless
-from tidemark.plans.windows import KEYED_COUNTS, SESSION_SQL, run_complete
+from tidemark.plans.tables import store_sales, table, trips, zoned_events
+from tidemark.plans.windows import KEYED_COUNTS, SESSION_SQL, SLICES, run_complete
 from tidemark.session import scratch_path
 from tidemark.sources.files import read_parquet
-from tidemark.sources.messages import read_message_files
+from tidemark.sources.messages import read_file_stream, read_message_files
+from tidemark.streaming.chunks import manifest, read_chunks
+from tidemark.streaming.chunks import publish_chunks as publish_in_chunks
 from tidemark.streaming.parse import parse_store_sales, parse_trips
-from tidemark.streaming.publish import (
-    publish_chunks as publish_in_chunks,
-    publish_files,
-    store_sale_messages,
-    trip_messages,
-)
+from tidemark.streaming.publish import publish_files, store_sale_messages, trip_messages
 from tidemark.streaming.sinks import batch_folders, for_each_batch, read_batches
+from tidemark.streaming.slices import run_slices, time_slices
 from tidemark.streaming.trips import enrich_trips
 from tidemark.streaming.windows import session_counts, store_gap
 
-# Trip features are compared on distance and codes; the sums of money only travel along.
-TRIP_COLUMNS = (
-    "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "fare_amount",
-    "total_ride_time", "estimated_ride_time", "total_speed", "payment_type_name", "RateCode_name",
-)
-
 TRIP_FIELDS_SQL = """
 SELECT l_linenumber AS VendorID, l_shipdate AS tpep_pickup_datetime,
        l_shipdate + (4 - l_linenumber) * INTERVAL '1 minute' AS tpep_dropoff_datetime,
-       l_quantity AS trip_distance, CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE) AS fare_amount
+       l_linenumber AS passenger_count, l_quantity AS trip_distance,
+       CAST(l_partkey % 360 - 180 AS DOUBLE) AS pickup_longitude,
+       CAST(l_suppkey % 180 - 90 AS DOUBLE) AS pickup_latitude,
+       l_linenumber AS RatecodeID, l_returnflag AS store_and_fwd_flag,
+       CAST(l_orderkey % 360 - 180 AS DOUBLE) AS dropoff_longitude,
+       CAST(l_linenumber * 10 - 35 AS DOUBLE) AS dropoff_latitude,
+       l_linenumber AS payment_type,
+       CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE) AS fare_amount,
+       CAST(CAST(l_discount * 10 AS FLOAT) AS DOUBLE) AS extra,
+       CAST(CAST(l_tax AS FLOAT) AS DOUBLE) AS mta_tax,
+       CAST(CAST(l_discount AS FLOAT) AS DOUBLE) AS tip_amount,
+       CAST(CAST(l_tax * 100 AS FLOAT) AS DOUBLE) AS tolls_amount,
+       CAST(CAST(0.3 AS FLOAT) AS DOUBLE) AS improvement_surcharge,
+       CAST(CAST(l_extendedprice * (1 + l_tax) AS FLOAT) AS DOUBLE) AS total_amount,
+       l_shipdate AS eventTime
 FROM lineitem
 """
 
@@ -54,8 +60,9 @@ FROM rides
 
 SALES_SQL = """
 SELECT CASE event_type WHEN 'error' THEN 'STR_5' ELSE event_type END AS Store_id,
-       CAST(user_id AS VARCHAR) AS Product_id,
-       CAST(trunc(value) AS INTEGER) AS sell_price, date_trunc('second', ts) AS eventTime
+       'street ' || user_id % 7 AS Store_location, CAST(user_id AS VARCHAR) AS Product_id,
+       event_type AS Product_category, CAST(event_id % 10 + 1 AS INTEGER) AS number_of_pieces_sold,
+       CAST(trunc(value / 2) AS INTEGER) AS buy_rate, CAST(trunc(value) AS INTEGER) AS sell_price, date_trunc('second', ts) AS eventTime
 FROM events
 """
 
@@ -66,15 +73,11 @@ STORE_SESSIONS_SQL = SESSION_SQL.format(
 )
 
 
-def _trips_shown(enriched):
+def _trips_shown(trips):
     """Zoneless times and doubles, as the tables have them."""
-    return enriched.select(*TRIP_COLUMNS).withColumns(
-        {
-            "tpep_pickup_datetime": F.col("tpep_pickup_datetime").cast("timestamp_ntz"),
-            "tpep_dropoff_datetime": F.col("tpep_dropoff_datetime").cast("timestamp_ntz"),
-            "trip_distance": F.col("trip_distance").cast("double"),
-            "fare_amount": F.col("fare_amount").cast("double"),
-        }
+    shown = {"timestamp": "timestamp_ntz", "float": "double"}
+    return trips.select(
+        *[F.col(name).cast(shown.get(kind, kind)).alias(name) for name, kind in trips.dtypes]
     )
 
 
@@ -89,14 +92,7 @@ def publish_json(spark, sf_dir):
     """Trips to messages and back."""
     path = scratch_path(spark, "topic")
     publish_files(trip_messages(trips(spark, sf_dir)), path)
-    parsed = parse_trips(read_parquet(spark, path))
-    return parsed.select(
-        "VendorID",
-        zoneless("tpep_pickup_datetime"),
-        zoneless("tpep_dropoff_datetime"),
-        F.col("trip_distance").cast("double").alias("trip_distance"),
-        F.col("fare_amount").cast("double").alias("fare_amount"),
-    )
+    return _trips_shown(parse_trips(read_parquet(spark, path)))
 
 
 @query(SALES_SQL)
@@ -105,68 +101,76 @@ def publish_json_epoch(spark, sf_dir):
     path = scratch_path(spark, "topic")
     publish_files(store_sale_messages(store_sales(spark, sf_dir)), path)
     parsed = parse_store_sales(read_parquet(spark, path))
-    return parsed.select("Store_id", "Product_id", "sell_price", zoneless("eventTime"))
+    return parsed.withColumn("eventTime", F.col("eventTime").cast("timestamp_ntz"))
+
+
+EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
 
 
 @query(
     f"""
-    SELECT chunk, count(*) AS messages, min(event_id) AS first_id, max(event_id) AS last_id
-    FROM (SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // {CHUNK_SIZE} AS chunk
-          FROM events)
-    GROUP BY chunk
+    SELECT (row_number() OVER (ORDER BY event_id) - 1) // {CHUNK_SIZE} AS chunk,
+           row_number() OVER (ORDER BY event_id) - 1 AS position, *
+    FROM events
     """
 )
 def publish_chunks(spark, sf_dir):
-    """Events published in order, one file per chunk; what each file holds."""
-    path = scratch_path(spark, "topic")
+    """Events published in order as a log of chunks, and read back from it with their positions."""
+    path = scratch_path(spark, "log")
     publish_in_chunks(table(spark, sf_dir, "events"), ["event_id"], path)
-    messages = read_parquet(spark, path).select(
-        "chunk",
-        F.input_file_name().alias("file"),
-        F.from_json(F.col("value").cast("string"), "event_id BIGINT")["event_id"].alias("event_id"),
-    )
-    # Grouping by file as well gives one row per chunk only if no chunk is spread over files.
-    return messages.groupBy("chunk", "file").agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.min("event_id").alias("first_id"),
-        F.max("event_id").alias("last_id"),
-    ).drop("file")
+    last = manifest(spark, path).agg(F.max("chunk")).first()[0]
+    event = F.from_json(F.col("value").cast("string"), EVENTS).alias("event")
+    rows = read_chunks(spark, path, 0, -1 if last is None else last)
+    return rows.select("chunk", "position", event).select("chunk", "position", "event.*")
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_foreach_batch(spark, sf_dir):
-    """Events appended per batch; a second run on the same checkpoint adds nothing."""
-    path, checkpoint = scratch_path(spark, "sink"), scratch_path(spark, "sink-progress")
-    for _ in range(2):
-        stream = event_stream(spark, sf_dir)
-        for_each_batch(stream, batch_folders(path), checkpoint).awaitTermination()
-    schema = (
-        "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, "
-        "props STRING"
-    )
-    stored = read_batches(spark, path, schema)
+    """Events appended per batch, slice by slice; a further run on the same checkpoint adds nothing."""
+    events = zoned_events(spark, sf_dir)
+    topic, path = scratch_path(spark, "topic"), scratch_path(spark, "sink")
+    checkpoint = scratch_path(spark, "sink-progress")
+
+    def start():
+        stream = read_file_stream(spark, topic, events.schema)
+        return for_each_batch(stream, batch_folders(path), checkpoint)
+
+    run_slices(time_slices(events, "ts", SLICES), topic, start)
+    start().awaitTermination()
+    stored = read_batches(spark, path, EVENTS.replace("TIMESTAMP_NTZ", "TIMESTAMP"))
     return stored.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query(TRIP_SQL)
 def stream_trips(spark, sf_dir):
     """Trip messages from a topic folder, parsed, enriched and appended per batch."""
-    topic = scratch_path(spark, "topic")
-    publish_files(trip_messages(trips(spark, sf_dir)), topic)
-    path, checkpoint = scratch_path(spark, "sink"), scratch_path(spark, "sink-progress")
-    enriched = _trips_shown(enrich_trips(parse_trips(read_message_files(spark, topic))))
-    for_each_batch(enriched, batch_folders(path), checkpoint).awaitTermination()
-    schema = ", ".join(f"{name} {kind}" for name, kind in enriched.dtypes)
+    topic, path = scratch_path(spark, "topic"), scratch_path(spark, "sink")
+    checkpoint = scratch_path(spark, "sink-progress")
+
+    def enriched():
+        return _trips_shown(enrich_trips(parse_trips(read_message_files(spark, topic))))
+
+    def start():
+        return for_each_batch(enriched(), batch_folders(path), checkpoint)
+
+    sent = trips(spark, sf_dir)
+    run_slices(map(trip_messages, time_slices(sent, "eventTime", SLICES)), topic, start)
+    schema = ", ".join(f"{name} {kind}" for name, kind in enriched().dtypes)
     return read_batches(spark, path, schema)
 
 
 @query(STORE_SESSIONS_SQL)
 def stream_store_sessions(spark, sf_dir):
     """Store sale messages from a topic folder, parsed and counted per store and session."""
-    topic = scratch_path(spark, "topic")
-    publish_files(store_sale_messages(store_sales(spark, sf_dir)), topic)
-    sales = parse_store_sales(read_message_files(spark, topic))
-    counts = session_counts(
-        sales, "eventTime", "Store_id", store_gap(), keys=["Store_id"], watermark="5 minutes"
-    )
-    return run_complete(spark, counts.withColumnRenamed("Store_id", "event_type"), KEYED_COUNTS)
+
+    def counts(topic):
+        sales = parse_store_sales(read_message_files(spark, topic))
+        found = session_counts(
+            sales, "eventTime", "Store_id", store_gap(), keys=["Store_id"], watermark="5 minutes"
+        )
+        return found.withColumnRenamed("Store_id", "event_type")
+
+    sent = time_slices(store_sales(spark, sf_dir), "eventTime", SLICES)
+    return run_complete(spark, map(store_sale_messages, sent), counts, KEYED_COUNTS)

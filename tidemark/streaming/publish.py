@@ -1,20 +1,28 @@
-"""Turn typed rows into messages, and publish them whole or in chunks."""
+"""Turn typed rows into messages, and publish them."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.fixed_values import CHUNK_SIZE, STORE_SALE_SCHEMA, TRIP_SCHEMA
-from tidemark.operators.numbering import number_rows
+from tidemark.fixed_values import STORE_SALE_SCHEMA, TRIP_SCHEMA
+
+# Times keep their microseconds; the default would cut them to milliseconds.
+_WHOLE_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def payload(records: DataFrame) -> Column:
+    """All columns as one JSON document in bytes; a NULL is left out."""
+    return F.to_json(F.struct(*records.columns), _WHOLE_TIMES).cast("binary")
 
 
 def to_messages(records: DataFrame) -> DataFrame:
     """One JSON document per row in the binary column ``value``."""
-    return records.select(F.to_json(F.struct(*records.columns)).cast("binary").alias("value"))
+    return records.select(payload(records).alias("value"))
 
 
 def trip_messages(trips: DataFrame) -> DataFrame:
@@ -42,35 +50,6 @@ def publish_broker(messages: DataFrame, sink_format: str, **options: str) -> Non
     messages.write.format(sink_format).options(**options).save()
 
 
-def number_chunks(
-    records: DataFrame, order_by: Sequence[str], size: int = CHUNK_SIZE
-) -> DataFrame:
-    """Append ``chunk``: the first ``size`` rows in order get 0, the next 1, and so on."""
-    numbered = number_rows(records, order_by, name="__number", start=0)
-    chunk = F.floor(F.col("__number") / F.lit(size)).cast("long")
-    return numbered.withColumn("chunk", chunk)
-
-
-def publish_chunks(
-    records: DataFrame, order_by: Sequence[str], path: str, size: int = CHUNK_SIZE
-) -> None:
-    """Publish rows in order as messages, one file per chunk of ``size`` messages.
-
-    Every chunk is whole within one task and sorted there, so the record limit per file falls on
-    the chunk borders. A reader takes single chunks with ``files_per_batch=1``.
-    """
-    payload = F.to_json(F.struct(*records.columns)).cast("binary").alias("value")
-    (
-        number_chunks(records, order_by, size)
-        .select("chunk", "__number", payload)
-        .repartition("chunk")
-        .sortWithinPartitions("__number")
-        .select("chunk", "value")
-        .write.option("maxRecordsPerFile", size)
-        .parquet(path)
-    )
-
-
 def _typed(records: DataFrame, ddl: str) -> DataFrame:
     """Cast the columns that the schema names, bad text to NULL; leave out those it does not."""
     fields = StructType.fromDDL(ddl).fields

@@ -72,14 +72,15 @@ def latest_result(path: str) -> BatchWriter:
 
 def _published(spark: SparkSession, path: str):
     """The latest mark of ``latest_result``, or ``None`` where there is none yet."""
-    marks = _if_present(
+    marks = if_present(
         spark.read.schema("turn BIGINT, slot INT").option("ignoreMissingFiles", "true"),
         f"{path}/published",
     )
     return None if marks is None else marks.agg(F.max_by(F.struct("turn", "slot"), "turn")).first()[0]
 
 
-def _if_present(reader: DataFrameReader, path: str) -> DataFrame | None:
+def if_present(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """The rows below a path, or ``None`` where nothing was written yet."""
     try:
         return reader.parquet(path)
     except AnalysisException as error:
@@ -98,7 +99,7 @@ def warehouse_append(sink_format: str, attempts: str, **options: str) -> BatchWr
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, attempt = batch.sparkSession, uuid.uuid4().hex
-        noted = _if_present(spark.read.schema(_ATTEMPTS), attempts)
+        noted = if_present(spark.read.schema(_ATTEMPTS), attempts)
         if noted is not None and not noted.filter(F.col(_BATCH) == batch_id).isEmpty():
             return
         marks = {_BATCH: F.lit(batch_id).cast("long"), _ATTEMPT: F.lit(attempt)}
@@ -110,7 +111,7 @@ def warehouse_append(sink_format: str, attempts: str, **options: str) -> BatchWr
 
 def committed(rows: DataFrame, attempts: str) -> DataFrame:
     """The rows, read back from the warehouse, of attempts that came to their end."""
-    noted = _if_present(rows.sparkSession.read.schema(_ATTEMPTS), attempts)
+    noted = if_present(rows.sparkSession.read.schema(_ATTEMPTS), attempts)
     return rows.limit(0) if noted is None else rows.join(noted, [_BATCH, _ATTEMPT], "left_semi")
 
 
