@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stage
 
-SALTS = 16
+#: Shapes or wrappers that are merged in one task; more of a host go through further rounds.
+MERGED = 64
+#: Levels of elements that a tree has; deeper ones are read as if they lay side by side.
+DEEPEST = 100
 #: Longest group of neighbours that is tried as a repetition.
 GROUP = 3
 #: Share of a part's characters from which an article or main element in it is its main part.
 LEAST_SHARE = 1 / 3
-#: Share of the different pages with a slot from which a text in it is template, and of a marked main part's
-#: characters that may not be: pages that agree in more are copies and tell nothing.
-TEMPLATE_SHARE, OWN_SHARE = 0.9, 0.5
-#: Different pages that make a text template: anywhere, and below an article or main element.
-LEAST_PAGES, LEAST_MARKED = 2, 10
+#: Share of the different pages with a slot from which a link in it belongs to the template, and how many at least.
+TEMPLATE_SHARE, LEAST_PAGES = 0.9, 2
 
 # HTML's own element lists, fixed by its standard.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -132,27 +132,41 @@ def events(html: str) -> Iterator[tuple[str, str, str]]:
 
 
 def blocks_of(html: str) -> tuple[list, list[tuple[str, str]]]:
-    """The page's tree of elements and text slots, and its blocks as ``(path, text)`` in page order.
+    """The page's tree of elements and text slots, and its blocks as ``(path, text, link)`` in page order.
 
     A node is ``[name, children]``; a text slot is ``["#", [number of the block]]``. Inline elements leave no trace;
-    elements that HTML closes by itself are closed here. Marked elements are named with a ``!``.
+    elements that HTML closes by itself are closed here. Marked elements are named with a ``!``. A block is a link if
+    all its text is. A tree has ``DEEPEST`` levels: what lies deeper stands side by side at the last one, and of its
+    path only main elements and marks are kept, once each.
     """
+    from collections import Counter
     from html import unescape
 
-    root: list = ["", []]
-    stack, blocks, open_text = [root], [], []
+    # an open element: its name, the children it adds to, its path
+    top: list = []
+    stack: list[tuple[str, list, str]] = [("", top, "")]
+    blocks, open_text, links = [], [], []
+    named: Counter = Counter()
+    linked = False
 
     def flush() -> None:
+        nonlocal linked
         text = " ".join(unescape("".join(open_text)).split())
-        open_text.clear()
         if text:
             stack[-1][1].append(["#", [len(blocks)]])
-            blocks.append((">".join(n[0] for n in stack[1:]), text))
+            blocks.append((stack[-1][2], text, all(links)))
+        open_text.clear()
+        links.clear()
+        linked = False
 
     def close(names: set[str], within: set[str]) -> None:
+        if not any(named[n] for n in names):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             plain = stack[depth][0].rstrip("!")
             if plain in names:
+                for gone, _, _ in stack[depth:]:
+                    named[gone.rstrip("!")] -= 1
                 del stack[depth:]
                 return
             if plain in within:
@@ -161,8 +175,10 @@ def blocks_of(html: str) -> tuple[list, list[tuple[str, str]]]:
     for kind, name, data in events(html):
         if kind == "text":
             open_text.append(data)
+            if not data.isspace():
+                links.append(linked)
         elif name in INLINE and not (kind == "open" and ASIDE_WORDS.search(data)):
-            continue
+            linked = kind == "open" if name == "a" else linked
         else:
             flush()
             if kind == "close":
@@ -172,13 +188,21 @@ def blocks_of(html: str) -> tuple[list, list[tuple[str, str]]]:
                 close({"p"}, SCOPES | {"div", "section", "td", "th", "li"})
             if name in CLOSES_LIKE:
                 close(CLOSES_LIKE[name], SCOPES)
-            aside = name in ASIDE or (name not in HOLDERS and ASIDE_WORDS.search(data)) or (name == "header" and not any(n[0] in MAIN for n in stack))
-            node = [name + "!" if aside else name, []]
-            stack[-1][1].append(node)
+            in_main = named["article"] or named["main"]
+            aside = name in ASIDE or (name not in HOLDERS and ASIDE_WORDS.search(data)) or (name == "header" and not in_main)
+            written = name + "!" if aside else name
+            _, children, path = stack[-1]
+            if len(stack) <= DEEPEST:
+                node = [written, []]
+                children.append(node)
+                children, path = node[1], f"{path}>{written}" if path else written
+            elif (aside or name in MAIN) and written not in path.split(">"):
+                path = f"{path}>{written}"
             if name not in VOID:
-                stack.append(node)
+                stack.append((written, children, path))
+                named[name] += 1
     flush()
-    return root[1], blocks
+    return top, blocks
 
 
 # An expression is a list of items [optional, repeated, body]; a body is a list of [name, expression].
@@ -299,34 +323,27 @@ def places(wrapper: str, shape: str) -> list[int]:
 
 
 def main_blocks(known: DataFrame) -> DataFrame:
-    """``known`` with ``__blocks`` cut down to each page's main text.
+    """``known`` with ``blocks`` cut down to each page's main text.
 
-    Each page decides for itself. Template goes first, below an article or main element that of many
-    pages only, and none where nothing is left. Then a page's articles are taken, else its main
-    element, else all; a marked part with less than ``LEAST_SHARE`` of the next larger part's characters
-    is no main part: teasers of a listing, comments marked up as articles.
+    Each page decides for itself: its links of the host's template go, unless nothing would be left.
+    Then a page's articles are taken, else its main element, else all; a marked part with less than
+    ``LEAST_SHARE`` of the next larger part's characters is no main part: teasers of a listing,
+    comments marked up as articles.
     """
 
     def chars(of=lambda b: F.lit(True)) -> Column:
-        return F.aggregate("__blocks", F.lit(0), lambda n, b: n + F.when(of(b), b["size"]).otherwise(0))
-
-    def marked(b: Column) -> Column:
-        return b["main"] | b["article"]
-
-    def kept(b: Column) -> Column:
-        return F.when(marked(b), F.col("__copied") | ~b["firm"]).otherwise(~b["template"])
+        return F.aggregate("blocks", F.lit(0), lambda n, b: n + F.when(of(b), b["size"]).otherwise(0))
 
     # one column a step: Spark would evaluate a nested expression once per mention
     steps = [
-        ("__copied", chars(lambda b: marked(b) & ~b["firm"]) < OWN_SHARE * chars(marked)),
-        ("__left", F.filter("__blocks", kept)),
-        ("__blocks", F.when(F.size("__left") > 0, F.col("__left")).otherwise(F.col("__blocks"))),
-        ("__main", chars(lambda b: b["main"])),
-        ("__main", (F.col("__main") > 0) & (F.col("__main") >= LEAST_SHARE * chars())),
-        ("__blocks", F.when(F.col("__main"), F.filter("__blocks", lambda b: b["main"])).otherwise(F.col("__blocks"))),
-        ("__main", chars(lambda b: b["article"])),
-        ("__main", (F.col("__main") > 0) & (F.col("__main") >= LEAST_SHARE * chars())),
-        ("__blocks", F.when(F.col("__main"), F.filter("__blocks", lambda b: b["article"])).otherwise(F.col("__blocks"))),
+        ("left", F.when(F.col("template").isNotNull(), F.filter("blocks", lambda b: ~F.array_contains("template", b["at"])))),
+        ("blocks", F.when(F.size("left") > 0, F.col("left")).otherwise(F.col("blocks"))),
+        ("main", chars(lambda b: b["main"])),
+        ("main", (F.col("main") > 0) & (F.col("main") >= LEAST_SHARE * chars())),
+        ("blocks", F.when(F.col("main"), F.filter("blocks", lambda b: b["main"])).otherwise(F.col("blocks"))),
+        ("main", chars(lambda b: b["article"])),
+        ("main", (F.col("main") > 0) & (F.col("main") >= LEAST_SHARE * chars())),
+        ("blocks", F.when(F.col("main"), F.filter("blocks", lambda b: b["article"])).otherwise(F.col("blocks"))),
     ]
     for name, value in steps:
         known = known.withColumn(name, value)
@@ -337,114 +354,137 @@ def text_hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-BLOCK = "struct<hash bigint, slot int, size int, main boolean, article boolean>"
+BLOCK = "struct<hash bigint, slot int, size int, main boolean, article boolean, link boolean, at int>"
+
+
+def cluster_of(tree: list) -> int:
+    """Pages of one template have the same outline: names of the two outer levels below the body, repeats once."""
+    level = tree
+    while len(below := [node for node in level if node[0] != "#"]) == 1 and below[0][0].rstrip("!") in ("html", "body"):
+        level = below[0][1]
+    outline = []
+    for name, children in level:
+        inner = sorted({child[0] for child in children}) if name != "#" else []
+        if not outline or outline[-1] != (name, inner):
+            outline.append((name, inner))
+    return text_hash(json.dumps(outline))
 
 
 def parsed(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """``pages`` without the html, with the page's expression and the texts and marks of its blocks
-    that are not aside."""
+    """``row, kept, host, texts, blocks, shape, cluster``: other columns as one struct, the page's
+    expression and outline, and the texts and marks of its blocks that are not aside."""
 
     def each(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        fields = [("hash", pa.int64()), ("slot", pa.int32()), ("size", pa.int32()), ("main", pa.bool_()), ("article", pa.bool_())]
+        kinds = {"hash": pa.int64(), "slot": pa.int32(), "size": pa.int32(), "main": pa.bool_(), "article": pa.bool_(), "link": pa.bool_(), "at": pa.int32()}
         for batch in batches:
-            texts, blocks, shapes = [], [], []
-            for source in batch.column(0).to_pylist():
+            texts, blocks, shapes, clusters = [], [], [], []
+            for source in batch.column("html").to_pylist():
                 tree, found = blocks_of(source or "")
+                clusters.append(cluster_of(tree))
                 shape = expression(tree)
                 slot = {block: number for number, held in enumerate(emptied(shape)) for block in held}
                 shapes.append(json.dumps(shape, separators=(",", ":")))
-                named = [(slot[i], set(path.split(">")), text) for i, (path, text) in enumerate(found) if "!>" not in path + ">"]
-                texts.append([text for _, _, text in named])
-                blocks.append([(text_hash(text), at, len(text), "main" in names, "article" in names) for at, names, text in named])
-            made = [pa.array(texts, pa.list_(pa.string())), pa.array(blocks, pa.list_(pa.struct(fields))), pa.array(shapes, pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], [*batch.schema.names[1:], "__texts", "__blocks", "__shape"])
+                named = [(slot[i], set(path.split(">")), text, link) for i, (path, text, link) in enumerate(found) if "!>" not in path + ">"]
+                texts.append([text for _, _, text, _ in named])
+                blocks.append([
+                    (text_hash(text), place, len(text), "main" in names, "article" in names, link, at)
+                    for at, (place, names, text, link) in enumerate(named)
+                ])
+            made = {
+                "row": batch.column("row"), "kept": batch.column("kept"), "host": batch.column("host"),
+                "texts": pa.array(texts, pa.list_(pa.string())), "blocks": pa.array(blocks, pa.list_(pa.struct(list(kinds.items())))),
+                "shape": pa.array(shapes, pa.string()), "cluster": pa.array(clusters, pa.int64()),
+            }
+            yield pa.RecordBatch.from_arrays(list(made.values()), list(made))
 
-    rows = pages.select(F.col(html).alias("__html"), *(F.col(c) for c in pages.columns if c != html))
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    made = rows.mapInArrow(each, f"{schema}, __texts array<string>, __blocks array<{BLOCK}>, __shape string")
-    return made.withColumn("__host", host)
+    others = [F.col(f"`{c}`") for c in pages.columns if c not in (html, "text")]
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.struct(*others).alias("kept"), host.alias("host"), F.col(html).alias("html"))
+    kind = rows.schema["kept"].dataType.simpleString()
+    schema = f"row long, kept {kind}, host string, texts array<string>, blocks array<{BLOCK}>, shape string, cluster long"
+    return rows.mapInArrow(each, schema)
 
 
-def host_wrappers(counted: DataFrame) -> DataFrame:
-    """``__host, wrapper`` of ``__host, shape, n``: each host's shapes are merged in up to ``SALTS``
-    parts and the parts' wrappers once more, so that a large host is neither one task's work nor
-    one group's rows."""
+def host_wrappers(shapes: DataFrame) -> DataFrame:
+    """``host, cluster, wrapper`` of ``host, cluster, shape, n``.
 
-    def merge(frame):
-        return frame.iloc[:1][["__host"]].assign(wrapper=infer(frame.sort_values(["n", "shape"], ascending=[False, True])["shape"]))
+    The shapes of a cluster are merged in parts of about ``MERGED``, the wrappers of the parts again
+    in as many, and so on: a tree of rounds, in which no task holds more than one part.
+    """
 
-    def finish(frame):
-        return frame.iloc[:1][["__host"]].assign(wrapper=infer(sorted(frame["wrapper"])))
+    def merge(frame):
+        ordered = frame.sort_values(["n", "shape"], ascending=[False, True])
+        first = ordered.iloc[:1][["host", "cluster"]]
+        return first.assign(shape=infer(ordered["shape"]), n=int(frame["n"].sum()))
 
-    salted = counted.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(SALTS)))
-    parts = salted.groupBy("__host", "salt").applyInPandas(merge, "__host string, wrapper string")
-    return parts.groupBy("__host").applyInPandas(finish, "__host string, wrapper string")
+    while True:
+        sizes = shapes.groupBy("host", "cluster").agg(F.count(F.lit(1)).alias("shapes"))
+        parts = F.ceil(F.col("shapes") / MERGED).cast("long")
+        salted = shapes.join(sizes.select(F.col("host").alias("h"), F.col("cluster").alias("c"), "shapes"), F.expr("host = h AND cluster = c"))
+        salted = salted.withColumn("part", F.pmod(F.xxhash64("shape"), parts)).select("host", "cluster", "shape", "n", "part")
+        shapes = stage(salted.groupBy("host", "cluster", "part").applyInPandas(merge, "host string, cluster long, shape string, n long"), "wrappers")
+        if shapes.groupBy("host", "cluster").count().where("count > 1").isEmpty():
+            return shapes.select("host", "cluster", F.col("shape").alias("wrapper"))
 
 
-def shape_places(counted: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """``__of, __like, places``: the wrapper's slots that the slots of each shape of a host fall in."""
+def shape_places(shapes: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """``host, cluster, shape, places``: the wrapper's slots that the slots of each shape fall in."""
 
     def each(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            found = [places(w, s) for w, s in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int32()))], ["__of", "__like", "places"])
+            found = [places(w, s) for w, s in zip(batch.column("wrapper").to_pylist(), batch.column("shape").to_pylist(), strict=True)]
+            made = [batch.column(c) for c in ("host", "cluster", "shape")]
+            yield pa.RecordBatch.from_arrays([*made, pa.array(found, pa.list_(pa.int32()))], ["host", "cluster", "shape", "places"])
 
-    rows = counted.join(wrappers, "__host").select("__host", "shape", "wrapper")
-    return rows.mapInArrow(each, "__of string, __like string, places array<int>")
+    rows = shapes.join(wrappers, ["host", "cluster"]).select("host", "cluster", "shape", "wrapper")
+    return rows.mapInArrow(each, "host string, cluster long, shape string, places array<int>")
 
 
-def host_templates(placed: DataFrame) -> DataFrame:
-    """``__of, template, firm`` of pages with ``__host`` and ``__blocks``: keys (slot and text) of the
-    host's template, and those of them that many pages show.
+def template_links(read: DataFrame, placed: DataFrame) -> DataFrame:
+    """``row, template``: the blocks of a page that are links of its host's template.
 
-    Pages with the same texts count once. All is counted per text, so a host is no one task's work.
+    A link outside of article and main elements is template if ``TEMPLATE_SHARE`` of the different
+    pages that have its slot, two at least, show the same there; pages with the same texts count
+    once. Other text is never taken for template by counting. All is counted per text, so a host is
+    no one task's work.
     """
-    texts = placed.select("__host", F.xxhash64("__blocks.hash").alias("page"), F.explode("__blocks").alias("b"))
-    once = texts.select("__host", "page", F.col("b.place").alias("place"), F.col("b.key").alias("key")).distinct()
-    pages = once.select("__host", "place", "page").distinct().groupBy("__host", "place").agg(F.count(F.lit(1)).alias("of"))
-    shown = once.groupBy("__host", "place", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
-    common = shown.join(pages, ["__host", "place"]).where(F.col("n") >= TEMPLATE_SHARE * F.col("of"))
-    firm = F.collect_set(F.when(F.col("n") >= LEAST_MARKED, F.col("key")))
-    return common.groupBy(F.col("__host").alias("__of")).agg(F.collect_set("key").alias("template"), firm.alias("firm"))
+    free = F.filter("blocks", lambda b: b["link"] & ~b["main"] & ~b["article"])
+    page = F.xxhash64("blocks.hash")
+    links = read.select("row", "host", "cluster", "shape", page.alias("page"), F.explode(free).alias("b"))
+    place = F.element_at("places", F.col("b.slot") + 1)
+    links = links.join(placed, ["host", "cluster", "shape"]).select(
+        "row", "host", "cluster", "page", place.alias("place"), F.col("b.hash").alias("hash"), F.col("b.at").alias("at")
+    )
+    once = links.select("host", "cluster", "place", "hash", "page").distinct()
+    pages = once.select("host", "cluster", "place", "page").distinct().groupBy("host", "cluster", "place").agg(F.count(F.lit(1)).alias("of"))
+    shown = once.groupBy("host", "cluster", "place", "hash").agg(F.count(F.lit(1)).alias("n"))
+    common = shown.join(pages, ["host", "cluster", "place"]).where((F.col("n") >= LEAST_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("of")))
+    hits = links.join(common, ["host", "cluster", "place", "hash"])
+    return hits.groupBy("row").agg(F.collect_list("at").alias("template"))  # no more than the page's own blocks
 
 
 def main_text(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """All columns of ``pages`` but the html, with ``text``: the main text by the host's wrapper.
+    """All columns of ``pages`` but the html, with ``text``: the main text by the host's wrappers.
 
-    Pages are parsed into blocks, and the host's wrapper, which accepts every page of the host by
-    construction, gives each block its slot. A text that the host's pages share in a slot is template;
-    of the rest, in single, optional or repeated slots, each page takes its article, its main element
-    or all for itself. A page with no other text than the template's keeps it.
+    Pages are parsed into blocks. Pages of a host with the same outline form a cluster, and the
+    cluster's wrapper, which accepts each of them by construction, gives a block its slot. Links that
+    a cluster's pages share in a slot are template; of the rest, in single, optional or repeated
+    slots, each page takes its article, its main element or all for itself. Nothing in an article
+    or main element, and no text other than links, goes by comparison with other pages. A page with
+    no other text than the template's keeps it.
 
     NULL or empty html gives an empty text; a NULL or odd url counts as the host without a name;
-    repeated rows stay; broken, unclosed or cut-off markup is read as far as it goes; an empty table
-    gives no rows; a column named ``text`` is replaced.
+    repeated rows stay; broken, unclosed or cut-off markup is read as far as it goes, however deep; an
+    empty table gives no rows; a column named ``text`` is replaced, all others may have any name.
     """
     read = stage(parsed(pages, url, html), "pages")
-    counted = stage(read.groupBy("__host", F.col("__shape").alias("shape")).agg(F.count(F.lit(1)).alias("n")), "shapes")
-    wrappers = stage(host_wrappers(counted), "wrappers")
-    slot = stage(shape_places(counted, wrappers), "places")
-
-    met = read.join(slot, (F.col("__host") == F.col("__of")) & (F.col("__shape") == F.col("__like")), "left")
-    met = met.drop("__of", "__like", "__shape")
-
-    def placed(b: Column) -> Column:
-        place = F.element_at("places", b["slot"] + 1)
-        return F.struct(place.alias("place"), F.xxhash64(place, b["hash"]).alias("key"), b["hash"].alias("hash"))
-
-    templates = stage(host_templates(met.select("__host", F.transform("__blocks", placed).alias("__blocks"))), "templates")
-
-    def told(b: Column, at: Column) -> Column:
-        key = F.xxhash64(F.element_at("places", b["slot"] + 1), b["hash"])
-        flags = [F.coalesce(F.array_contains(keys, key), F.lit(False)).alias(keys) for keys in ("template", "firm")]
-        return F.struct(at.alias("at"), b["size"].alias("size"), b["main"].alias("main"), b["article"].alias("article"), *flags)
-
-    known = met.join(templates, F.col("__host") == F.col("__of"), "left").withColumn("__blocks", F.transform("__blocks", told))
-    text = F.array_join(F.transform("__blocks", lambda b: F.element_at("__texts", b["at"] + 1)), " ")
-    kept = [c for c in pages.columns if c not in (html, "text")]
-    return main_blocks(known).select(*kept, F.coalesce(text, F.lit("")).alias("text"))
+    shapes = stage(read.groupBy("host", "cluster", "shape").agg(F.count(F.lit(1)).alias("n")), "shapes")
+    placed = stage(shape_places(shapes, host_wrappers(shapes)), "places")
+    template = stage(template_links(read, placed), "template")
+    known = read.select("row", "kept", "texts", "blocks").join(template, "row", "left")
+    text = F.array_join(F.transform("blocks", lambda b: F.element_at("texts", b["at"] + 1)), " ")
+    return main_blocks(known).select("kept.*", F.coalesce(text, F.lit("")).alias("text"))
