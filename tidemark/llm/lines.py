@@ -58,8 +58,13 @@ def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
     return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
+def line_ids() -> tuple[Column, Column]:
+    """A line's identity: 128 bits of two hashes."""
+    return F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("id2")
+
+
 def line_sets(lines: DataFrame, levels: Column) -> DataFrame:
-    """``id, n, low, high, prefix``: size, bits and rarest tokens of each different line.
+    """``id, id2, n, low, high, prefix``: size, bits and rarest tokens of each different line.
 
     A set of n tokens and a longer or equal one with Jaccard 4/5 share a token among the first
     ``n - ceil(8 n / 9) + 1`` of the shorter and the first ``n - ceil(4 n / 5) + 1`` of the longer.
@@ -82,9 +87,10 @@ def line_sets(lines: DataFrame, levels: Column) -> DataFrame:
         return F.aggregate("words", F.lit(0).cast("long"), flip)
 
     n = F.size("words")
-    made = lines.select(F.xxhash64("line").alias("line"), word_set(F.col("line")).alias("words"))
+    made = lines.select(*line_ids(), word_set(F.col("line")).alias("words"))
     sets = made.select(
-        "line",
+        "id",
+        "id2",
         F.struct(
             n.alias("n"),
             parity(0).alias("low"),
@@ -95,7 +101,7 @@ def line_sets(lines: DataFrame, levels: Column) -> DataFrame:
             ).alias("prefix"),
         ).alias("set"),
     )
-    return sets.groupBy(F.col("line").alias("id")).agg(F.any_value("set").alias("set")).select("id", "set.*")
+    return sets.groupBy("id", "id2").agg(F.any_value("set").alias("set")).select("id", "id2", "set.*")
 
 
 def prefix_rows(sets: DataFrame) -> DataFrame:
@@ -144,7 +150,7 @@ def repeats(pairs: DataFrame, lines: DataFrame, numbers: DataFrame) -> DataFrame
     keeps most others out before the exact join. Words are compared by 64-bit hashes.
     """
     ends = pairs.select(F.explode(F.array("x", "y")).alias("line")).distinct()
-    known = stage(ends.join(numbers.select("id", "line"), "line"), "line-ends")
+    known = stage(ends.join(numbers.select("id", "id2", "line"), "line"), "line-ends")
     word, bit = F.col("id").bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int"), F.shiftright("id", 14).bitwiseAND(F.lit(63)).cast("int")
     one = F.lit(1).cast("long")
     masks = known.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", one, bit)).alias("mask")).collect()
@@ -153,7 +159,7 @@ def repeats(pairs: DataFrame, lines: DataFrame, numbers: DataFrame) -> DataFrame
         table[row["word"]] = row["mask"]
     filled = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
     seen = F.call_function("shiftright", F.get(filled, word), bit).bitwiseAND(one) == 1
-    chosen = lines.select(F.xxhash64("line").alias("id"), F.col("line").alias("body")).where(seen).join(known, "id")
+    chosen = lines.select(*line_ids(), F.col("line").alias("body")).where(seen).join(known, ["id", "id2"])
     sets = stage(chosen.groupBy("line").agg(F.min("body").alias("body")).select("line", word_set(F.col("body")).alias("words")), "line-words")
     left = sets.select(F.col("line").alias("x"), F.col("words").alias("xs"))
     right = sets.select(F.col("line").alias("y"), F.col("words").alias("ys"))
@@ -180,13 +186,13 @@ def dedup_lines(docs: DataFrame, key: str, text: str, removed: str = "n_removed_
     lines = occurrences(docs, key, text)
     places = stage(
         lines.select(
-            F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("id2"), F.struct("key", "th", "pos").alias("place")
+            *line_ids(), F.struct("key", "th", "pos").alias("place")
         ),
         "places",
     )
     firsts = places.groupBy("id", "id2").agg(F.min("place").alias("first"))
     numbers = stage(number_rows(firsts, ["first"], name="line"), "first-places")
-    sets = line_sets(lines, rarity(docs, text)).join(numbers.select("id", "line"), "id").drop("id")
+    sets = line_sets(lines, rarity(docs, text)).join(numbers.select("id", "id2", "line"), ["id", "id2"]).drop("id", "id2")
     sets = stage(sets, "line-sets")
     pairs = stage(first_candidates(prefix_rows(sets)), "first-pairs")
     gone = stage(repeats(pairs, lines, numbers).withColumn("gone", F.lit(True)), "first-gone")
@@ -196,14 +202,17 @@ def dedup_lines(docs: DataFrame, key: str, text: str, removed: str = "n_removed_
     verdict = stage(numbers.join(gone, "line", "left").select("id", "id2", "first", "gone"), "line-verdicts")
     goes = F.coalesce(F.col("gone"), F.lit(False)) | (F.col("place") != F.col("first"))
     gone = places.join(verdict, ["id", "id2"]).where(goes).select("place.*")
-    per_text = gone.groupBy("key", "th").agg(F.collect_set("pos").alias("__gone")).withColumnRenamed("key", "__key").withColumnRenamed("th", "__th")
+    per_text = gone.groupBy("key", "th").agg(F.collect_set("pos").alias("gone"))
 
-    met = docs.join(per_text, docs[key].eqNullSafe(F.col("__key")) & (F.xxhash64(docs[text]) == F.col("__th")), "left")
+    # the rows of docs as one struct, so that none of their names meets one from here
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    held = docs.select(row, F.col(key).alias("of"), F.col(text).alias("text"))
+    met = held.join(per_text, F.col("of").eqNullSafe(F.col("key")) & (F.xxhash64("text") == F.col("th")), "left")
     # once per text, not once per line
-    met = met.withColumn("__parts", F.when(F.col("__gone").isNotNull(), F.split(docs[text], "\n", -1)))
-    left = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), F.col("__gone"))
-    kept = F.array_join(F.transform(left, lambda i: F.get(F.col("__parts"), i)), "\n")
-    columns = {c: docs[c] for c in docs.columns if c != removed}
-    columns[text] = F.when(F.col("__gone").isNull(), docs[text]).otherwise(kept)
-    count = F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone"))
+    met = met.withColumn("parts", F.when(F.col("gone").isNotNull(), F.split("text", "\n", -1)))
+    left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
+    kept = F.array_join(F.transform(left, lambda i: F.get(F.col("parts"), i)), "\n")
+    columns = {c: F.col("row").getField(c) for c in docs.columns if c.lower() != removed.lower()}
+    columns[next(c for c in columns if c.lower() == text.lower())] = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
+    count = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone"))
     return met.select(*(c.alias(n) for n, c in columns.items()), count.cast("long").alias(removed))
