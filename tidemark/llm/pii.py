@@ -38,6 +38,8 @@ MORE_NEEDS = {"email": r"(?i)[(\[\x20]dot[)\]\x20]", "card": "[0-9]{4}", "phone"
 WORDS_NEAR = r"(?i)\b(?:tel|phone|call|mobile|fax|mail|e-mail|contact|write|card|visa|account|ip|host|server|address)\b"
 FEATURES = ("kind", "digits", "marks", "checksum", "octets", "before", "after", "near")
 
+#: Matches whose places are worked out in one run.
+RUN = 256
 ROUNDS, DEPTH, RATE, LEAST_WEIGHT = 24, 3, 0.4, 4.0
 PRECISION = 0.99
 
@@ -58,8 +60,13 @@ def matches(docs: DataFrame, patterns: dict[str, str], needs: dict[str, str], so
 
 
 def positions(hits: Column, gaps: Column) -> Column:
-    """Where the matches stand, from their texts and the texts between them."""
-    empty = F.array().cast("array<struct<start:int,body:string,before:string,after:string>>")
+    """Where the matches stand, from their texts and the texts between them.
+
+    An array grows by a copy, so the spots are gathered in short runs and the runs joined up: a text
+    with very many matches costs little more than in proportion to them.
+    """
+    spot_type = "struct<start:int,body:string,before:string,after:string>"
+    empty = F.array().cast(f"array<{spot_type}>")
 
     def walk(state: Column, i: Column) -> Column:
         start = state["at"] + F.length(F.get(gaps, i))
@@ -69,8 +76,15 @@ def positions(hits: Column, gaps: Column) -> Column:
         )
         return F.struct((start + F.length(F.get(hits, i))).alias("at"), F.concat(state["out"], F.array(spot)).alias("out"))
 
-    steps = F.sequence(F.lit(0), F.size(hits) - 1)
-    spots = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("out")), walk, lambda s: s["out"])
+    def run(runs: Column, number: Column) -> Column:
+        first = number * RUN
+        steps = F.sequence(first, F.least(first + (RUN - 1), F.size(hits) - 1))
+        at = F.coalesce(F.try_element_at(runs, F.lit(-1))["at"], F.lit(0))
+        return F.concat(runs, F.array(F.aggregate(steps, F.struct(at.alias("at"), empty.alias("out")), walk)))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / RUN).cast("int"))
+    none = F.array().cast(f"array<struct<at:int,out:array<{spot_type}>>>")
+    spots = F.flatten(F.transform(F.aggregate(numbers, none, run), lambda r: r["out"]))
     return F.when(F.size(hits) > 0, spots).otherwise(empty)
 
 
