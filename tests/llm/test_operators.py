@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.oracle import connect, difference
 from tidemark.llm import language, lines, mixing, packing, pii, quality, sharding, simhash, vectors, wrappers
-from tidemark.llm.common import components
+from tidemark.llm.common import components, fresh
 from tidemark.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -285,12 +285,12 @@ def test_main_text_of_mixed_templates_on_one_host(spark):
 def test_template_of_plain_elements_is_no_main_text(spark):
     def page(n, more=""):
         return (
-            "<body><div><ul><li>Home<li>News<li>Help</ul></div><div>We use your data</div>"
-            f"<div><h1>Head {n}</h1>{more}<p>text {n}</p><p>said once on page {n}</p></div><div>Buy more</div></body>"
+            "<body><div><ul><li><a href=/>Home</a><li><a>News<li><b><a>Help</a></b></ul></div><div>Same <a>on</a> all</div>"
+            f"<div><h1>Head</h1><div><a>own link {n}</a></div>{more}<p>text {n}</p></div><div><a>Buy more</a></div></body>"
         )
 
     def article(n):
-        return f"<body><article><h1>Head {n}</h1><div>Buy more</div><p>{'text of its own ' * n}end</p></article></body>"
+        return f"<body><article><h1>Head {n}</h1><div><a>Buy more</a></div><p>{'text of its own ' * n}end</p></article></body>"
 
     rows = [(n, f"http://h/{n}", page(n, "<p>only here</p>" if n == 2 else "")) for n in range(4)]
     rows += [(4, "http://h/4", page(0)), (5, "http://one/", page(5)), (6, "http://copy/1", page(6)), (7, "http://copy/2", page(6))]
@@ -298,10 +298,10 @@ def test_template_of_plain_elements_is_no_main_text(spark):
     rows += [(n, f"http://near/{n}", f"<article><p>a long text that all pages share</p><p>{n}</p></article>") for n in range(30, 42)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in wrappers.main_text(frame, "url", "html").collect()}
-    assert [got[n] for n in (0, 1, 3, 4)] == [f"Head {n} text {n} said once on page {n}" for n in (0, 1, 3, 0)]
-    assert got[2] == "Head 2 only here text 2 said once on page 2"
-    assert [got[n] for n in (5, 6, 7)] == [f"Home News Help We use your data Head {n} text {n} said once on page {n} Buy more" for n in (5, 6, 6)]
-    assert [got[n] for n in range(10, 22)] == [f"Head {n} {'text of its own ' * n}end" for n in range(10, 22)]
+    assert [got[n] for n in (0, 1, 3, 4)] == [f"Same on all Head own link {n} text {n}" for n in (0, 1, 3, 0)]
+    assert got[2] == "Same on all Head own link 2 only here text 2"
+    assert [got[n] for n in (5, 6, 7)] == [f"Home News Help Same on all Head own link {n} text {n} Buy more" for n in (5, 6, 6)]
+    assert [got[n] for n in range(10, 22)] == [f"Head {n} Buy more {'text of its own ' * n}end" for n in range(10, 22)]
     assert [got[n] for n in range(30, 42)] == [f"a long text that all pages share {n}" for n in range(30, 42)]
 
 
@@ -321,7 +321,89 @@ def test_template_of_plain_elements_is_no_main_text(spark):
 )
 def test_markup_that_takes_no_text_away(html, text):
     _, blocks = wrappers.blocks_of(html)
-    assert " ".join(t for path, t in blocks if not re.search("!(>|$)", path)) == text
+    assert " ".join(t for path, t, _ in blocks if not re.search("!(>|$)", path)) == text
+
+
+@pytest.mark.parametrize("pages", [1, 2, 9, 10, 40])
+def test_text_does_not_depend_on_how_many_pages_there_are(spark, pages):
+    """Heading, notes and articles that a host's pages share stay, however many of them there are."""
+    plain = "<body><div><h1>Report</h1></div><div>All figures are in euro and rounded.</div><div>Value number {n} of this host</div></body>"
+    article = "<body><article><h1>Report {n}</h1><p>Figures are in euro.</p><p>Value number {n}</p></article></body>"
+    rows = [(n, f"http://plain/{n}", plain.format(n=n)) for n in range(pages)]
+    rows += [(100 + n, f"http://article/{n}", article.format(n=n)) for n in range(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.main_text(frame, "url", "html").collect()}
+    for n in range(pages):
+        assert got[n] == f"Report All figures are in euro and rounded. Value number {n} of this host"
+        assert got[100 + n] == f"Report {n} Figures are in euro. Value number {n}"
+
+
+def test_deep_markup(spark):
+    """Thousands of open elements, alike and not, and marks below the deepest level of a tree."""
+    deep = "<div>" * 50_000 + "at the end"
+    mixed = "".join(f"<{'section' if n % 3 else 'div'}>t{n} " for n in range(3000)) + "</section>" * 3000 + "after"
+    marked = "<div>" * 300 + "<article><p>kept</p><nav>no</nav></article><p>and a long rest of it</p><div class=ad>no</div>"
+    rows = [(1, "http://h/1", deep), (2, "http://h/2", mixed), (3, "http://h/3", marked), (4, "http://h/4", deep + "</div>" * 9 + " too")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.main_text(frame, "url", "html").collect()}
+    assert got[1] == "at the end" and got[4] == "at the end too"
+    assert got[2] == " ".join(f"t{n}" for n in range(3000)) + " after"
+    assert got[3] == "kept and a long rest of it"
+
+
+def test_host_of_many_shapes(spark, monkeypatch):
+    """More shapes than one task merges: rounds of parts, and a menu that all pages of a cluster share."""
+    monkeypatch.setattr(wrappers, "MERGED", 8)
+    names = ["p", "ul", "h2", "pre", "table", "dl"]
+    rng = np.random.default_rng(4)
+    rows, wanted = [], {}
+    for n in range(400):
+        parts = [names[k] for k in rng.integers(0, 6, 5)]
+        body = "".join(f"<{name}>{name} {n} {i}</{name}>" for i, name in enumerate(parts))
+        rows.append((n, "http://big/", f"<body><ul><li><a>Home</a><li><a>News</a></ul><section><div>{body}</div></section></body>"))
+        wanted[n] = " ".join(f"{name} {n} {i}" for i, name in enumerate(parts))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.main_text(frame, "url", "html").collect()} == wanted
+
+
+def brute_main_text(rows):
+    """Each page against all others of its host and outline, slot by slot of their common wrapper."""
+    read = []
+    for key, url, html in rows:
+        tree, found = wrappers.blocks_of(html or "")
+        shape = wrappers.expression(tree)
+        slot = {block: number for number, held in enumerate(wrappers.emptied(shape)) for block in held}
+        blocks = [(slot[i], *b) for i, b in enumerate(found) if "!>" not in b[0] + ">"]
+        host = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", url or "")
+        read.append((key, (host[1].lower() if host else "", wrappers.cluster_of(tree)), json.dumps(shape), blocks))
+    out = {}
+    for key, group, shape, blocks in read:
+        like = {tuple(b[2] for b in page[3]): page for page in read if page[1] == group}.values()
+        whole = wrappers.infer(page[2] for page in like)
+        at = {page[0]: wrappers.places(whole, page[2]) for page in [*like, (key, group, shape, blocks)]}
+        left = []
+        for place, path, text, link in blocks:
+            if link and not {"article", "main"} & set(path.split(">")):
+                there = [{b[2] for b in page[3] if b[3] and at[page[0]][b[0]] == at[key][place]} for page in like]
+                there = [texts for texts in there if texts]
+                same = sum(text in texts for texts in there)
+                if same >= 2 and same >= 0.9 * len(there):
+                    continue
+            left.append((path, text))
+        left = left or [(path, text) for _, path, text, _ in blocks]
+        for name in ("main", "article"):
+            part = [b for b in left if name in b[0].split(">")]
+            if part and 3 * sum(len(t) for _, t in part) >= sum(len(t) for _, t in left):
+                left = part
+        out[key] = " ".join(t for _, t in left)
+    return out
+
+
+def test_main_text_equals_brute_force(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "url", "html")
+    rows = [tuple(r) for r in pages.collect()]
+    got = {r.page_id: r.text for r in wrappers.main_text(pages, "url", "html").collect()}
+    assert got == brute_main_text(rows)
 
 
 def test_slots_come_from_the_wrapper():
@@ -417,9 +499,9 @@ def test_mix_keeps_rows_and_expected_tokens(spark, docs, nothing, corpus):
     assert len(drawn) == corpus.count() and drawn.probability.between(0, 1).all()
     assert abs((drawn.n_tokens * drawn.probability).sum() / drawn.n_tokens.sum() - 0.7) < 1e-6
     formed = mixing.with_topic(docs, "text")
-    found = mixing.mix(formed, "doc_id", {"k": F.col("key"), "topic": F.col("__form.topic")}, F.col("__form.tokens"))
+    found = mixing.mix(formed, "doc_id", {"k": F.col("key"), "topic": F.col("form.topic")}, F.col("form.tokens"))
     assert found.count() == docs.count()
-    empty = mixing.mix(mixing.with_topic(nothing, "text"), "doc_id", {"k": F.col("key")}, F.col("__form.tokens"))
+    empty = mixing.mix(mixing.with_topic(nothing, "text"), "doc_id", {"k": F.col("key")}, F.col("form.tokens"))
     assert empty.collect() == []
 
 
@@ -503,3 +585,71 @@ def test_pipeline_stages(spark):
             assert docs.columns == columns and 0 < docs.count() <= before
     sizes = docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0]
     assert sizes <= 2048
+
+
+# Columns of any name
+
+CLASHING = (
+    "score accepted lang_pred gone key th parts row of left removed n_removed n_removed_lines other component bits form "
+    "drawn probability cell_factor w d0 d1 weight topic tokens template blocks shape host cluster kept places main cells "
+    "rows id id2 pos line words label vector spans base added n size place block chunk __gone __key __parts __removed "
+    "__mix __form __text __host __blocks __left form_ other_"
+).split()
+
+
+def with_clashes(df):
+    return df.withColumns({c: F.lit(f"own {c}") for c in CLASHING if c not in df.columns})
+
+
+def extras(df, key):
+    return {r[key]: tuple(r[c] for c in CLASHING) for r in df.select(key, *CLASHING).collect()}
+
+
+def test_fresh_names(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, Other int, other_ int")
+    assert (fresh(df, "b"), fresh(df, "other"), fresh(df, "A")) == ("b", "other__", "A_")
+
+
+@pytest.mark.parametrize("name, function", corpus_pipeline.STAGES, ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stages_leave_columns_of_any_name_alone(spark, corpus, name, function):
+    docs = with_clashes(corpus)
+    plain = function(spark, corpus, SF_DIR)
+    got = function(spark, docs, SF_DIR)
+    if name == "packing":
+        assert got.columns == plain.columns
+    else:
+        assert got.columns == docs.columns
+        assert set(extras(got, "doc_id").values()) <= {tuple(f"own {c}" for c in CLASHING)}
+    assert Counter(got.select(plain.columns).collect()) == Counter(plain.collect())
+
+
+def test_operators_leave_columns_of_any_name_alone(spark, corpus):
+    own = tuple(f"own {c}" for c in CLASHING)
+    pages = with_clashes(spark.read.parquet(f"{SF_DIR}/pages.parquet"))
+    assert set(extras(wrappers.main_text(pages, "url", "html"), "page_id").values()) == {own}
+    docs = with_clashes(corpus)
+    assert set(extras(lines.dedup_lines(docs, "doc_id", "text", "how_many"), "doc_id").values()) == {own}
+    assert set(extras(simhash.keep_first(docs, "doc_id", "text"), "doc_id").values()) == {own}
+    model = language.Languages({"en": b"the and of " * 50, "de": b"der die und " * 50})
+    assert language.classify(docs, "doc_id", "text", model).columns == ["doc_id", "lang_pred", "score", "accepted"]
+    found = mixing.mix(docs.drop("drawn", "probability", "cell_factor"), "doc_id", {"s": F.col("source")}, F.length("text"))
+    assert found.count() == docs.count()
+    for made in (
+        pii.find_pii(docs, "doc_id", "text"), quality.ledger(docs, "doc_id", "text"), sharding.shard(docs, "doc_id", "text", 5),
+        simhash.simhash_components(docs, "doc_id", "text"), packing.pack(docs, "doc_id", "text"),
+    ):
+        assert not made.isEmpty()
+    vecs = with_clashes(spark.read.parquet(f"{SF_DIR}/embeddings.parquet").limit(50))
+    assert vectors.vector_links(vecs, "vec_id", "embedding").count() == 50
+
+
+def test_very_many_spans_in_one_text(spark):
+    """Places are found in time that grows little more than with the matches."""
+    n = 60_000
+    body = " ".join(f"10.0.{i % 200}.{i % 99}" for i in range(n))
+    docs = spark.createDataFrame([(1, body), (2, "a@b.c " * 700), (3, "1.1.1.1 " * 256), (4, "1.1.1.1 " * 257)], "doc_id long, text string")
+    got = {r.doc_id: r.base for r in pii.find_pii(docs, "doc_id", "text").collect()}
+    assert len(got[1]) == n
+    assert [(s.start, s.kind, s.end) for s in got[1]] == brute_spans(body)
+    assert [len(got[k]) for k in (2, 3, 4)] == [700, 256, 257]
+    assert all(s.start == 8 * i for k in (3, 4) for i, s in enumerate(got[k]))

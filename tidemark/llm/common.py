@@ -34,6 +34,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
             spark.conf.set(CLEAN, before)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with lines added until no column of ``df`` is called so; names are matched without case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shingle_bounds(words: list[bytes], k: int):
     """Starts and ends of the k-word windows of the words joined by single spaces."""
     import numpy as np
@@ -67,4 +75,4 @@ def components(edges: DataFrame, a: str, b: str, *, label: str = "component") ->
             return labels.select("node", F.col("root").alias(label))
 
 
-__all__ = ["WORD", "components", "scratch_path", "shingle_bounds", "stage"]
+__all__ = ["WORD", "components", "fresh", "scratch_path", "shingle_bounds", "stage"]

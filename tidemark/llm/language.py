@@ -16,10 +16,9 @@ DICTIONARY_BYTES = 64 << 10
 MOST_LANGUAGES = 200
 CHUNK = 1000
 LEVEL = 3
-#: Texts with a margin below ``UNSURE``, or shorter than a few lines, are encoded again with more effort.
+#: Texts with a margin below ``UNSURE`` are encoded again with more effort.
 STRONG_LEVEL = 12
 UNSURE = 0.05
-SHORT_BYTES = 300
 #: A text whose second-best size is less than this share above the best is rejected.
 LEAST_MARGIN = 0.004
 UNKNOWN = "und"
@@ -69,12 +68,12 @@ def learn(docs: DataFrame, key: str, text: str, lang: str) -> Languages:
     return Languages({k: v for k, v in dictionaries.items() if v})
 
 
-def classify(docs: DataFrame, key: str, text: str, model: Languages, *, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``key, *carry, lang_pred, score, accepted``; only the text decides.
+def classify(docs: DataFrame, key: str, text: str, model: Languages) -> DataFrame:
+    """``key, lang_pred, score, accepted``; only the text decides.
 
     The whole text goes through every dictionary, in chunks of ``CHUNK`` bytes so that a dictionary
     counts as much at the end of a long text as at its start; the smallest sum names the language,
-    ties go to the more frequent one. Short texts and narrow margins are decided at a higher level. ``score`` is ``1 - best / second`` scaled to 0..1 by
+    ties go to the more frequent one. Narrow margins are decided at a higher level. ``score`` is ``1 - best / second`` scaled to 0..1 by
     ``tanh(8 x)``; with a single language it is 1. ``accepted`` is false for narrow margins.
 
     A NULL text, or one without a letter, is ``und`` with score 0 and not accepted; so is every text
@@ -82,10 +81,23 @@ def classify(docs: DataFrame, key: str, text: str, model: Languages, *, carry: t
     named are ignored, whatever they are called.
     """
 
+    found = judged(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", model)
+    return found.select(F.col("row.key").alias(key), *NEW)
+
+
+def accepted_rows(docs: DataFrame, text: str, model: Languages) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a clear margin, with all their columns."""
+    return judged(docs, text, model).where("accepted").select("row.*")
+
+
+def judged(docs: DataFrame, text: str, model: Languages) -> DataFrame:
+    """``row, lang_pred, score, accepted``: each row of ``docs`` as one struct, so no name meets another."""
+
     def each(batches: Iterator) -> Iterator:
         import math
 
         import pyarrow as pa
+        import pyarrow.compute as pc
         import zstandard
 
         def compressors(level: int) -> list:
@@ -112,20 +124,20 @@ def classify(docs: DataFrame, key: str, text: str, model: Languages, *, carry: t
             raw = plain.encode("utf-8", "replace")
             chunks = [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)]
             i, margin = smallest(chunks, fast)
-            if margin < UNSURE or len(raw) < SHORT_BYTES:
+            if margin < UNSURE:
                 i, margin = smallest(chunks, strong)
             return names[i], math.tanh(8.0 * margin), margin >= LEAST_MARGIN
 
         for batch in batches:
-            made = [one(body) for body in batch.column(0).to_pylist()]
+            made = [one(body) for body in pc.struct_field(batch.column(0), at).to_pylist()]
             kinds = (pa.string(), pa.float64(), pa.bool_())
             found = [pa.array([m[j] for m in made], kind) for j, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *found], [*batch.schema.names[1:], *NEW])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["row", *NEW])
 
-    kept = list(dict.fromkeys((key, *carry)))
-    rows = docs.select(F.col(text).alias("__text"), *(F.col(c) for c in kept))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(each, f"{schema}, lang_pred string, score double, accepted boolean")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    at = next(i for i, c in enumerate(docs.columns) if c.lower() == text.lower())
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(each, f"row {kind}, lang_pred string, score double, accepted boolean")
 
 
 NEW = ("lang_pred", "score", "accepted")

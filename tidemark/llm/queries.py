@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import fresh
 from tidemark.llm.language import classify, held_out, learn
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mix, with_topic
@@ -84,11 +85,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "accepted")
 
 
+FORM = "form"
+
+
 def document_mix(docs: DataFrame, **options) -> DataFrame:
-    """Documents with their drawing probabilities for tempered shares of sources, languages and topics."""
-    formed = with_topic(docs, "text")
-    by = {"source": F.col("source"), "lang": F.col("lang"), "topic": F.col("__form.topic")}
-    return mix(formed, "doc_id", by, F.col("__form.tokens"), **options)
+    """Documents with their drawing probabilities for tempered shares of sources, languages and topics.
+
+    A struct with topic and tokens is added under ``FORM``, or that name with lines where it is taken.
+    """
+    form = fresh(docs, FORM)
+    by = {"source": F.col("source"), "lang": F.col("lang"), "topic": F.col(form)["topic"]}
+    return mix(with_topic(docs, "text", form), "doc_id", by, F.col(form)["tokens"], **options)
 
 
 @query
@@ -96,7 +103,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The draw of all documents, with factors raked to the target marginals."""
     drawn = document_mix(table(spark, sf_dir, "documents"))
     return drawn.select(
-        "doc_id", "source", "lang", F.col("__form.topic").alias("topic"), F.col("__form.tokens").alias("n_tokens"),
+        "doc_id", "source", "lang", F.col(FORM)["topic"].alias("topic"), F.col(FORM)["tokens"].alias("n_tokens"),
         "cell_factor", "probability", "drawn",
     )
 
