@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tidemark.session import scratch_path, with_recommended_conf  # noqa: E402
+from tidemark.session import scratch_path, scratch_run, with_recommended_conf  # noqa: E402
 from tidemark.sources.catalog import create_database, drop_database  # noqa: E402
 
 
@@ -29,11 +29,14 @@ def spark():
 
 
 @pytest.fixture(autouse=True)
-def no_views_left(request):
-    """Temporary views live as long as the session: none is left to the next test."""
-    yield
-    if "spark" in request.fixturenames:
-        session = request.getfixturevalue("spark")
+def nothing_left(request):
+    """Temporary views live as long as the session, staged data longer: none is left by a test."""
+    if "spark" not in request.fixturenames:
+        yield
+        return
+    session = request.getfixturevalue("spark")
+    with scratch_run(session):
+        yield
         for view in session.catalog.listTables():
             if view.isTemporary:
                 session.catalog.dropTempView(view.name)

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql.utils import AnalysisException
 
 from tidemark import session
+from tidemark.operators.scd2 import Dimension
+from tidemark.plans.catalogue import QUERIES
+from tidemark.sinks import tables
 from tidemark.sinks.external import write_jdbc, write_warehouse
 from tidemark.sinks.files import overwrite_directory, write_csv, write_lines, write_parquet
 from tidemark.sources import files
@@ -163,3 +166,98 @@ def test_local_session_without_a_shared_folder_gets_one():
     type(local.sparkContext).setCheckpointDir = lambda _, folder: made.append(folder)
     type(local.sparkContext).getCheckpointDir = lambda _: made[-1] if made else None
     assert session.scratch_root(local) == made[0] == session.scratch_root(local)
+
+
+# Scratch folder ----------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def outside(monkeypatch):
+    """As if no run were open: the one of the test itself is out of sight."""
+    token = session._RUN.set(None)
+    yield
+    session._RUN.reset(token)
+
+
+def runs(spark):
+    """The folders of runs that have a record of their owner."""
+    found = session.if_present(spark.read, f"{session.scratch_root(spark)}/tidemark/run-*/owner")
+    return set() if found is None else {r.folder for r in found.collect()}
+
+
+def test_what_a_run_stages_goes_with_it(spark, outside):
+    before = runs(spark)
+    with session.scratch_run(spark):
+        staged = session.stage(spark.range(5), "five")
+        with session.scratch_run(spark):  # belongs to the outer one
+            inner = session.stage(spark.range(3), "three")
+        assert (staged.count(), inner.count()) == (5, 3)
+        (folder,) = runs(spark) - before
+        assert all(folder in f for df in (staged, inner) for f in df.inputFiles())
+    assert runs(spark) == before
+    with pytest.raises(ZeroDivisionError):
+        with session.scratch_run(spark):
+            session.stage(spark.range(5), "five")
+            1 / 0
+    assert runs(spark) == before
+    assert session.if_present(spark.read, folder) is None
+
+
+def test_what_dead_runs_left_is_swept(spark, outside):
+    dead = session.scratch_run(spark)
+    dead.__enter__()
+    session.stage(spark.range(5), "five")
+    lost = session._RUN.get()
+    session._RUN.set(None)  # its driver is gone
+    assert lost in runs(spark)
+    session.sweep_runs(spark, timedelta(hours=1))
+    assert lost in runs(spark)
+    assert session.sweep_runs(spark, timedelta(0)) >= 1
+    assert lost not in runs(spark)
+
+
+def test_only_scratch_folders_are_removed(spark):
+    with pytest.raises(ValueError, match="not in the scratch folder"):
+        session.remove_folder(spark, "/somewhere/else")
+
+
+def test_merges_and_replacements_leave_nothing_staged(spark, database, outside):
+    before = runs(spark)
+    dim = Dimension(key="id", surrogate="sk", tracked=("company",))
+    table, other = f"{database}.history", f"{database}.t"
+    for company in "AB":
+        tables.merge_table(spark.createDataFrame([(1, company)], "id int, company string"), table, dim, buckets=2)
+    tables.save_table(spark.range(5).toDF("a"), other)
+    tables.replace_rows(spark.table(other).filter("a > 2"), other)
+    assert (spark.table(table).count(), spark.table(other).count()) == (2, 2)
+    assert runs(spark) == before
+
+
+def test_queries_leave_settings_and_views_as_they_were(spark):
+    names = ("spark.sql.session.timeZone", session.MERGE_SESSIONS_EARLY)
+    spark.conf.set(names[0], "America/New_York")
+    spark.conf.set(names[1], "false")
+    try:
+        QUERIES["csv_view"](spark, "/root/testdata/sf0.001")
+        QUERIES["sql_daily_revenue"](spark, "/root/testdata/sf0.001")
+        assert [spark.conf.get(n) for n in names] == ["America/New_York", "false"]
+        assert not [t.name for t in spark.catalog.listTables() if t.isTemporary]
+    finally:
+        spark.conf.set(names[0], "UTC")
+        spark.conf.set(names[1], "true")
+
+
+# Order of files ----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("split", ["128m", "2k"])
+def test_rows_come_back_in_the_order_written(spark, path, split):
+    """Over several files, also where a scan cuts them into blocks and packs these into tasks."""
+    folder = path()
+    df = spark.range(5000).selectExpr("id * 7919 % 5000 AS k", "repeat('x', 20) AS t")
+    write_csv(df.orderBy("k"), folder, header=False)
+    with session.settings(spark, {"spark.sql.files.maxPartitionBytes": split}):
+        rows = files.in_written_order(files.read_csv(spark, folder, header=False, schema="k long, t string"))
+        assert rows.columns == ["k", "t", "place"]
+        assert all(r.k == r.place for r in rows.collect())
+    assert rows.count() == 5000

@@ -15,11 +15,11 @@ from tidemark.fixed_values import (
 )
 from tidemark.functions.columns import profit
 from tidemark.operators.revenue import daily_product_revenue, daily_revenue
-from tidemark.operators.scd2 import Dimension
+from tidemark.operators.scd2 import Dimension, HistoryError
 from tidemark.operators.words import rarest_first, word_counts
 from tidemark.sinks import files as out
 from tidemark.sinks import tables
-from tidemark.sinks.external import merge_external, write_warehouse
+from tidemark.sinks.external import finish_external, give_up_external, merge_external, write_warehouse
 from tidemark.sources import catalog
 from tidemark.sources.external import read_warehouse
 from tidemark.sources.files import csv_view, read_csv, read_lines
@@ -136,11 +136,14 @@ def test_history_in_a_warehouse_with_a_synced_copy(spark, path):
 
     first = datetime(2024, 1, 1, tzinfo=timezone.utc)
     second = datetime(2024, 1, 2, tzinfo=timezone.utc)
+    def held():
+        return read_warehouse(spark, "orc", path=history)
+
+    record = path()
     source = customers(spark, (1, "A"), (2, "B"))
-    merge_external(source, None, CRM, to(history), to(copy), as_of=first)
-    held = read_warehouse(spark, "orc", path=history)
+    merge_external(source, lambda: None, CRM, to(history), to(copy), record=record, as_of=first)
     source = customers(spark, (1, "A2"), (3, "C"))
-    merge_external(source, held, CRM, to(history), to(copy), as_of=second)
+    merge_external(source, held, CRM, to(history), to(copy), record=record, as_of=second)
 
     for folder in (history, copy):
         got = read_warehouse(spark, "orc", path=folder)
@@ -151,6 +154,61 @@ def test_history_in_a_warehouse_with_a_synced_copy(spark, path):
     assert got.columns[-4:] == ["sk_customer_id", "effective_date", "expiration_date", "is_current"]
 
 
+@pytest.mark.parametrize("dies_in", [0, 1])
+def test_external_merge_that_died_is_brought_to_its_end(spark, path, dies_in):
+    """Death within a write that has emptied its table: nothing is lost, and the history is read whole."""
+    folders, record, dead = (path(), path()), path(), []
+    first = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+    def to(number):
+        def write(df):
+            if not dead and number == dies_in and days:
+                dead.append(number)
+                write_warehouse(df.limit(1), "orc", path=folders[number])  # a part, then the end
+                raise RuntimeError("driver lost")
+            write_warehouse(df, "orc", path=folders[number])
+
+        return write
+
+    def held():
+        return read_warehouse(spark, "orc", path=folders[0])
+
+    days = []
+    writes = (to(0), to(1))
+    merge_external(customers(spark, (1, "A"), (2, "B")), lambda: None, CRM, *writes, record=record, as_of=first)
+    days.append(2)
+    second = customers(spark, (1, "A2"), (3, "C"))
+    with pytest.raises(RuntimeError):
+        merge_external(second, held, CRM, *writes, record=record, as_of=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    if dies_in:
+        with pytest.raises(HistoryError, match="1 tables"):
+            give_up_external(spark, record)
+    third = customers(spark, (1, "A3"), (3, "C"))
+    merge_external(third, held, CRM, *writes, record=record, as_of=datetime(2024, 1, 3, tzinfo=timezone.utc))
+    assert not finish_external(spark, record, *writes)
+    for folder in folders:
+        rows = read_warehouse(spark, "orc", path=folder)
+        shown = rows.select("CustomerID", "company_name", "sk_customer_id", "is_current").collect()
+        assert sorted(shown, key=lambda r: r.sk_customer_id) == [
+            (1, "A", 1, False), (2, "B", 2, False), (3, "C", 3, True), (1, "A2", 4, False), (1, "A3", 5, True)
+        ]
+
+
+def test_external_merge_rolled_back(spark, path):
+    record, folder = path(), path()
+
+    def lost(_):
+        raise RuntimeError("driver lost")
+
+    source = customers(spark, (1, "A"))
+    with pytest.raises(RuntimeError):
+        merge_external(source, lambda: None, CRM, lost, record=record)
+    give_up_external(spark, record)
+    write = lambda df: write_warehouse(df, "orc", path=folder)
+    merge_external(customers(spark, (2, "B")), lambda: None, CRM, write, record=record)
+    assert [r.CustomerID for r in read_warehouse(spark, "orc", path=folder).collect()] == [2]
+
+
 # Trip stream -----------------------------------------------------------------------------------
 
 

@@ -23,6 +23,7 @@ from tidemark.sources.catalog import create_database
 
 DIM = Dimension(key="c_custkey", surrogate="sk_customer", tracked=("c_name", "c_mktsegment"))
 AS_OF = datetime(2024, 1, 1, tzinfo=timezone.utc)
+BUCKETS = 8  # of a small table
 
 FRAMES_SQL = """
 WITH history AS (
@@ -209,7 +210,7 @@ def _history_of(spark, history):
 def scd2_initial(spark, sf_dir):
     """The first load of a history table that does not exist yet."""
     history = f"{_new_database(spark)}.customer_history"
-    merge_table(table(spark, sf_dir, "customer"), history, DIM, as_of=AS_OF)
+    merge_table(table(spark, sf_dir, "customer"), history, DIM, as_of=AS_OF, buckets=BUCKETS)
     return _history_of(spark, history)
 
 
@@ -218,7 +219,7 @@ def scd2_sync(spark, sf_dir):
     """The rows of a copy that missed a merge of its history, after the next one."""
     database = _new_database(spark)
     history, synced = f"{database}.customer_history", f"{database}.customer_incremental"
-    save_history(history_frame(spark, sf_dir), history, DIM)
+    save_history(history_frame(spark, sf_dir), history, DIM, buckets=BUCKETS)
     copy_table(spark, history, synced)
     source = source_frame(spark, sf_dir)
     merge_table(source, history, DIM, as_of=AS_OF)
@@ -241,7 +242,7 @@ def scd2_table(spark, sf_dir):
     history, synced = f"{database}.customer_history", f"{database}.customer_incremental"
     ends = F.when(F.col("is_current"), F.lit("9999-12-31 00:00:00").cast("timestamp"))
     rows = history_frame(spark, sf_dir).withColumn("expiration_date", F.coalesce(ends, "expiration_date"))
-    save_history(rows, history, DIM)
+    save_history(rows, history, DIM, buckets=BUCKETS)
     source = source_frame(spark, sf_dir)
     merge_table(source, history, DIM, as_of=AS_OF, synced=synced)
     later = source.filter("c_nationkey <> 9").select(*reversed(source.columns))

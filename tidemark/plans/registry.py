@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import MERGE_SESSIONS_EARLY
+from tidemark.session import MERGE_SESSIONS_EARLY, settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: While a query is made up: streams run meanwhile, and the zone is fixed in the plan of its result.
+SETTINGS = {
+    # The tables hold zoneless UTC times; streams and epochs need zoned ones.
+    "spark.sql.session.timeZone": "UTC",
+    # One event type may hold most events: merge its sessions before the shuffle.
+    MERGE_SESSIONS_EARLY: "true",
+}
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -19,11 +27,8 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # The tables hold zoneless UTC times; streams and epochs need zoned ones.
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            # One event type may hold most events: merge its sessions before the shuffle.
-            spark.conf.set(MERGE_SESSIONS_EARLY, "true")
-            return function(spark, sf_dir)
+            with settings(spark, SETTINGS):
+                return function(spark, sf_dir)
 
         QUERIES[function.__name__] = run
         if oracle is not None:

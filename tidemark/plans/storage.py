@@ -26,7 +26,7 @@ from tidemark.sources.catalog import (
     use_database,
 )
 from tidemark.sources.files import csv_view as name_csv
-from tidemark.sources.files import read_csv, read_parquet
+from tidemark.sources.files import in_written_order, read_csv, read_parquet
 
 ORDERS_DDL = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
@@ -100,9 +100,15 @@ def csv_view(spark, sf_dir):
         )
 
 
-@query(PRODUCT_SQL)
+@query(
+    f"""
+    SELECT row_number() OVER (ORDER BY order_date, daily_revenue DESC, order_item_product_id) - 1
+           AS place, *
+    FROM ({PRODUCT_SQL})
+    """
+)
 def insert_overwrite_dir(spark, sf_dir):
-    """Daily product revenue from CSV views into a directory that held an older result."""
+    """Daily product revenue from CSV views into a directory that held an older result, and its order there."""
     path = scratch_path(spark, "report")
     with _orders_view(spark, sf_dir) as orders, _items_view(spark, sf_dir) as items:
         report = f"""
@@ -111,12 +117,12 @@ def insert_overwrite_dir(spark, sf_dir):
             FROM {orders} JOIN {items} ON o_orderkey = l_orderkey
             WHERE o_orderstatus IN {BILLED}
             GROUP BY 1, 2
-            ORDER BY 1, 3 DESC
+            ORDER BY 1, 3 DESC, 2
             """
         write_csv(spark.table(orders).select("o_orderkey", "o_custkey"), path)
         overwrite_directory(spark, path, report)
     schema = "order_date DATE, order_item_product_id BIGINT, daily_revenue DOUBLE"
-    return read_csv(spark, path, header=False, schema=schema)
+    return in_written_order(read_csv(spark, path, header=False, schema=schema))
 
 
 def _orders_database(spark, sf_dir):

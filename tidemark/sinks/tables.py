@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,16 +24,16 @@ from tidemark.operators.scd2 import (
     scd2_initial,
     split_history,
 )
-from tidemark.session import stage
+from tidemark.session import scratch_run, settings, stage
 
 #: The merge that closed a row; ``open`` while it is open, ``before`` if closed before the first merge.
 CLOSED_IN = "closed_in"
 #: The bucket of an open row's key; closed rows are never read by key and have none.
 KEY_BUCKET, CLOSED = "key_bucket", -1
 BUCKETS = 32
-_DYNAMIC = ("spark.sql.sources.partitionOverwriteMode", "dynamic")
+_DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 #: A task that writes no more buckets than this keeps a file open for each and does not sort its rows.
-_OPEN_WRITERS = ("spark.sql.maxConcurrentOutputFileWriters", "64")
+_OPEN_WRITERS = {"spark.sql.maxConcurrentOutputFileWriters": "64"}
 _PARTITIONS = ("is_current", CLOSED_IN, KEY_BUCKET)
 #: Table properties: the last merge, the buckets, what it left behind, and a merge that is not applied yet.
 _STATE, _PENDING = "tidemark.history.", "tidemark.pending."
@@ -82,7 +80,8 @@ def replace_rows(df: DataFrame, table: str) -> None:
     """
     columns = df.sparkSession.table(table).columns
     _same_columns(df, columns, table)
-    stage(df.select(columns), "replacement").write.insertInto(table, overwrite=True)
+    with scratch_run(df.sparkSession):
+        stage(df.select(columns), "replacement").write.insertInto(table, overwrite=True)
 
 
 def _same_columns(df: DataFrame, columns: list[str], table: str) -> None:
@@ -147,13 +146,14 @@ def merge_table(
     """
     spark = source.sparkSession
     as_of = datetime.now(timezone.utc) if as_of is None else as_of
-    if not spark.catalog.tableExists(table):
-        first = scd2_initial(source, dim, as_of=as_of, quarantine=quarantine)
-        save_history(first, table, dim, buckets=buckets)
-    else:
-        finish_merge(spark, table)
-        _stage_merge(source, table, dim, as_of, synced, quarantine)
-        finish_merge(spark, table)
+    with scratch_run(spark):
+        if not spark.catalog.tableExists(table):
+            first = scd2_initial(source, dim, as_of=as_of, quarantine=quarantine)
+            save_history(first, table, dim, buckets=buckets)
+        else:
+            finish_merge(spark, table)
+            _stage_merge(source, table, dim, as_of, synced, quarantine)
+            finish_merge(spark, table)
     if synced is not None:
         _catch_up(spark, table, synced)
 
@@ -202,7 +202,7 @@ def _stage_merge(
     rows = rows.withColumn(KEY_BUCKET, bucket_of(F.col(dim.key).cast(kind), count))
     # one more shuffle of what is rewritten, so that a bucket is not split over a file per task
     rows = rows.hint("rebalance", "is_current", KEY_BUCKET)
-    with _setting(spark, *_OPEN_WRITERS):
+    with settings(spark, _OPEN_WRITERS):
         rows.write.partitionBy("is_current", KEY_BUCKET).saveAsTable(staged)
     pending = {
         "merge": merge,
@@ -279,7 +279,7 @@ def _apply(spark: SparkSession, pending: dict[str, str], target: str, *, marked:
     begin("open rows")
     if filled["true"]:
         # only the buckets that the rows name are replaced
-        with _setting(spark, *_DYNAMIC), _setting(spark, *_OPEN_WRITERS):
+        with settings(spark, _DYNAMIC | _OPEN_WRITERS):
             spark.sql(
                 f"INSERT OVERWRITE {target} "
                 f"PARTITION (is_current = true, {CLOSED_IN} = 'open', {KEY_BUCKET}) "
@@ -296,20 +296,6 @@ def _apply(spark: SparkSession, pending: dict[str, str], target: str, *, marked:
         spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {gone}")
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """A setting of the session for as long as the block lasts."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def _catch_up(spark: SparkSession, table: str, synced: str) -> None:
     """Copy the whole history where its copy is not at the same merge."""
     held = _get(spark, table, _STATE)

@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators.numbering import number_rows
+from tidemark.session import stage
 
 
 def rows(spark: SparkSession, values: Iterable[tuple], schema: str) -> DataFrame:
@@ -58,3 +62,19 @@ def csv_view(
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text files, one row per line in the column ``value``."""
     return spark.read.text(path)
+
+
+def in_written_order(df: DataFrame, *, name: str = "place") -> DataFrame:
+    """Rows of a scan of files numbered from 0 in the order in which an ordered write left them.
+
+    Files by name, their blocks by offset, rows within a block as they come: a sorted frame is
+    written range by range, and Spark names the files by range.
+    """
+    scanned = df.select(
+        "*",
+        F.col("_metadata.file_name").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__row"),
+    )
+    placed = number_rows(stage(scanned, "scanned"), ["__file", "__block", "__row"], name=name, start=0)
+    return placed.drop("__file", "__block", "__row")

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed_values import CHUNK_SIZE
 from tidemark.operators.numbering import PART, POSITION, in_ranges
+from tidemark.session import if_present
 from tidemark.streaming.publish import payload
-from tidemark.streaming.sinks import if_present
 
 #: ``shift`` added to the place of a message in its file gives its position in the log.
 MANIFEST = "chunk BIGINT, file STRING, shift BIGINT, first BIGINT, last BIGINT"

@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import if_present
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 _BATCH, _ATTEMPT = "batch_id", "attempt_id"
@@ -79,16 +80,6 @@ def _published(spark: SparkSession, path: str):
     return None if marks is None else marks.agg(F.max_by(F.struct("turn", "slot"), "turn")).first()[0]
 
 
-def if_present(reader: DataFrameReader, path: str) -> DataFrame | None:
-    """The rows below a path, or ``None`` where nothing was written yet."""
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def warehouse_append(sink_format: str, attempts: str, **options: str) -> BatchWriter:
     """Append each batch, marked with ``batch_id`` and an ``attempt_id``, through a connector.
 
