@@ -13,7 +13,7 @@ from tidemark.sources.messages import (
     read_messages,
 )
 from tidemark.session import stage
-from tidemark.streaming import chunks, publish, sinks, slices, windows
+from tidemark.streaming import batches, chunks, publish, sinks, slices, windows
 from tidemark.streaming.parse import parse_messages, parse_store_sales, parse_trips
 from tidemark.streaming.trips import enrich_trips
 from tidemark.streaming.windows import session_counts, store_gap, window_counts
@@ -263,8 +263,8 @@ def test_restarted_stream_adds_only_new_rows(spark, path):
 
     def run():
         stream = read_file_stream(spark, topic, "id BIGINT")
-        sinks.for_each_batch(stream, sinks.batch_folders(sink), checkpoint).awaitTermination()
-        return sorted(r.id for r in sinks.read_batches(spark, sink, "id BIGINT").collect())
+        sinks.for_each_batch(stream, batches.batch_folders(sink), checkpoint).awaitTermination()
+        return sorted(r.id for r in batches.read_batches(spark, sink, "id BIGINT").collect())
 
     spark.range(5).write.parquet(topic)
     assert run() == run() == [0, 1, 2, 3, 4]
@@ -274,14 +274,103 @@ def test_restarted_stream_adds_only_new_rows(spark, path):
 
 def test_repeated_batch_replaces_itself(spark, path):
     sink = path()
-    write = sinks.batch_folders(sink)
+    write = batches.batch_folders(sink)
     write(spark.range(3), 0)
     write(spark.range(3, 5), 1)
     write(spark.range(3, 5), 1)
-    got = sinks.read_batches(spark, sink, "id BIGINT").collect()
+    got = batches.read_batches(spark, sink, "id BIGINT").collect()
     assert sorted(r.id for r in got) == [0, 1, 2, 3, 4]
 
 
+def folders(path):
+    """The folders of batches and parts of a log in a local folder."""
+    import glob
+
+    place = path.removeprefix("file:")
+    return sorted(glob.glob(f"{place}/batches/*=*") + glob.glob(f"{place}/folded/*"))
+
+
+def test_folded_log_holds_each_row_once_in_few_folders(spark, path):
+    sink, most = path(), 0
+    write = batches.batch_folders(sink)
+    assert batches.fold_batches(spark, sink, "id BIGINT", fan=3) == 0
+    for batch_id in range(60):
+        write(spark.range(2 * batch_id, 2 * batch_id + 2).coalesce(1), batch_id)
+        if batch_id % 4 == 3:
+            batches.fold_batches(spark, sink, "id BIGINT", fan=3)
+            most = max(most, len(folders(sink)))
+            rows = batches.read_batches(spark, sink, "id BIGINT", with_ids=True).collect()
+            assert sorted((r.id, r.batch_id) for r in rows) == [(i, i // 2) for i in range(2 * batch_id + 2)]
+    # up to two of each of four levels, what the last fold replaced, the batches since
+    assert most <= 8 + 4 + 9 + 5
+    assert len(folders(sink)) < 60 / 3
+    state = batches._pointer(spark, sink)
+    assert max(level for _, level in state["parts"]) >= 2
+
+
+def test_reader_during_a_fold_sees_each_row_once(spark, path, monkeypatch):
+    sink, seen = path(), []
+    write = batches.batch_folders(sink)
+
+    def look(*_):
+        seen.append(sorted(r.id for r in batches.read_batches(spark, sink, "id BIGINT").collect()))
+
+    def between(function):
+        def call(*args, **kwargs):
+            look()
+            function(*args, **kwargs)
+            look()
+
+        return call
+
+    for name in ("_write", "_point", "remove_folder"):
+        monkeypatch.setattr(batches, name, between(getattr(batches, name)))
+    for batch_id in range(8):
+        write(spark.range(batch_id, batch_id + 1), batch_id)
+        if batch_id % 2:
+            seen.clear()
+            before = batches.read_batches(spark, sink, "id BIGINT")  # analysed before the fold, read after it
+            batches.fold_batches(spark, sink, "id BIGINT", fan=2)
+            look()
+            assert seen and all(ids == list(range(batch_id + 1)) for ids in seen)
+            assert before.count() == batch_id + 1
+
+
+def test_fold_that_died_and_batch_that_is_repeated(spark, path, monkeypatch):
+    sink = path()
+    write = batches.batch_folders(sink)
+    for batch_id in range(4):
+        write(spark.range(batch_id, batch_id + 1), batch_id)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(batches, "_point", lost)
+        with pytest.raises(RuntimeError):
+            batches.fold_batches(spark, sink, "id BIGINT")
+    ids = lambda: sorted(r.id for r in batches.read_batches(spark, sink, "id BIGINT").collect())
+    assert ids() == [0, 1, 2, 3]
+    write(spark.range(4, 5), 4)
+    batches.fold_batches(spark, sink, "id BIGINT")
+    write(spark.range(3, 4), 3)  # folded meanwhile
+    write(spark.range(4, 5), 4)
+    assert ids() == [0, 1, 2, 3, 4]
+    batches.fold_batches(spark, sink, "id BIGINT")
+    assert ids() == [0, 1, 2, 3, 4]
+
+
+def test_folded_notes_of_attempts(spark, path):
+    sink, attempts = path(), path()
+    write = sinks.warehouse_append("parquet", attempts, path=sink)
+    for batch_id in range(6):
+        write(spark.range(batch_id, batch_id + 1), batch_id)
+    batches.fold_batches(spark, attempts, f"{sinks.ATTEMPT} STRING")
+    write(spark.range(2, 3), 2)  # noted: not written again
+    assert spark.read.parquet(sink).count() == 6
+    assert sorted(r.id for r in sinks.committed(spark.read.parquet(sink), attempts).collect()) == list(range(6))
+
+
 def test_batches_handed_over_twice_read_back_once(spark, path):
     sink, attempts = path(), path()
     write = sinks.warehouse_append("parquet", attempts, path=sink)

@@ -15,7 +15,8 @@ from tidemark.streaming.chunks import manifest, read_chunks
 from tidemark.streaming.chunks import publish_chunks as publish_in_chunks
 from tidemark.streaming.parse import parse_store_sales, parse_trips
 from tidemark.streaming.publish import publish_files, store_sale_messages, trip_messages
-from tidemark.streaming.sinks import batch_folders, for_each_batch, read_batches
+from tidemark.streaming.batches import batch_folders, read_batches
+from tidemark.streaming.sinks import for_each_batch
 from tidemark.streaming.slices import run_slices, time_slices
 from tidemark.streaming.trips import enrich_trips
 from tidemark.streaming.windows import session_counts, store_gap

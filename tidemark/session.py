@@ -127,13 +127,14 @@ def sweep_runs(spark: SparkSession, older_than: timedelta) -> int:
     return len(left)
 
 
-def remove_folder(spark: SparkSession, folder: str) -> None:
-    """Remove a folder below the scratch folder with all it holds.
+def remove_folder(spark: SparkSession, folder: str, *, below: str | None = None) -> None:
+    """Remove a folder with all it holds; only one below the scratch folder, or below ``below``.
 
     The catalog does it, as the owner of a database's location, on whatever store the folder is.
     """
-    if not folder.startswith(f"{scratch_root(spark)}/tidemark/"):
-        raise ValueError(f"{folder} is not in the scratch folder")
+    place = f"{scratch_root(spark)}/tidemark" if below is None else below.rstrip("/")
+    if not folder.startswith(f"{place}/") or ".." in folder:
+        raise ValueError(f"{folder} is not below {place}")
     name = f"tidemark_removed_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE `{name}` LOCATION '{folder}'")
     spark.sql(f"DROP DATABASE `{name}` CASCADE")

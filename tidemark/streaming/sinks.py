@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.session import if_present
+from tidemark.streaming.batches import BATCH, BatchWriter, batch_folders, read_batches
 
-BatchWriter = Callable[[DataFrame, int], None]
-
-_BATCH, _ATTEMPT = "batch_id", "attempt_id"
-_ATTEMPTS = f"{_BATCH} BIGINT, {_ATTEMPT} STRING"
+ATTEMPT = "attempt_id"
+_ATTEMPTS = f"{ATTEMPT} STRING"
 #: Marks of published results that are kept.
 _MARKS = 8
 
@@ -41,18 +39,6 @@ def for_each_batch(
     return (writer if continuous else writer.trigger(availableNow=True)).start()
 
 
-def batch_folders(path: str) -> BatchWriter:
-    """Write each batch to its own folder ``batch_id=N``; a repeated batch replaces its folder.
-
-    For append streams; of a complete-mode stream ``latest_result`` keeps the last results only.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
-
-    return write
-
-
 def latest_result(path: str) -> BatchWriter:
     """Keep the full result of a complete-mode stream, and the one before it.
 
@@ -85,30 +71,27 @@ def warehouse_append(sink_format: str, attempts: str, **options: str) -> BatchWr
 
     A connector without transactions may keep what a died attempt has written. An attempt that came
     to its end is noted in the folder ``attempts``, and a batch noted there is not written again;
-    ``committed`` leaves out the rows of all other attempts.
+    ``committed`` leaves out the rows of all other attempts. The notes are a log of batches, which
+    ``fold_batches`` keeps short.
     """
+    note = batch_folders(attempts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, attempt = batch.sparkSession, uuid.uuid4().hex
-        noted = if_present(spark.read.schema(_ATTEMPTS), attempts)
-        if noted is not None and not noted.filter(F.col(_BATCH) == batch_id).isEmpty():
+        noted = read_batches(spark, attempts, _ATTEMPTS, with_ids=True)
+        if not noted.filter(F.col(BATCH) == batch_id).isEmpty():
             return
-        marks = {_BATCH: F.lit(batch_id).cast("long"), _ATTEMPT: F.lit(attempt)}
+        marks = {BATCH: F.lit(batch_id).cast("long"), ATTEMPT: F.lit(attempt)}
         batch.withColumns(marks).write.format(sink_format).mode("append").options(**options).save()
-        spark.range(1).select(*(c.alias(n) for n, c in marks.items())).write.mode("append").parquet(attempts)
+        note(spark.range(1).select(F.lit(attempt).alias(ATTEMPT)), batch_id)
 
     return write
 
 
 def committed(rows: DataFrame, attempts: str) -> DataFrame:
     """The rows, read back from the warehouse, of attempts that came to their end."""
-    noted = if_present(rows.sparkSession.read.schema(_ATTEMPTS), attempts)
-    return rows.limit(0) if noted is None else rows.join(noted, [_BATCH, _ATTEMPT], "left_semi")
-
-
-def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All rows of an append stream written by ``batch_folders``."""
-    return spark.read.schema(schema).parquet(path).drop(_BATCH)
+    noted = read_batches(rows.sparkSession, attempts, _ATTEMPTS, with_ids=True)
+    return rows.join(noted, [BATCH, ATTEMPT], "left_semi")
 
 
 def read_latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
