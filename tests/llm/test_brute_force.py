@@ -172,6 +172,23 @@ def test_recall_of_planted_pairs(spark, cosine):
     assert all(r.n_links <= 1 for r in got.values())
 
 
+@pytest.mark.parametrize("spread", [0.01, 0.05, 0.12])
+def test_links_of_dense_groups(spark, spread):
+    """Groups of near copies, tight ones and such that reach beyond the certain radius, with copies in them."""
+    rng = np.random.default_rng(int(spread * 100))
+    centres = rng.standard_normal((4, 32))
+    rows = [c + spread * rng.standard_normal(32) * np.sqrt(c @ c / 32) * (1 + i % 3) for c in centres for i in range(60)]
+    rows += [rows[0], rows[0], 3 * rows[61], *rng.standard_normal((30, 32))]
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component) for r in vectors.vector_links(frame, "vec_id", "embedding", recall=0.999999).collect()}
+    x = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    near = x @ x.T >= 0.9
+    label = np.arange(len(x))
+    for _ in range(20):
+        label = np.array([label[np.flatnonzero(r)].min() for r in near])
+    assert got == {i: (int(near[i].sum()) - 1, int(label[i])) for i in range(len(x))}
+
+
 # the pipeline
 
 

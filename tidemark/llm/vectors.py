@@ -14,6 +14,11 @@ COSINE = 0.9
 RECALL = 0.98  # of pairs exactly at the threshold to share a band; more for closer pairs
 SIGMAS = 5.0  # half width of the confidence interval of an estimate, in standard errors
 SEED = 20240
+#: Sign bits that are compared where two vectors meet in a band.
+HEAD = 256
+#: Members of a band that make its first vector a centre, and the cosine to a centre that makes a member: two
+#: members of one centre are at most twice that angle apart, so at 2 * MEMBER^2 - 1 > 0.9 or more.
+DENSE, MEMBER = 8, 0.9748
 
 
 def band_plan(classes: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
@@ -54,9 +59,19 @@ def unit(matrix):
     return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
+def differing_bits(cosine: float) -> int:
+    """The most of ``HEAD`` sign bits in which vectors at ``cosine`` differ, ``SIGMAS`` standard errors up.
+
+    A bit differs with probability ``angle / pi``; bits of one rotation vary less than independent ones.
+    """
+    p = math.acos(cosine) / math.pi
+    return math.floor(HEAD * p + SIGMAS * math.sqrt(HEAD * p * (1 - p)))
+
+
 def codes(classes: DataFrame, bits: int, bands: int) -> DataFrame:
-    """``c, keys, code, factors``: band keys, the sign bits of every rotation, and per rotation the
-    inner product of the vector with its own code, by which estimates are corrected."""
+    """``c, keys, head, code, factors``: band keys, the first sign bits in longs, the sign bits of every
+    rotation, and per rotation the inner product of the vector with its own code, by which estimates
+    are corrected."""
 
     def each(batches: Iterator) -> Iterator:
         import numpy as np
@@ -64,11 +79,11 @@ def codes(classes: DataFrame, bits: int, bands: int) -> DataFrame:
 
         made: dict = {}
         for batch in batches:
-            keys, code, factors = ([None] * len(batch) for _ in range(3))
+            keys, head, code, factors = ([None] * len(batch) for _ in range(4))
             for rows, x in by_dimension(batch.column(1)):
                 n = x.shape[1]
                 if n not in made:
-                    made[n] = rotations(n, -(-bits * bands // n))
+                    made[n] = rotations(n, -(-max(HEAD, bits * bands) // n))
                 turned = np.einsum("rij,kj->kri", made[n], unit(x))
                 signs = turned >= 0
                 own = np.abs(turned).sum(axis=2) / math.sqrt(n)
@@ -76,14 +91,41 @@ def codes(classes: DataFrame, bits: int, bands: int) -> DataFrame:
                 groups = flat[:, : bits * bands].reshape(len(rows), bands, bits)
                 # vectors of different lengths never meet
                 numbers = groups @ (1 << np.arange(bits, dtype=np.int64)) + (n << 40)
+                first = np.packbits(flat[:, :HEAD], axis=1).view(">i8").astype(np.int64)
                 for i, row in enumerate(rows):
-                    keys[row], code[row], factors[row] = numbers[i], np.packbits(flat[i]).tobytes(), own[i]
+                    keys[row], head[row], code[row], factors[row] = numbers[i], first[i], np.packbits(flat[i]).tobytes(), own[i]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.list_(pa.int64())), pa.array(code, pa.binary()), pa.array(factors, pa.list_(pa.float64()))],
-                ["c", "keys", "code", "factors"],
-            )
+                [
+                    batch.column(0), pa.array(keys, pa.list_(pa.int64())), pa.array(head, pa.list_(pa.int64())),
+                    pa.array(code, pa.binary()), pa.array(factors, pa.list_(pa.float64())),
+                ],
+                ["c", "keys", "head", "code", "factors"],
+            )
+
+    schema = "c long, keys array<long>, head array<long>, code binary, factors array<double>"
+    return classes.select("c", "vector").mapInArrow(each, schema)
 
-    return classes.select("c", "vector").mapInArrow(each, "c long, keys array<long>, code binary, factors array<double>")
+
+def members(entries: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
+    """``c, centre``: vectors of dense groups, each at the centre that it shares the most bands with,
+    where its exact cosine to it is ``MEMBER`` or more (a centre is its own member).
+
+    Members of one centre are certain to link with each other, so no pair of them is looked at.
+    """
+    if 2 * MEMBER**2 - 1 <= cosine:
+        return classes.select("c", F.col("c").alias("centre")).limit(0)
+    dense = entries.groupBy("band", "value").agg(F.min("c").alias("centre"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= DENSE)
+    met = entries.join(dense, ["band", "value"]).groupBy("c", "centre").agg(F.count(F.lit(1)).alias("bands"))
+    nearest = met.groupBy("c").agg(F.min(F.struct((-F.col("bands")).alias("order"), "centre"))["centre"].alias("centre"))
+    nearest = stage(nearest, "nearest-centres")
+    x = classes.select("c", F.col("vector").alias("x"))
+    y = classes.select(F.col("c").alias("centre"), F.col("vector").alias("y"))
+    pairs = nearest.where("c <> centre").join(x, "c").join(y, "centre").select(F.col("c").alias("a"), F.col("centre").alias("b"), "x", "y")
+    # a centre that is a member elsewhere would tie two groups that need not link throughout
+    sure = stage(verified(pairs, MEMBER), "sure")
+    centres = sure.join(sure.select(F.col("a").alias("other")), F.col("b") == F.col("other"), "left_anti")
+    held = centres.select(F.col("a").alias("c"), F.col("b").alias("centre"))
+    return held.union(held.select(F.col("centre").alias("c"), "centre").distinct())
 
 
 def possible(pairs: DataFrame, cosine: float) -> DataFrame:
@@ -141,10 +183,12 @@ def vector_links(df: DataFrame, key: str, vector: str, *, cosine: float = COSINE
     """``key, n_links, component, kept`` for every row.
 
     Equal vectors form a class with a count and its smallest key. Classes that share a band of sign
-    bits are candidates; estimates from the codes rule most of them out, and the cosine of the rest
-    is computed in doubles, so no reported link is below ``cosine``. A pair at exactly the threshold
-    is found with probability ``recall``; at 0.95, by the plan of bands, with 0.9987 among 500
-    vectors and more than 0.9999 from some 200,000 on.
+    bits meet; there their codes alone rule most pairs out, unbiased estimates with the correction
+    factors more of them, and the cosine of the rest is computed in doubles, so no reported link is
+    below ``cosine``. Vectors close to one centre link with certainty and are counted by membership,
+    so a large group of near copies makes no pairs within. A pair at exactly the threshold is found
+    with probability ``recall``; at 0.95, by the plan of bands, with 0.9987 among 500 vectors and more
+    than 0.9999 from some 200,000 on.
 
     A vector that is NULL, empty or zero, or has NULL or non-finite parts, links with nothing, as
     does a row with a NULL key; vectors of different lengths never link. Repeated rows count as
@@ -165,8 +209,16 @@ def vector_links(df: DataFrame, key: str, vector: str, *, cosine: float = COSINE
     bits, bands = band_plan(classes.count(), cosine, recall)
     coded = stage(codes(classes, bits, bands), "codes")
     entries = coded.select("c", F.posexplode("keys").alias("band", "value"))
-    left, right = entries.alias("l"), entries.alias("r")
-    met = F.expr("l.band = r.band AND l.value = r.value AND l.c < r.c")
+    grouped = stage(members(entries, classes, cosine), "members")
+    words = [F.get("head", F.lit(i)).alias(f"h{i}") for i in range(HEAD // 64)]
+    marked = coded.join(grouped, "c", "left").select("c", "centre", *words, F.posexplode("keys").alias("band", "value"))
+    left, right = marked.alias("l"), marked.alias("r")
+    differ = " + ".join(f"bit_count(l.h{i} ^ r.h{i})" for i in range(HEAD // 64))
+    # codes decide where two vectors meet; only pairs that they leave open are written down
+    met = F.expr(
+        "l.band = r.band AND l.value = r.value AND l.c < r.c"
+        f" AND {differ} <= {differing_bits(cosine)} AND NOT coalesce(l.centre = r.centre, false)"
+    )
     candidates = stage(left.join(right, met).select(F.col("l.c").alias("a"), F.col("r.c").alias("b")).distinct(), "candidates")
     code_of = coded.select(F.col("c").alias("a"), "code", "factors")
     x = classes.select(F.col("c").alias("a"), F.col("vector").alias("x"))
@@ -177,15 +229,21 @@ def vector_links(df: DataFrame, key: str, vector: str, *, cosine: float = COSINE
     sizes = classes.select(F.col("c").alias("b"), "n")
     both = links.union(links.select("b", "a"))
     linked = both.join(sizes, "b").groupBy("a").agg(F.sum("n").alias("others"))
-    roots = components(links, "a", "b", label="root").withColumnRenamed("node", "c")
+    # members of one centre link with each other: counted by membership
+    sized = grouped.join(classes.select("c", "n"), "c")
+    together = sized.groupBy("centre").agg(F.sum("n").alias("all"))
+    inside = sized.join(together, "centre").select(F.col("c").alias("m"), (F.col("all") - F.col("n")).alias("inside"))
+    ties = links.union(grouped.where("c <> centre").select(F.col("c").alias("a"), F.col("centre").alias("b")))
+    roots = components(ties, "a", "b", label="root").withColumnRenamed("node", "c")
     least = roots.join(classes.select("c", "least"), "c").groupBy("root").agg(F.min("least").alias("component"))
     final = stage(
         classes.select("c", "same", "least", "n")
         .join(linked.withColumnRenamed("a", "c"), "c", "left")
+        .join(inside, F.col("c") == F.col("m"), "left")
         .join(roots.join(least, "root").select("c", "component"), "c", "left")
         .select(
             F.col("same").alias("of"),
-            (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+            (F.coalesce("others", F.lit(0)) + F.coalesce("inside", F.lit(0)) + F.col("n") - 1).alias("n_links"),
             F.coalesce("component", "least").alias("component"),
         ),
         "vector-groups",
