@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_operators import SF_DIR, brute_lines, brute_print, check_packing, words
-from tidemark.llm import language, mixing, vectors
+from tidemark.llm import language, pii, vectors
 from tidemark.llm.queries import QUERIES
 
 
@@ -34,6 +34,57 @@ def spark_hash(*values):
     return seed
 
 
+# 2: personal data
+
+
+def test_forest_admits_and_rejects_by_context(spark):
+    """Numbers that the rules accept after one word and refuse after another: the forest goes by the word."""
+    rows = []
+    for i in range(200):
+        rows.append((i, f"tel +49 30 {1000000 + i * 37} end"))  # valid: 11 digits
+        rows.append((1000 + i, f"ref +49 30 {i:03d} end"))  # written alike, but seven digits
+    rows.append((5000, "call (030) 123 456 78 soon"))
+    rows.append((5001, "order (030) 123 456 78 soon"))
+    rows.append((5002, "tel (030) 12 34 soon"))  # eight digits: out of the rule's range, admitted by context
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find_pii(frame, "doc_id", "text").collect()}
+    assert [(s.start, s.end) for s in found[5000].added] == [(5, 21)]
+    assert found[5001].added == []
+    assert [(s.kind, s.in_range) for s in found[5002].added] == [(3, False)]
+    assert all(len(found[i].base) == 1 and not found[1000 + i].base for i in range(200))
+
+
+def brute_forest(forest, row):
+    total = forest.bias
+    for node in forest.trees:
+        while isinstance(node, tuple):
+            f, at, low, high = node
+            node = low if row[pii.FEATURES[f]] <= at else high
+        total += node
+    return total
+
+
+def test_added_spans_row_by_row(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    spans = pii.candidates(docs, "doc_id", "text").cache()
+    forest = pii.train(spans)
+    got = {r.doc_id: sorted((s.start, s.kind, s.end) for s in r.added) for r in pii.find_pii(docs, "doc_id", "text").collect()}
+    for row in spans.collect():
+        base = [s for s in row.spans if s.base and s.in_range]
+        wanted = [
+            (s.start, s.kind, s.end) for s in row.spans
+            if not s.base and brute_forest(forest, s) >= forest.thresholds[s.kind]
+            and not any(b.start < s.end and s.start < b.end for b in base)
+        ]
+        assert got[row.key] == sorted(wanted)
+
+
+def test_too_few_spans_give_no_threshold(spark):
+    rows = [(i, f"tel +49 30 {1000000 + i} end, call (030) 123 456 78") for i in range(30)]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+    assert all(r.added == [] and len(r.base) == 1 for r in found)
+
+
 # 7: mixing
 
 
