@@ -53,6 +53,25 @@ def test_value_that_most_rows_share_is_spread_over_ranges(spark):
     assert len(parts) > 2  # of four
 
 
+def test_whole_copies_are_spread_over_ranges(spark):
+    """Nine rows of ten are equal in every column; tasks get about as many rows each."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 > 0, F.lit(5)).otherwise(F.col("id") % 7).alias("k"))
+    numbered = number_rows(df, ["k"], copies=True)
+    assert numbered.columns == ["k", "row_number"]
+    assert [r.k for r in numbered.orderBy("row_number").collect()] == sorted(r.k for r in df.collect())
+    assert sorted(r.row_number for r in numbered.collect()) == list(range(1, 20_001))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"  # joins up ranges this small
+    spark.conf.set(setting, "false")
+    try:
+        with_ids = unique_ids(df, name="id")
+        counts = [r["count"] for r in numbering.in_ranges(with_ids, ["k"], last="id").groupBy("__part").count().collect()]
+        alone = [r["count"] for r in numbering.in_ranges(df, ["k"]).groupBy("__part").count().collect()]
+    finally:
+        spark.conf.unset(setting)
+    assert len(counts) == 4 and max(counts) < 2 * 20_000 / 4
+    assert max(alone) >= 18_000
+
+
 def test_ties_are_numbered_the_same_way_every_time(spark):
     df = spark.range(500).select((F.col("id") % 5).alias("k"), "id")
     first = {(r.id, r.row_number) for r in number_rows(df, ["k"]).collect()}

@@ -11,10 +11,16 @@ from tidemark.session import stage
 
 PART = "__part"
 POSITION = "__position"
+_ID = "__id"
 
 
 def number_rows(
-    df: DataFrame, order_by: Sequence[str], *, name: str = "row_number", start: int = 1
+    df: DataFrame,
+    order_by: Sequence[str],
+    *,
+    name: str = "row_number",
+    start: int = 1,
+    copies: bool = False,
 ) -> DataFrame:
     """Append ``start``, ``start + 1``, ... in the order of ``order_by``.
 
@@ -24,10 +30,13 @@ def number_rows(
 
     Rows with equal values are ordered by a hash of their other columns. So the numbering is
     reproducible, and a value that most rows share is spread over several ranges. Only whole
-    copies of a row stay together: where many are expected, number ``stage(unique_ids(df))``
-    with the id as last order column.
+    copies of a row stay together. With ``copies`` these are spread as well: the rows are written
+    once before, each with an id that a repeated task cannot change, and the id parts the copies.
     """
-    placed = stage(in_ranges(df, order_by), "numbered")
+    columns = df.columns
+    if copies:
+        df = stage(unique_ids(df, name=_ID), "identified")
+    placed = stage(in_ranges(df, order_by, last=_ID if copies else None), "numbered")
     # One row per partition, so neither the ordered window nor the broadcast grows with the data.
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -40,14 +49,18 @@ def number_rows(
     )
     number = F.col(POSITION) + F.col("shift") + F.lit(start)
     return placed.join(F.broadcast(offsets), PART).select(
-        *df.columns, number.cast("long").alias(name)
+        *columns, number.cast("long").alias(name)
     )
 
 
-def in_ranges(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Rows in global order, each with its partition and its position; to be written before it is used."""
-    others = [name for name, kind in df.dtypes if name not in order_by and "map<" not in kind]
+def in_ranges(df: DataFrame, order_by: Sequence[str], *, last: str | None = None) -> DataFrame:
+    """Rows in global order, each with its partition and its position; to be written before it is used.
+
+    Rows that are equal in ``order_by`` are ordered by a hash of the other columns, then by ``last``.
+    """
+    others = [name for name, kind in df.dtypes if name not in (*order_by, last) and "map<" not in kind]
     keys = [F.col(name) for name in order_by] + ([F.xxhash64(*others)] if others else [])
+    keys += [F.col(last)] if last is not None else []
     return (
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)

@@ -128,7 +128,9 @@ def insert_overwrite_dir(spark, sf_dir):
 def _orders_database(spark, sf_dir):
     """A new database with orders, filled from a view by a SQL insert."""
     database = f"retail_{uuid.uuid4().hex}"
-    drop_database(spark, database)
+    create_database(spark, database, scratch_path(spark, "warehouse"))
+    create_table(spark, f"{database}.orders", "left_over STRING")
+    drop_database(spark, database)  # with the table that is in the way
     create_database(spark, database, scratch_path(spark, "warehouse"))
     create_table(
         spark, f"{database}.orders", "order_id BIGINT, order_date DATE, order_status STRING"
