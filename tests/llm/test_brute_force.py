@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_operators import SF_DIR, brute_lines, brute_print, check_packing, words
-from tidemark.llm import language, pii, vectors
+from tidemark.llm import language, mixing, pii, vectors
 from tidemark.llm.queries import QUERIES
 
 
@@ -88,22 +88,22 @@ def test_too_few_spans_give_no_threshold(spark):
 # 7: mixing
 
 
-def brute_topic(text):
-    body, tokens = text or "", len(words(text))
-    upper, bars = len(re.findall("[A-Z]", body)), body.count("|")
-    marks = len(re.findall("[#*$%&<>]", body))
-    if tokens < 50:
-        return "short"
-    if bars * 10 > tokens:
-        return "table"
-    if marks * 10 > tokens:
-        return "symbols"
-    return "shouting" if upper * 10 > len(body) * 3 else "prose"
+def brute_topic(text, model):
+    """The centre nearest to the sum of the words' directions."""
+    known = dict(zip(model.hashes.tolist(), model.weights.tolist()))
+    total = np.zeros(64)
+    for word, n in Counter((text or "").encode().lower().split()).items():
+        h = xxhash.xxh64_intdigest(word)
+        signs = np.array([1.0 if h >> (63 - bit) & 1 else -1.0 for bit in range(64)])
+        total += known.get(h, model.rarest) * math.log(1 + n) * signs
+    if not total.any():
+        return "none"
+    return f"topic{int(np.argmax(model.centres @ total))}"
 
 
-def brute_mix(rows):
+def brute_mix(rows, model):
     """``{doc_id: (topic, tokens, probability, drawn)}`` for tempered shares and a budget of 0.7."""
-    cell = {r["doc_id"]: (r["source"], r["lang"], brute_topic(r["text"])) for r in rows}
+    cell = {r["doc_id"]: (r["source"], r["lang"], brute_topic(r["text"], model)) for r in rows}
     size = {r["doc_id"]: len(words(r["text"])) for r in rows}
     weight = Counter()
     for r in rows:
@@ -139,7 +139,8 @@ def brute_mix(rows):
 
 
 def test_mixing_row_by_row(spark, corpus):
-    wanted = brute_mix(corpus)
+    model = mixing.learn_topics(spark.read.parquet(f"{SF_DIR}/documents.parquet"), "doc_id", "text")
+    wanted = brute_mix(corpus, model)
     got = {r.doc_id: r for r in QUERIES["op7_mixing"](spark, SF_DIR).collect()}
     assert got.keys() == wanted.keys()
     for key, (topic, tokens, p, drawn) in wanted.items():
@@ -148,6 +149,17 @@ def test_mixing_row_by_row(spark, corpus):
     assert 0 < sum(w[3] for w in wanted.values()) < len(wanted)
 
 
+def test_topics_part_texts_by_their_words(spark):
+    """Texts over three vocabularies: each gets a topic or more of its own, whatever the order of its words."""
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"v{i % 3}w{k}" for k in rng.integers(0, 30, 60))) for i in range(300)] + [(900, None), (901, " \n")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = mixing.with_topic(frame, "text", mixing.learn_topics(frame, "doc_id", "text", 3)).collect()
+    by = {k: {r.form.topic for r in found if r.doc_id < 900 and r.doc_id % 3 == k} for k in range(3)}
+    assert all(len(v) == 1 for v in by.values()) and len(set.union(*by.values())) == 3
+    assert [tuple(r.form) for r in found if r.doc_id >= 900] == [("none", 0)] * 2
+
+
 # 8: sharding
 
 
@@ -267,7 +279,8 @@ def test_pipeline_equals_the_chain_of_brute_force(spark, corpus, path):
     alone = [r for r in cleaned if label[r["doc_id"]] == r["doc_id"]]
     assert len(alone) < len(rows) - 2
 
-    drawn = brute_mix(alone)
+    found = spark.createDataFrame([tuple(r[c] for c in schema.names) for r in alone], schema)
+    drawn = brute_mix(alone, mixing.learn_topics(found, "doc_id", "text"))
     last = [r for r in alone if drawn[r["doc_id"]][3]]
 
     pieces = corpus_pipeline.run(spark, folder).collect()

@@ -498,10 +498,12 @@ def test_mix_keeps_rows_and_expected_tokens(spark, docs, nothing, corpus):
     drawn = QUERIES["op7_mixing"](spark, SF_DIR).toPandas()
     assert len(drawn) == corpus.count() and drawn.probability.between(0, 1).all()
     assert abs((drawn.n_tokens * drawn.probability).sum() / drawn.n_tokens.sum() - 0.7) < 1e-6
-    formed = mixing.with_topic(docs, "text")
+    model = mixing.learn_topics(docs, "doc_id", "text")
+    formed = mixing.with_topic(docs, "text", model)
     found = mixing.mix(formed, "doc_id", {"k": F.col("key"), "topic": F.col("form.topic")}, F.col("form.tokens"))
     assert found.count() == docs.count()
-    empty = mixing.mix(mixing.with_topic(nothing, "text"), "doc_id", {"k": F.col("key")}, F.col("form.tokens"))
+    assert mixing.learn_topics(nothing, "doc_id", "text").centres.shape == (0, 64)
+    empty = mixing.mix(mixing.with_topic(nothing, "text", model), "doc_id", {"k": F.col("key")}, F.col("form.tokens"))
     assert empty.collect() == []
 
 

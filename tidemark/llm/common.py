@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.session import scratch_path
 from tidemark.session import stage as _stage
@@ -42,6 +43,21 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def as_rows(df: DataFrame) -> DataFrame:
+    """``df`` with each row as one struct ``row``, so that none of its names meets one of the caller's."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+
+
+def rows_and(rows: DataFrame, more: str) -> StructType:
+    """The schema of ``rows`` with further columns; no name goes through a parser."""
+    return StructType([*rows.schema.fields, *StructType.fromDDL(more).fields])
+
+
+def place_of(df: DataFrame, column: str) -> int:
+    """Where a column stands; names are matched without case."""
+    return next(i for i, c in enumerate(df.columns) if c.lower() == column.lower())
+
+
 def shingle_bounds(words: list[bytes], k: int):
     """Starts and ends of the k-word windows of the words joined by single spaces."""
     import numpy as np
@@ -75,4 +91,4 @@ def components(edges: DataFrame, a: str, b: str, *, label: str = "component") ->
             return labels.select("node", F.col("root").alias(label))
 
 
-__all__ = ["WORD", "components", "fresh", "scratch_path", "shingle_bounds", "stage"]
+__all__ = ["WORD", "as_rows", "components", "fresh", "place_of", "rows_and", "scratch_path", "shingle_bounds", "stage"]

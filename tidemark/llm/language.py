@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import as_rows, place_of, rows_and
+
 #: Bounds of the learning sample, per language: texts, characters of a text, bytes of a dictionary.
 SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 1500
@@ -134,10 +136,8 @@ def judged(docs: DataFrame, text: str, model: Languages) -> DataFrame:
             found = [pa.array([m[j] for m in made], kind) for j, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["row", *NEW])
 
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    at = next(i for i, c in enumerate(docs.columns) if c.lower() == text.lower())
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(each, f"row {kind}, lang_pred string, score double, accepted boolean")
+    rows, at = as_rows(docs), place_of(docs, text)
+    return rows.mapInArrow(each, rows_and(rows, "lang_pred string, score double, accepted boolean"))
 
 
 NEW = ("lang_pred", "score", "accepted")

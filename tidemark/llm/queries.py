@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh
+from tidemark.llm.common import fresh, stage
 from tidemark.llm.language import classify, held_out, learn
 from tidemark.llm.lines import dedup_lines
-from tidemark.llm.mixing import mix, with_topic
+from tidemark.llm.mixing import learn_topics, mix, with_topic
 from tidemark.llm.negatives import hard_negatives
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import KINDS, find_pii, listed, of_kind
@@ -88,20 +88,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 FORM = "form"
 
 
-def document_mix(docs: DataFrame, **options) -> DataFrame:
+def document_mix(docs: DataFrame, *, without: tuple[str, ...] = (), **options) -> DataFrame:
     """Documents with their drawing probabilities for tempered shares of sources, languages and topics.
 
-    A struct with topic and tokens is added under ``FORM``, or that name with lines where it is taken.
+    A struct with topic and tokens is added under ``FORM``, or that name with lines where it is taken;
+    columns in ``without`` are left behind once the topics are known.
     """
     form = fresh(docs, FORM)
     by = {"source": F.col("source"), "lang": F.col("lang"), "topic": F.col(form)["topic"]}
-    return mix(with_topic(docs, "text", form), "doc_id", by, F.col(form)["tokens"], **options)
+    # written down: the texts are read once for it, and their cells are counted before any is drawn
+    formed = with_topic(docs, "text", learn_topics(docs, "doc_id", "text"), form).drop(*without)
+    formed = stage(formed, "topics")
+    return mix(formed, "doc_id", by, F.col(form)["tokens"], **options)
 
 
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The draw of all documents, with factors raked to the target marginals."""
-    drawn = document_mix(table(spark, sf_dir, "documents"))
+    drawn = document_mix(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"), without=("text",))
     return drawn.select(
         "doc_id", "source", "lang", F.col(FORM)["topic"].alias("topic"), F.col(FORM)["tokens"].alias("n_tokens"),
         "cell_factor", "probability", "drawn",

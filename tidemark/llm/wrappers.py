@@ -10,7 +10,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stage
+from tidemark.llm.common import rows_and, stage
 
 #: Shapes or wrappers that are merged in one task; more of a host go through further rounds.
 MERGED = 64
@@ -402,8 +402,7 @@ def parsed(pages: DataFrame, url: str, html: str) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1))
     others = [F.col(f"`{c}`") for c in pages.columns if c not in (html, "text")]
     rows = pages.select(F.monotonically_increasing_id().alias("row"), F.struct(*others).alias("kept"), host.alias("host"), F.col(html).alias("html"))
-    kind = rows.schema["kept"].dataType.simpleString()
-    schema = f"row long, kept {kind}, host string, texts array<string>, blocks array<{BLOCK}>, shape string, cluster long"
+    schema = rows_and(rows.drop("html"), f"texts array<string>, blocks array<{BLOCK}>, shape string, cluster long")
     return rows.mapInArrow(each, schema)
 
 
