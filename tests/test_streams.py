@@ -9,7 +9,6 @@ from tidemark.fixed_values import CHUNK_SIZE, LARGE_CHUNK_SIZE
 from tidemark.sources.messages import (
     kafka_options,
     read_file_stream,
-    read_message_files,
     read_messages,
 )
 from tidemark.session import stage
