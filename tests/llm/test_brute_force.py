@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_operators import SF_DIR, brute_lines, brute_print, check_packing, words
