@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -58,6 +60,13 @@ def place_of(df: DataFrame, column: str) -> int:
     return next(i for i, c in enumerate(df.columns) if c.lower() == column.lower())
 
 
+def slices(batches: Iterable, rows: int = 1000) -> Iterator:
+    """Arrow batches in slices of few rows: a worker holds the texts of one slice as Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def shingle_bounds(words: list[bytes], k: int):
     """Starts and ends of the k-word windows of the words joined by single spaces."""
     import numpy as np
@@ -91,4 +100,4 @@ def components(edges: DataFrame, a: str, b: str, *, label: str = "component") ->
             return labels.select("node", F.col("root").alias(label))
 
 
-__all__ = ["WORD", "as_rows", "components", "fresh", "place_of", "rows_and", "scratch_path", "shingle_bounds", "stage"]
+__all__ = ["WORD", "as_rows", "components", "fresh", "place_of", "rows_and", "scratch_path", "shingle_bounds", "slices", "stage"]

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_rows, place_of, rows_and
+from tidemark.llm.common import as_rows, place_of, rows_and, slices
 
 #: Bounds of the learning sample, per language: texts, characters of a text, bytes of a dictionary.
 SAMPLE_TEXTS = 400
@@ -130,7 +130,7 @@ def judged(docs: DataFrame, text: str, model: Languages) -> DataFrame:
                 i, margin = smallest(chunks, strong)
             return names[i], math.tanh(8.0 * margin), margin >= LEAST_MARGIN
 
-        for batch in batches:
+        for batch in slices(batches):
             made = [one(body) for body in pc.struct_field(batch.column(0), at).to_pylist()]
             kinds = (pa.string(), pa.float64(), pa.bool_())
             found = [pa.array([m[j] for m in made], kind) for j, kind in enumerate(kinds)]

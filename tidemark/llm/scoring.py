@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slices
+
 #: Bounds of the learning sample, per label: texts, characters of a text. Half of the texts make the
 #: dictionary, the other half the calibration.
 SAMPLE_TEXTS = 2000
@@ -145,7 +147,7 @@ def score_quality(docs: DataFrame, key: str, text: str, model: Quality) -> DataF
         import pyarrow as pa
 
         measure = differences(model.good, model.bad)
-        for batch in batches:
+        for batch in slices(batches):
             found = [measure(body) for body in batch.column(1).to_pylist()]
             scores = [model.score(x) for x in found]
             columns = [batch.column(0), pa.array(found, pa.float64()), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())]
