@@ -287,3 +287,48 @@ def test_pipeline_equals_the_chain_of_brute_force(spark, corpus, path):
     for r in pieces:
         part = ids[r.doc_id][r.start : r.start + r.length]
         assert (len(part), zlib.crc32(part.tobytes()), r.doc_tokens) == (r.length, r.ids_crc32, len(ids[r.doc_id]))
+
+
+def all_texts_model(texts):
+    """``{hash: weight}`` of the words in more than one of 1000 texts, counted over all of them whole, and the other words' weight."""
+    read = [set((t or "").encode().lower().split()) for t in texts]
+    n, seen = sum(map(bool, read)), Counter(w for r in read for w in r)
+    rare = max(1, n // 1000)
+    return {xxhash.xxh64_intdigest(w): math.log((1 + n) / (1 + c)) for w, c in seen.items() if c > rare}, math.log((1 + n) / (1 + rare))
+
+
+def test_words_of_all_texts_are_weighed(spark):
+    """Far more texts than any sample held, and words that stand only at the end of long ones."""
+    texts = [f"all t{i % 7} once{i} " + ("pad " * 600 + "late" if i % 3 == 0 else "x") for i in range(9000)] + [None, " \n"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    model = mixing.learn_topics(frame, "doc_id", "text")
+    weights, rarest = all_texts_model(texts)
+    assert dict(zip(model.hashes.tolist(), model.weights.tolist())) == pytest.approx(weights)
+    assert model.rarest == pytest.approx(rarest)
+    assert xxhash.xxh64_intdigest(b"late") in weights
+
+
+def test_centres_are_fitted_to_all_texts(spark):
+    """Each centre is the mean direction of the different vectors nearest to it, however the rows are partitioned."""
+    rng = np.random.default_rng(4)
+    pick = rng.integers(0, 20, (6000, 60))
+    texts = [" ".join(f"v{i % 3}w{k}" for k in row) for i, row in enumerate(pick)]
+    frame = spark.createDataFrame(list(enumerate([*texts, *texts[:500]])), "doc_id long, text string")
+    model = mixing.learn_topics(frame, "doc_id", "text", 3)
+    again = mixing.learn_topics(frame.repartition(3, "text"), "doc_id", "text", 3)
+    assert np.array_equal(model.centres, again.centres) and len(model.centres) == 3
+    vectors = {mixing.summed_up(*mixing.words_and_counts(t.encode())[:2], model.hashes, model.weights, model.rarest).tobytes() for t in texts}
+    x = np.array([np.frombuffer(v) for v in vectors])
+    nearest = (x @ model.centres.T).argmax(axis=1)
+    for k, centre in enumerate(model.centres):
+        mean = x[nearest == k].sum(axis=0)
+        assert mean @ centre / np.linalg.norm(mean) > 1 - 1e-6
+
+
+def test_pipeline_mixes_by_whole_texts(spark):
+    """Texts that differ after 2500 characters only: the topic of few texts is lifted to probability 1."""
+    ends = ("common things there", "seldom words here")
+    rows = [(i, "same " * 500 + ends[i % 10 == 0], "en", "web") for i in range(1000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    drawn = {r.doc_id for r in corpus_pipeline.mixing(spark, frame, SF_DIR).collect()}
+    assert set(range(0, 1000, 10)) <= drawn and 600 < len(drawn) < 800

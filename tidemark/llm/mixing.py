@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_rows, place_of, rows_and, slices
+from tidemark.llm.common import as_rows, place_of, rows_and, slices, stage
 
 ROUNDS = 100
 TOLERANCE = 1e-9
@@ -19,17 +20,22 @@ MOST_CELLS = 1_000_000
 #: Topics are clusters of texts by their words: how many, and the numbers a text is summed up in.
 TOPICS = 8
 PARTS = 64
-#: Bounds of the sample they are fitted on: documents, characters of each; and rounds of fitting.
-SAMPLE_DOCS = 4000
-SAMPLE_CHARS = 2000
+#: Words in no more than one of so many texts weigh alike; those in more are listed, each with its own weight.
+RARE = 1000
+#: Rounds of fitting, and the whole number that stands for 1 in a text's vector, so that sums are exact.
 FITTINGS = 25
+UNIT = 1 << 30
+#: Texts nearer to a centre than this (1 - cosine) are no new centre.
+NEARBY = 1e-6
+#: Different words that a task counts before it hands them on.
+MOST_HELD = 200_000
 #: The topic of texts without a word.
 NO_TOPIC = "none"
 
 
 @dataclass(frozen=True)
 class Topics:
-    """Word hashes of the sample in order, their weights, the weight of any other word, and the centres."""
+    """Hashes of the listed words in order, their weights, the weight of any other word, and the centres."""
 
     hashes: object
     weights: object
@@ -37,15 +43,21 @@ class Topics:
     centres: object
 
 
+def hashes_of(words):
+    """64-bit hashes of words."""
+    import numpy as np
+    import xxhash
+
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
+
+
 def words_and_counts(raw: bytes):
     """Hashes of the different words of a text, how often each occurs, and the number of words."""
     import numpy as np
-    import xxhash
 
     found = raw.lower().split()  # parts at exactly the six ASCII white spaces
     counts = Counter(found)
-    digests = b"".join([xxhash.xxh64_digest(w) for w in counts])
-    return np.frombuffer(digests, ">u8").astype(np.uint64), np.fromiter(counts.values(), np.int64, len(counts)), len(found)
+    return hashes_of(counts), np.fromiter(counts.values(), np.int64, len(counts)), len(found)
 
 
 def summed_up(hashes, counts, model_hashes, model_weights, rarest: float):
@@ -58,72 +70,205 @@ def summed_up(hashes, counts, model_hashes, model_weights, rarest: float):
     if len(model_hashes):
         at = np.minimum(np.searchsorted(model_hashes, hashes), len(model_hashes) - 1)
         weights = np.where(model_hashes[at] == hashes, model_weights[at], rarest)
-    signs = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.float64) * 2 - 1
-    vector = (weights * np.log1p(counts)) @ signs
+    lengths = weights * np.log1p(counts)
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.float64)
+    vector = 2 * (lengths @ bits) - lengths.sum()
     length = np.linalg.norm(vector)
     return vector / length if length else None
 
 
-def learn_topics(docs: DataFrame, key: str, text: str, topics: int = TOPICS) -> Topics:
-    """Clusters fitted on a bounded sample of the texts; every text is assigned later.
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """``word, n``: how many texts have the word of each hash; the row of NULL counts the texts that have any."""
+
+    def each(batches: Iterator) -> Iterator:
+        import numpy as np
+
+        def handed_on() -> pa.RecordBatch:
+            words = pa.array(hashes_of(held).view(np.int64), pa.int64())
+            return pa.RecordBatch.from_arrays([words, pa.array(held.values(), pa.int64())], ["word", "n"])
+
+        held, texts = Counter(), 0
+        for batch in slices(batches):
+            for raw in batch.column(0).to_pylist():
+                found = set(raw.lower().split())
+                texts += bool(found)
+                held.update(found)
+                if len(held) >= MOST_HELD:
+                    yield handed_on()
+                    held.clear()
+        yield handed_on()
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([texts], pa.int64())], ["word", "n"])
+
+    bodies = docs.select(F.col(text).cast("binary").alias("text")).where("text IS NOT NULL")
+    return bodies.mapInArrow(each, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
 
-    A hash of the key draws about ``SAMPLE_DOCS`` documents; they are ordered by it, so the same table
-    gives the same clusters. Words weigh the less the more sampled texts have them.
+def weigh_words(docs: DataFrame, text: str) -> Topics:
+    """The weights of words, without centres: the less, the more of all texts have them.
+
+    Only words in more than one of ``RARE`` texts go to the driver: no more than ``RARE`` times the
+    different words of a text on average, however many texts there are.
     """
     import numpy as np
 
-    known = docs.select(F.col(key).cast("string").alias("key"), F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text")).where("text IS NOT NULL")
-    drawn = F.pmod(F.xxhash64(F.lit("topics"), F.col("key")), F.lit(1 << 30))
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    sample = known.withColumn("drawn", drawn).where(F.col("drawn") < int(share * (1 << 30)))
-    texts = [r["text"].encode() for r in sample.orderBy("drawn", "text").limit(2 * SAMPLE_DOCS).collect()]
-    read = [words_and_counts(raw)[:2] for raw in texts]
-    read = [r for r in read if len(r[0])]
-    if not read:
-        return Topics(np.zeros(0, np.uint64), np.zeros(0), 1.0, np.zeros((0, PARTS)))
-    hashes, seen = np.unique(np.concatenate([h for h, _ in read]), return_counts=True)
-    weights, rarest = np.log((1 + len(read)) / (1 + seen)), float(np.log(1 + len(read)))
-    vectors = [summed_up(h, n, hashes, weights, rarest) for h, n in read]
-    x = np.unique(np.array([v for v in vectors if v is not None]).reshape(-1, PARTS).round(9), axis=0)
-    if not len(x):
-        return Topics(hashes, weights, rarest, np.zeros((0, PARTS)))
-    rng = np.random.default_rng(7)
-    centres = x[[0]]
-    while len(centres) < min(topics, len(x)):  # far from those there are, by chance
-        far = np.clip(1 - (x @ centres.T).max(axis=1), 0, None) ** 2
-        centres = np.vstack([centres, x[rng.choice(len(x), p=far / far.sum()) if far.sum() else 0]])
-    for _ in range(FITTINGS):
-        nearest = (x @ centres.T).argmax(axis=1)
-        sums = np.array([x[nearest == k].sum(axis=0) if (nearest == k).any() else centres[k] for k in range(len(centres))])
-        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return Topics(hashes, weights, rarest, centres)
-
-
-def topic_of(raw: bytes, model: Topics) -> tuple[str, int]:
-    """The topic of a whole text, and its number of words."""
-    hashes, counts, size = words_and_counts(raw)
-    vector = summed_up(hashes, counts, model.hashes, model.weights, model.rarest)
-    if vector is None or not len(model.centres):
-        return NO_TOPIC, size
-    return f"topic{(model.centres @ vector).argmax()}", size
+    counts = stage(word_counts(docs, text), "word-counts")
+    texts = counts.where("word IS NULL").agg(F.sum("n")).first()[0] or 0
+    rare = max(1, texts // RARE)
+    listed = counts.where(F.col("word").isNotNull() & (F.col("n") > rare)).toArrow()
+    hashes, n = (listed[c].to_numpy() for c in ("word", "n"))
+    hashes = hashes.astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    weights = np.log((1 + texts) / (1 + n[order].astype(np.float64)))
+    return Topics(hashes[order], weights, float(np.log((1 + texts) / (1 + rare))), np.zeros((0, PARTS)))
 
 
-def with_topic(docs: DataFrame, text: str, model: Topics, name: str = "form") -> DataFrame:
-    """``docs`` and a struct ``name`` with ``topic`` and ``tokens`` of each whole text; NULL has no words."""
+def with_vector(docs: DataFrame, text: str, model: Topics, name: str = "form") -> DataFrame:
+    """``docs`` and a struct ``name`` with ``vector`` (whole numbers of 4 bytes) and ``tokens`` of each whole text."""
 
     def each(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+        import numpy as np
         import pyarrow.compute as pc
 
         for batch in slices(batches):
-            bodies = pc.struct_field(batch.column(0), at).to_pylist()
-            made = [topic_of((body or "").encode("utf-8", "replace"), model) for body in bodies]
-            columns = [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["row", "topic", "tokens"])
+            vectors, sizes = [], []
+            for body in pc.struct_field(batch.column(0), at).to_pylist():
+                hashes, counts, size = words_and_counts((body or "").encode("utf-8", "replace"))
+                vector = summed_up(hashes, counts, model.hashes, model.weights, model.rarest)
+                vectors.append(None if vector is None else np.rint(vector * UNIT).astype("<i4").tobytes())
+                sizes.append(size)
+            columns = [pa.array(vectors, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["row", "vector", "tokens"])
 
     rows, at = as_rows(docs), place_of(docs, text)
-    found = rows.mapInArrow(each, rows_and(rows, "topic string, tokens long"))
-    return found.select("row.*", F.struct("topic", "tokens").alias(name))
+    found = rows.mapInArrow(each, rows_and(rows, "vector binary, tokens long"))
+    return found.select("row.*", F.struct("vector", "tokens").alias(name))
+
+
+def read_vectors(column):
+    """Vectors as rows of whole numbers; no NULLs."""
+    import numpy as np
+
+    return np.frombuffer(b"".join(column.to_pylist()), "<i4").reshape(-1, PARTS).astype(np.int64)
+
+
+def next_centre(points: DataFrame, centres):
+    """One of all vectors, drawn by chance in proportion to its squared distance to the centres; or None.
+
+    Each vector waits a time that its hash draws, the shorter the farther it is; the first one is taken.
+    """
+    import numpy as np
+
+    def each(batches: Iterator) -> Iterator:
+        best = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = read_vectors(batch.column(0))
+            far = np.clip(1 - (x @ centres.T).max(axis=1) / UNIT, 0, None) if len(centres) else np.ones(len(x))
+            chance = ((batch.column(1).to_numpy().view(np.uint64) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+            wait = np.where(far > NEARBY, -np.log(chance) / np.maximum(far, NEARBY) ** 2, np.inf)
+            first = int(wait.argmin())
+            if np.isfinite(wait[first]):
+                found = (float(wait[first]), batch.column(0)[first].as_py())
+                best = found if best is None else min(best, found)
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([best[0]]), pa.array([best[1]], pa.binary())], ["wait", "vector"])
+
+    drawn = points.select("vector", F.xxhash64(F.lit(f"topic{len(centres)}"), "vector").alias("drawn"))
+    found = drawn.mapInArrow(each, "wait double, vector binary").agg(F.min(F.struct("wait", "vector")).alias("first")).first()["first"]
+    if found is None:
+        return None
+    vector = np.frombuffer(found["vector"], "<i4").astype(np.float64)
+    return vector / np.linalg.norm(vector)
+
+
+def sums_by_centre(points: DataFrame, centres):
+    """Sums of the vectors nearest to each centre, and in a last column how many they are; whole numbers."""
+    import numpy as np
+
+    def each(batches: Iterator) -> Iterator:
+        sums = np.zeros((len(centres), PARTS + 1), np.int64)
+        for batch in batches:
+            x = read_vectors(batch.column(0))
+            nearest = (x @ centres.T).argmax(axis=1)
+            for k in range(len(centres)):
+                mine = x[nearest == k]
+                sums[k, :PARTS] += mine.sum(axis=0)
+                sums[k, PARTS] += len(mine)
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
+
+    parts = points.select("vector").mapInArrow(each, "sums binary").collect()
+    total = np.zeros((len(centres), PARTS + 1), np.int64)
+    for part in parts:
+        total += np.frombuffer(part["sums"], np.int64).reshape(total.shape)
+    return total
+
+
+def fit_centres(vectors: DataFrame, topics: int = TOPICS):
+    """Centres of the different vectors among all rows of column ``vector``: spherical k-means.
+
+    Every round goes over all of them in Spark; the driver holds the centres. Sums are whole numbers
+    and draws are hashes, so the same rows give the same centres, however they are partitioned.
+    """
+    import numpy as np
+
+    points = stage(vectors.where("vector IS NOT NULL").select("vector").distinct(), "topic-vectors")
+    centres = np.zeros((0, PARTS))
+    while len(centres) < topics and (found := next_centre(points, centres)) is not None:
+        centres = np.vstack([centres, found])
+    before = None
+    for _ in range(FITTINGS if len(centres) else 0):
+        sums = sums_by_centre(points, centres)
+        if before is not None and (sums == before).all():
+            break  # no vector has changed its centre
+        lengths = np.linalg.norm(sums[:, :PARTS].astype(np.float64), axis=1, keepdims=True)
+        centres = np.where(lengths > 0, sums[:, :PARTS] / np.maximum(lengths, 1), centres)
+        before = sums
+    return centres
+
+
+def learn_topics(docs: DataFrame, key: str, text: str, topics: int = TOPICS) -> Topics:
+    """Clusters of all texts by all their words; the ``key`` of a text plays no part in it."""
+    model = weigh_words(docs, text)
+    vectors = with_vector(docs.select(F.col(text).alias("text")), "text", model).select("form.vector")
+    return replace(model, centres=fit_centres(vectors, topics))
+
+
+def nearest_topic(vector: Column, model: Topics) -> Column:
+    """The topic of a text's vector."""
+    centres = model.centres
+
+    @F.arrow_udf("string")
+    def nearest(vectors: pa.Array) -> pa.Array:
+        there = vectors.drop_null()
+        if not len(centres) or not len(there):
+            return pa.array([NO_TOPIC] * len(vectors), pa.string())
+        found = iter((read_vectors(there) @ centres.T).argmax(axis=1).tolist())
+        return pa.array([f"topic{next(found)}" if one else NO_TOPIC for one in vectors.is_valid().to_pylist()], pa.string())
+
+    return nearest(vector)
+
+
+def topic_in_place(formed: DataFrame, model: Topics, name: str) -> DataFrame:
+    """The struct ``name`` of ``with_vector`` with ``topic`` and ``tokens`` instead."""
+    form = F.col(name)
+    return formed.withColumn(name, F.struct(nearest_topic(form["vector"], model).alias("topic"), form["tokens"].alias("tokens")))
+
+
+def with_topic(docs: DataFrame, text: str, model: Topics, name: str = "form") -> DataFrame:
+    """``docs`` and a struct ``name`` with ``topic`` and ``tokens`` of each whole text; NULL has no words."""
+    return topic_in_place(with_vector(docs, text, model, name), model, name)
+
+
+def with_own_topic(docs: DataFrame, text: str, name: str = "form", *, topics: int = TOPICS, without: tuple[str, ...] = ()) -> DataFrame:
+    """``with_topic`` by the topics that ``learn_topics`` finds in the same texts, each summed up but once.
+
+    Columns in ``without`` are left behind. What is returned reads from a staged table.
+    """
+    model = weigh_words(docs, text)
+    formed = stage(with_vector(docs, text, model, name).drop(*without), "topics")
+    model = replace(model, centres=fit_centres(formed.select(F.col(name)["vector"].alias("vector")), topics))
+    return topic_in_place(formed, model, name)
 
 
 def rake(
