@@ -92,6 +92,19 @@ def test_lines_of_near_copies(spark):
     assert {r.doc_id: r.text for r in got.collect()} == {d: t for (d, _), t in brute_lines(rows).items()}
 
 
+def test_line_pairs_are_met_once_by_the_shorter(spark):
+    """Copies with words added or left out, before and after the longer line; the shorter side brings its rarest tokens only."""
+    base = [[f"b{i}_{j}" for j in range(18)] for i in range(6)]
+    rows = [(2 * i, " ".join(b[: 18 - i % 4])) for i, b in enumerate(base)] + [(2 * i + 1, " ".join(b + [f"x{i}"] * (i % 2))) for i, b in enumerate(base)]
+    rows += [(100 + i, " ".join(b[4:])) for i, b in enumerate(base)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lines.dedup_lines(docs, "doc_id", "text")
+    assert {r.doc_id: r.text for r in got.collect()} == {d: t for (d, _), t in brute_lines(rows).items()}
+    found = spark.createDataFrame([(i, 18, 0, 0, at, 7, False) for i, at in enumerate([0, 1, 3])], "line long, n int, low long, high long, at int, token int, gone boolean")
+    assert sorted(tuple(r) for r in lines.candidates(found).collect()) == [(0, 1), (1, 2)]  # the positions 0 and 3 leave too few
+    assert {f.name: f.dataType.simpleString() for f in lines.prefix_rows(lines.line_sets(lines.occurrences(docs, "doc_id", "text"), lines.rarity(docs, "text"))).schema}["token"] == "int"
+
+
 def test_line_query_equals_sql(spark):
     assert difference(QUERIES["op1_line_dedup"](spark, SF_DIR), ORACLES["op1_line_dedup"], connect(SF_DIR)) is None
 

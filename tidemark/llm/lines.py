@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tidemark.operators.numbering import number_rows
 # Jaccard similarity of 4/5 or more, in whole numbers: 9 * overlap >= 4 * (size of x + size of y).
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Cells of the table of token counts that orders tokens by rarity, and of the filter of line hashes.
-RARITY_CELLS = 1 << 16
+RARITY_CELLS = 1 << 18
 FILTER_WORDS = 1 << 14
 
 
@@ -40,7 +41,7 @@ def rarity(docs: DataFrame, text: str) -> Column:
     ``RARITY_CELLS`` numbers however many texts and words there are.
     """
     cells = (
-        docs.select(F.explode(F.split(F.lower(F.col(text)), BLANKS)).alias("word"))
+        docs.select(F.explode(words(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("word"))
         .groupBy(F.xxhash64("word").bitwiseAND(F.lit(RARITY_CELLS - 1)).alias("cell"))
         .count()
         .collect()
@@ -71,32 +72,33 @@ def line_sets(lines: DataFrame, levels: Column) -> DataFrame:
     ``low`` and ``high`` are the parity of the tokens per hash bit, of 128: two sets differ in at
     least as many tokens as their bits differ.
     """
-    rank = F.transform(
-        F.col("words"),
-        lambda h: F.shiftleft(F.get(levels, h.bitwiseAND(F.lit(RARITY_CELLS - 1)).cast("int")).cast("long"), 48).bitwiseOR(
-            h.bitwiseAND(F.lit((1 << 48) - 1))
-        ),
-    )
-    def parity(half: int) -> Column:
+    def ranked(h: Column) -> Column:
+        level = F.get(levels, h.bitwiseAND(F.lit(RARITY_CELLS - 1)).cast("int")).cast("long")
+        # never NULL, which lets the array be sorted as plain numbers
+        return F.coalesce(F.shiftleft(level, 48).bitwiseOR(h.bitwiseAND(F.lit((1 << 48) - 1))), F.lit(0).cast("long"))
+
+    def parity(of: Callable[[Column], Column]) -> Column:
         def flip(bits: Column, token: Column) -> Column:
-            here = F.shiftright(token, 40).bitwiseAND(F.lit(1))
-            here = here if half else F.lit(1) - here
-            place = F.shiftright(token, 20).bitwiseAND(F.lit(63)).cast("int")
-            return bits.bitwiseXOR(F.call_function("shiftleft", here.cast("long"), place))
+            place = F.shiftrightunsigned(token, 33).cast("int").bitwiseAND(F.lit(63))
+            return bits.bitwiseXOR(F.call_function("shiftleft", of(token), place))
 
-        return F.aggregate("words", F.lit(0).cast("long"), flip)
+        return F.aggregate("ranks", F.lit(0).cast("long"), flip)
 
-    n = F.size("words")
     made = lines.select(*line_ids(), word_set(F.col("line")).alias("words"))
-    sets = made.select(
+    # columns that are read more than once are computed once, by generated code, below those that read them
+    made = made.select("id", "id2", F.size("words").alias("n"), F.sort_array(F.transform("words", ranked)).alias("ranks"))
+    one = F.lit(1).cast("long")
+    bits = made.select("*", parity(lambda t: one).alias("all"), parity(lambda t: F.shiftrightunsigned(t, 20).bitwiseAND(one)).alias("high"))
+    n = F.col("n")
+    sets = bits.select(
         "id",
         "id2",
         F.struct(
-            n.alias("n"),
-            parity(0).alias("low"),
-            parity(1).alias("high"),
+            n,
+            F.col("all").bitwiseXOR(F.col("high")).alias("low"),
+            "high",
             F.transform(
-                F.slice(F.sort_array(rank), 1, n - ceil_div(n * 4, 5) + 1),
+                F.slice("ranks", 1, n - ceil_div(n * 4, 5) + 1),
                 lambda t: t.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"),
             ).alias("prefix"),
         ).alias("set"),
@@ -111,14 +113,13 @@ def prefix_rows(sets: DataFrame) -> DataFrame:
     return sets.select(*others, F.posexplode_outer("prefix").alias("at", "token"))
 
 
-#: Whether row y's line, which stands later than row x's in the corpus, may be similar to it.
-#: Length filter: the smaller set has 4/5 of the larger's tokens at least. Prefix filter: the common
-#: token is among the first ninth of the smaller. Positional filter: what can stand before the common
-#: token on both sides, and from it on, makes up the needed overlap. Then the bits must not differ in
-#: more places than the sets may.
+#: Prefix filter: the common token is among the first ninth of the shorter line's.
+OF_SHORTER = "9 * at <= n"
+#: Whether two lines with a common token may be similar. Length filter: the smaller set has 4/5 of the
+#: larger's tokens at least. Positional filter: what can stand before the common token on both sides, and
+#: from it on, makes up the needed overlap. Then the bits must not differ in more places than the sets may.
 MAY_MATCH = (
-    "x.line < y.line AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)"
-    " AND 9 * (CASE WHEN x.n < y.n OR (x.n = y.n AND x.at <= y.at) THEN x.at ELSE y.at END) <= least(x.n, y.n)"
+    "5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)"
     " AND 9 * (least(x.at, y.at) + least(x.n - x.at, y.n - y.at)) >= 4 * (x.n + y.n)"
     " AND bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= (x.n + y.n) / 9"
 )
@@ -127,20 +128,26 @@ BEFORE = 2
 
 
 def first_candidates(rows: DataFrame) -> DataFrame:
-    """``x, y``: each line with few earlier lines that share a rare token, never more than ``1 + BEFORE`` a token."""
+    """``x, y``: each line with few earlier lines that share one of its rarest tokens, never more than ``1 + BEFORE`` a token."""
     of_token = Window.partitionBy("token").orderBy("line")
     seen = F.struct("line", "n", "low", "high", "at")
     earlier = [F.first(seen).over(of_token), *(F.lag(seen, k + 1).over(of_token) for k in range(BEFORE))]
-    met = rows.select(seen.alias("y"), F.array(*earlier).alias("earlier")).select("y", F.explode("earlier").alias("x"))
-    return met.where(F.expr(MAY_MATCH)).select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct()
+    met = rows.where(OF_SHORTER).select(seen.alias("y"), F.array(*earlier).alias("earlier")).select("y", F.explode("earlier").alias("x"))
+    return met.where(F.expr(f"x.line < y.line AND {MAY_MATCH}")).select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct()
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """``x, y``: every earlier and later line that may be similar, where the later is not ``gone`` yet."""
-    # every condition names both sides, so that both read the same shuffled rows
-    x, y = rows.alias("x"), rows.alias("y")
-    met = F.expr(f"x.token = y.token AND NOT CASE WHEN x.line < y.line THEN y.gone ELSE x.gone END AND {MAY_MATCH}")
-    return x.join(y, met).select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct()
+    """``x, y``: every earlier and later line that may be similar, where the later is not ``gone`` yet.
+
+    The shorter line of a pair, or the earlier of two equally long ones, is met by its rarest tokens only.
+    """
+    shorter, longer = rows.where(OF_SHORTER).alias("x"), rows.alias("y")
+    met = F.expr(
+        "x.token = y.token AND (x.n < y.n OR (x.n = y.n AND x.line < y.line))"
+        f" AND {MAY_MATCH} AND NOT CASE WHEN x.line < y.line THEN y.gone ELSE x.gone END"
+    )
+    pairs = shorter.join(longer, met)
+    return pairs.select(F.least("x.line", "y.line").alias("x"), F.greatest("x.line", "y.line").alias("y")).distinct()
 
 
 def repeats(pairs: DataFrame, lines: DataFrame, numbers: DataFrame) -> DataFrame:
