@@ -105,6 +105,20 @@ def test_line_pairs_are_met_once_by_the_shorter(spark):
     assert {f.name: f.dataType.simpleString() for f in lines.prefix_rows(lines.line_sets(lines.occurrences(docs, "doc_id", "text"), lines.rarity(docs, "text"))).schema}["token"] == "int"
 
 
+def test_line_bits_flip_once_a_word(spark):
+    """Each word flips one of 128 bits, whatever blanks part the words; levels and prefixes keep to it."""
+    docs = spark.createDataFrame([(1, "a b\tc  d A\u000b B\fe\rf"), (2, " ".join(f"Word{i}" for i in range(90)) + "\n \t\n"), (3, "x"), (4, None)], "doc_id long, text string")
+    sets = lines.line_sets(lines.occurrences(docs, "doc_id", "text"), lines.rarity(docs, "text")).orderBy("n").collect()
+    assert [(r.n, len(r.prefix)) for r in sets] == [(1, 1), (6, 2), (90, 19)]
+    wanted = []
+    for size, names in ((1, ["x"]), (6, list("abcdef")), (90, [f"word{i}" for i in range(90)])):
+        bits = [0, 0]
+        for (h,) in spark.createDataFrame([(w,) for w in names], "w string").select(F.xxhash64("w")).collect():
+            bits[h >= 0] ^= 1 << (h >> 33 & 63)
+        wanted.append((size, *bits))
+    assert [(r.n, r.low % 2**64, r.high % 2**64) for r in sets] == wanted
+
+
 def test_line_query_equals_sql(spark):
     assert difference(QUERIES["op1_line_dedup"](spark, SF_DIR), ORACLES["op1_line_dedup"], connect(SF_DIR)) is None
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable
 
@@ -15,19 +16,23 @@ from tidemark.operators.numbering import number_rows
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Cells of the table of token counts that orders tokens by rarity, and of the filter of line hashes.
 RARITY_CELLS = 1 << 18
+CELLS_A_ROW = 4
 FILTER_WORDS = 1 << 14
 
 
-def words(line: Column) -> Column:
-    """The words of a line in lower case, with empty ones between neighbouring blanks."""
-    low = F.lower(line)
-    # parting at one plain character needs no regular expression; few lines hold other blanks
-    return F.when(low.rlike(r"[\x09\x0B-\x0D]"), F.split(low, BLANKS)).otherwise(F.split(low, " "))
+def words(low: Column) -> Column:
+    """The words of a line in lower case, with empty ones between neighbouring blanks.
+
+    ``low`` is read several times: it is to be a column that was made before.
+    """
+    # looking for one plain character, or parting at it, needs no regular expression; few lines hold other blanks
+    others = [F.contains(low, F.lit(blank)) for blank in "\t\v\f\r"]
+    return F.when(functools.reduce(Column.__or__, others), F.split(low, BLANKS)).otherwise(F.split(low, " "))
 
 
-def word_set(line: Column) -> Column:
-    """The set of a line's words, as hashes: distinct words of one line have distinct hashes."""
-    return F.array_remove(F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+def word_set(low: Column) -> Column:
+    """The set of the words of a line in lower case, as hashes: distinct words of one line have distinct hashes."""
+    return F.array_remove(F.array_distinct(F.transform(words(low), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def ceil_div(a: Column, b: int) -> Column:
@@ -40,15 +45,16 @@ def rarity(docs: DataFrame, text: str) -> Column:
     Any fixed order of tokens keeps the join exact; this one puts rare words first. The table has
     ``RARITY_CELLS`` numbers however many texts and words there are.
     """
-    cells = (
-        docs.select(F.explode(words(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("word"))
-        .groupBy(F.xxhash64("word").bitwiseAND(F.lit(RARITY_CELLS - 1)).alias("cell"))
-        .count()
-        .collect()
-    )
+    low = docs.select(F.lower(F.replace(F.col(text), F.lit("\n"), F.lit(" "))).alias("low"))
+    hashes = low.select(F.explode(words(F.col("low"))).alias("word")).select(F.xxhash64("word").alias("h"))
+    # cells side by side are counted in one row: few groups stay in the fast map of an aggregation
+    rows = RARITY_CELLS // CELLS_A_ROW
+    place = F.shiftright("h", rows.bit_length() - 1).bitwiseAND(F.lit(CELLS_A_ROW - 1))
+    counts = [F.count(F.when(place == i, 1)).alias(f"of_{i}") for i in range(CELLS_A_ROW)]
     levels = [0] * RARITY_CELLS
-    for row in cells:
-        levels[row["cell"]] = int(3 * math.log2(1 + row["count"]))
+    for row in hashes.groupBy(F.col("h").bitwiseAND(F.lit(rows - 1)).alias("cell")).agg(*counts).collect():
+        for i in range(CELLS_A_ROW):
+            levels[i * rows + row["cell"]] = int(3 * math.log2(1 + row[f"of_{i}"]))
     return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<int>")
 
 
@@ -69,34 +75,37 @@ def line_sets(lines: DataFrame, levels: Column) -> DataFrame:
 
     A set of n tokens and a longer or equal one with Jaccard 4/5 share a token among the first
     ``n - ceil(8 n / 9) + 1`` of the shorter and the first ``n - ceil(4 n / 5) + 1`` of the longer.
-    ``low`` and ``high`` are the parity of the tokens per hash bit, of 128: two sets differ in at
-    least as many tokens as their bits differ.
+    ``low`` and ``high`` are the parity of the words per hash bit, of 64 for the negative hashes and 64
+    for the others: two sets differ in at least as many words as their bits differ.
     """
     def ranked(h: Column) -> Column:
-        level = F.get(levels, h.bitwiseAND(F.lit(RARITY_CELLS - 1)).cast("int")).cast("long")
+        level = F.get(levels, h.bitwiseAND(F.lit(RARITY_CELLS - 1)).cast("int"))
         # never NULL, which lets the array be sorted as plain numbers
-        return F.coalesce(F.shiftleft(level, 48).bitwiseOR(h.bitwiseAND(F.lit((1 << 48) - 1))), F.lit(0).cast("long"))
+        return F.shiftleft(F.coalesce(level, F.lit(0)).cast("long"), 48).bitwiseOR(h.bitwiseAND(F.lit((1 << 48) - 1)))
 
-    def parity(of: Callable[[Column], Column]) -> Column:
-        def flip(bits: Column, token: Column) -> Column:
-            place = F.shiftrightunsigned(token, 33).cast("int").bitwiseAND(F.lit(63))
-            return bits.bitwiseXOR(F.call_function("shiftleft", of(token), place))
+    def parity(hashes: Column) -> Column:
+        # a shift goes by the last six bits of its distance
+        def flip(bits: Column, h: Column) -> Column:
+            return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 33).cast("int")))
 
-        return F.aggregate("ranks", F.lit(0).cast("long"), flip)
+        return F.aggregate(hashes, F.lit(0).cast("long"), flip)
 
-    made = lines.select(*line_ids(), word_set(F.col("line")).alias("words"))
     # columns that are read more than once are computed once, by generated code, below those that read them
-    made = made.select("id", "id2", F.size("words").alias("n"), F.sort_array(F.transform("words", ranked)).alias("ranks"))
-    one = F.lit(1).cast("long")
-    bits = made.select("*", parity(lambda t: one).alias("all"), parity(lambda t: F.shiftrightunsigned(t, 20).bitwiseAND(one)).alias("high"))
-    n = F.col("n")
-    sets = bits.select(
+    made = lines.select(*line_ids(), F.lower("line").alias("low"))
+    made = made.select("id", "id2", word_set(F.col("low")).alias("words"))
+    ranks = F.sort_array(F.transform("words", ranked)).alias("ranks")
+    # one zero more marks where the negative ones end, so that each word is handled once
+    signed = F.sort_array(F.array_append("words", F.lit(0).cast("long"))).alias("signed")
+    made = made.select("id", "id2", F.size("words").alias("n"), ranks, signed)
+    made = made.select("*", F.array_position("signed", F.lit(0).cast("long")).cast("int").alias("zero"))
+    n, zero = F.col("n"), F.col("zero")
+    sets = made.select(
         "id",
         "id2",
         F.struct(
             n,
-            F.col("all").bitwiseXOR(F.col("high")).alias("low"),
-            "high",
+            parity(F.slice("signed", F.lit(1), zero - 1)).alias("low"),
+            parity(F.slice("signed", zero + 1, n + 1 - zero)).alias("high"),
             F.transform(
                 F.slice("ranks", 1, n - ceil_div(n * 4, 5) + 1),
                 lambda t: t.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"),
@@ -117,11 +126,12 @@ def prefix_rows(sets: DataFrame) -> DataFrame:
 OF_SHORTER = "9 * at <= n"
 #: Whether two lines with a common token may be similar. Length filter: the smaller set has 4/5 of the
 #: larger's tokens at least. Positional filter: what can stand before the common token on both sides, and
-#: from it on, makes up the needed overlap. Then the bits must not differ in more places than the sets may.
+#: from it on, makes up the needed overlap. First of all, as it settles most pairs, the bits must not differ
+#: in more places than the sets may.
 MAY_MATCH = (
-    "5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)"
+    "9 * (bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high)) <= x.n + y.n"
+    " AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)"
     " AND 9 * (least(x.at, y.at) + least(x.n - x.at, y.n - y.at)) >= 4 * (x.n + y.n)"
-    " AND bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= (x.n + y.n) / 9"
 )
 #: Earlier lines with a common token that a line is compared with first: the first one, and so many just before.
 BEFORE = 2
@@ -130,10 +140,16 @@ BEFORE = 2
 def first_candidates(rows: DataFrame) -> DataFrame:
     """``x, y``: each line with few earlier lines that share one of its rarest tokens, never more than ``1 + BEFORE`` a token."""
     of_token = Window.partitionBy("token").orderBy("line")
+    whole = of_token.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     seen = F.struct("line", "n", "low", "high", "at")
-    earlier = [F.first(seen).over(of_token), *(F.lag(seen, k + 1).over(of_token) for k in range(BEFORE))]
-    met = rows.where(OF_SHORTER).select(seen.alias("y"), F.array(*earlier).alias("earlier")).select("y", F.explode("earlier").alias("x"))
-    return met.where(F.expr(f"x.line < y.line AND {MAY_MATCH}")).select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct()
+    earlier = [F.nth_value(seen, 1).over(whole), *(F.lag(seen, k + 1).over(of_token) for k in range(BEFORE))]
+    names = [f"x{i}" for i in range(len(earlier))]
+    met = rows.where(OF_SHORTER).select(seen.alias("y"), *(e.alias(x) for x, e in zip(names, earlier)))
+    may = {x: F.expr(f"{x}.line < y.line AND {MAY_MATCH.replace('x.', f'{x}.')}") for x in names}
+    # rows are repeated only where there is a pair
+    met = met.where(functools.reduce(Column.__or__, may.values()))
+    found = F.array(*(F.when(may[x], F.col(f"{x}.line")) for x in names))
+    return met.select(F.explode(found).alias("x"), F.col("y.line").alias("y")).where("x IS NOT NULL").distinct()
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -150,24 +166,37 @@ def candidates(rows: DataFrame) -> DataFrame:
     return pairs.select(F.least("x.line", "y.line").alias("x"), F.greatest("x.line", "y.line").alias("y")).distinct()
 
 
-def repeats(pairs: DataFrame, lines: DataFrame, numbers: DataFrame) -> DataFrame:
-    """``line``: the later lines of the pairs whose Jaccard similarity is 4/5 or more, by their words.
+def bit_table(hashes: DataFrame, h: str) -> Callable[[Column], Column]:
+    """A test of fixed size that all of the hashes pass, and most others only where there are very many."""
+    def word(of: Column) -> Column:
+        return of.bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int")
+
+    def bit(of: Column) -> Column:
+        return F.shiftright(of, 14).bitwiseAND(F.lit(63)).cast("int")
 
-    Only lines that occur in a pair are shuffled: a bit table of fixed size, built from their hashes,
-    keeps most others out before the exact join. Words are compared by 64-bit hashes.
-    """
-    ends = pairs.select(F.explode(F.array("x", "y")).alias("line")).distinct()
-    known = stage(ends.join(numbers.select("id", "id2", "line"), "line"), "line-ends")
-    word, bit = F.col("id").bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int"), F.shiftright("id", 14).bitwiseAND(F.lit(63)).cast("int")
     one = F.lit(1).cast("long")
-    masks = known.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", one, bit)).alias("mask")).collect()
+    mask = F.bit_or(F.call_function("shiftleft", one, bit(F.col(h)))).alias("mask")
     table = [0] * FILTER_WORDS
-    for row in masks:
+    for row in hashes.groupBy(word(F.col(h)).alias("word")).agg(mask).collect():
         table[row["word"]] = row["mask"]
     filled = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
-    seen = F.call_function("shiftright", F.get(filled, word), bit).bitwiseAND(one) == 1
-    chosen = lines.select(*line_ids(), F.col("line").alias("body")).where(seen).join(known, ["id", "id2"])
-    sets = stage(chosen.groupBy("line").agg(F.min("body").alias("body")).select("line", word_set(F.col("body")).alias("words")), "line-words")
+    return lambda of: F.call_function("shiftright", F.get(filled, word(of)), bit(of)).bitwiseAND(one) == 1
+
+
+def repeats(pairs: DataFrame, docs: DataFrame, key: str, text: str, numbers: DataFrame) -> DataFrame:
+    """``line``: the later lines of the pairs whose Jaccard similarity is 4/5 or more, by their words.
+
+    Only texts that hold the first place of a line that occurs in a pair are parted, and only such lines
+    shuffled: bit tables of fixed size, built from hashes, keep most others out before the exact join.
+    Words are compared by 64-bit hashes.
+    """
+    ends = pairs.select(F.explode(F.array("x", "y")).alias("line")).distinct()
+    known = stage(ends.join(numbers.select("id", "id2", "line", F.xxhash64("first.key").alias("of")), "line"), "line-ends")
+    has_end, is_end = bit_table(known, "of"), bit_table(known, "id")
+    lines = occurrences(docs.where(has_end(F.xxhash64(key))), key, text)
+    bodies = lines.select(*line_ids(), F.col("line").alias("body")).where(is_end(F.col("id")))
+    chosen = bodies.join(known.drop("of"), ["id", "id2"]).groupBy("line").agg(F.min("body").alias("body"))
+    sets = stage(chosen.select("line", F.lower("body").alias("low")).select("line", word_set(F.col("low")).alias("words")), "line-words")
     left = sets.select(F.col("line").alias("x"), F.col("words").alias("xs"))
     right = sets.select(F.col("line").alias("y"), F.col("words").alias("ys"))
     enough = 9 * F.size(F.array_intersect("xs", "ys")) >= 4 * (F.size("xs") + F.size("ys"))
@@ -202,10 +231,13 @@ def dedup_lines(docs: DataFrame, key: str, text: str, removed: str = "n_removed_
     sets = line_sets(lines, rarity(docs, text)).join(numbers.select("id", "id2", "line"), ["id", "id2"]).drop("id", "id2")
     sets = stage(sets, "line-sets")
     pairs = stage(first_candidates(prefix_rows(sets)), "first-pairs")
-    gone = stage(repeats(pairs, lines, numbers).withColumn("gone", F.lit(True)), "first-gone")
+    gone = stage(repeats(pairs, docs, key, text, numbers).withColumn("gone", F.lit(True)), "first-gone")
     open_sets = sets.join(gone, "line", "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
-    pairs = stage(candidates(prefix_rows(open_sets)), "line-pairs")
-    gone = gone.union(repeats(pairs, lines, numbers).withColumn("gone", F.lit(True)))
+    open_sets = stage(open_sets, "open-sets")
+    # one half of the tokens after the other: only the shuffles of one are on the disks at a time
+    halves = [prefix_rows(open_sets).where(F.col("token").bitwiseAND(F.lit(1)) == half) for half in range(2)]
+    pairs = functools.reduce(DataFrame.union, [stage(candidates(half), "line-pairs") for half in halves]).distinct()
+    gone = gone.union(repeats(pairs, docs, key, text, numbers).withColumn("gone", F.lit(True)))
     verdict = stage(numbers.join(gone, "line", "left").select("id", "id2", "first", "gone"), "line-verdicts")
     goes = F.coalesce(F.col("gone"), F.lit(False)) | (F.col("place") != F.col("first"))
     gone = places.join(verdict, ["id", "id2"]).where(goes).select("place.*")
@@ -213,13 +245,14 @@ def dedup_lines(docs: DataFrame, key: str, text: str, removed: str = "n_removed_
 
     # the rows of docs as one struct, so that none of their names meets one from here
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    held = docs.select(row, F.col(key).alias("of"), F.col(text).alias("text"))
-    met = held.join(per_text, F.col("of").eqNullSafe(F.col("key")) & (F.xxhash64("text") == F.col("th")), "left")
+    held = docs.select(row, F.col(key).alias("of"), F.xxhash64(text).alias("hash"))
+    met = held.join(per_text, F.col("of").eqNullSafe(F.col("key")) & (F.col("hash") == F.col("th")), "left")
+    body = F.col("row").getField(next(c for c in docs.columns if c.lower() == text.lower()))
     # once per text, not once per line
-    met = met.withColumn("parts", F.when(F.col("gone").isNotNull(), F.split("text", "\n", -1)))
+    met = met.withColumn("parts", F.when(F.col("gone").isNotNull(), F.split(body, "\n", -1)))
     left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
     kept = F.array_join(F.transform(left, lambda i: F.get(F.col("parts"), i)), "\n")
     columns = {c: F.col("row").getField(c) for c in docs.columns if c.lower() != removed.lower()}
-    columns[next(c for c in columns if c.lower() == text.lower())] = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
+    columns[next(c for c in columns if c.lower() == text.lower())] = F.when(F.col("gone").isNull(), body).otherwise(kept)
     count = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone"))
     return met.select(*(c.alias(n) for n, c in columns.items()), count.cast("long").alias(removed))
