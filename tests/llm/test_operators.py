@@ -119,6 +119,15 @@ def test_line_bits_flip_once_a_word(spark):
     assert [(r.n, r.low % 2**64, r.high % 2**64) for r in sets] == wanted
 
 
+def test_line_hashes_are_sorted_as_plain_numbers(spark):
+    """An array that may hold NULL is sorted by a comparator of boxed numbers."""
+    low = spark.createDataFrame([("b  a\tc a",), ("",)], "low string")
+    words = low.select(lines.word_set(F.col("low")).alias("words"))
+    found = words.select("words", lines.by_sign(F.col("words")).alias("signed"))
+    assert not found.schema["signed"].dataType.containsNull
+    assert all(r.signed == sorted([*r.words, 0]) for r in found.collect())
+
+
 def test_line_query_equals_sql(spark):
     assert difference(QUERIES["op1_line_dedup"](spark, SF_DIR), ORACLES["op1_line_dedup"], connect(SF_DIR)) is None
 

@@ -35,6 +35,14 @@ def word_set(low: Column) -> Column:
     return F.array_remove(F.array_distinct(F.transform(words(low), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
+def by_sign(hashes: Column) -> Column:
+    """The hashes in order; one zero more marks where the negative ones end, so that each word is handled once.
+
+    Joined as arrays and not appended, as no item may be NULL for the array to be sorted as plain numbers.
+    """
+    return F.sort_array(F.concat(hashes, F.array(F.lit(0).cast("long"))))
+
+
 def ceil_div(a: Column, b: int) -> Column:
     return F.floor((a + F.lit(b - 1)) / F.lit(b)).cast("int")
 
@@ -94,8 +102,7 @@ def line_sets(lines: DataFrame, levels: Column) -> DataFrame:
     made = lines.select(*line_ids(), F.lower("line").alias("low"))
     made = made.select("id", "id2", word_set(F.col("low")).alias("words"))
     ranks = F.sort_array(F.transform("words", ranked)).alias("ranks")
-    # one zero more marks where the negative ones end, so that each word is handled once
-    signed = F.sort_array(F.array_append("words", F.lit(0).cast("long"))).alias("signed")
+    signed = by_sign(F.col("words")).alias("signed")
     made = made.select("id", "id2", F.size("words").alias("n"), ranks, signed)
     made = made.select("*", F.array_position("signed", F.lit(0).cast("long")).cast("int").alias("zero"))
     n, zero = F.col("n"), F.col("zero")
